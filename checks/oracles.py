@@ -19,9 +19,9 @@ def patient(expr: str) -> str:
 def half_even(x: str, digits: int) -> str:
     """Rounding of the double itself; on a tie the error of the product decides."""
     s = f"{10 ** digits}::DOUBLE"
-    hi = f"(({x}) * 134217729::DOUBLE - (({x}) * 134217729::DOUBLE - ({x})))"
-    p = f"(({x}) * {s})"
-    err = f"(({hi} * {s} - {p}) + (({x}) - {hi}) * {s})"
+    hi = f"CAST(CAST({x} AS FLOAT) AS DOUBLE)"
+    p = f"({x} * {s})"
+    err = f"(({hi} * {s} - {p}) + ({x} - {hi}) * {s})"
     tie = f"({p} - floor({p}) = 0.5)"
     return (
         f"(CASE WHEN {tie} AND {err} > 0 THEN ceil({p}) WHEN {tie} AND {err} < 0 THEN floor({p}) "
@@ -29,6 +29,11 @@ def half_even(x: str, digits: int) -> str:
     )
 
 
+def mean(x: str) -> str:
+    """Mean of the values as decimals: the same in any order of rows."""
+    return f"(CAST(sum(CAST({x} AS DECIMAL(20, 10))) AS DOUBLE) / count({x}))"
+
+
 READINGS = f"""
 readings AS (
   SELECT event_id AS source_id,
@@ -155,7 +160,7 @@ verdicts AS (
 DAILY = CLEAN + f""",
 vital_days AS (
   SELECT patient_id, CAST("timestamp" AS DATE) AS report_date, count(*) AS event_count,
-    {", ".join(f"{k}({v}) AS {k}_{s}_x" for v, s in SHORT.items() for k in ("avg", "min", "max"))}
+    {", ".join(f"{mean(v)} AS avg_{s}_x, min({v}) AS min_{s}_x, max({v}) AS max_{s}_x" for v, s in SHORT.items())}
   FROM unique_readings GROUP BY ALL),
 vital_summary AS (
   SELECT patient_id, report_date, event_count, {", ".join(f"{half_even(m + '_x', 3)} AS {m}" for m in METRICS)}
@@ -376,9 +381,9 @@ SELECT patient_id, report_date, test_type, result_value, is_abnormal, count(*) A
     sql["risk_scores"] = f"""WITH {REPORT}
 SELECT patient_id, report_date, event_count, result_count, abnormal_count, risk_score, risk_flag FROM report"""
     sql["daily_risk_report"] = f"""WITH {REPORT}
-SELECT {REPORT_COLUMNS} FROM report WHERE report_date = DATE '2024-01-15' ORDER BY patient_id"""
+SELECT {REPORT_COLUMNS} FROM report WHERE report_date = DATE '2024-01-09' ORDER BY patient_id"""
     sql["daily_report_high"] = f"""WITH {REPORT}
-SELECT {REPORT_COLUMNS} FROM report WHERE report_date = DATE '2024-01-15' AND risk_flag = 'HIGH'
+SELECT {REPORT_COLUMNS} FROM report WHERE report_date = DATE '2024-01-09' AND risk_flag = 'HIGH'
 ORDER BY risk_score DESC, patient_id"""
     sql["report_backfill"] = f"WITH {REPORT} SELECT {REPORT_COLUMNS} FROM report"
     sql["report_counts"] = f"WITH {REPORT} SELECT report_date, count(*) AS report_count FROM report GROUP BY ALL"
@@ -420,12 +425,12 @@ steps AS (
   SELECT CAST(floor(epoch_us(received_at) / 3600000000) AS BIGINT) AS step, count(*) AS n
   FROM checked WHERE invalid_detail IS NOT NULL GROUP BY ALL),
 instants AS (
-  SELECT unnest(range((SELECT min(step) FROM steps), (SELECT max(step) FROM steps) + 12)) AS at),
+  SELECT unnest(range((SELECT min(step) FROM steps), (SELECT max(step) FROM steps) + 12)) AS instant),
 rates AS (
-  SELECT at, coalesce((SELECT sum(n) FROM steps WHERE step >= at - 6 AND step < at), 0) / 21600::DOUBLE AS rate
+  SELECT instant, coalesce((SELECT sum(n) FROM steps WHERE step >= instant - 6 AND step < instant), 0) / 21600::DOUBLE AS rate
   FROM instants)
-SELECT make_timestamp(at * 3600000000) AS alarm_at, round(rate, 6) AS rate FROM rates r
-WHERE (SELECT count(*) FROM rates h WHERE h.at BETWEEN r.at - 3 AND r.at AND h.rate > 3 / 21600::DOUBLE) = 4"""
+SELECT make_timestamp(instant * 3600000000) AS alarm_at, round(rate, 6) AS rate FROM rates r
+WHERE (SELECT count(*) FROM rates h WHERE h.instant BETWEEN r.instant - 3 AND r.instant AND h.rate > 2 / 21600::DOUBLE) = 4"""
     sql["sim_clock_map"] = """
 SELECT event_id, ts AS real_time, date_trunc('second', sim) AS sim_time, CAST(sim AS DATE) AS sim_date FROM (
   SELECT event_id, ts,

@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The test tables cover January 2024.
 FIRST, LAST = date(2024, 1, 1), date(2024, 1, 30)
-REPORT_DAY = date(2024, 1, 15)
+REPORT_DAY = date(2024, 1, 9)
 STRICTER = AlertLimits(hr_high=100.0, spo2_low=95.0, temp_high=37.5, sbp_low=110.0)
 CLOCK = SimClock(real_start=datetime(2024, 1, 1, tzinfo=timezone.utc), sim_start=date(2026, 1, 1))
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -428,9 +428,9 @@ def stale_gaps_by_patient(spark, sf):
 
 
 def dlq_rate_alarm(spark, sf):
-    """The dead-letter alarm on the scale of this data: over 3 in six hours, held for three."""
+    """The dead-letter alarm on the scale of this data: over 2 in six hours, held for three."""
     rejected = _checked(spark, sf).where(F.col("invalid_detail").isNotNull())
-    return plain(health.rate_alarm(rejected, "received_at", 3 / 21600, 21600, 10800, 3600))
+    return plain(health.rate_alarm(rejected, "received_at", 2 / 21600, 21600, 10800, 3600))
 
 
 def sim_clock_map(spark, sf):

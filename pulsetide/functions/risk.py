@@ -8,7 +8,6 @@ from operator import add
 from pyspark.sql import Column, functions as F
 
 from pulsetide.functions.flags import average_checks
-from pulsetide.functions.rounding import round_half_even
 from pulsetide.params import AlertLimits, RiskRules
 
 
@@ -17,7 +16,7 @@ def vital_burden(limits: AlertLimits) -> Column:
     conditions = average_checks(limits).values()
     tripped = reduce(add, [F.when(c, 1).otherwise(0) for c in conditions])
     measured = reduce(add, [F.when(c.isNotNull(), 1).otherwise(0) for c in conditions])
-    return F.when(measured > 0, tripped / measured).otherwise(F.lit(0.0))
+    return F.coalesce(F.try_divide(tripped, measured), F.lit(0.0))
 
 
 def lab_burden(abnormal: Column, total: Column) -> Column:
@@ -30,9 +29,10 @@ def trend_burden(direction: Column, rules: RiskRules) -> Column:
     return F.when(name == "worsening", rules.worsening).when(name == "mixed", rules.mixed).otherwise(F.lit(0.0))
 
 
-def risk_score(vitals: Column, labs: Column, trend: Column, rules: RiskRules) -> Column:
+def weighted_score(vitals: Column, labs: Column, trend: Column, rules: RiskRules) -> Column:
+    """Score from 0 to 100, not yet rounded."""
     weighted = rules.vitals_weight * vitals + rules.labs_weight * labs + rules.trend_weight * trend
-    return round_half_even(F.least(F.lit(100.0), 100.0 * weighted), 2)
+    return F.least(F.lit(100.0), 100.0 * weighted)
 
 
 def risk_flag(score: Column, rules: RiskRules) -> Column:

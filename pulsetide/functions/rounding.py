@@ -1,26 +1,34 @@
-"""Decimal rounding of doubles, exact on ties."""
+"""Means and rounding that do not depend on the order of rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-SPLITTER = 134217729.0  # 2**27 + 1 halves the mantissa
-
-
 def round_half_even(value: Column, digits: int) -> Column:
-    """Round the double itself, ties to even, for |value| below 2**43.
+    """Round the double itself, ties to even.
 
     ``bround`` decides ties on the printed digits: 36.6175 is really
     36.61749999999999971..., so it must give 36.617, while ``bround`` gives
-    36.618. Here the error of ``value * 10**digits`` decides. Larger values
-    have no third decimal left and stay as they are.
+    36.618. Here the rounding error of ``value * 10**digits`` breaks the tie;
+    it is exact because the value is split at float precision. Values too
+    large to have that many decimals stay as they are.
     """
     scale = float(10**digits)
     scaled = value * scale
-    high = value * SPLITTER - (value * SPLITTER - value)
+    high = value.cast("float").cast("double")
     error = (high * scale - scaled) + (value - high) * scale
-    tie = (scaled - F.floor(scaled)) == 0.5
-    whole = F.when(tie & (error > 0), F.ceil(scaled).cast("double")).when(
-        tie & (error < 0), F.floor(scaled).cast("double")
-    )
-    return F.when(F.abs(value) < float(2**43), F.coalesce(whole, F.rint(scaled)) / scale).otherwise(value)
+    nudge = F.when(scaled - F.floor(scaled) == 0.5, F.signum(error) * 0.25).otherwise(0.0)
+    return F.when(F.abs(value) < 2.0**53 / scale, F.rint(scaled + nudge) / scale).otherwise(value)
+
+
+def steady_mean(value: Column) -> Column:
+    """Mean that is the same in every run, whatever the order of partial sums.
+
+    Readings are short decimal numbers, so their sum as decimals is exact. A
+    double sum varies in its last bit with the order, which is enough to turn
+    a tie of the later rounding. Values beyond the decimal range fall back to
+    the plain mean.
+    """
+    short = value.try_cast("decimal(20,10)")
+    exact = F.sum(short).cast("double") / F.count(value)
+    return F.when(F.count(short) == F.count(value), exact).otherwise(F.avg(value))

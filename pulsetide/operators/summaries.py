@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pulsetide.functions import risk
 from pulsetide.functions.parsing import finite
-from pulsetide.functions.rounding import round_half_even
+from pulsetide.functions.rounding import round_half_even, steady_mean
 from pulsetide.params import SHORT_NAMES, AlertLimits, RiskRules
 from pulsetide.schemas import LAB_TEST
 
@@ -38,9 +38,9 @@ def daily_vitals(readings: DataFrame) -> DataFrame:
         *[finite(F.col(name)).alias(name) for name in SHORT_NAMES],
     )
     aggregates = [
-        fn(name).alias(f"{kind}_{short}")
+        fn(F.col(name)).alias(f"{kind}_{short}")
         for name, short in SHORT_NAMES.items()
-        for kind, fn in (("avg", F.avg), ("min", F.min), ("max", F.max))
+        for kind, fn in (("avg", steady_mean), ("min", F.min), ("max", F.max))
     ]
     days = values.groupBy(*DAY_KEY).agg(F.count("*").alias("event_count"), *aggregates)
     measured = F.coalesce(*[f"min_{short}" for short in SHORT_NAMES.values()]).isNotNull()
@@ -99,13 +99,23 @@ def lab_test_pages(labs: DataFrame, page_rows: int = 10_000) -> DataFrame:
 def score_patients(rows: DataFrame, limits: AlertLimits = AlertLimits(), rules: RiskRules = RiskRules()) -> DataFrame:
     """Score rows that already hold averages and lab counts side by side."""
     trend = F.col("trend_direction") if "trend_direction" in rows.columns else F.lit(None).cast("string")
-    score = risk.risk_score(
-        risk.vital_burden(limits),
-        risk.lab_burden(F.col("abnormal_count"), F.col("result_count")),
-        risk.trend_burden(trend, rules),
-        rules,
+    # Step by step: rounding uses its input many times, and as a column of its
+    # own the input is computed once and the generated code stays small.
+    weighed = rows.withColumns(
+        {
+            "vital_burden": risk.vital_burden(limits),
+            "lab_burden": risk.lab_burden(F.col("abnormal_count"), F.col("result_count")),
+            "trend_burden": risk.trend_burden(trend, rules),
+        }
+    ).withColumn(
+        "weighted_score",
+        risk.weighted_score(F.col("vital_burden"), F.col("lab_burden"), F.col("trend_burden"), rules),
+    )
+    return (
+        weighed.withColumn("risk_score", round_half_even(F.col("weighted_score"), 2))
+        .withColumn("risk_flag", risk.risk_flag(F.col("risk_score"), rules))
+        .drop("vital_burden", "lab_burden", "trend_burden", "weighted_score")
     )
-    return rows.withColumn("risk_score", score).withColumn("risk_flag", risk.risk_flag(F.col("risk_score"), rules))
 
 
 def build_reports(

@@ -28,6 +28,8 @@ def _processor():
     kind = T.StructType([T.StructField("alert_type", T.StringType())])
     since = T.StructType([T.StructField("triggered_at", T.TimestampType())])
 
+    change = Row(*CHANGE.names)
+
     class OpenAlerts(StatefulProcessor):
         """State: open alert types of a patient, with the time each opened."""
 
@@ -41,10 +43,10 @@ def _processor():
                 opened = {k[0]: v[0] for k, v in self.open.iterator()}
                 for name in sorted(flags - opened.keys()):
                     self.open.updateValue((name,), (row.window_start,))
-                    yield Row(patient, name, row.window_start, None)
+                    yield change(patient, name, row.window_start, None)
                 for name in sorted(opened.keys() - flags):
                     self.open.removeKey((name,))
-                    yield Row(patient, name, opened[name], row.window_end)
+                    yield change(patient, name, opened[name], row.window_end)
 
         def close(self) -> None:
             pass
