@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from pulsetide.functions import clock
-from pulsetide.functions.parsing import reference_high, reference_low
 from pulsetide.operators import episodes as ep
 from pulsetide.operators import health, labs as lab, quality, serving, summaries
 from pulsetide.operators.clean import clean_readings, dedupe_readings
@@ -39,21 +38,16 @@ AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 
 def plain(rows: DataFrame) -> DataFrame:
     """Comparable values: times without zone, texts for arrays, doubles at six places."""
-    columns = []
-    for f in rows.schema.fields:
-        value = F.col(f.name)
-        if isinstance(f.dataType, T.TimestampType):
-            value = value.cast("timestamp_ntz")
-        elif isinstance(f.dataType, T.ArrayType):
-            value = F.concat_ws(",", value)
-        elif isinstance(f.dataType, T.DoubleType):
-            value = F.round(value, 6)
-        elif isinstance(f.dataType, T.DecimalType):
-            value = value.cast("double")
-        elif isinstance(f.dataType, T.IntegerType):
-            value = value.cast("long")
-        columns.append(value.alias(f.name))
-    return rows.select(*columns)
+    forms = {
+        T.TimestampType: "CAST({0} AS TIMESTAMP_NTZ)",
+        T.ArrayType: "concat_ws(',', {0})",
+        T.DoubleType: "round({0}, 6)",
+        T.DecimalType: "CAST({0} AS DOUBLE)",
+        T.IntegerType: "CAST({0} AS BIGINT)",
+    }
+    return rows.selectExpr(
+        *[f"{forms.get(type(f.dataType), '{0}').format(f'`{f.name}`')} AS `{f.name}`" for f in rows.schema.fields]
+    )
 
 
 def _readings(spark: SparkSession, sf: str) -> DataFrame:
@@ -250,8 +244,7 @@ def fk_orphans(spark, sf):
 
 
 def reference_range_parse(spark, sf):
-    text = F.col("reference_range")
-    rows = w.labs_raw(spark, sf).select(text, reference_low(text).alias("low"), reference_high(text).alias("high"))
+    rows = lab.typed_labs(w.labs_raw(spark, sf)).selectExpr("reference_range", "reference_low AS low", "reference_high AS high")
     return plain(rows.groupBy("reference_range", "low", "high").agg(F.count("*").alias("row_count")))
 
 
@@ -261,7 +254,7 @@ def lab_normalized(spark, sf):
 
 def lab_row_errors(spark, sf):
     error = lab.lab_row_error(strict=True)
-    rows = w.labs_raw(spark, sf).select("source_file", error.alias("row_error"))
+    rows = lab.typed_labs(w.labs_raw(spark, sf)).select("source_file", error.alias("row_error"))
     return plain(rows.groupBy("source_file", "row_error").agg(F.count("*").alias("row_count")))
 
 
@@ -318,7 +311,7 @@ def _flat(reports: DataFrame) -> DataFrame:
         "patient_id",
         "report_date",
         v["event_count"].alias("event_count"),
-        *[v[m].alias(m) for m in summaries.METRICS],
+        *[f"vitals_summary.{m}" for m in summaries.METRICS],
         l["result_count"].alias("result_count"),
         l["abnormal_count"].alias("abnormal_count"),
         _tests_text(l["tests"]).alias("tests"),
@@ -388,7 +381,7 @@ def upsert_patients(spark, sf):
     """Patients of negative balance move ward; the others stay."""
     existing = w.patients(spark, sf)
     moved = w.table(spark, sf, "customer").where("c_acctbal < 0").select(
-        w.patient_name(F.col("c_custkey")).alias("patient_id"),
+        F.expr(w.patient_name("c_custkey")).alias("patient_id"),
         F.lit("MOVED").alias("ward"),
         F.lit(date(2024, 2, 1)).alias("admit_date"),
     )
@@ -396,7 +389,7 @@ def upsert_patients(spark, sf):
 
 
 def upsert_labs(spark, sf):
-    rows = w.labs(spark, sf).withColumns(lab.lab_columns())
+    rows = lab.with_abnormal(lab.typed_labs(w.labs(spark, sf)))
     keys = ["patient_id", "test_type", "collected_at"]
     latest = latest_by_key(rows, keys, "l_orderkey", "l_linenumber", "result_value")
     return plain(latest.select(*keys, "result_value", "is_abnormal"))

@@ -1,37 +1,54 @@
-"""Text to typed values. Dirty text becomes null, never an error."""
+"""Text to typed values. Dirty text becomes null, never an error.
+
+The functions take the SQL text of their input and give SQL text: one
+expression then costs one call into the JVM, and plans stay readable.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # Accepted spellings.
 ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 REFERENCE_RANGE = r"^\s*(-?\d+(?:\.\d+)?)\s*-\s*(-?\d+(?:\.\d+)?)\s*$"
 
 
-def text_id(value: Column) -> Column:
+def text_id(value: str) -> str:
     """Ids are text; the empty text counts as missing."""
-    return F.nullif(value.cast("string"), F.lit(""))
+    return f"nullif(CAST({value} AS STRING), '')"
 
 
-def to_number(value: Column) -> Column:
+def to_number(value: str) -> str:
     """Number or null. Spark also reads ``1.0f`` and ``1.0d``; those are refused."""
-    return F.when(~value.rlike(r"[0-9.][fFdD]\s*$"), value.try_cast("double"))
+    return f"CASE WHEN NOT {value} RLIKE r'[0-9.][fFdD]\\s*$' THEN try_cast({value} AS DOUBLE) END"
 
 
-def to_instant(value: Column) -> Column:
+def to_instant(value: str) -> str:
     """ISO date-time to timestamp; without an offset it is UTC (session zone)."""
-    return F.when(value.rlike(ISO_TIMESTAMP), F.try_to_timestamp(value))
+    return f"CASE WHEN {value} RLIKE r'{ISO_TIMESTAMP}' THEN try_to_timestamp({value}) END"
 
 
-def reference_low(value: Column) -> Column:
-    return F.nullif(F.regexp_extract(value, REFERENCE_RANGE, 1), F.lit("")).try_cast("double")
+def reference_low(value: str) -> str:
+    return f"try_cast(nullif(regexp_extract({value}, r'{REFERENCE_RANGE}', 1), '') AS DOUBLE)"
 
 
-def reference_high(value: Column) -> Column:
-    return F.nullif(F.regexp_extract(value, REFERENCE_RANGE, 2), F.lit("")).try_cast("double")
+def reference_high(value: str) -> str:
+    return f"try_cast(nullif(regexp_extract({value}, r'{REFERENCE_RANGE}', 2), '') AS DOUBLE)"
 
 
-def finite(value: Column) -> Column:
+def finite(value: str) -> str:
     """The value, or null when it is NaN or infinite."""
-    return F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value)
+    return f"CASE WHEN NOT isnan({value}) AND abs({value}) < CAST('Infinity' AS DOUBLE) THEN {value} END"
+
+
+def parse_once(rows: DataFrame, parsed: dict[str, str]) -> DataFrame:
+    """Replace or add columns such that each is computed once per row.
+
+    Spark pushes a filter below a projection and so repeats the projection's
+    expressions in the filter; a JSON or regex step is then paid again for every
+    condition. ``inline`` of one struct gives the same rows, and filters stay above it.
+    """
+    fields = ", ".join(f"{sql} AS `{name}`" for name, sql in parsed.items())
+    kept = [c for c in rows.columns if c not in parsed]
+    wide = rows.select(*kept, F.expr(f"inline(array(struct({fields})))"))
+    return wide.select(*rows.columns, *[c for c in parsed if c not in rows.columns])

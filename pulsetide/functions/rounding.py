@@ -1,10 +1,9 @@
-"""Means and rounding that do not depend on the order of rows."""
+"""Means and rounding that do not depend on the order of rows, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
 
-def round_half_even(value: Column, digits: int) -> Column:
+def round_half_even(value: str, digits: int) -> str:
     """Round the double itself, ties to even.
 
     ``bround`` decides ties on the printed digits: 36.6175 is really
@@ -13,15 +12,15 @@ def round_half_even(value: Column, digits: int) -> Column:
     it is exact because the value is split at float precision. Values too
     large to have that many decimals stay as they are.
     """
-    scale = float(10**digits)
-    scaled = value * scale
-    high = value.cast("float").cast("double")
-    error = (high * scale - scaled) + (value - high) * scale
-    nudge = F.when(scaled - F.floor(scaled) == 0.5, F.signum(error) * 0.25).otherwise(0.0)
-    return F.when(F.abs(value) < 2.0**53 / scale, F.rint(scaled + nudge) / scale).otherwise(value)
+    scale = f"{10.0**digits}D"
+    scaled = f"({value} * {scale})"
+    high = f"CAST(CAST({value} AS FLOAT) AS DOUBLE)"
+    error = f"(({high} * {scale} - {scaled}) + ({value} - {high}) * {scale})"
+    nudge = f"CASE WHEN {scaled} - floor({scaled}) = 0.5D THEN signum({error}) * 0.25D ELSE 0D END"
+    return f"CASE WHEN abs({value}) < {2.0**53 / 10**digits}D THEN rint({scaled} + {nudge}) / {scale} ELSE {value} END"
 
 
-def steady_mean(value: Column) -> Column:
+def steady_mean(value: str) -> str:
     """Mean that is the same in every run, whatever the order of partial sums.
 
     Readings are short decimal numbers, so their sum as decimals is exact. A
@@ -29,6 +28,6 @@ def steady_mean(value: Column) -> Column:
     a tie of the later rounding. Values beyond the decimal range fall back to
     the plain mean.
     """
-    short = value.try_cast("decimal(20,10)")
-    exact = F.sum(short).cast("double") / F.count(value)
-    return F.when(F.count(short) == F.count(value), exact).otherwise(F.avg(value))
+    short = f"try_cast({value} AS DECIMAL(20, 10))"
+    exact = f"CAST(sum({short}) AS DOUBLE) / count({value})"
+    return f"CASE WHEN count({value}) > 0 AND count({short}) = count({value}) THEN {exact} ELSE avg({value}) END"

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pulsetide.functions.parsing import text_id, to_instant
-from pulsetide.operators.clean import is_clean
+from pulsetide.functions.parsing import parse_once, text_id, to_instant
+from pulsetide.operators.clean import is_clean, typed_readings
 from pulsetide.params import ALERT_TYPES, RISK_FLAGS, VITALS
 
 # Fixed value: the reason the dead-letter contract names.
@@ -14,14 +14,15 @@ FAILED_VALIDATION = "failed_validation"
 
 def with_validity(readings: DataFrame) -> DataFrame:
     """Add ``invalid_detail``: why a reading must not be published, or null."""
-    text = readings.schema["timestamp"].dataType.simpleString() == "string"
-    instant = to_instant(F.col("timestamp")) if text else F.col("timestamp")
+    text = dict(readings.dtypes)["timestamp"] == "string"
+    instant = to_instant("`timestamp`") if text else "`timestamp`"
+    given = ", ".join(f"CAST({v} AS STRING)" for v in VITALS)
     detail = (
-        F.when(text_id(F.col("patient_id")).isNull(), "missing_patient")
-        .when(instant.isNull(), "bad_timestamp")
-        .when(F.coalesce(*[F.col(v).cast("string") for v in VITALS]).isNull(), "no_vitals")
+        f"CASE WHEN {text_id('patient_id')} IS NULL THEN 'missing_patient' "
+        f"WHEN ({instant}) IS NULL THEN 'bad_timestamp' "
+        f"WHEN coalesce({given}) IS NULL THEN 'no_vitals' END"
     )
-    return readings.withColumn("invalid_detail", detail)
+    return parse_once(readings, {"invalid_detail": detail})
 
 
 def publishable(checked: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def dead_letters(checked: DataFrame, payload: list[str] | None = None) -> DataFr
         F.struct(F.struct(*payload).alias("raw_payload"), F.lit(FAILED_VALIDATION).alias("error_reason"))
     )
     return checked.where(F.col("invalid_detail").isNotNull()).select(
-        F.coalesce(text_id(F.col("patient_id")), F.lit("unknown")).alias("key"),
+        F.expr(f"coalesce({text_id('patient_id')}, 'unknown')").alias("key"),
         value.alias("value"),
         F.lit(FAILED_VALIDATION).alias("error_reason"),
         "invalid_detail",
@@ -48,11 +49,10 @@ def run_counts(readings: DataFrame) -> DataFrame:
 
     Rejected readings share the null key; they are counted before the shuffle.
     """
-    accepted_id = F.when(is_clean(readings), F.col("event_id").cast("string"))
-    per_id = readings.groupBy(accepted_id.alias("accepted_id")).agg(F.count("*").alias("n"))
-    return per_id.agg(
-        F.count("accepted_id").alias("accepted"),
-        F.coalesce(F.sum(F.when(F.col("accepted_id").isNull(), F.col("n"))), F.lit(0)).alias("rejected"),
+    accepted_id = F.when(is_clean(), F.col("event_id")).alias("accepted_id")
+    per_id = typed_readings(readings).groupBy(accepted_id).agg(F.count("*").alias("n"))
+    return per_id.selectExpr(
+        "count(accepted_id) AS accepted", "coalesce(sum(CASE WHEN accepted_id IS NULL THEN n END), 0) AS rejected"
     )
 
 

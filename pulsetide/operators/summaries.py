@@ -32,20 +32,18 @@ def daily_vitals(readings: DataFrame) -> DataFrame:
     A patient-day without any finite value has no summary, while an event
     without values counts for a patient-day that has some.
     """
-    values = readings.where(F.col("patient_id").isNotNull() & (F.col("patient_id") != "")).select(
-        "patient_id",
-        F.col("timestamp").cast("date").alias("report_date"),
-        *[finite(F.col(name)).alias(name) for name in SHORT_NAMES],
+    values = readings.where("patient_id IS NOT NULL AND patient_id <> ''").selectExpr(
+        "patient_id", "CAST(`timestamp` AS DATE) AS report_date", *[f"{finite(v)} AS {v}" for v in SHORT_NAMES]
     )
     aggregates = [
-        fn(F.col(name)).alias(f"{kind}_{short}")
-        for name, short in SHORT_NAMES.items()
-        for kind, fn in (("avg", steady_mean), ("min", F.min), ("max", F.max))
+        f"{value} AS {kind}_{short}"
+        for v, short in SHORT_NAMES.items()
+        for kind, value in (("avg", steady_mean(v)), ("min", f"min({v})"), ("max", f"max({v})"))
     ]
-    days = values.groupBy(*DAY_KEY).agg(F.count("*").alias("event_count"), *aggregates)
-    measured = F.coalesce(*[f"min_{short}" for short in SHORT_NAMES.values()]).isNotNull()
-    return days.where(measured).select(
-        *DAY_KEY, "event_count", *[round_half_even(F.col(m), 3).alias(m) for m in METRICS]
+    days = values.groupBy(*DAY_KEY).agg(F.count("*").alias("event_count"), *[F.expr(a) for a in aggregates])
+    measured = ", ".join(f"min_{short}" for short in SHORT_NAMES.values())
+    return days.where(f"coalesce({measured}) IS NOT NULL").selectExpr(
+        *DAY_KEY, "event_count", *[f"{round_half_even(m, 3)} AS {m}" for m in METRICS]
     )
 
 
@@ -98,23 +96,20 @@ def lab_test_pages(labs: DataFrame, page_rows: int = 10_000) -> DataFrame:
 
 def score_patients(rows: DataFrame, limits: AlertLimits = AlertLimits(), rules: RiskRules = RiskRules()) -> DataFrame:
     """Score rows that already hold averages and lab counts side by side."""
-    trend = F.col("trend_direction") if "trend_direction" in rows.columns else F.lit(None).cast("string")
+    trend = "trend_direction" if "trend_direction" in rows.columns else "CAST(NULL AS STRING)"
     # Step by step: rounding uses its input many times, and as a column of its
     # own the input is computed once and the generated code stays small.
-    weighed = rows.withColumns(
-        {
-            "vital_burden": risk.vital_burden(limits),
-            "lab_burden": risk.lab_burden(F.col("abnormal_count"), F.col("result_count")),
-            "trend_burden": risk.trend_burden(trend, rules),
-        }
-    ).withColumn(
-        "weighted_score",
-        risk.weighted_score(F.col("vital_burden"), F.col("lab_burden"), F.col("trend_burden"), rules),
-    )
+    burdens = {
+        "vital_burden": risk.vital_burden(limits),
+        "lab_burden": risk.lab_burden("abnormal_count", "result_count"),
+        "trend_burden": risk.trend_burden(trend, rules),
+    }
+    weighted = risk.weighted_score("vital_burden", "lab_burden", "trend_burden", rules)
     return (
-        weighed.withColumn("risk_score", round_half_even(F.col("weighted_score"), 2))
-        .withColumn("risk_flag", risk.risk_flag(F.col("risk_score"), rules))
-        .drop("vital_burden", "lab_burden", "trend_burden", "weighted_score")
+        rows.selectExpr("*", *[f"{sql} AS {name}" for name, sql in burdens.items()])
+        .selectExpr(*rows.columns, f"{weighted} AS weighted_score")
+        .selectExpr(*rows.columns, f"{round_half_even('weighted_score', 2)} AS risk_score")
+        .selectExpr("*", f"{risk.risk_flag('risk_score', rules)} AS risk_flag")
     )
 
 
@@ -136,18 +131,14 @@ def nest_summaries(reports: DataFrame) -> DataFrame:
     metrics are null fields, which ``to_json`` leaves out.
     """
     vital_fields = ["event_count", *METRICS] + [c for c in ("trend_direction",) if c in reports.columns]
-    no_tests = F.array().cast(f"array<{LAB_TEST.simpleString()}>")
-    zero = F.lit(0).cast("long")
-    tests = F.when(F.col("result_count").isNull(), no_tests).otherwise(F.col("tests")) if "tests" in reports.columns else no_tests
-    return reports.select(
+    none = f"CAST(array() AS ARRAY<{LAB_TEST.simpleString()}>)"
+    tests = f"CASE WHEN result_count IS NULL THEN {none} ELSE tests END" if "tests" in reports.columns else none
+    counts = [f"coalesce({c}, 0L) AS {c}" for c in ("result_count", "abnormal_count")]
+    return reports.selectExpr(
         *DAY_KEY,
-        F.struct(*vital_fields).alias("vitals_summary"),
-        F.struct(
-            F.coalesce("result_count", zero).alias("result_count"),
-            F.coalesce("abnormal_count", zero).alias("abnormal_count"),
-            tests.alias("tests"),
-        ).alias("lab_summary"),
-        F.col("risk_score").cast("decimal(5,2)").alias("risk_score"),
+        f"struct({', '.join(vital_fields)}) AS vitals_summary",
+        f"struct({', '.join(counts)}, {tests} AS tests) AS lab_summary",
+        "CAST(risk_score AS DECIMAL(5, 2)) AS risk_score",
         "risk_flag",
     )
 

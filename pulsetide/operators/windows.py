@@ -20,24 +20,19 @@ def window_vitals(
     start on the hour; others are aligned to the epoch.
     """
     trips = reading_checks(limits)
-    averages = [F.avg(name).alias(f"avg_{short}") for name, short in SHORT_NAMES.items()]
-    extremes = [
-        fn(name).alias(f"{label}_{SHORT_NAMES[name]}")
-        for name in ("heart_rate", "spo2")
-        for label, fn in (("min", F.min), ("max", F.max))
+    aggregates = [f"avg({name}) AS avg_{short}" for name, short in SHORT_NAMES.items()]
+    aggregates += [
+        f"{fn}({name}) AS {fn}_{SHORT_NAMES[name]}" for name in ("heart_rate", "spo2") for fn in ("min", "max")
     ]
-    grouped = readings.groupBy(F.window("timestamp", f"{minutes} minutes").alias("w"), "patient_id").agg(
-        *averages,
-        *extremes,
-        F.count("*").alias("event_count"),
-        *[F.bool_or(trip).alias(name) for name, trip in trips.items()],
-    )
-    return grouped.select(
-        "*",
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        flag_array({name: F.col(name) for name in trips}).alias("anomaly_flags"),
-    ).select(*WINDOW.names)
+    aggregates += ["count(*) AS event_count"] + [f"bool_or({trip}) AS {name}" for name, trip in trips.items()]
+    grouped = readings.groupBy(F.window("timestamp", f"{minutes} minutes").alias("w"), "patient_id")
+    made = {
+        "window_start": F.col("w.start"),
+        "window_end": F.col("w.end"),
+        "anomaly_flags": flag_array({name: name for name in trips}),
+    }
+    windows = grouped.agg(*[F.expr(a) for a in aggregates])
+    return windows.select(*[made[c].alias(c) if c in made else c for c in WINDOW.names])
 
 
 def reading_alerts(readings: DataFrame, limits: AlertLimits = AlertLimits()) -> DataFrame:

@@ -81,8 +81,7 @@ def strict_labs(spark: SparkSession, path: str, report_date: date | None = None)
     lines = read_lab_lines(spark, path)
     heads = headers(lines)
     rows = lab_rows(lines, heads)
-    day = F.lit(report_date) if report_date else None
-    verdicts = lab_file_verdicts(rows, heads, strict=True, report_date=day)
+    verdicts = lab_file_verdicts(rows, heads, strict=True, report_date=report_date)
     bad = verdicts.where(~F.col("accepted")).take(5)
     if bad or heads.isEmpty():
         raise InvalidLabFile("; ".join(f"{r.source_file}: {r.reason}" for r in bad) or f"{path}: empty_file")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from datetime import date
 
-from pulsetide.operators.labs import lab_row_error
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from pulsetide.functions.parsing import parse_once
+from pulsetide.operators.labs import lab_row_error, typed_labs
 from pulsetide.params import LAB_COLUMNS
 from pulsetide.sources.files import list_folder
 
@@ -37,10 +40,6 @@ def stream_lab_text(spark: SparkSession, folder: str, files_per_trigger: int | N
     return lab_text(reader.load(folder))
 
 
-def _fields(line: Column) -> Column:
-    return F.from_csv(line, ", ".join(f"{c} STRING" for c in POSITIONS), CSV)
-
-
 def headers(lines: DataFrame) -> DataFrame:
     """First line of each file, and whether it names exactly the lab columns."""
     first = (
@@ -59,22 +58,19 @@ def lab_rows(lines: DataFrame, heads: DataFrame) -> DataFrame:
     repeat the header's text, the header itself among them.
     """
     good = heads.where("header_ok").select("source_file", "names", "header")
-    split = (
-        lines.join(good, "source_file")
-        .where(F.trim("value") != "")
-        .withColumn("cells", _fields(F.col("value")))
-    )
-    cells = F.array(*[f"cells.{c}" for c in POSITIONS])
-    named = {c: F.get(cells, F.array_position("names", c).cast("int") - 1) for c in LAB_COLUMNS}
-    return split.select(
-        "source_file",
-        *[col.alias(name) for name, col in named.items()],
-        (F.col("value") == F.col("header")).alias("header_line"),
+    options = ", ".join(f"'{k}', '{v}'" for k, v in CSV.items())
+    cells = ", ".join(f"{c} STRING" for c in POSITIONS)
+    split = parse_once(
+        lines.join(good, "source_file").where("trim(value) <> ''"),
+        {"cells": f"from_csv(value, '{cells}', map({options}))"},
     )
+    in_order = ", ".join(f"cells.{c}" for c in POSITIONS)
+    named = [f"get(array({in_order}), CAST(array_position(names, '{c}') AS INT) - 1) AS {c}" for c in LAB_COLUMNS]
+    return split.selectExpr("source_file", *named, "value = header AS header_line")
 
 
 def lab_file_verdicts(
-    rows: DataFrame, heads: DataFrame, strict: bool = True, report_date: Column | None = None
+    rows: DataFrame, heads: DataFrame, strict: bool = True, report_date: date | None = None
 ) -> DataFrame:
     """Verdict per file: its header must fit and every row be valid; no rows is valid.
 
@@ -82,7 +78,8 @@ def lab_file_verdicts(
     """
     error = F.when(~F.col("header_line"), lab_row_error(strict, report_date))
     counted = (
-        rows.select("source_file", "header_line", error.alias("row_error"))
+        typed_labs(rows)
+        .select("source_file", "header_line", error.alias("row_error"))
         .groupBy("source_file")
         .agg(
             (F.count("*") - 1).alias("row_count"),

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulsetide.operators.clean import typed_reading_columns
+from pulsetide.operators.clean import typed_readings
 from pulsetide.schemas import ARCHIVE, RAW_READING
 from pulsetide.sources.files import list_folder
 
@@ -31,8 +31,9 @@ def decode_readings(messages: DataFrame, value: str = "value") -> DataFrame:
     into null, and cleaning could no longer tell them apart.
     """
     event = F.from_json(F.col(value).cast("string"), RAW_READING)
-    rest = [c for c in messages.columns if c in ("arrival",)]
-    return messages.select(event.alias("event"), *rest).select("event.*", *rest)
+    rest = [c for c in messages.columns if c == "arrival"]
+    # inline keeps later filters above the decoding, which would else be repeated in them.
+    return messages.select(*rest, F.inline(F.array(event))).select(*RAW_READING.names, *rest)
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -66,7 +67,7 @@ def _archive_files(spark: SparkSession, suffix: str, paths: list[str]) -> DataFr
         rows = _text_reader(spark).option("multiLine", True).json(paths)
     else:
         raise ValueError(f"unsupported archive format: {suffix!r}")
-    return rows.withColumns(typed_reading_columns(rows))
+    return typed_readings(rows).drop("unreadable")
 
 
 def read_archive_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:

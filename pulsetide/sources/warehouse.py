@@ -18,38 +18,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def patient_name(number: Column) -> Column:
+def patient_name(number: str) -> str:
     """Zero-padded to six digits; longer numbers stay whole."""
-    text = number.cast("string")
-    return F.concat(F.lit("P"), F.lpad(text, F.greatest(F.length(text), F.lit(6)), F.lit("0")))
-
-
-def _every(name: str, n: int, rest: int = 0) -> Column:
-    return F.col(name) % n == rest
+    text = f"CAST({number} AS STRING)"
+    return f"concat('P', lpad({text}, greatest(length({text}), 6), '0'))"
 
 
 def readings_from_events(events: DataFrame) -> DataFrame:
     """One reading per event, before duplication; each carries one vital."""
-    kind, value = F.col("event_type"), F.col("value")
-    vitals = {
-        "heart_rate": F.when(kind == "click", 60 + value),
-        "spo2": F.when(kind == "error", 100 - value / 4),
-        "systolic_bp": F.when(kind == "purchase", 160 - value),
-        "diastolic_bp": F.when(kind == "signup", 60 + value / 2),
-        "temperature": F.when(kind == "view", 36 + value / 20),
-    }
-    return events.select(
-        F.col("event_id").alias("source_id"),
-        F.when(~_every("event_id", 97), F.col("event_id").cast("string")).alias("event_id"),
-        F.when(~_every("event_id", 101), patient_name(F.col("user_id"))).alias("patient_id"),
-        *[col.alias(name) for name, col in vitals.items()],
-        F.col("ts").cast("timestamp").alias("timestamp"),
+    return events.selectExpr(
+        "event_id AS source_id",
+        "CASE WHEN event_id % 97 <> 0 THEN CAST(event_id AS STRING) END AS event_id",
+        f"CASE WHEN event_id % 101 <> 0 THEN {patient_name('user_id')} END AS patient_id",
+        "CASE WHEN event_type = 'click' THEN 60 + value END AS heart_rate",
+        "CASE WHEN event_type = 'error' THEN 100 - value / 4 END AS spo2",
+        "CASE WHEN event_type = 'purchase' THEN 160 - value END AS systolic_bp",
+        "CASE WHEN event_type = 'signup' THEN 60 + value / 2 END AS diastolic_bp",
+        "CASE WHEN event_type = 'view' THEN 36 + value / 20 END AS temperature",
+        "CAST(ts AS TIMESTAMP) AS `timestamp`",
     )
 
 
 def vitals_from_events(events: DataFrame) -> DataFrame:
-    copies = F.when(_every("source_id", 200), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return readings_from_events(events).withColumn("copy", F.explode(copies)).drop("copy", "source_id")
+    copies = "explode(CASE WHEN source_id % 200 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
+    return readings_from_events(events).selectExpr("*", copies).drop("copy", "source_id")
 
 
 def vitals_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,14 +50,13 @@ def vitals_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 def dirty_readings(events: DataFrame) -> DataFrame:
     """Readings as a producer sees them: text time, some of it junk, some without vitals."""
-    iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
-    readings = readings_from_events(events)
-    return readings.select(
+    iso = "date_format(`timestamp`, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx\")"
+    return readings_from_events(events).selectExpr(
         "event_id",
         "patient_id",
-        *[F.when(~_every("source_id", 109), F.col(v)).alias(v) for v in VITALS],
-        F.when(_every("source_id", 107), "not-a-date").otherwise(iso).alias("timestamp"),
-        F.col("timestamp").alias("received_at"),
+        *[f"CASE WHEN source_id % 109 <> 0 THEN {v} END AS {v}" for v in VITALS],
+        f"CASE WHEN source_id % 107 = 0 THEN 'not-a-date' ELSE {iso} END AS `timestamp`",
+        "`timestamp` AS received_at",
     )
 
 
@@ -81,11 +72,11 @@ def patients(spark: SparkSession, folder: str) -> DataFrame:
     """Known patients; some that the readings refer to are left out on purpose."""
     return (
         table(spark, folder, "customer")
-        .where((F.col("c_custkey") < _patient_count(spark, folder)) & (F.col("c_custkey") % 50 != 49))
-        .select(
-            patient_name(F.col("c_custkey")).alias("patient_id"),
-            F.col("c_mktsegment").alias("ward"),
-            F.date_add(F.lit("2023-12-01").cast("date"), (F.col("c_custkey") % 30).cast("int")).alias("admit_date"),
+        .where((F.col("c_custkey") < _patient_count(spark, folder)) & F.expr("c_custkey % 50 <> 49"))
+        .selectExpr(
+            f"{patient_name('c_custkey')} AS patient_id",
+            "c_mktsegment AS ward",
+            "date_add(DATE '2023-12-01', CAST(c_custkey % 30 AS INT)) AS admit_date",
         )
     )
 
@@ -94,30 +85,29 @@ def _lab_lines(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % _patient_count(spark, folder)).alias("patient")
     )
-    return table(spark, folder, "lineitem").join(orders, "l_orderkey").where(F.col("patient") % 10 != 0)
+    lines = table(spark, folder, "lineitem").join(orders.where("patient % 10 <> 0"), "l_orderkey")
+    return lines.selectExpr("*", "date_add(DATE '2024-01-01', CAST(l_orderkey % 30 AS INT)) AS day")
 
 
-def _lab_columns(result: Column, reference: Column) -> list[Column]:
-    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("l_orderkey") % 30).cast("int"))
+def _lab_columns(result: str, reference: str) -> list[str]:
     return [
-        patient_name(F.col("patient")).alias("patient_id"),
-        F.concat("l_returnflag", "l_linestatus").alias("test_type"),
-        result.alias("result_value"),
-        reference.alias("reference_range"),
-        day.cast("string").alias("collected_at"),
-        F.concat(F.lit("labs_"), day.cast("string"), F.lit(".csv")).alias("source_file"),
+        f"{patient_name('patient')} AS patient_id",
+        "concat(l_returnflag, l_linestatus) AS test_type",
+        f"{result} AS result_value",
+        f"{reference} AS reference_range",
+        "CAST(day AS STRING) AS collected_at",
+        "concat('labs_', CAST(day AS STRING), '.csv') AS source_file",
     ]
 
 
 def labs(spark: SparkSession, folder: str) -> DataFrame:
     """Valid lab rows, as text."""
-    quantity = F.col("l_quantity").cast("string")
-    lines = _lab_lines(spark, folder)
-    return lines.select(*_lab_columns(quantity, F.lit("5.0-45.0")), "l_orderkey", "l_linenumber")
+    columns = _lab_columns("CAST(l_quantity AS STRING)", "'5.0-45.0'")
+    return _lab_lines(spark, folder).selectExpr(*columns, "l_orderkey", "l_linenumber")
 
 
 def labs_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Lab rows with bad results in one file and bad ranges in another."""
-    result = F.when(_every("l_orderkey", 1500, 17), "n/a").otherwise(F.col("l_quantity").cast("string"))
-    reference = F.when(_every("l_orderkey", 1500, 29), "bad").otherwise("5.0-45.0")
-    return _lab_lines(spark, folder).select(*_lab_columns(result, reference))
+    result = "CASE WHEN l_orderkey % 1500 = 17 THEN 'n/a' ELSE CAST(l_quantity AS STRING) END"
+    reference = "CASE WHEN l_orderkey % 1500 = 29 THEN 'bad' ELSE '5.0-45.0' END"
+    return _lab_lines(spark, folder).selectExpr(*_lab_columns(result, reference))

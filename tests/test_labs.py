@@ -64,7 +64,7 @@ def name_of(path):
 def test_file_verdicts(spark, landing, strict, expected):
     lines = read_lab_lines(spark, landing)
     heads = headers(lines)
-    verdicts = lab_file_verdicts(lab_rows(lines, heads), heads, strict, F.lit(DAY)).unionByName(empty_files(spark, landing))
+    verdicts = lab_file_verdicts(lab_rows(lines, heads), heads, strict, DAY).unionByName(empty_files(spark, landing))
     got = {name_of(r.source_file): r.accepted for r in verdicts.collect()}
     assert {n for n, ok in got.items() if ok} == expected
     assert len(got) == len(FILES)
@@ -103,7 +103,7 @@ def raw_labs(spark, *rows):
 
 def test_nan_result_is_valid_and_not_abnormal(spark):
     rows = raw_labs(spark, ("nan", "4-11"), ("12", "4-11"), ("3.9", "4-11"), ("11", "4-11"))
-    assert rows.where(lab.lab_row_error().isNotNull()).isEmpty()
+    assert lab.typed_labs(rows).where(lab.lab_row_error().isNotNull()).isEmpty()
     assert [r.is_abnormal for r in lab.normalize_labs(rows).collect()] == [False, True, True, False]
 
 
