@@ -2,7 +2,8 @@
 
 Each query is warmed up once; its value is the median of $BENCH_RUNS runs
 (streams, which write files and start a query, are run once after the warm-up).
-Name queries on the command line to time only those.
+Without arguments the headline queries are timed; name others on the command
+line, or "all".
 """
 
 from __future__ import annotations
@@ -19,6 +20,33 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from checks.queries import all_queries  # noqa: E402
 from pulsetide.session import build_session  # noqa: E402
 
+HEADLINE = [
+    "clean_events",
+    "dedupe_events",
+    "window_vitals_5m",
+    "alert_episodes",
+    "ward_snapshot",
+    "dead_letters",
+    "quality_counts",
+    "lab_normalized",
+    "lab_file_verdicts",
+    "lab_summary",
+    "vitals_daily_summary",
+    "risk_scores",
+    "daily_risk_report",
+    "report_backfill",
+    "upsert_live",
+    "upsert_labs",
+    "fk_orphans",
+    "events_per_second",
+    "stale_gaps",
+    "dlq_rate_alarm",
+    "archive_partition_read",
+    "file_mode_windows",
+    "stream_windows",
+    "stream_alert_state",
+]
+
 
 def run(query, spark, folder) -> float:
     start = time.perf_counter()
@@ -36,7 +64,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()
-    names = sys.argv[1:] or list(queries)
+    names = list(queries) if sys.argv[1:] == ["all"] else sys.argv[1:] or HEADLINE
     seconds = {}
     for name in names:
         run(queries[name], spark, folder)

@@ -267,8 +267,7 @@ def lab_file_verdicts_landing(spark, sf):
 
 
 def lab_valid_rows(spark, sf):
-    raw = w.labs_raw(spark, sf)
-    return plain(daily.valid_labs(raw, lab.file_verdicts(raw, strict=True)))
+    return plain(daily.valid_labs(spark, w.labs_raw(spark, sf), shared_folder(spark, "verdicts")))
 
 
 def lab_file_counts(spark, sf):

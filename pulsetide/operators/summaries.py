@@ -69,7 +69,8 @@ def summarize_labs(labs: DataFrame, nested_tests: int = NESTED_TESTS) -> DataFra
     their results are whole in ``lab_test_pages``.
     """
     counts = lab_counts(labs)
-    oversized = counts.where(F.col("result_count") > nested_tests).select(*DAY_KEY)
+    # Looking at both counts keeps this the same aggregation as above, so Spark runs it once.
+    oversized = counts.where(f"greatest(result_count, abnormal_count) > {nested_tests}").select(*DAY_KEY)
     lists = (
         _dated(labs)
         .join(oversized, DAY_KEY, "left_anti")

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsetide.functions.clock import sim_date
-from pulsetide.operators.labs import accepted_rows, normalize_labs
+from pulsetide.operators.labs import VERDICT, accepted_rows, file_verdicts, normalize_labs
 from pulsetide.operators.summaries import (
     NESTED_TESTS,
     as_json,
@@ -88,9 +88,14 @@ def strict_labs(spark: SparkSession, path: str, report_date: date | None = None)
     return normalize_labs(rows.where(~F.col("header_line")))
 
 
-def valid_labs(raw: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Normalized labs of accepted files only."""
-    return normalize_labs(accepted_rows(raw, verdicts))
+def valid_labs(spark: SparkSession, raw: DataFrame, folder: str, strict: bool = True) -> DataFrame:
+    """Normalized labs of accepted files only; the verdicts are stored in ``folder``.
+
+    Reading the verdicts back gives Spark their true size: it broadcasts the
+    rejected files while they are few, and the lab rows stay where they are.
+    """
+    file_verdicts(raw, strict).write.mode("overwrite").parquet(folder)
+    return normalize_labs(accepted_rows(raw, spark.read.schema(VERDICT).parquet(folder)))
 
 
 def report_day(

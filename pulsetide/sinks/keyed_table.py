@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from pulsetide.operators.upsert import latest_by_key
-from pulsetide.sources.files import is_complete, list_folder
+from pulsetide.sources.files import is_complete, list_folder, remove_folder
 
 
 class KeyedTable:
@@ -43,31 +43,44 @@ class KeyedTable:
         Filters on key columns reach the scan: Spark pushes them below the
         grouping, and partition columns prune folders.
         """
-        base = self._versions("base", before)[-1:]
-        later = [v for v in self._versions("changes", before) if not base or v > base[0]]
+        base = self._versions("base", before=before)[-1:]
+        later = self._versions("changes", after=base[0] if base else None, before=before)
         folders = [f"{self.path}/base/version={v}" for v in base] + [f"{self.path}/changes/version={v}" for v in later]
         rows = self._read(folders)
         latest = rows if base and not later else latest_by_key(rows, self.keys, "version")
         return latest.where("NOT deleted").select(*self.columns)
 
     def compact(self, upto: int) -> None:
-        """Merge versions up to ``upto`` into a new base. Older folders stay for running readers."""
+        """Merge versions up to ``upto`` into a new base; its sources stay for running readers."""
         rows = self.current(before=upto + 1).withColumn("deleted", F.lit(False))
         self._write(rows, f"{self.path}/base/version={upto}")
 
+    def vacuum(self) -> None:
+        """Remove versions that the base before the latest one already holds."""
+        bases = self._versions("base")
+        if len(bases) < 2:
+            return
+        kept = bases[-2]
+        old = [("base", v) for v in self._listed("base") if v < kept]
+        old += [("changes", v) for v in self._listed("changes") if v <= kept]
+        for kind, version in old:
+            remove_folder(self.spark, f"{self.path}/{kind}/version={version}")
+
     def last_version(self) -> int | None:
-        versions = self._versions("changes", None)
-        return versions[-1] if versions else None
+        return max(self._versions("changes") + self._versions("base"), default=None)
 
     def _write(self, rows: DataFrame, folder: str) -> None:
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         writer = typed.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(folder)
 
-    def _versions(self, kind: str, before: int | None) -> list[int]:
-        found = [e for e in list_folder(self.spark, f"{self.path}/{kind}") if is_complete(self.spark, e.path)]
-        versions = sorted(int(e.name.split("=")[1]) for e in found)
-        return [v for v in versions if before is None or v < before]
+    def _listed(self, kind: str) -> list[int]:
+        return sorted(int(e.name.split("=")[1]) for e in list_folder(self.spark, f"{self.path}/{kind}"))
+
+    def _versions(self, kind: str, after: int | None = None, before: int | None = None) -> list[int]:
+        """Committed versions between the bounds, both exclusive."""
+        near = [v for v in self._listed(kind) if (after is None or v > after) and (before is None or v < before)]
+        return [v for v in near if is_complete(self.spark, f"{self.path}/{kind}/version={v}")]
 
     def _read(self, folders: list[str]) -> DataFrame:
         if not folders:

@@ -16,9 +16,7 @@ class Entry(NamedTuple):
 
 def list_folder(spark: SparkSession, folder: str) -> list[Entry]:
     """Visible entries of a folder (names only, no contents); empty if it is not there."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path, fs = _open(spark, folder)
     if not fs.exists(path):
         return []
     found = [
@@ -29,5 +27,15 @@ def list_folder(spark: SparkSession, folder: str) -> list[Entry]:
 
 def is_complete(spark: SparkSession, folder: str) -> bool:
     """Whether a Spark write to this folder was committed."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    path, fs = _open(spark, f"{folder}/_SUCCESS")
+    return fs.exists(path)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path, fs = _open(spark, folder)
+    fs.delete(path, True)
+
+
+def _open(spark: SparkSession, name: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -59,8 +59,9 @@ def start_live(
         live.write_changes(batch, batch_id)
         alerts.write_changes(reconcile_alerts(live, alerts, batch_id), batch_id)
         if batch_id and batch_id % compact_every == 0:
-            live.compact(batch_id)
-            alerts.compact(batch_id)
+            for table in (live, alerts):
+                table.compact(batch_id)
+                table.vacuum()
 
     windows = stream_windows(raw, **options)
     return _start(windows.writeStream.foreachBatch(store).outputMode("update"), checkpoint, available_now)

@@ -140,6 +140,14 @@ def test_reconcile_survives_compaction(spark, tmp_path):
     store.live.compact(1)
     store.alerts.compact(1)
     assert store.batch(2, (2, [])) == [("P1", T, 0, 3)]
+    store.live.compact(2)
+    store.alerts.compact(2)
+    store.live.vacuum()
+    store.alerts.vacuum()
+    assert not list((tmp_path / "live" / "changes").glob("version=[01]"))
+    assert (tmp_path / "live" / "base" / "version=1").exists()
+    assert store.batch(3, (3, [T])) == [("P1", T, 0, 3), ("P1", T, 3, None)]
+    assert store.live.last_version() == 3
 
 
 def test_open_and_close_by_a_window(spark):

@@ -11,6 +11,7 @@ from pulsetide.operators.windows import window_vitals
 from pulsetide.operators.clean import clean_readings, dedupe_readings
 from pulsetide.plans.file_run import windows_of
 from pulsetide.sources import warehouse as w
+from pulsetide.sources.readings import decode_readings
 
 
 @pytest.fixture(scope="module")
@@ -62,3 +63,13 @@ def test_episodes_need_one_more_shuffle(spark, sf):
 def test_scans_read_only_what_they_need(spark, sf):
     plan = physical(all_queries()["risk_scores"](spark, sf))
     assert "props" not in plan and "l_comment" not in plan and "o_totalprice" not in plan
+
+
+def test_rejected_files_are_broadcast_by_their_size(spark, sf):
+    plan = physical(all_queries()["lab_valid_rows"](spark, sf))
+    assert "LeftAnti, BuildRight" in plan and "Exchange hashpartitioning(source_file" not in plan
+
+
+def test_json_is_decoded_once(spark):
+    lines = spark.createDataFrame([("{}",)], "value string")
+    assert physical(clean_readings(decode_readings(lines))).count("from_json") == 1
