@@ -19,8 +19,13 @@ def text_id(value: str) -> str:
 
 
 def to_number(value: str) -> str:
-    """Number or null. Spark also reads ``1.0f`` and ``1.0d``; those are refused."""
-    return f"CASE WHEN NOT {value} RLIKE r'[0-9.][fFdD]\\s*$' THEN try_cast({value} AS DOUBLE) END"
+    """Number or null. Spark also reads ``1.0f`` and ``1.0d``; those are refused.
+
+    The last character tells cheaply which values need the pattern at all.
+    """
+    suspect = f"instr('fFdD \\t\\r\\n', right({value}, 1)) > 0"
+    suffixed = f"{value} RLIKE r'[0-9.][fFdD]\\s*$'"
+    return f"CASE WHEN NOT ({suspect} AND {suffixed}) THEN try_cast({value} AS DOUBLE) END"
 
 
 def to_instant(value: str) -> str:

@@ -38,15 +38,21 @@ def _processor():
 
         def handleInputRows(self, key, rows, timerValues):
             patient = key[0]
+            # One read and, at the end, only what changed: each state call crosses to the JVM.
+            before = {k[0]: v[0] for k, v in self.open.iterator()}
+            opened = dict(before)
             for row in sorted(rows, key=lambda r: r.window_start):
                 flags = set(row.anomaly_flags or ())
-                opened = {k[0]: v[0] for k, v in self.open.iterator()}
                 for name in sorted(flags - opened.keys()):
-                    self.open.updateValue((name,), (row.window_start,))
+                    opened[name] = row.window_start
                     yield change(patient, name, row.window_start, None)
                 for name in sorted(opened.keys() - flags):
-                    self.open.removeKey((name,))
-                    yield change(patient, name, opened[name], row.window_end)
+                    yield change(patient, name, opened.pop(name), row.window_end)
+            for name in before.keys() - opened.keys():
+                self.open.removeKey((name,))
+            for name, time in opened.items():
+                if before.get(name) != time:
+                    self.open.updateValue((name,), (time,))
 
         def close(self) -> None:
             pass

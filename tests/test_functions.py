@@ -16,9 +16,9 @@ def column(spark, values, kind, expr):
 
 
 def test_numbers(spark):
-    texts = ["80", " 7 ", "1e3", "inf", "-5.", "1f", "2.0d", "1_000", "", "x", None]
+    texts = ["80", " 7 ", "1e3", "inf", "-5.", "1f", "2.0d", "3F ", "4D\t", "1_000", "", "x", None]
     got = column(spark, texts, "string", parsing.to_number)
-    assert got == [80.0, 7.0, 1000.0, float("inf"), -5.0, None, None, None, None, None, None]
+    assert got == [80.0, 7.0, 1000.0, float("inf"), -5.0, None, None, None, None, None, None, None, None]
 
 
 def test_instants(spark):
