@@ -412,6 +412,13 @@ SELECT patient_id, test_type, collected_at, result_value, is_abnormal FROM (
   SELECT *, row_number() OVER (PARTITION BY patient_id, test_type, collected_at
     ORDER BY l_orderkey DESC, l_linenumber DESC, result_value DESC) AS rn FROM labs) WHERE rn = 1"""
 
+    sql["upsert_stored_labs"] = f"""WITH {LABS}
+SELECT patient_id, test_type, CASE WHEN late THEN 50::DOUBLE ELSE result_value END AS result_value, reference_range,
+  reference_low, reference_high, collected_at, late OR is_abnormal AS is_abnormal
+FROM (
+  SELECT *, collected_at >= TIMESTAMP '2024-01-20' AS late, row_number() OVER (
+    PARTITION BY patient_id, test_type, collected_at ORDER BY result_value DESC) AS rn FROM labs) WHERE rn = 1"""
+
     sql["events_per_second"] = f"""WITH {RAW}
 SELECT window_start, event_count, round(event_count / 60.0, 6)::DOUBLE AS events_per_second FROM (
   SELECT time_bucket(INTERVAL 1 MINUTE, "timestamp") AS window_start, count(*) AS event_count
@@ -447,6 +454,9 @@ FROM (
     sql["archive_partition_read"] = f"""WITH {CLEAN}
 SELECT {READING_COLUMNS}, CAST("timestamp" AS DATE) AS date FROM unique_readings
 WHERE CAST("timestamp" AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-13'"""
+    sql["lab_archive_read"] = f"""WITH {LABS}
+SELECT {LAB_COLUMNS}, report_date AS date FROM labs
+WHERE report_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-13'"""
     sql["file_mode_windows"] = WIN_SQL
     sql["file_mode_counts"] = f"""WITH {DIRTY}, good AS (
   SELECT * FROM dirty WHERE event_id IS NOT NULL AND patient_id IS NOT NULL AND time_text <> 'not-a-date'

@@ -15,14 +15,15 @@ from pulsetide.operators import health, labs as lab, quality, serving, summaries
 from pulsetide.operators.clean import clean_readings, dedupe_readings
 from pulsetide.operators.upsert import latest_by_key, upsert
 from pulsetide.operators.windows import reading_alerts, window_vitals
-from pulsetide.params import VITALS, AlertLimits, Params, SimClock
+from pulsetide.params import AlertLimits, Params, SimClock
 from pulsetide.plans import daily_report as daily
 from pulsetide.plans.file_run import windows_of
-from pulsetide.schemas import PATIENT, READING, REPORT, WINDOW
-from pulsetide.session import shared_folder, use_rocksdb_state
+from pulsetide.schemas import PATIENT, READING
+from pulsetide.session import shared_folder, use_rocksdb_state, use_utc
 from pulsetide.sinks import outputs
-from pulsetide.sinks.keyed_table import KeyedTable
+from pulsetide.sinks.tables import alert_table, lab_table, live_table, report_table
 from pulsetide.sources import warehouse as w
+from pulsetide.sources.lab_files import read_lab_archive
 from pulsetide.sources.readings import read_archive, read_json_lines
 from pulsetide.streaming import alert_state, lab_intake, speed
 
@@ -267,7 +268,7 @@ def lab_file_verdicts_landing(spark, sf):
 
 
 def lab_valid_rows(spark, sf):
-    return plain(daily.valid_labs(spark, w.labs_raw(spark, sf), shared_folder(spark, "verdicts")))
+    return plain(daily.valid_labs(w.labs_raw(spark, sf), shared_folder(spark, "verdicts")))
 
 
 def lab_file_counts(spark, sf):
@@ -367,8 +368,7 @@ def upsert_live(spark, sf):
 def upsert_report(spark, sf):
     """Two runs into the stored table, the second with stricter limits, then its current rows."""
     readings, labs = _readings(spark, sf), _labs(spark, sf)
-    keys = ["patient_id", "report_date"]
-    stored = KeyedTable(spark, shared_folder(spark, "report"), REPORT, keys, ["report_date"])
+    stored = report_table(spark, shared_folder(spark, "report"))
     first = daily.risk_reports(readings, labs, FIRST, date(2024, 1, 20))
     second = daily.risk_reports(readings, labs, date(2024, 1, 10), LAST, Params(limits=STRICTER))
     daily.store_reports(first, stored, 1)
@@ -376,6 +376,18 @@ def upsert_report(spark, sf):
     return plain(stored.current().select("patient_id", "report_date", "risk_score", "risk_flag"))
 
 
+def upsert_stored_labs(spark, sf):
+    """Two days of deliveries into the stored lab table: all results, then those of the other day corrected."""
+    stored = lab_table(spark, shared_folder(spark, "labs"))
+    keys = ["patient_id", "test_type", "collected_at"]
+    labs = latest_by_key(_labs(spark, sf), keys, "result_value")
+    stored.write_changes(labs, 1)
+    late = labs.where(F.col("collected_at") >= F.lit(datetime(2024, 1, 20, tzinfo=timezone.utc)))
+    stored.write_changes(late.withColumns({"result_value": F.lit(50.0), "is_abnormal": F.lit(True)}), 2)
+    stored.compact(2)
+    return plain(stored.current())
+
+
 def upsert_patients(spark, sf):
     """Patients of negative balance move ward; the others stay."""
     existing = w.patients(spark, sf)
@@ -463,6 +475,13 @@ def archive_partition_read(spark, sf):
     return plain(read_archive(spark, folder, date(2024, 1, 10), date(2024, 1, 13)).drop("ingested_at"))
 
 
+def lab_archive_read(spark, sf):
+    """Write the normalized labs by date, read four days of them back."""
+    folder = shared_folder(spark, "lab-archive")
+    outputs.archive_labs(_labs(spark, sf), folder)
+    return plain(read_lab_archive(spark, folder, date(2024, 1, 10), date(2024, 1, 13)))
+
+
 def file_mode_windows(spark, sf):
     """Readings written as JSON lines, then run through the file mode."""
     folder = shared_folder(spark, "jsonl")
@@ -477,6 +496,17 @@ def file_mode_counts(spark, sf):
     return plain(quality.run_counts(read_json_lines(spark, folder)))
 
 
+def _streaming(spark: SparkSession) -> SparkSession:
+    """A session of its own for streams, so that their settings leave the caller's alone."""
+    side = spark.newSession()
+    use_utc(side)
+    use_rocksdb_state(side)
+    local = spark.sparkContext.master.startswith("local")
+    partitions = spark.sparkContext.defaultParallelism if local else spark.conf.get("spark.sql.shuffle.partitions")
+    side.conf.set("spark.sql.shuffle.partitions", partitions)
+    return side
+
+
 def _event_stream(spark, sf):
     schema = w.table(spark, sf, "events").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
@@ -487,12 +517,12 @@ def _run(query) -> None:
 
 
 def _live_run(spark, sf):
-    use_rocksdb_state(spark)
     folder = shared_folder(spark, "live")
-    live, alerts = speed.live_table(spark, f"{folder}/live"), speed.alert_table(spark, f"{folder}/alerts")
-    raw = w.vitals_from_events(_event_stream(spark, sf))
+    side = _streaming(spark)
+    live, alerts = live_table(side, f"{folder}/live"), alert_table(side, f"{folder}/alerts")
+    raw = w.vitals_from_events(_event_stream(side, sf))
     _run(speed.start_live(raw, live, alerts, f"{folder}/checkpoint", available_now=True))
-    return live, alerts
+    return live_table(spark, f"{folder}/live"), alert_table(spark, f"{folder}/alerts")
 
 
 def stream_windows(spark, sf):
@@ -504,9 +534,8 @@ def stream_alerts(spark, sf):
 
 
 def stream_alert_state(spark, sf):
-    use_rocksdb_state(spark)
     folder = shared_folder(spark, "state")
-    closed = speed.stream_windows(w.vitals_from_events(_event_stream(spark, sf)))
+    closed = speed.stream_windows(w.vitals_from_events(_event_stream(_streaming(spark), sf)))
     writer = alert_state.alert_changes(closed).writeStream.format("parquet").outputMode("append")
     writer = writer.option("path", f"{folder}/changes").option("checkpointLocation", f"{folder}/checkpoint")
     _run(writer.trigger(availableNow=True).start())
@@ -515,9 +544,8 @@ def stream_alert_state(spark, sf):
 
 
 def _archive_run(spark, sf, **options):
-    use_rocksdb_state(spark)
     folder = shared_folder(spark, "archive")
-    raw = w.vitals_from_events(_event_stream(spark, sf))
+    raw = w.vitals_from_events(_event_stream(_streaming(spark), sf))
     _run(speed.start_archive(raw, f"{folder}/data", f"{folder}/checkpoint", available_now=True, **options))
     return read_archive(spark, f"{folder}/data", FIRST, date(2024, 1, 31)).drop("ingested_at")
 
@@ -542,7 +570,7 @@ def stream_dead_letters(spark, sf):
         rows = outputs.dead_letter_rows(checked).withColumn("topic", F.lit("dead_letters"))
         rows.select("topic", "key").write.mode("overwrite").parquet(f"{folder}/out/dead-{batch_id}")
 
-    raw = w.dirty_readings(_event_stream(spark, sf))
+    raw = w.dirty_readings(_event_stream(_streaming(spark), sf))
     _run(speed.start_intake(raw, accept, reject, f"{folder}/checkpoint", available_now=True))
     messages = spark.read.option("recursiveFileLookup", True).parquet(f"{folder}/out")
     return plain(messages.groupBy("topic", "key").agg(F.count("*").alias("messages")))
@@ -555,7 +583,7 @@ def stream_lab_intake(spark, sf):
     rows.drop("source_file").write.partitionBy("day").option("header", True).csv(f"{folder}/landing")
     _run(
         lab_intake.start_lab_intake(
-            spark, f"{folder}/landing", f"{folder}/out", f"{folder}/checkpoint", strict=True, available_now=True
+            _streaming(spark), f"{folder}/landing", f"{folder}/out", f"{folder}/checkpoint", strict=True, available_now=True
         )
     )
     verdicts = spark.read.parquet(f"{folder}/out/verdicts")

@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pulsetide.functions.parsing import parse_once, reference_high, reference_low, text_id, to_instant, to_number
 from pulsetide.schemas import LAB
 
-VERDICT = "source_file string, row_count long, bad_rows long, accepted boolean"
-
-
 def typed_labs(raw: DataFrame) -> DataFrame:
     """Text rows with typed columns and the bounds of the reference range."""
     return parse_once(

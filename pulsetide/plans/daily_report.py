@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsetide.functions.clock import sim_date
-from pulsetide.operators.labs import VERDICT, accepted_rows, file_verdicts, normalize_labs
+from pulsetide.operators.labs import accepted_rows, file_verdicts, normalize_labs
 from pulsetide.operators.summaries import (
     NESTED_TESTS,
     as_json,
@@ -20,6 +20,7 @@ from pulsetide.operators.summaries import (
     summarize_labs,
 )
 from pulsetide.params import Params, SimClock
+from pulsetide.session import shared_folder, store
 from pulsetide.sinks.keyed_table import KeyedTable
 from pulsetide.sources.files import list_folder
 from pulsetide.sources.lab_files import headers, lab_file_verdicts, lab_rows, read_lab_lines
@@ -79,7 +80,7 @@ class InvalidLabFile(ValueError):
 def strict_labs(spark: SparkSession, path: str, report_date: date | None = None) -> DataFrame:
     """Normalized labs of the given files; any invalid file is an error."""
     lines = read_lab_lines(spark, path)
-    heads = headers(lines)
+    heads = store(headers(lines), shared_folder(spark, "lab-headers"))
     rows = lab_rows(lines, heads)
     verdicts = lab_file_verdicts(rows, heads, strict=True, report_date=report_date)
     bad = verdicts.where(~F.col("accepted")).take(5)
@@ -88,14 +89,13 @@ def strict_labs(spark: SparkSession, path: str, report_date: date | None = None)
     return normalize_labs(rows.where(~F.col("header_line")))
 
 
-def valid_labs(spark: SparkSession, raw: DataFrame, folder: str, strict: bool = True) -> DataFrame:
+def valid_labs(raw: DataFrame, folder: str, strict: bool = True) -> DataFrame:
     """Normalized labs of accepted files only; the verdicts are stored in ``folder``.
 
     Reading the verdicts back gives Spark their true size: it broadcasts the
     rejected files while they are few, and the lab rows stay where they are.
     """
-    file_verdicts(raw, strict).write.mode("overwrite").parquet(folder)
-    return normalize_labs(accepted_rows(raw, spark.read.schema(VERDICT).parquet(folder)))
+    return normalize_labs(accepted_rows(raw, store(file_verdicts(raw, strict), folder)))
 
 
 def report_day(

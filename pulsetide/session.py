@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -53,3 +53,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="pulsetide-")
     return f"{root.rstrip('/')}/pulsetide/{purpose}-{uuid.uuid4().hex}"
+
+
+def store(rows: DataFrame, folder: str) -> DataFrame:
+    """Write an intermediate result once and read it back.
+
+    It is computed once, survives lost executors, and Spark knows its size when
+    it plans the joins that use it.
+    """
+    rows.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)

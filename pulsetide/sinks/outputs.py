@@ -72,3 +72,8 @@ def replace_day(reports: DataFrame, folder: str, report_date: date) -> None:
     """Make one report date hold exactly these rows, also when there are none."""
     day = reports.where(F.col("report_date") == F.lit(report_date)).drop("report_date")
     day.write.mode("overwrite").parquet(f"{folder}/report_date={report_date.isoformat()}")
+
+
+def archive_labs(labs: DataFrame, folder: str) -> None:
+    """Validated labs by collection date; a date that comes again is replaced."""
+    write_by_date(labs.withColumn("date", F.col("collected_at").cast("date")), folder)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from pulsetide.functions.parsing import parse_once
 from pulsetide.operators.labs import lab_row_error, typed_labs
 from pulsetide.params import LAB_COLUMNS
+from pulsetide.schemas import LAB
 from pulsetide.sources.files import list_folder
 
 POSITIONS = [f"c{i}" for i in range(len(LAB_COLUMNS))]
@@ -41,20 +43,19 @@ def stream_lab_text(spark: SparkSession, folder: str, files_per_trigger: int | N
 
 
 def headers(lines: DataFrame) -> DataFrame:
-    """First line of each file, and whether it names exactly the lab columns."""
-    first = (
-        lines.where("block = 0").groupBy("source_file").agg(F.min_by("value", "line").alias("header"))
+    """First line of each file, and whether it names exactly the five lab columns, in any order."""
+    first = lines.where("block = 0").groupBy("source_file").agg(F.min_by("value", "line").alias("header"))
+    expected = ", ".join(f"'{c}'" for c in sorted(LAB_COLUMNS))
+    return first.selectExpr("*", "split(replace(header, '\"', ''), ',') AS names").selectExpr(
+        "*", f"array_sort(names) = array({expected}) AS header_ok"
     )
-    names = F.split("header", ",")
-    expected = F.array(*[F.lit(c) for c in sorted(LAB_COLUMNS)])
-    return first.withColumn("names", names).withColumn("header_ok", F.array_sort(F.array_distinct("names")) == expected)
 
 
 def lab_rows(lines: DataFrame, heads: DataFrame) -> DataFrame:
     """Text rows of files with a good header, columns found by their header name.
 
-    The header table has one small row per file, so Spark may broadcast it by
-    its measured size. Blank lines are no rows. ``header_line`` marks lines that
+    The header table has one small row per file. Pass it stored, so that Spark
+    knows its size and can leave the lines where they are. Blank lines are no rows. ``header_line`` marks lines that
     repeat the header's text, the header itself among them.
     """
     good = heads.where("header_ok").select("source_file", "names", "header")
@@ -110,3 +111,9 @@ def empty_files(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(False).alias("accepted"),
         F.lit("empty_file").alias("reason"),
     )
+
+
+def read_lab_archive(spark: SparkSession, folder: str, first: date, last: date) -> DataFrame:
+    """Archived labs between two dates; other partitions are not opened."""
+    dated = T.StructType([*LAB.fields, T.StructField("date", T.DateType())])
+    return spark.read.schema(dated).parquet(folder).where(F.col("date").between(F.lit(first), F.lit(last)))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsetide.operators.labs import accepted_rows
+from pulsetide.session import store
 from pulsetide.sources.lab_files import empty_files, headers, in_file_order, lab_file_verdicts, lab_rows, stream_lab_text
 
 
@@ -27,12 +28,10 @@ def start_lab_intake(
     def route(batch: DataFrame, batch_id: int) -> None:
         lines = in_file_order(batch).persist()
         try:
-            heads = headers(lines)
+            heads = store(headers(lines), f"{target}/headers/batch={batch_id}")
             rows = lab_rows(lines, heads)
-            verdicts = lab_file_verdicts(rows, heads, strict)
-            verdicts.write.mode("overwrite").parquet(f"{target}/verdicts/batch={batch_id}")
-            stored = spark.read.parquet(f"{target}/verdicts/batch={batch_id}")
-            accepted = accepted_rows(rows.where(~F.col("header_line")).drop("header_line"), stored)
+            verdicts = store(lab_file_verdicts(rows, heads, strict), f"{target}/verdicts/batch={batch_id}")
+            accepted = accepted_rows(rows.where("NOT header_line").drop("header_line"), verdicts)
             accepted.write.mode("overwrite").parquet(f"{target}/processed/batch={batch_id}")
         finally:
             lines.unpersist()

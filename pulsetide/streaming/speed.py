@@ -11,20 +11,11 @@ from pulsetide.operators.clean import clean_readings, dedupe_stream
 from pulsetide.operators.quality import with_validity
 from pulsetide.operators.windows import window_vitals
 from pulsetide.params import WATERMARK, WINDOW_MINUTES, AlertLimits
-from pulsetide.schemas import EPISODE, WINDOW
 from pulsetide.sinks.keyed_table import KeyedTable
 from pulsetide.sinks.outputs import archive_rows
 from pulsetide.streaming.reconcile import reconcile_alerts
 
 
-def live_table(spark: SparkSession, path: str) -> KeyedTable:
-    return KeyedTable(spark, path, WINDOW, ["patient_id", "window_start"])
-
-
-def alert_table(spark: SparkSession, path: str) -> KeyedTable:
-    return KeyedTable(spark, path, EPISODE, ["patient_id", "alert_type", "triggered_at"])
-
-
 def distinct_readings(raw: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     return dedupe_stream(clean_readings(raw), watermark)
 
@@ -57,6 +48,8 @@ def start_live(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         live.write_changes(batch, batch_id)
+        if live.changes(batch_id).isEmpty():
+            return
         alerts.write_changes(reconcile_alerts(live, alerts, batch_id), batch_id)
         if batch_id and batch_id % compact_every == 0:
             for table in (live, alerts):

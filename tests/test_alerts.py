@@ -8,7 +8,7 @@ from pulsetide.operators.episodes import alert_episodes, closed_by, newly_opened
 from pulsetide.operators.serving import UnknownPatient, last_data_received, patient_alerts, ward_snapshot
 from pulsetide.params import ALERT_TYPES
 from pulsetide.schemas import PATIENT, WINDOW
-from pulsetide.streaming.speed import alert_table, live_table
+from pulsetide.sinks.tables import alert_table, live_table
 from pulsetide.streaming.reconcile import reconcile_alerts
 from tests.conftest import utc
 import datetime as dt

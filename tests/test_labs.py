@@ -15,8 +15,8 @@ from pulsetide.operators.summaries import (
 )
 from pulsetide.params import SimClock
 from pulsetide.plans import daily_report as daily
-from pulsetide.schemas import ARCHIVE, LAB, RAW_LAB, READING, REPORT
-from pulsetide.sinks.keyed_table import KeyedTable
+from pulsetide.schemas import ARCHIVE, LAB, RAW_LAB, READING
+from pulsetide.sinks.tables import patient_table, report_table
 from pulsetide.sinks.outputs import archive_rows, replace_day, write_by_date
 from pulsetide.sources.lab_files import empty_files, headers, lab_file_verdicts, lab_rows, read_lab_lines
 from pulsetide.sources.patients import read_patients
@@ -38,14 +38,16 @@ FILES = {
     "header_twice.csv": f"{HEAD}\n{GOOD}\n{HEAD}\n",
     "blank_line.csv": f"{HEAD}\n\n{GOOD}\n",
     "quoted.csv": f'{HEAD}\n"P,3","W ""B""",7.5,4-11,2026-01-05\n',
+    "quoted_header.csv": '"patient_id","test_type","result_value","reference_range","collected_at"\n' + GOOD + "\n",
+    "column_twice.csv": f"{HEAD},ward\n{GOOD},A\n".replace("ward", "patient_id"),
     "bad_range.csv": f"{HEAD}\nP001,WBC,7,bad,2026-01-05\n",
     "reversed_range.csv": f"{HEAD}\nP001,WBC,7,11-4,2026-01-05\n",
     "bad_time.csv": f"{HEAD}\nP001,WBC,7,4-11,yesterday\n",
     "other_day.csv": f"{HEAD}\nP001,WBC,7,4-11,2026-01-06\n",
     "empty.csv": "",
 }
-LENIENT = {"good", "reordered", "header_only", "blank_line", "quoted", "bad_range", "reversed_range", "bad_time", "other_day"}
-STRICT = {"good", "reordered", "header_only", "blank_line", "quoted"}
+LENIENT = {"good", "reordered", "header_only", "blank_line", "quoted", "quoted_header", "bad_range", "reversed_range", "bad_time", "other_day"}
+STRICT = {"good", "reordered", "header_only", "blank_line", "quoted", "quoted_header"}
 
 
 @pytest.fixture(scope="module")
@@ -161,7 +163,7 @@ def test_report_day_can_run_again(spark, tmp_path):
     write_by_date(archive_rows(readings(spark, {"heart_rate": 130.0}, {"patient_id": "P002"})), str(tmp_path / "archive"))
     (tmp_path / "labs").mkdir()
     (tmp_path / "labs" / f"labs_{DAY}.csv").write_text(f"{HEAD}\n{GOOD}\n")
-    table = KeyedTable(spark, str(tmp_path / "report"), REPORT, ["patient_id", "report_date"], ["report_date"])
+    table = report_table(spark, str(tmp_path / "report"))
     assert table.current().isEmpty() and table.last_version() is None
     for version in (1, 2):
         daily.report_day(spark, str(tmp_path / "archive"), str(tmp_path / "labs"), DAY, table, version)
@@ -194,7 +196,10 @@ def test_patients_need_three_columns(spark, tmp_path):
     good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
     good.write_text("patient_id,ward,admit_date,extra\nP1,A,2026-01-01,x\n")
     bad.write_text("id,ward,when\nP1,A,2026-01-01\n")
-    assert tuple(read_patients(spark, str(good)).first()) == ("P1", "A", date(2026, 1, 1))
+    table = patient_table(spark, str(tmp_path / "patients"))
+    for version in (1, 2):
+        table.write_changes(read_patients(spark, str(good)), version)
+    assert [tuple(r) for r in table.current().collect()] == [("P1", "A", date(2026, 1, 1))]
     with pytest.raises(ValueError):
         read_patients(spark, str(bad))
 

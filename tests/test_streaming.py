@@ -9,6 +9,7 @@ from pulsetide.operators.clean import clean_readings, dedupe_readings
 from pulsetide.operators.episodes import alert_episodes
 from pulsetide.plans.file_run import windows_of
 from pulsetide.schemas import RAW_READING
+from pulsetide.sinks.tables import alert_table, live_table
 from pulsetide.sources.readings import decode_readings
 from pulsetide.streaming import alert_state, speed
 from pulsetide.streaming.progress import progress_rows
@@ -57,7 +58,7 @@ IN_ORDER = [
 
 
 def start_live(spark, folder, tmp_path):
-    live, alerts = speed.live_table(spark, f"{tmp_path}/live"), speed.alert_table(spark, f"{tmp_path}/alerts")
+    live, alerts = live_table(spark, f"{tmp_path}/live"), alert_table(spark, f"{tmp_path}/alerts")
     query = speed.start_live(source(spark, folder), live, alerts, f"{tmp_path}/cp-live", available_now=True, compact_every=2)
     return run(query), live, alerts
 
