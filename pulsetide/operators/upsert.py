@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, functions as F
 def latest_by_key(rows: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
     """The row with the highest ``order`` per key, all of its columns.
 
-    ``max_by`` combines on the map side, so many versions of one key shrink to
-    one per task before the shuffle; a ranking window would move them all.
+    ``max`` over a struct combines on the map side, so many versions of one key
+    shrink to one per task before the shuffle; a ranking window would move them
+    all. The other columns break ties, so a retried task picks the same row.
     """
-    values = [c for c in rows.columns if c not in keys]
-    latest = F.max_by(F.struct(*values), F.struct(*order)).alias("latest")
+    values = [c for c in rows.columns if c not in keys and c not in order]
+    latest = F.max(F.struct(*order, *values)).alias("latest")
     return rows.groupBy(*keys).agg(latest).select(*keys, "latest.*").select(*rows.columns)
 
 
