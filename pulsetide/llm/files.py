@@ -52,3 +52,9 @@ def read_range(uri: str, start: int, size: int) -> bytes:
     system, path = file_system(uri)
     with system.open_input_file(path) as file:
         return file.read_at(min(size, max(0, file.size() - start)), start)
+
+
+def whole(uri: str) -> bytes:
+    system, path = file_system(uri)
+    with system.open_input_file(path) as file:
+        return file.read()

@@ -7,17 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsetide.llm import decontaminate, langid, mix, near_dup, tokens
+from pulsetide.llm import decontaminate, langid, mix, near_dup, quality, secrets, substrings, suffixes, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCABULARY = "word_bpe_49k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    rows = secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path(RANKS))
+    return rows.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 def op2_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_documents(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -26,6 +32,14 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents").select("doc_id", "text", "lang"))
 
 
+def op4_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.repeated_bytes(table(spark, folder, "documents")).drop("kept")
+
+
+def op5_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeated_words(table(spark, folder, "documents")).drop("kept")
+
+
 def op6_mix(spark: SparkSession, folder: str) -> DataFrame:
     rows = mix.mix(table(spark, folder, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", "taken")
@@ -35,11 +49,23 @@ def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.write_and_read(table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.contamination(docs, table(spark, folder, "benchmark")).drop("text")
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    rows = quality.judge(table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {
         name: query
