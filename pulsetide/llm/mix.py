@@ -19,7 +19,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 EPOCHS = 2
 #: Documents in one range of keys, in the mean.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 4_000
 
 
 def sized(docs: DataFrame, folder: str) -> DataFrame:
