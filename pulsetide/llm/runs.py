@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from pulsetide.llm import files, words as w
 from pulsetide.session import store
 
-RUN_BYTES = 16 << 20
+RUN_BYTES = 8 << 20
 #: Fingerprints that one part merges.
 PART_VALUES = 2_000_000
 

@@ -33,6 +33,8 @@ from pulsetide.session import shared_folder, store
 LENGTH = 200
 GRAM = 40
 FILTER_BITS = 40
+#: Text whose windows are looked at at once (some ten numbers a byte).
+ANCHOR_BYTES = 1 << 20
 #: Suffixes that one part merges.
 PART_SUFFIXES = 100_000
 #: Distinct contexts up to which a group is compared pair by pair; larger ones by classes per distance.
@@ -43,7 +45,7 @@ def anchors_of(texts: w.Texts, length: int = LENGTH, gram: int = GRAM) -> tuple[
     """(anchor, first window, last window, gram's fingerprint) of all windows, in text order."""
     span = length - gram + 1
     out: list[tuple] = []
-    for first, _, part in w.slices(texts):
+    for first, _, part in w.slices(texts, ANCHOR_BYTES):
         size = len(part.data)
         if size < length:
             continue
