@@ -9,14 +9,15 @@ together, others part. Nodes of at most `leaf` sets are compared exhaustively.
 Independent trees are repeated until the chance to miss a link at the threshold
 is negligible (see `miss`).
 
-A larger node offers its sets against three pivots and branches on; once its sets
+A larger node offers its sets against one pivot and branches on; once its sets
 are all in one component it has nothing more to tell and is dropped, however
 large it is. Nodes that still join several components at the last level are
-finished exactly: every set outside the node's largest component is paired with
-all sets of other components.
+finished exactly: their sets are compared in blocks, each with all others.
 
-Candidates pass the signature's estimate (4.5 standard deviations below the
-threshold) and are confirmed on the full shingle sets of the texts. Equal sets
+Candidates pass two estimates, 128 bits that travel with each row and then the whole
+signature (each 4.5 standard deviations below the threshold), and are confirmed on
+the full shingle sets of the texts: of each set first one pair, then all those that
+still part two components. Equal sets
 are one class before any of this, so thousands of copies are one row.
 """
 
@@ -35,13 +36,18 @@ from pulsetide.session import shared_folder, store
 
 SHINGLE = 5
 PERCENT = 75
-COORDINATES = 96
+COORDINATES = 128
 TREES = 12
 LEAF = 8
 #: Levels between two looks at the components, and levels in all.
-STRIDE, DEPTH = 3, 9
+STRIDE, DEPTH = 3, 6
+NODES = "node long, rep long, bits long, more long"
+#: Rows of two or three numbers that may be broadcast (13 MB), and sets per file of a stored table.
+BROADCAST_ROWS, FILE_SETS = 400_000, 20_000
 #: Members compared with one center in one run of rows.
 RUN = 64
+#: Sets in one block of what is left at the last level.
+BLOCK = 300
 
 _rng = np.random.default_rng(7)
 _FACTOR = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -82,17 +88,25 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def _bits(sig: np.ndarray) -> np.ndarray:
+    """One bit of each coordinate, as two numbers: two sets are alike in (1 + similarity) / 2 of the bits."""
+    bit = ((w.mix(sig.astype(np.uint64)) >> np.uint64(17)) & np.uint64(1)).reshape(len(sig), 2, 64)
+    return np.bitwise_or.reduce(bit << np.arange(64, dtype=np.uint64), axis=2).view(np.int64)
+
+
 def _sign(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in w.batches(rows):
         counts, keys, signs = [], [], []
+        bits = []
         for s in shingle_sets(texts):
             counts.append(len(s))
             keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-            signs.append(signature(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())],
-            names=["doc_id", "n_shingles", "set_key", "sig"],
-        )
+            sig = signature(s) if len(s) else None
+            signs.append(sig.tobytes() if len(s) else None)
+            bits.append(_bits(sig[None, :])[0].tolist() if len(s) else (None, None))
+        columns = [pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())]
+        columns += [pa.array([b[i] for b in bits], pa.int64()) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "n_shingles", "set_key", "sig", "bits", "more"])
 
 
 def _matrix(signs: pa.Array) -> np.ndarray:
@@ -117,10 +131,11 @@ def _plant(trees: int, second: float):
         for batch in rows:
             if batch.num_rows:
                 sig, reps = _matrix(batch.column("sig")), batch.column("rep").to_numpy()
+                bits, more = batch.column("bits").to_numpy(), batch.column("more").to_numpy()
                 for tree in range(trees):
                     root = np.full(len(reps), w.mix(np.array([tree + 1], np.uint64))[0], np.uint64)
                     row, child = _children(root, sig, 0, second)
-                    yield _nodes(child, reps[row])
+                    yield _nodes(child, reps[row], bits[row], more[row])
 
     return plant
 
@@ -130,14 +145,15 @@ def _branch(level: int, second: float):
         for batch in rows:
             if batch.num_rows:
                 sig, reps = _matrix(batch.column("sig")), batch.column("rep").to_numpy()
+                bits, more = batch.column("bits").to_numpy(), batch.column("more").to_numpy()
                 row, child = _children(batch.column("node").to_numpy().view(np.uint64), sig, level, second)
-                yield _nodes(child, reps[row])
+                yield _nodes(child, reps[row], bits[row], more[row])
 
     return branch
 
 
-def _nodes(child: np.ndarray, reps: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(reps)], names=["node", "rep"])
+def _nodes(child: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *map(pa.array, columns)], names=["node", "rep", "bits", "more"])
 
 
 def _agree(percent: int):
@@ -147,7 +163,9 @@ def _agree(percent: int):
         for batch in rows:
             if batch.num_rows:
                 same = (_matrix(batch.column("sig_a")) == _matrix(batch.column("sig_b"))).mean(axis=1)
-                yield batch.filter(pa.array(same >= least)).select(["a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("a"), batch.column("b"), pa.array(same >= percent / 100)], names=["a", "b", "likely"]
+                ).filter(pa.array(same >= least))
 
     return agree
 
@@ -184,11 +202,18 @@ class _Join:
         self.docs, self.percent, self.trees, self.leaf, self.folder = docs, percent, trees, leaf, folder
         self.second = 100 / percent - 1
         self.made = 0
+        self.texts: list[DataFrame] = []
+        self.files = 0
         self.spark = docs.sparkSession
 
     def keep(self, rows: DataFrame) -> DataFrame:
+        """Store a table of few columns, in as many files as the number of sets calls for."""
         self.made += 1
-        return store(rows, f"{self.folder}/{self.made}")
+        return store(rows.coalesce(self.files) if self.files else rows, f"{self.folder}/{self.made}")
+
+    def small(self, rows: DataFrame) -> DataFrame:
+        """Stored narrow rows, to be broadcast if they are few; else Spark joins as it sees fit."""
+        return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
     def sized(self, nodes: DataFrame) -> DataFrame:
         """Nodes of two sets or more. Counts are written first, so a large node's rows can be split in the join."""
@@ -196,32 +221,60 @@ class _Join:
         return nodes.join(self.keep(nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")), "node")
 
     def near(self, pairs: DataFrame) -> DataFrame:
-        """Candidate pairs that the signatures don't rule out."""
+        """Candidate pairs that the signatures don't rule out: a, b, likely; their texts are made ready."""
         a = self.reps.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a"))
         b = self.reps.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b"))
-        return pairs.join(a, "a").join(b, "b").mapInArrow(_agree(self.percent), "a long, b long").distinct()
+        pairs = self.small(self.keep(pairs))
+        near = self.keep(pairs.join(a, "a").join(b, "b").mapInArrow(_agree(self.percent), "a long, b long, likely boolean"))
+        self.fetch(near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))))
+        return near
+
+    def fetch(self, ids: DataFrame) -> None:
+        """Make these documents' texts ready, those that aren't yet."""
+        ids = ids.distinct()
+        for known in self.texts:
+            ids = ids.join(known.select("doc_id").distinct(), "doc_id", "left_anti")
+        # A few texts are fetched without moving all documents.
+        ids = self.keep(ids)
+        if not ids.isEmpty():
+            ids = self.small(ids)
+            self.texts.append(self.keep(self.docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("doc_id", "text")))
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose full shingle sets are similar; a center's pairs are cut into runs."""
         counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / RUN).alias("runs"))
         dealt = pairs.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), "runs").cast("int").alias("salt"), "b")
-        dealt = self.keep(dealt)
         members = dealt.withColumn("doc_id", F.col("b"))
         centers = dealt.select("a", "salt").distinct().select("a", "salt", F.lit(None).cast("long").alias("b"), F.col("a").alias("doc_id"))
-        needs = members.unionByName(centers)
-        texts = self.docs.select("doc_id", "text")
+        needs = self.small(self.keep(members.unionByName(centers)))
+        if not self.texts:
+            return pairs.select("a", "b")
+        texts = reduce(DataFrame.union, self.texts)
         rows = needs.join(texts, "doc_id").select("a", "salt", "b", "text")
         runs = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
         return runs.mapInArrow(_confirm(self.percent), "a long, b long").distinct()
 
 
-def pairs_of_leaves(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs with the least member, and the other pairs, of nodes of bounded size."""
-    lists = leaves.groupBy("node").agg(F.sort_array(F.collect_set("rep")).alias("m")).where("size(m) > 1")
-    stars = lists.selectExpr("m[0] AS a", "explode(slice(m, 2, size(m))) AS b")
-    rest = lists.where("size(m) > 2").selectExpr("posexplode(m) AS (i, a)", "m").where("i > 0 AND i < size(m) - 1")
-    rest = rest.selectExpr("a", "explode(slice(m, i + 2, size(m))) AS b")
-    return stars.distinct(), rest.distinct()
+def alike(x: str, y: str, percent: int) -> str:
+    """SQL: the bits of two sets don't rule out that they are similar."""
+    s, n = (1 + percent / 100) / 2, COORDINATES
+    return f"bit_count({x}bits ^ {y}bits) + bit_count({x}more ^ {y}more) <= {n * (1 - s) + 4.5 * (n * s * (1 - s)) ** 0.5}"
+
+
+def pairs_of_leaves(leaves: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a < b) of nodes of bounded size."""
+    lists = leaves.groupBy("node").agg(F.array_sort(F.collect_set(F.struct("rep", "bits", "more"))).alias("m")).where("size(m) > 1")
+    one = lists.selectExpr("posexplode(m) AS (i, x)", "m")
+    two = one.selectExpr("x", "explode(slice(m, i + 2, size(m))) AS y").where("x.rep <> y.rep AND " + alike("x.", "y.", percent))
+    return two.selectExpr("x.rep AS a", "y.rep AS b")
+
+
+def pairs_with_pivot(big: DataFrame, level: int, percent: int) -> DataFrame:
+    """Each set of a large node with the node's pivot: the least set, and deeper down another choice that nodes share."""
+    order = F.col("rep") if level <= STRIDE else F.xxhash64("rep", F.lit(level // STRIDE))
+    pivots = big.groupBy("node").agg(*[F.min_by(c, order).alias(f"p{c}") for c in ("rep", "bits", "more")])
+    pairs = big.join(pivots, "node").withColumnRenamed("prep", "p").where("p <> rep AND " + alike("p", "", percent))
+    return pairs.select(F.least("p", "rep").alias("a"), F.greatest("p", "rep").alias("b"))
 
 
 def components(links: DataFrame, keep) -> DataFrame:
@@ -260,21 +313,24 @@ def near_duplicates(
     join = _Join(docs, percent, trees, leaf, folder or shared_folder(spark, "near-dup"))
     signed = join.keep(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-            _sign, "doc_id long, n_shingles long, set_key binary, sig binary"
+            _sign, "doc_id long, n_shingles long, set_key binary, sig binary, bits long, more long"
         )
     )
     classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     classes = join.keep(classes)
     held = signed.join(classes, "set_key").where("doc_id = rep")
-    join.reps = join.keep(held.select("rep", "set_key", "sig").dropDuplicates(["rep", "set_key"]).select("rep", "sig"))
+    join.files = max(4, classes.count() // FILE_SETS)
+    join.reps = join.keep(held.dropDuplicates(["rep", "set_key"]).select("rep", "sig", "bits", "more"))
 
-    links = _links(join, depth)
+    links, comp = _links(join, depth)
     # A document number with several texts ties their classes together.
     known = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").withColumn("k", F.xxhash64("set_key"))
     many = known.groupBy("doc_id").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("doc_id")
     ties = known.join(many, "doc_id").join(classes, "set_key").where("doc_id <> rep")
     ties = ties.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    comp = components(links.union(ties), join.keep)
+    ties = join.keep(ties)
+    if not ties.isEmpty():
+        comp = components(links.union(ties), join.keep)
     return (
         signed.select("doc_id", "n_shingles", "set_key")
         .join(classes, "set_key", "left")
@@ -288,50 +344,61 @@ def near_duplicates(
     )
 
 
-def _links(join: _Join, depth: int) -> DataFrame:
-    """Confirmed links that span all components."""
-    nodes = join.reps.mapInArrow(_plant(join.trees, join.second), "node long, rep long")
-    links, level = [], 0
+def _links(join: _Join, depth: int) -> tuple[DataFrame, DataFrame]:
+    """Confirmed links that span all components, and the components."""
+    nodes = join.reps.mapInArrow(_plant(join.trees, join.second), NODES)
+    links, comp, level = [], None, 0
     while True:
-        stars, rest = [], []
+        found = []
         for _ in range(STRIDE):
             level += 1
             sized = join.sized(nodes)
-            small, big = sized.where(F.col("n") <= join.leaf), sized.where(F.col("n") > join.leaf)
-            star, other = pairs_of_leaves(small)
-            pivots = big.groupBy("node").agg(
-                F.array_distinct(F.array(F.min("rep"), F.max("rep"), F.min_by("rep", F.xxhash64("rep", "node")))).alias("p")
-            )
-            star = star.union(
-                big.join(pivots.select("node", F.explode("p").alias("p")), "node")
-                .where("p <> rep")
-                .select(F.least("p", "rep").alias("a"), F.greatest("p", "rep").alias("b"))
-            )
-            stars.append(star)
-            rest.append(other)
-            big = join.keep(big.select("node", "rep"))
+            small = sized.where(F.col("n") <= join.leaf)
+            big = join.keep(sized.where(F.col("n") > join.leaf).drop("n"))
+            found += [pairs_of_leaves(small, join.percent), pairs_with_pivot(big, level, join.percent)]
             done = big.isEmpty()
             if done or level % STRIDE == 0:
                 break
-            nodes = big.join(join.reps, "rep").select("node", "rep", "sig").mapInArrow(_branch(level, join.second), "node long, rep long")
-        near = join.keep(join.near(reduce(DataFrame.union, stars).distinct()))
-        links.append(join.keep(join.linked(near)))
-        comp = components(reduce(DataFrame.union, links), join.keep)
-        links.append(join.keep(join.linked(join.keep(join.near(_across(reduce(DataFrame.union, rest).distinct(), comp))))))
+            nodes = _next(join, big, level)
+        pairs = reduce(DataFrame.union, found).distinct()
+        if links:
+            pairs = _across(pairs, comp)
+        comp = _confirmed(join, pairs, links)
         if done:
             break
-        comp = components(reduce(DataFrame.union, links), join.keep)
-        held = big.join(comp, "rep", "left").select("node", "rep", F.coalesce("comp", "rep").alias("comp"))
-        held = join.keep(held)
+        held = join.keep(big.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
         open_ = held.groupBy("node").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("node")
-        held = join.keep(held.join(open_, "node"))
+        held = join.keep(held.join(join.keep(open_), "node"))
         if held.isEmpty():
             break
         if level >= depth:
-            links.append(join.keep(join.linked(join.keep(join.near(_remaining(held))))))
+            links.append(join.keep(_remaining(join, held)))
+            comp = components(reduce(DataFrame.union, links), join.keep)
             break
-        nodes = held.join(join.reps, "rep").select("node", "rep", "sig").mapInArrow(_branch(level, join.second), "node long, rep long")
-    return reduce(DataFrame.union, links).distinct()
+        nodes = _next(join, held, level)
+    return reduce(DataFrame.union, links).distinct(), comp
+
+
+def _next(join: _Join, big: DataFrame, level: int) -> DataFrame:
+    rows = join.small(join.keep(big.select("node", "rep"))).join(join.reps, "rep").select("node", "rep", "sig", "bits", "more")
+    return rows.mapInArrow(_branch(level, join.second), NODES)
+
+
+def _confirmed(join: _Join, pairs: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """Add the pairs' links, as many as tell the components; returns these.
+
+    First each set's likely pair with the least other set, then the pairs that
+    still part two components.
+    """
+    near = join.near(pairs)
+    first = near.where("likely").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links.append(join.keep(join.linked(first)))
+    comp = components(reduce(DataFrame.union, links), join.keep)
+    rest = join.keep(_across(near.select("a", "b").join(first, ["a", "b"], "left_anti"), comp))
+    if not rest.isEmpty():
+        links.append(join.keep(join.linked(rest)))
+        comp = components(reduce(DataFrame.union, links), join.keep)
+    return comp
 
 
 def _across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
@@ -342,13 +409,71 @@ def _across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")
 
 
-def _remaining(held: DataFrame) -> DataFrame:
-    """Of nodes at the last level: sets outside the node's largest component, with all sets of other components."""
-    sizes = held.groupBy("node", "comp").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("node").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
-    few = held.join(main, "node").where("comp <> main").select("node", F.col("rep").alias("x"), F.col("comp").alias("xc"))
-    pairs = held.join(few, "node").where("comp <> xc")
-    return pairs.select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).where("a <> b").distinct()
+def _remaining(join: _Join, held: DataFrame) -> DataFrame:
+    """All links between components among sets that still share nodes at the last level.
+
+    Sets that share nodes, directly or through others, make a bag. A bag is cut
+    into blocks of a fixed size, and each two blocks are compared in one task on
+    their full shingle sets, so no row stands for a pair that is not linked.
+    """
+    hubs = held.groupBy("node").agg(F.min("rep").alias("a"))
+    bags = components(held.join(hubs, "node").select("a", F.col("rep").alias("b")), join.keep)
+    rows = held.select("rep", "comp").distinct().join(bags.withColumnRenamed("comp", "bag"), "rep")
+    rows = join.keep(rows)
+    sizes = rows.groupBy("bag").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    at = F.pmod(F.xxhash64("rep"), "blocks")
+    cut = rows.join(sizes, "bag").select("bag", F.col("rep").alias("doc_id"), "comp", at.alias("i"), F.explode(F.expr("sequence(0L, blocks - 1)")).alias("k"))
+    cut = cut.select("bag", "doc_id", "comp", F.least("i", "k").alias("lo"), F.greatest("i", "k").alias("hi"), (F.col("i") <= F.col("k")).alias("first"), (F.col("i") >= F.col("k")).alias("second"))
+    join.fetch(rows.select(F.col("rep").alias("doc_id")))
+    texts = reduce(DataFrame.union, join.texts)
+    blocks = join.small(join.keep(cut)).join(texts, "doc_id").repartition("bag", "lo", "hi").sortWithinPartitions("bag", "lo", "hi", "doc_id")
+    return blocks.mapInArrow(_compare(join.percent), "a long, b long").distinct()
+
+
+def _compare(percent: int):
+    """Rows sorted by pair of blocks: the linked (a, b) of different components, one of each block."""
+
+    def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch, texts in w.batches(rows):
+            keys = zip(*(batch.column(c).to_pylist() for c in ("bag", "lo", "hi")))
+            infos = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "comp", "first", "second")))
+            for now, info, shingles in zip(keys, infos, shingle_sets(texts)):
+                if now != key:
+                    yield _linked_in(held, percent)
+                    key, held = now, []
+                held.append((*info, shingles))
+        yield _linked_in(held, percent)
+
+    return compare
+
+
+def _linked_in(held: list[tuple], percent: int) -> pa.RecordBatch:
+    """Links of one pair of blocks; shared shingles are counted by products of slices of the incidence matrix."""
+    left, right = [], []
+    if held:
+        ids, comp, first, second, sets = zip(*held)
+        size = np.array([len(s) for s in sets])
+        doc = np.repeat(np.arange(len(sets)), size)
+        _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        # A shingle of one document is shared by none.
+        number = np.cumsum(times > 1) - 1
+        many = times[token] > 1
+        doc, token = doc[many], number[token[many]]
+        order = np.argsort(token, kind="stable")
+        doc, token = doc[order], token[order]
+        both = np.zeros((len(sets), len(sets)), np.float32)
+        for lo in range(0, int(number[-1]) + 1, 4096):
+            a, b = np.searchsorted(token, (lo, lo + 4096))
+            part = np.zeros((len(sets), 4096), np.float32)
+            part[doc[a:b], token[a:b] - lo] = 1
+            both += part @ part.T
+        comp = np.array(comp)
+        fine = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+        fine &= (both > 0) & (comp[:, None] != comp[None, :]) & np.array(first)[:, None] & np.array(second)[None, :]
+        x, y = np.nonzero(fine)
+        left, right = [ids[i] for i in x], [ids[i] for i in y]
+    return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:
