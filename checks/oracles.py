@@ -120,7 +120,7 @@ PATIENTS = f"""
 patients AS (
   SELECT {patient('c_custkey')} AS patient_id, c_mktsegment AS ward,
     CAST(DATE '2023-12-01' + CAST(c_custkey % 30 AS INTEGER) AS DATE) AS admit_date
-  FROM customer WHERE c_custkey < (SELECT 1 + max(user_id) FROM events) AND c_custkey % 50 <> 49)"""
+  FROM customer)"""
 
 LATEST = """
 latest AS (
@@ -134,8 +134,7 @@ lab_lines AS (
     'labs_' || CAST(CAST(DATE '2024-01-01' + CAST(l_orderkey % 30 AS INTEGER) AS DATE) AS VARCHAR) || '.csv' AS source_file
   FROM (
     SELECT l.*, o_custkey % (SELECT 1 + max(user_id) FROM events) AS patient
-    FROM lineitem l JOIN orders ON l_orderkey = o_orderkey)
-  WHERE patient % 10 <> 0)"""
+    FROM lineitem l JOIN orders ON l_orderkey = o_orderkey))"""
 
 LABS = LAB_LINES + """,
 labs AS (

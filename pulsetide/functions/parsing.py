@@ -29,8 +29,13 @@ def to_number(value: str) -> str:
 
 
 def to_instant(value: str) -> str:
-    """ISO date-time to timestamp; without an offset it is UTC (session zone)."""
-    return f"CASE WHEN {value} RLIKE r'{ISO_TIMESTAMP}' THEN try_to_timestamp({value}) END"
+    """ISO date-time to timestamp; without an offset it is UTC (session zone).
+
+    Spark reads an offset only with its colon, so ``+0530`` becomes ``+05:30`` first.
+    """
+    bare = f"{value} RLIKE r'[0-9][+-][0-9]{{4}}$'"
+    offset = f"concat(left({value}, length({value}) - 2), ':', right({value}, 2))"
+    return f"CASE WHEN {value} RLIKE r'{ISO_TIMESTAMP}' THEN try_to_timestamp(CASE WHEN {bare} THEN {offset} ELSE {value} END) END"
 
 
 def reference_low(value: str) -> str:

@@ -89,10 +89,8 @@ def lab_test_pages(labs: DataFrame, page_rows: int = 10_000) -> DataFrame:
     """
     results = _dated(labs).groupBy(*DAY_KEY, *LAB_TEST.names).agg(F.count("*").alias("times"))
     sizes = results.groupBy(*DAY_KEY).agg(F.count("*").alias("distinct_results"))
-    oversized = sizes.where(F.col("distinct_results") > page_rows)
-    pages = F.ceil(F.coalesce("distinct_results", F.lit(1)) / F.lit(page_rows))
-    page = F.pmod(F.xxhash64(*LAB_TEST.names), F.greatest(pages, F.lit(1)))
-    return results.join(oversized, DAY_KEY, "left").withColumn("page", page).drop("distinct_results")
+    page = F.pmod(F.xxhash64(*LAB_TEST.names), F.ceil(F.col("distinct_results") / F.lit(page_rows)))
+    return results.join(sizes, DAY_KEY).withColumn("page", page).drop("distinct_results")
 
 
 def score_patients(rows: DataFrame, limits: AlertLimits = AlertLimits(), rules: RiskRules = RiskRules()) -> DataFrame:

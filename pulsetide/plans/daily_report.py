@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsetide.functions.clock import sim_date
+from pulsetide.operators.clean import dedupe_readings
 from pulsetide.operators.labs import accepted_rows, file_verdicts, normalize_labs
 from pulsetide.operators.summaries import (
     NESTED_TESTS,
@@ -24,7 +25,7 @@ from pulsetide.session import shared_folder, store
 from pulsetide.sinks.keyed_table import KeyedTable
 from pulsetide.sources.files import list_folder
 from pulsetide.sources.lab_files import headers, lab_file_verdicts, lab_rows, read_lab_lines
-from pulsetide.sources.readings import read_archive
+from pulsetide.sources.readings import read_archive_day
 
 
 def risk_scores(
@@ -83,9 +84,12 @@ def strict_labs(spark: SparkSession, path: str, report_date: date | None = None)
     heads = store(headers(lines), shared_folder(spark, "lab-headers"))
     rows = lab_rows(lines, heads)
     verdicts = lab_file_verdicts(rows, heads, strict=True, report_date=report_date)
-    bad = verdicts.where(~F.col("accepted")).take(5)
-    if bad or heads.isEmpty():
-        raise InvalidLabFile("; ".join(f"{r.source_file}: {r.reason}" for r in bad) or f"{path}: empty_file")
+    folder = shared_folder(spark, "lab-verdicts")
+    bad = store(verdicts.where(~F.col("accepted")), folder)
+    number = bad.count()
+    if number or heads.isEmpty():
+        some = "; ".join(f"{r.source_file}: {r.reason}" for r in bad.orderBy("source_file").take(5))
+        raise InvalidLabFile(f"{number} invalid files, all in {folder}: {some}" if number else f"{path}: empty_file")
     return normalize_labs(rows.where(~F.col("header_line")))
 
 
@@ -108,7 +112,8 @@ def report_day(
     params: Params = Params(),
 ) -> None:
     """One report date from archive and lab file into the report table; safe to run again."""
-    readings = read_archive(spark, archive, report_date, report_date)
+    # An archive that keeps late events may hold one more than once, and a day may hold files of several formats.
+    readings = dedupe_readings(read_archive_day(spark, archive, report_date))
     labs = strict_labs(spark, f"{lab_folder}/labs_{report_date.isoformat()}.csv", report_date)
     rows = risk_reports(readings, labs, report_date, report_date, params)
     store_reports(rows, target, version)

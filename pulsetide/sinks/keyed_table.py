@@ -51,7 +51,12 @@ class KeyedTable:
         return latest.where("NOT deleted").select(*self.columns)
 
     def compact(self, upto: int) -> None:
-        """Merge versions up to ``upto`` into a new base; its sources stay for running readers."""
+        """Merge versions up to ``upto`` into a new base; its sources stay for running readers.
+
+        A finished base is left as it is, so a retried batch may compact again.
+        """
+        if upto in self._versions("base", after=upto - 1, before=upto + 1):
+            return
         rows = self.current(before=upto + 1).withColumn("deleted", F.lit(False))
         self._write(rows, f"{self.path}/base/version={upto}")
 

@@ -69,15 +69,11 @@ def _patient_count(spark: SparkSession, folder: str) -> Column:
 
 
 def patients(spark: SparkSession, folder: str) -> DataFrame:
-    """Known patients; some that the readings refer to are left out on purpose."""
-    return (
-        table(spark, folder, "customer")
-        .where((F.col("c_custkey") < _patient_count(spark, folder)) & F.expr("c_custkey % 50 <> 49"))
-        .selectExpr(
-            f"{patient_name('c_custkey')} AS patient_id",
-            "c_mktsegment AS ward",
-            "date_add(DATE '2023-12-01', CAST(c_custkey % 30 AS INT)) AS admit_date",
-        )
+    """All customers as patients; user 0 of the readings has no customer and is unknown."""
+    return table(spark, folder, "customer").selectExpr(
+        f"{patient_name('c_custkey')} AS patient_id",
+        "c_mktsegment AS ward",
+        "date_add(DATE '2023-12-01', CAST(c_custkey % 30 AS INT)) AS admit_date",
     )
 
 
@@ -85,7 +81,7 @@ def _lab_lines(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % _patient_count(spark, folder)).alias("patient")
     )
-    lines = table(spark, folder, "lineitem").join(orders.where("patient % 10 <> 0"), "l_orderkey")
+    lines = table(spark, folder, "lineitem").join(orders, "l_orderkey")
     return lines.selectExpr("*", "date_add(DATE '2024-01-01', CAST(l_orderkey % 30 AS INT)) AS day")
 
 

@@ -107,3 +107,11 @@ def test_clock(spark):
     ).first()
     assert window[0] == datetime(2026, 9, 30, 8, 10, 5) and window[1] == datetime(2026, 9, 30, 8, 15, 5)
     assert window[2] > date(2026, 1, 1)
+
+
+def test_offset_without_colon_is_read(spark):
+    from pulsetide.functions.parsing import to_instant
+
+    values = [("2026-01-01T12:00:00+0530",), ("2026-01-01T12:00:00+05:30",), ("2026-01-01T06:30:00Z",), ("2026-01-01",)]
+    rows = spark.createDataFrame(values, "t string").selectExpr(f"{to_instant('t')} AS t").collect()
+    assert rows[0] == rows[1] == rows[2] and rows[3].t is not None

@@ -1,3 +1,4 @@
+import json
 from datetime import date, datetime, timezone
 
 import pytest
@@ -160,7 +161,7 @@ def test_report_joins_both_sides_and_orders(spark):
 
 
 def test_report_day_can_run_again(spark, tmp_path):
-    write_by_date(archive_rows(readings(spark, {"heart_rate": 130.0}, {"patient_id": "P002"})), str(tmp_path / "archive"))
+    write_by_date(archive_rows(readings(spark, {"heart_rate": 130.0}, {"patient_id": "P002", "event_id": "e2"})), str(tmp_path / "archive"))
     (tmp_path / "labs").mkdir()
     (tmp_path / "labs" / f"labs_{DAY}.csv").write_text(f"{HEAD}\n{GOOD}\n")
     table = report_table(spark, str(tmp_path / "report"))
@@ -214,3 +215,23 @@ def test_violations_are_counted(spark):
 
 def test_archive_schema_is_fixed(spark):
     assert archive_rows(readings(spark, {})).schema.names == ARCHIVE.names
+
+
+def test_report_counts_an_event_once_whatever_the_archive_holds(spark, tmp_path):
+    """Copies of a late event, and a file of another format beside the Parquet ones."""
+    rows = archive_rows(readings(spark, {"heart_rate": 100.0}))
+    write_by_date(rows.union(rows).union(rows), str(tmp_path / "archive"))
+    folder = tmp_path / "archive" / f"date={DAY}"
+    typed = spark.read.parquet(str(folder)).drop("event_id").dropDuplicates()
+    line = typed.selectExpr("'other' AS event_id", "*").toJSON().first().replace("100.0", "120.0")
+    (folder / "more.jsonl").write_text(line + "\n")
+    (tmp_path / "labs").mkdir()
+    (tmp_path / "labs" / f"labs_{DAY}.csv").write_text(f"{HEAD}\n{GOOD}\n")
+    table = report_table(spark, str(tmp_path / "report"))
+    daily.report_day(spark, str(tmp_path / "archive"), str(tmp_path / "labs"), DAY, table, 1)
+    summary = json.loads(table.current().where("patient_id = 'P001'").first().vitals_summary)
+    assert summary["event_count"] == 2 and summary["avg_hr"] == 110.0
+    # A retried compaction leaves the finished base alone.
+    table.compact(1)
+    table.compact(1)
+    assert table.current().count() == 1
