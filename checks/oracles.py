@@ -215,26 +215,28 @@ checked AS (
   FROM dirty)"""
 
 
+PUBLISHED = RAW + f""",
+published AS (SELECT * FROM vitals_raw WHERE patient_id IS NOT NULL AND coalesce({", ".join(VITALS)}) IS NOT NULL)"""
+
+
 def gaps(by: str | None) -> str:
     over = f"PARTITION BY {by} ORDER BY" if by else "ORDER BY"
     keep = f"{by}, " if by else ""
-    where = f"WHERE {by} IS NOT NULL" if by else ""
-    return f"""WITH {RAW}
+    return f"""WITH {PUBLISHED}
 SELECT {keep}gap_start, gap_end, round(epoch_us(gap_end - gap_start) / 1000000.0, 6)::DOUBLE AS gap_seconds,
   gap_start + INTERVAL 90 SECOND AS fired_at
 FROM (SELECT {keep}"timestamp" AS gap_start, lead("timestamp") OVER ({over} "timestamp") AS gap_end
-      FROM vitals_raw {where})
+      FROM published)
 WHERE epoch_us(gap_end - gap_start) > 90000000"""
 
 
 def age(by: str | None) -> str:
-    group, where = (f"GROUP BY {by}", f"WHERE {by} IS NOT NULL") if by else ("", "")
-    keep = f"{by}, " if by else ""
-    return f"""WITH {RAW}
+    group, keep = (f"GROUP BY {by}", f"{by}, ") if by else ("", "")
+    return f"""WITH {PUBLISHED}
 SELECT {keep}last_event, round(age_us / 1000000.0, 6)::DOUBLE AS age_seconds,
   CASE WHEN age_us >= 60000000 THEN 'critical' WHEN age_us >= 30000000 THEN 'warning' ELSE 'ok' END AS band
 FROM (SELECT {keep}max("timestamp") AS last_event,
-        epoch_us(TIMESTAMP '2024-01-31' - max("timestamp")) AS age_us FROM vitals_raw {where} {group})"""
+        epoch_us(TIMESTAMP '2024-01-31' - max("timestamp")) AS age_us FROM published {group})"""
 
 
 def snapshot(where: str) -> str:
@@ -276,6 +278,7 @@ NULLS = {
     ("lab_results", "labs"): ["patient_id", "test_type", "result_value", "reference_range", "reference_low",
                               "reference_high", "collected_at", "is_abnormal"],
     ("daily_risk_report", "report"): ["patient_id", "report_date", "risk_score", "risk_flag"],
+    ("patients", "patients"): ["patient_id", "ward", "admit_date"],
     ("alerts_log", "eps"): ["alert_id", "patient_id", "alert_type", "triggered_at"],
 }
 KEYS = {
@@ -329,7 +332,7 @@ ORDER BY triggered_at DESC"""
 
     sql["dead_letters"] = f"""WITH {DIRTY}
 SELECT coalesce(patient_id, 'unknown') AS key, 'failed_validation' AS error_reason, invalid_detail, event_id,
-  time_text AS raw_timestamp FROM checked WHERE invalid_detail IS NOT NULL"""
+  time_text AS raw_timestamp, 8::BIGINT AS payload_fields FROM checked WHERE invalid_detail IS NOT NULL"""
     sql["dead_letter_totals"] = f"""WITH {DIRTY}
 SELECT invalid_detail, count(*) AS dead_letters FROM checked WHERE invalid_detail IS NOT NULL GROUP BY ALL"""
     sql["published_messages"] = f"""WITH {DIRTY}
@@ -339,8 +342,10 @@ SELECT patient_id AS key, event_id, time_text AS event_time, event_id AS trace_i
 SELECT (SELECT count(*) FROM unique_readings) AS accepted,
   (SELECT count(*) FROM vitals_raw) - (SELECT count(*) FROM clean) AS rejected"""
     sql["check_violations"] = f"WITH {ALL_STORED}\n{_violations(CHECKS)}"
-    sql["null_violations"] = f"WITH {ALL_STORED}\n" + _violations(
+    filled = ["vitals_summary", "lab_summary", "generated_at"]
+    sql["null_violations"] = f"WITH {ALL_STORED},{PATIENTS}\n" + _violations(
         [(t, s, c, f'"{c}" IS NULL') for (t, s), columns in NULLS.items() for c in columns]
+        + [("daily_risk_report", "report", c, "false") for c in filled]
     )
     sql["pk_duplicates"] = f"""WITH {LABS}
 SELECT patient_id, test_type, collected_at, count(*) AS row_count FROM labs GROUP BY ALL HAVING count(*) > 1"""
@@ -401,6 +406,11 @@ SELECT * FROM old_wins o WHERE NOT EXISTS (
 SELECT patient_id, report_date, risk_score, risk_flag FROM report WHERE report_date < DATE '2024-01-10'
 UNION ALL
 SELECT patient_id, report_date, risk_score, risk_flag FROM stricter WHERE report_date >= DATE '2024-01-10'"""
+    sql["report_stored"] = f"""WITH {REPORT}, results AS (
+  SELECT patient_id, report_date, test_type, result_value, is_abnormal, count(*) AS times FROM labs GROUP BY ALL)
+SELECT patient_id, report_date, event_count, {", ".join(METRICS)}, coalesce(result_count, 0) AS result_count,
+  coalesce(abnormal_count, 0) AS abnormal_count, risk_score, risk_flag, test_type, result_value, is_abnormal, times
+FROM report LEFT JOIN results USING (patient_id, report_date)"""
     sql["upsert_patients"] = f"""WITH {PATIENTS}, moved AS (
   SELECT {patient('c_custkey')} AS patient_id, 'MOVED' AS ward, DATE '2024-02-01' AS admit_date
   FROM customer WHERE c_acctbal < 0)
@@ -418,14 +428,19 @@ FROM (
   SELECT *, collected_at >= TIMESTAMP '2024-01-20' AS late, row_number() OVER (
     PARTITION BY patient_id, test_type, collected_at ORDER BY result_value DESC) AS rn FROM labs) WHERE rn = 1"""
 
-    sql["events_per_second"] = f"""WITH {RAW}
+    sql["events_per_second"] = f"""WITH {PUBLISHED}
 SELECT window_start, event_count, round(event_count / 60.0, 6)::DOUBLE AS events_per_second FROM (
   SELECT time_bucket(INTERVAL 1 MINUTE, "timestamp") AS window_start, count(*) AS event_count
-  FROM vitals_raw GROUP BY ALL)"""
+  FROM published GROUP BY ALL)"""
     sql["source_age"] = age("patient_id")
     sql["feed_age"] = age(None)
     sql["stale_gaps"] = gaps(None)
     sql["stale_gaps_by_patient"] = gaps("patient_id")
+    sql["stale_now"] = f"""WITH {PUBLISHED}
+SELECT patient_id, gap_start, round(age_us / 1000000.0, 6)::DOUBLE AS gap_seconds, gap_start + INTERVAL 90 SECOND AS fired_at
+FROM (SELECT patient_id, max("timestamp") AS gap_start, epoch_us(TIMESTAMP '2024-01-31' - max("timestamp")) AS age_us
+      FROM published GROUP BY patient_id)
+WHERE age_us > 90000000"""
     sql["dlq_rate_alarm"] = f"""WITH {DIRTY},
 steps AS (
   SELECT CAST(floor(epoch_us(received_at) / 3600000000) AS BIGINT) AS step, count(*) AS n

@@ -169,6 +169,7 @@ def dead_letters(spark, sf):
             "invalid_detail",
             F.get_json_object("value", "$.raw_payload.event_id").alias("event_id"),
             F.get_json_object("value", "$.raw_payload.timestamp").alias("raw_timestamp"),
+            F.size(F.json_object_keys(F.get_json_object("value", "$.raw_payload"))).alias("payload_fields"),
         )
     )
 
@@ -217,7 +218,12 @@ def check_violations(spark, sf):
 def null_violations(spark, sf):
     """Required columns of the readings as sent, and of each stored table."""
     raw = quality.null_violations("vitals_raw", w.vitals_raw(spark, sf), READING.names)
-    return plain(_union([raw, *[quality.null_violations(n, rows) for n, rows in _stored(spark, sf).items()]]))
+    reports = summaries.as_json(summaries.nest_summaries(_all_days(spark, sf)))
+    stored = _stored(spark, sf) | {
+        "daily_risk_report": reports.withColumn("generated_at", F.current_timestamp()),
+        "patients": w.patients(spark, sf),
+    }
+    return plain(_union([raw, *[quality.null_violations(n, rows) for n, rows in stored.items()]]))
 
 
 def pk_duplicates(spark, sf):
@@ -376,6 +382,23 @@ def upsert_report(spark, sf):
     return plain(stored.current().select("patient_id", "report_date", "risk_score", "risk_flag"))
 
 
+def report_stored(spark, sf):
+    """All days stored by one run, read back with every lab result behind them."""
+    stored = report_table(spark, shared_folder(spark, "report"))
+    daily.store_run(_readings(spark, sf), _labs(spark, sf), FIRST, LAST, stored, 1)
+    reports = stored.current().select(
+        "patient_id",
+        "report_date",
+        F.get_json_object("vitals_summary", "$.event_count").cast("long").alias("event_count"),
+        *[F.get_json_object("vitals_summary", f"$.{m}").cast("double").alias(m) for m in summaries.METRICS],
+        F.get_json_object("lab_summary", "$.result_count").cast("long").alias("result_count"),
+        F.get_json_object("lab_summary", "$.abnormal_count").cast("long").alias("abnormal_count"),
+        "risk_score",
+        "risk_flag",
+    )
+    return plain(reports.join(daily.stored_results(spark, stored), ["patient_id", "report_date"], "left"))
+
+
 def upsert_stored_labs(spark, sf):
     """Two days of deliveries into the stored lab table: all results, then those of the other day corrected."""
     stored = lab_table(spark, shared_folder(spark, "labs"))
@@ -409,26 +432,35 @@ def upsert_labs(spark, sf):
 # --- health and clock --------------------------------------------------------
 
 
+def _published(spark, sf):
+    """Health counts what was published: rejected readings keep no source alive."""
+    return quality.publishable(quality.with_validity(w.vitals_raw(spark, sf)))
+
+
 def events_per_second(spark, sf):
-    return plain(health.events_per_second(w.vitals_raw(spark, sf)))
+    return plain(health.events_per_second(_published(spark, sf)))
 
 
 def source_age(spark, sf):
-    rows = w.vitals_raw(spark, sf).where(F.col("patient_id").isNotNull())
-    return plain(health.source_age(rows, F.lit(AS_OF), ["patient_id"]))
+    return plain(health.source_age(_published(spark, sf), F.lit(AS_OF), ["patient_id"]))
 
 
 def feed_age(spark, sf):
-    return plain(health.source_age(w.vitals_raw(spark, sf), F.lit(AS_OF)))
+    return plain(health.source_age(_published(spark, sf), F.lit(AS_OF)))
 
 
 def stale_gaps(spark, sf):
-    return plain(health.stale_gaps(w.vitals_raw(spark, sf)))
+    return plain(health.stale_gaps(_published(spark, sf)))
 
 
 def stale_gaps_by_patient(spark, sf):
-    rows = w.vitals_raw(spark, sf).where(F.col("patient_id").isNotNull())
-    return plain(health.stale_gaps(rows, ["patient_id"]))
+    return plain(health.stale_gaps(_published(spark, sf), ["patient_id"]))
+
+
+def stale_now(spark, sf):
+    """Patients whose feed is silent at the end of the month."""
+    found = health.stale_gaps(_published(spark, sf), ["patient_id"], as_of=F.lit(AS_OF))
+    return plain(found.where(F.col("gap_end").isNull()).drop("gap_end"))
 
 
 def dlq_rate_alarm(spark, sf):

@@ -44,9 +44,13 @@ def stale_gaps(
     time: str = "timestamp",
     stale_after: int = STALE_AFTER,
     hold: int = STALE_HOLD,
+    as_of: Column | None = None,
 ) -> DataFrame:
     """Silences longer than ``stale_after + hold`` seconds: when each began, fired and ended.
 
+    With ``as_of``, a source silent up to that instant has a row too: its
+    ``gap_end`` is null and its length is counted up to ``as_of``.
+
     A gap that long never lies inside one slot of that length, so the first and
     last event of each slot are enough. They combine on the map side, and the
     ordered step sees at most one row per slot and source, whatever the number
@@ -63,10 +67,15 @@ def stale_gaps(
     days = slots.groupBy(*by, "day").agg(F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
     inside = _gaps(slots, Window.partitionBy(*by, "day").orderBy("slot"), by)
     across = _gaps(days, Window.partitionBy(*(by or [F.lit(0)])).orderBy("day"), by)
-    length = (F.unix_micros("gap_end") - F.unix_micros("gap_start")) / F.lit(1_000_000.0)
+    spans = inside.unionByName(across).withColumn("silent_until", F.col("gap_end"))
+    if as_of is not None:
+        last = days.groupBy(*by).agg(F.max("last_event").alias("gap_start"))
+        none = F.lit(None).cast("timestamp")
+        spans = spans.unionByName(last.withColumns({"gap_end": none, "silent_until": as_of.cast("timestamp")}))
+    length = (F.unix_micros("silent_until") - F.unix_micros("gap_start")) / F.lit(1_000_000.0)
     return (
-        inside.unionByName(across)
-        .withColumn("gap_seconds", length)
+        spans.withColumn("gap_seconds", length)
+        .drop("silent_until")
         .where(F.col("gap_seconds") > limit)
         .withColumn("fired_at", F.timestamp_micros(F.unix_micros("gap_start") + F.lit(limit * 1_000_000)))
     )

@@ -32,18 +32,21 @@ def publishable(checked: DataFrame) -> DataFrame:
 def dead_letters(checked: DataFrame, payload: list[str] | None = None) -> DataFrame:
     """Rejected readings as key and value of the dead-letter contract."""
     payload = payload or [c for c in checked.columns if c != "invalid_detail"]
-    value = F.to_json(
-        F.struct(F.struct(*payload).alias("raw_payload"), F.lit(FAILED_VALIDATION).alias("error_reason"))
-    )
     return checked.where(F.col("invalid_detail").isNotNull()).select(
         F.expr(f"coalesce({text_id('patient_id')}, 'unknown')").alias("key"),
-        value.alias("value"),
+        rejected_value(payload).alias("value"),
         F.lit(FAILED_VALIDATION).alias("error_reason"),
         "invalid_detail",
         *payload,
     )
 
 
+def rejected_value(payload: list[str]) -> Column:
+    """The rejected reading whole, missing fields as null, with the reason."""
+    whole = F.struct(F.struct(*payload).alias("raw_payload"), F.lit(FAILED_VALIDATION).alias("error_reason"))
+    return F.to_json(whole, {"ignoreNullFields": "false"})
+
+
 def run_counts(readings: DataFrame) -> DataFrame:
     """Accepted (clean and distinct) and rejected readings of a run, in one pass.
 
@@ -91,7 +94,7 @@ REQUIRED = {
         "patient_id", "test_type", "result_value", "reference_range",
         "reference_low", "reference_high", "collected_at", "is_abnormal",
     ],
-    "daily_risk_report": ["patient_id", "report_date", "vitals_summary", "lab_summary", "risk_score", "risk_flag"],
+    "daily_risk_report": ["patient_id", "report_date", "vitals_summary", "lab_summary", "risk_score", "risk_flag", "generated_at"],
     "alerts_log": ["alert_id", "patient_id", "alert_type", "triggered_at"],
 }
 
@@ -109,9 +112,10 @@ def check_violations(table: str, rows: DataFrame) -> DataFrame:
 
 
 def null_violations(table: str, rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Nulls in each required column of a table."""
-    names = columns or [c for c in REQUIRED[table] if c in rows.columns]
-    counts = rows.agg(*[F.count_if(F.col(n).isNull()).alias(n) for n in names])
+    """Nulls in each required column of a table; a column the rows lack is null in all of them."""
+    names = columns or REQUIRED[table]
+    given = {n: F.col(n) if n in rows.columns else F.lit(None) for n in names}
+    counts = rows.agg(*[F.count_if(value.isNull()).alias(n) for n, value in given.items()])
     return _counts_as_rows(table, counts, names)
 
 

@@ -15,8 +15,9 @@ from pulsetide.schemas import LAB_TEST
 DAY_KEY = ["patient_id", "report_date"]
 METRICS = [f"{kind}_{short}" for short in SHORT_NAMES.values() for kind in ("avg", "min", "max")]
 
-# A patient-day with more results than this keeps them in pages of rows
-# instead of one array, see lab_test_pages.
+# The nested view of a patient-day with more results than this has no array.
+# Stored reports never hold one: every result is a row beside them, see
+# plans.daily_report.store_run.
 NESTED_TESTS = 100_000
 
 
@@ -87,12 +88,17 @@ def lab_test_pages(labs: DataFrame, page_rows: int = 10_000) -> DataFrame:
     result itself, so even one patient-day with most of the data spreads over
     all tasks. Nothing is collected: a reader takes a page at a time.
     """
-    results = _dated(labs).groupBy(*DAY_KEY, *LAB_TEST.names).agg(F.count("*").alias("times"))
+    results = lab_results_by_day(labs)
     sizes = results.groupBy(*DAY_KEY).agg(F.count("*").alias("distinct_results"))
     page = F.pmod(F.xxhash64(*LAB_TEST.names), F.ceil(F.col("distinct_results") / F.lit(page_rows)))
     return results.join(sizes, DAY_KEY).withColumn("page", page).drop("distinct_results")
 
 
+def lab_results_by_day(labs: DataFrame) -> DataFrame:
+    """Every result of every patient-day with how often it occurs, by one rule at any size."""
+    return _dated(labs).groupBy(*DAY_KEY, *LAB_TEST.names).agg(F.count("*").alias("times"))
+
+
 def score_patients(rows: DataFrame, limits: AlertLimits = AlertLimits(), rules: RiskRules = RiskRules()) -> DataFrame:
     """Score rows that already hold averages and lab counts side by side."""
     trend = "trend_direction" if "trend_direction" in rows.columns else "CAST(NULL AS STRING)"

@@ -16,13 +16,16 @@ from pulsetide.operators.summaries import (
     build_reports,
     daily_vitals,
     lab_counts,
+    lab_results_by_day,
     nest_summaries,
     on_days,
     summarize_labs,
 )
 from pulsetide.params import Params, SimClock
+from pulsetide.schemas import RESULT
 from pulsetide.session import shared_folder, store
 from pulsetide.sinks.keyed_table import KeyedTable
+from pulsetide.sinks.outputs import write_by_date
 from pulsetide.sources.files import list_folder
 from pulsetide.sources.lab_files import headers, lab_file_verdicts, lab_rows, read_lab_lines
 from pulsetide.sources.readings import read_archive_day
@@ -115,9 +118,39 @@ def report_day(
     # An archive that keeps late events may hold one more than once, and a day may hold files of several formats.
     readings = dedupe_readings(read_archive_day(spark, archive, report_date))
     labs = strict_labs(spark, f"{lab_folder}/labs_{report_date.isoformat()}.csv", report_date)
-    rows = risk_reports(readings, labs, report_date, report_date, params)
-    store_reports(rows, target, version)
+    store_run(readings, labs, report_date, report_date, target, version, params)
+
+
+def store_run(
+    readings: DataFrame,
+    labs: DataFrame,
+    first: date,
+    last: date,
+    target: KeyedTable,
+    version: int,
+    params: Params = Params(),
+) -> None:
+    """Reports of the days first..last, and every lab result behind them.
+
+    The results come first, so a report never stands without them. They are rows
+    beside the report, keyed by the result itself, whatever their number; dates
+    present in the run are replaced.
+    """
+    results = lab_results_by_day(on_days(labs, "collected_at", first, last))
+    write_by_date(results, _results_folder(target), "report_date")
+    store_reports(nest_summaries(risk_scores(readings, labs, first, last, params)), target, version)
 
 
 def store_reports(reports: DataFrame, target: KeyedTable, version: int) -> None:
-    target.write_changes(as_json(reports).withColumn("generated_at", F.current_timestamp()), version)
+    """Stored summaries hold the counts of results; the results are rows of their own (``store_run``)."""
+    counted = reports.withColumn("lab_summary", F.col("lab_summary").dropFields("tests"))
+    target.write_changes(as_json(counted).withColumn("generated_at", F.current_timestamp()), version)
+
+
+def stored_results(spark: SparkSession, target: KeyedTable) -> DataFrame:
+    """The lab results of the stored reports; filters on the date prune folders."""
+    return spark.read.schema(RESULT).parquet(_results_folder(target)).select(*RESULT.names)
+
+
+def _results_folder(target: KeyedTable) -> str:
+    return f"{target.path}/results"

@@ -62,3 +62,11 @@ REPORT = T.StructType(
     + _fields(T.StringType(), "risk_flag")
     + _fields(T.TimestampType(), "generated_at")
 )
+
+# One lab result of a stored report, and how often it occurs.
+RESULT = T.StructType(
+    _fields(T.StringType(), "patient_id")
+    + _fields(T.DateType(), "report_date")
+    + LAB_TEST.fields
+    + _fields(T.LongType(), "times")
+)

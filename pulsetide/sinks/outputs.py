@@ -6,7 +6,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from pulsetide.operators.quality import dead_letters, publishable
+from pulsetide.functions.parsing import text_id
+from pulsetide.operators.quality import publishable, rejected_value
 from pulsetide.schemas import ARCHIVE, READING
 
 # Fixed value: time format of the JSON-lines output.
@@ -31,9 +32,13 @@ def publish_rows(checked: DataFrame) -> DataFrame:
 
 
 def dead_letter_rows(checked: DataFrame) -> DataFrame:
-    """Rejected readings as key, value and headers of the dead-letter topic."""
+    """Rejected readings as key, value and headers of the dead-letter topic, all their columns in the payload."""
     trace = F.coalesce(F.col("event_id").cast("string"), F.uuid())
-    return dead_letters(checked, READING.names).select("key", "value", _headers(trace))
+    payload = [c for c in checked.columns if c not in ("invalid_detail", "arrival")]
+    key = F.coalesce(F.expr(text_id("patient_id")), F.lit("unknown"))
+    return checked.where(F.col("invalid_detail").isNotNull()).select(
+        key.alias("key"), rejected_value(payload).alias("value"), _headers(trace)
+    )
 
 
 def _headers(trace):

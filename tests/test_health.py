@@ -39,6 +39,16 @@ def test_gaps_per_source_with_a_hot_one(spark):
     assert found.where("source = 'cold'").count() == 4
 
 
+def test_open_silence_fires(spark):
+    as_of = F.lit(T0 + timedelta(seconds=200))
+    rows = events(spark, [0, 20], "silent").unionByName(events(spark, [0, 80, 150], "alive"))
+    found = health.stale_gaps(rows, ["source"], as_of=as_of).collect()
+    assert [(r.source, r.gap_end, r.gap_seconds, r.fired_at) for r in found] == [
+        ("silent", None, 180.0, (T0 + timedelta(seconds=110)).replace(tzinfo=None))
+    ]
+    assert health.stale_gaps(rows.limit(0), as_of=as_of).isEmpty()
+
+
 def brute_alarm(seconds, threshold, reach, hold, step):
     last = max(seconds) + reach + hold + step
     grid = range(0, last, step)

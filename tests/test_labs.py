@@ -177,6 +177,18 @@ def test_report_day_can_run_again(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(report_date" in plan
 
 
+def test_stored_report_keeps_every_result(spark, tmp_path):
+    labs = typed_labs(spark, [("P001", i % 40) for i in range(400)] + [("P002", 5)])
+    table = report_table(spark, str(tmp_path / "report"))
+    for version in (1, 2):
+        daily.store_run(readings(spark, {}), labs, DAY, DAY, table, version)
+    found = daily.stored_results(spark, table).groupBy("patient_id").agg(F.sum("times").alias("n"), F.count("*").alias("kinds"))
+    assert sorted(map(tuple, found.collect())) == [("P001", 400, 40), ("P002", 1, 1)]
+    stored = table.current().where("patient_id = 'P001'").first()
+    assert json.loads(stored.lab_summary).keys() == {"result_count", "abnormal_count"}
+    assert json.loads(stored.lab_summary)["result_count"] == 400
+
+
 def test_run_status(spark, tmp_path):
     clock = SimClock(real_start=utc(2026, 9, 30), sim_start=date(2026, 1, 1))
     at = lambda minute, hour=0: datetime(2026, 9, 30, hour, minute, tzinfo=timezone.utc)
@@ -210,7 +222,8 @@ def test_violations_are_counted(spark):
     got = {r.rule: r.violations for r in quality.check_violations("daily_risk_report", rows).collect()}
     assert got == {"score_in_0_100": 1, "known_risk_flag": 1}
     nulls = {r.rule: r.violations for r in quality.null_violations("daily_risk_report", rows).collect()}
-    assert nulls == {"patient_id": 0, "risk_score": 1, "risk_flag": 1}
+    absent = dict.fromkeys(["report_date", "vitals_summary", "lab_summary", "generated_at"], 3)
+    assert nulls == {"patient_id": 0, "risk_score": 1, "risk_flag": 1} | absent
 
 
 def test_archive_schema_is_fixed(spark):

@@ -1,3 +1,4 @@
+import json
 from datetime import date, datetime
 
 import pytest
@@ -107,6 +108,7 @@ def test_structural_validity(spark, change, reason):
     assert len(letters) == (reason is not None)
     if reason:
         assert letters[0].error_reason == "failed_validation" and '"raw_payload":{' in letters[0].value
+        assert json.loads(letters[0].value)["raw_payload"].keys() == set(READING.names)
         assert letters[0].key == ("unknown" if reason == "missing_patient" else "P001")
 
 
