@@ -335,6 +335,9 @@ SELECT coalesce(patient_id, 'unknown') AS key, 'failed_validation' AS error_reas
   time_text AS raw_timestamp, 8::BIGINT AS payload_fields FROM checked WHERE invalid_detail IS NOT NULL"""
     sql["dead_letter_totals"] = f"""WITH {DIRTY}
 SELECT invalid_detail, count(*) AS dead_letters FROM checked WHERE invalid_detail IS NOT NULL GROUP BY ALL"""
+    sql["dead_letters_over_time"] = f"""WITH {DIRTY}
+SELECT time_bucket(INTERVAL 1 MINUTE, received_at) AS window_start, invalid_detail, count(*) AS dead_letters
+FROM checked WHERE invalid_detail IS NOT NULL GROUP BY ALL"""
     sql["published_messages"] = f"""WITH {DIRTY}
 SELECT patient_id AS key, event_id, time_text AS event_time, event_id AS trace_id,
   coalesce(length(event_id), 36) AS trace_length FROM checked WHERE invalid_detail IS NULL"""

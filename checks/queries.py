@@ -179,6 +179,11 @@ def dead_letter_totals(spark, sf):
     return plain(health.dead_letter_totals(checked.where(F.col("invalid_detail").isNotNull())))
 
 
+def dead_letters_over_time(spark, sf):
+    rejected = _checked(spark, sf).where(F.col("invalid_detail").isNotNull())
+    return plain(health.dead_letters_over_time(rejected, "received_at"))
+
+
 def published_messages(spark, sf):
     rows = outputs.publish_rows(_checked(spark, sf))
     trace = F.col("headers")[0]["value"].cast("string")

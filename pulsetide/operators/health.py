@@ -123,11 +123,19 @@ def rate_alarm(
     return held.select(_second(F.col("at") * step_seconds).alias("alarm_at"), "rate")
 
 
-def dead_letter_totals(rejected: DataFrame, time: str = "timestamp") -> DataFrame:
+def dead_letter_totals(rejected: DataFrame) -> DataFrame:
     """Dead letters per reason."""
     return rejected.groupBy("invalid_detail").agg(F.count("*").alias("dead_letters"))
 
 
+def dead_letters_over_time(rejected: DataFrame, time: str = "timestamp", seconds: int = 60) -> DataFrame:
+    """Dead letters per reason and tumbling window; ``time`` is when they came, as their own time may be bad."""
+    counted = rejected.groupBy(F.window(time, f"{seconds} seconds").alias("w"), "invalid_detail")
+    return counted.agg(F.count("*").alias("dead_letters")).select(
+        F.col("w.start").alias("window_start"), "invalid_detail", "dead_letters"
+    )
+
+
 def file_counts(verdicts: DataFrame) -> DataFrame:
     """Accepted and rejected lab files."""
     return verdicts.agg(
