@@ -6,7 +6,7 @@ whole and replaced whole when a batch is retried, so a retry leaves no trace.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -23,10 +23,13 @@ class KeyedTable:
         schema: T.StructType,
         keys: Sequence[str],
         partition_by: Sequence[str] = (),
+        dates: Mapping[str, str] | None = None,
     ):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self.columns, self.partition_by = schema.names, list(partition_by)
-        self.schema = T.StructType(schema.fields + [T.StructField("deleted", T.BooleanType())])
+        """``dates`` names folder columns and the SQL of key columns that gives each one's date."""
+        self.spark, self.path, self.keys, self.dates = spark, path.rstrip("/"), list(keys), dict(dates or {})
+        self.columns, self.partition_by = schema.names, [*partition_by, *self.dates]
+        folders = [T.StructField(name, T.DateType()) for name in self.dates]
+        self.schema = T.StructType(schema.fields + folders + [T.StructField("deleted", T.BooleanType())])
 
     def write_changes(self, rows: DataFrame, version: int) -> None:
         """Store one batch of changed rows; a row with ``deleted`` removes its key."""
@@ -37,16 +40,20 @@ class KeyedTable:
     def changes(self, version: int) -> DataFrame:
         return self._read([f"{self.path}/changes/version={version}"]).select(*self.columns, "deleted")
 
-    def current(self, before: int | None = None) -> DataFrame:
+    def current(
+        self, before: int | None = None, only: Callable[[DataFrame], DataFrame] | None = None
+    ) -> DataFrame:
         """Latest row per key, of versions below ``before`` if given.
 
         Filters on key columns reach the scan: Spark pushes them below the
-        grouping, and partition columns prune folders.
+        grouping, and partition columns prune folders. Joins are not pushed
+        down: ``only`` is applied to the stored rows before they are grouped,
+        and may select by key and ``dates`` columns.
         """
         base = self._versions("base", before=before)[-1:]
         later = self._versions("changes", after=base[0] if base else None, before=before)
         folders = [f"{self.path}/base/version={v}" for v in base] + [f"{self.path}/changes/version={v}" for v in later]
-        rows = self._read(folders)
+        rows = only(self._read(folders)) if only else self._read(folders)
         latest = rows if base and not later else latest_by_key(rows, self.keys, "version")
         return latest.where("NOT deleted").select(*self.columns)
 
@@ -75,6 +82,7 @@ class KeyedTable:
         return max(self._versions("changes") + self._versions("base"), default=None)
 
     def _write(self, rows: DataFrame, folder: str) -> None:
+        rows = rows.withColumns({name: F.expr(sql) for name, sql in self.dates.items()})
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         writer = typed.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(folder)

@@ -10,7 +10,10 @@ from pulsetide.sinks.keyed_table import KeyedTable
 
 
 def live_table(spark: SparkSession, path: str) -> KeyedTable:
-    return KeyedTable(spark, path, WINDOW, PRIMARY_KEYS["vitals_live"])
+    """In folders by the window's date, so that a micro-batch reads only the days it touches."""
+    return KeyedTable(
+        spark, path, WINDOW, PRIMARY_KEYS["vitals_live"], dates={"window_date": "CAST(window_start AS DATE)"}
+    )
 
 
 def alert_table(spark: SparkSession, path: str) -> KeyedTable:

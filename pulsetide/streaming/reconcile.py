@@ -11,54 +11,56 @@ from pulsetide.sinks.keyed_table import KeyedTable
 EPISODE_KEY = ["patient_id", "alert_type", "triggered_at"]
 
 
-def fold_from(windows: DataFrame, starts: DataFrame) -> DataFrame:
-    """Episodes per patient and type from the windows at or after its start."""
+def fold_from(windows: DataFrame, carried: DataFrame) -> DataFrame:
+    """Episodes per patient and type from the windows, and from alerts open before the first of them."""
     in_time = Window.partitionBy("patient_id", "alert_type").orderBy("window_start")
-    states = (
-        windows.join(starts, "patient_id")
-        .where(F.col("window_start") >= F.col("start"))
-        .select(
-            "patient_id",
-            "alert_type",
-            "window_start",
-            "window_end",
-            F.array_contains("anomaly_flags", F.col("alert_type")).alias("opened"),
-        )
+    kinds = F.explode(F.array(*[F.lit(k) for k in ALERT_TYPES]))
+    states = windows.select("patient_id", "window_start", "window_end", "anomaly_flags", kinds.alias("alert_type"))
+    flagged = F.coalesce(F.array_contains("anomaly_flags", F.col("alert_type")), F.lit(False))
+    states = states.withColumn("opened", flagged).drop("anomaly_flags")
+    openings = carried.select(
+        "patient_id", "alert_type", F.col("triggered_at").alias("window_start"), F.lit(True).alias("opened")
     )
+    states = states.unionByName(openings, allowMissingColumns=True)
     before = F.lag("opened", 1, False).over(in_time)
     changes = states.withColumn("before", before).where(F.col("opened") != F.col("before"))
     return pair_changes(changes)
 
 
+def changed_episodes(live: KeyedTable, alerts: KeyedTable, version: int) -> tuple[DataFrame, DataFrame]:
+    """Windows of the touched patients since their first change, and the stored episodes these may alter.
+
+    Patients and times are selected before the stored rows are grouped. Windows
+    are pruned to the days since the oldest change of this version, which the
+    watermark bounds: an alert that opened long ago is carried in as it is
+    stored, its old windows are not read again.
+    """
+    touched = live.changes(version).groupBy("patient_id").agg(F.min("window_start").alias("changed_from"))
+    first_day = touched.agg(F.min(F.to_date("changed_from"))).first()[0]
+
+    def since(rows: DataFrame) -> DataFrame:
+        recent = rows.where(F.col("window_date") >= F.lit(first_day)).alias("stored")
+        same = F.col("stored.patient_id") == F.col("touched.patient_id")
+        later = F.col("stored.window_start") >= F.col("touched.changed_from")
+        return recent.join(touched.alias("touched"), same & later, "left_semi")
+
+    windows = live.current(before=version + 1, only=since)
+    stored = alerts.current(before=version, only=lambda rows: rows.join(touched, "patient_id", "left_semi"))
+    reaching = F.col("resolved_at").isNull() | (F.col("resolved_at") > F.col("changed_from"))
+    known = stored.join(touched, "patient_id").where((F.col("triggered_at") >= F.col("changed_from")) | reaching)
+    return windows, known
+
+
 def reconcile_alerts(live: KeyedTable, alerts: KeyedTable, version: int) -> DataFrame:
     """Episodes to add, change or delete after the windows of ``version`` were stored.
 
-    Per touched patient and type the fold starts at the oldest changed window,
-    or at the opening of an episode that reaches past it. Earlier episodes
-    cannot change, so neither all history nor untouched patients are read into
-    the fold. The result depends on stored windows only, not on arrival order.
+    Per touched patient the fold starts at the oldest changed window, with the
+    alerts that were open just before it. Earlier episodes cannot change. The
+    result depends on stored windows only, not on arrival order.
     """
-    kinds = F.array(*[F.lit(k) for k in ALERT_TYPES])
-    touched = (
-        live.changes(version)
-        .groupBy("patient_id")
-        .agg(F.min("window_start").alias("changed_from"))
-        .select("patient_id", "changed_from", F.explode(kinds).alias("alert_type"))
-    )
-    reaching = F.col("resolved_at").isNull() | (F.col("resolved_at") > F.col("changed_from"))
-    stored = (
-        alerts.current(before=version)
-        .join(touched, ["patient_id", "alert_type"])
-        .where((F.col("triggered_at") >= F.col("changed_from")) | reaching)
-        .drop("changed_from")
-    )
-    opened = stored.groupBy("patient_id", "alert_type").agg(F.min("triggered_at").alias("opened_at"))
-    starts = touched.join(opened, ["patient_id", "alert_type"], "left").select(
-        "patient_id", "alert_type", F.least("changed_from", "opened_at").alias("start")
-    )
-    oldest = starts.agg(F.min("start")).scalar()
-    windows = live.current(before=version + 1).where(F.col("window_start") >= oldest)
-    fresh = fold_from(windows, starts).withColumn("found", F.lit(True))
+    windows, stored = changed_episodes(live, alerts, version)
+    carried = stored.where(F.col("triggered_at") < F.col("changed_from"))
+    fresh = fold_from(windows, carried).withColumn("found", F.lit(True))
     known = stored.select(
         *EPISODE_KEY, F.col("alert_id").alias("old_id"), F.col("resolved_at").alias("old_end"), F.lit(True).alias("known")
     )

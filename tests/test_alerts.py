@@ -9,7 +9,7 @@ from pulsetide.operators.serving import UnknownPatient, last_data_received, pati
 from pulsetide.params import ALERT_TYPES
 from pulsetide.schemas import PATIENT, WINDOW
 from pulsetide.sinks.tables import alert_table, live_table
-from pulsetide.streaming.reconcile import reconcile_alerts
+from pulsetide.streaming.reconcile import changed_episodes, reconcile_alerts
 from tests.conftest import utc
 import datetime as dt
 import pytest
@@ -133,6 +133,22 @@ def test_reconcile_equals_the_fold_of_latest_windows(spark, tmp_path_factory, ba
         assert store.batch(version, *rows) == fold(latest.values())
 
 
+def test_reconcile_reads_touched_patients_and_days_only(spark, tmp_path):
+    """An alert has been open for ten days: its old windows are not read again, nor other patients grouped."""
+    store, late = Store(spark, tmp_path), 10 * 288
+    store.batch(0, (0, [T]), (0, [FV], "P2"))
+    store.batch(1, (late, [T]), (late, [], "P2"))
+    store.live.write_changes(windows(spark, (late + 1, [])), 2)
+    recent, known = changed_episodes(store.live, store.alerts, 2)
+    assert [index_of(r.t) for r in recent.select(F.col("window_start").cast("timestamp_ntz").alias("t")).collect()] == [late + 1]
+    assert episodes(known) == [("P1", T, 0, None)]
+    for frame in (recent, known):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Aggregate [patient_id") < plan.index("LeftSemi")
+    assert "PartitionFilters: [isnotnull(window_date" in recent._jdf.queryExecution().executedPlan().toString()
+    assert store.batch(2, (late + 1, [])) == [("P1", T, 0, late + 2), ("P2", FV, 0, late + 1)]
+
+
 def test_reconcile_survives_compaction(spark, tmp_path):
     store = Store(spark, tmp_path)
     store.batch(0, (0, [T]))
