@@ -167,13 +167,15 @@ vital_summary AS (
 
 TEST_TEXT = (
     "test_type || ':' || CAST(CAST(round(result_value * 100) AS BIGINT) AS VARCHAR) || ':' "
-    "|| CAST(is_abnormal AS VARCHAR)"
+    "|| CAST(is_abnormal AS VARCHAR) || ':' || CAST(times AS VARCHAR)"
 )
 LAB_SUMMARY = f"""
 lab_summary AS (
-  SELECT patient_id, report_date, count(*) AS result_count, count(*) FILTER (WHERE is_abnormal) AS abnormal_count,
+  SELECT patient_id, report_date, CAST(sum(times) AS BIGINT) AS result_count,
+    CAST(coalesce(sum(times) FILTER (WHERE is_abnormal), 0) AS BIGINT) AS abnormal_count,
     string_agg({TEST_TEXT}, ';' ORDER BY test_type, result_value, is_abnormal) AS tests
-  FROM labs GROUP BY ALL)"""
+  FROM (SELECT patient_id, report_date, test_type, result_value, is_abnormal, count(*) AS times FROM labs GROUP BY ALL)
+  GROUP BY ALL)"""
 
 
 def reports(name: str, limits: dict = DEFAULT) -> str:
@@ -382,7 +384,13 @@ SELECT count(*) FILTER (WHERE accepted) AS accepted_files, count(*) FILTER (WHER
 FROM verdicts"""
     sql["lab_summary"] = f"WITH {LABS},{LAB_SUMMARY} SELECT * FROM lab_summary"
     sql["lab_test_pages"] = f"""WITH {LABS}
-SELECT patient_id, report_date, test_type, result_value, is_abnormal, count(*) AS times FROM labs GROUP BY ALL"""
+SELECT patient_id, report_date, test_type, result_value, is_abnormal, times,
+  CAST(sum(times) OVER day AS BIGINT) AS result_count,
+  CAST(sum(CASE WHEN is_abnormal THEN times ELSE 0 END) OVER day AS BIGINT) AS abnormal_count,
+  CAST('0x' || md5(concat_ws(':', test_type, CAST(result_value AS VARCHAR), CAST(is_abnormal AS VARCHAR)))[1:8] AS BIGINT)
+    % CAST(ceil(count(*) OVER day / 2.0) AS BIGINT) AS page
+FROM (SELECT patient_id, report_date, test_type, result_value, is_abnormal, count(*) AS times FROM labs GROUP BY ALL)
+WINDOW day AS (PARTITION BY patient_id, report_date)"""
 
     sql["vitals_daily_summary"] = f"WITH {DAILY} SELECT * FROM vital_summary"
     sql["risk_scores"] = f"""WITH {REPORT}

@@ -289,19 +289,19 @@ def lab_file_counts(spark, sf):
 def _tests_text(tests):
     def one(t):
         cents = F.round(t["result_value"] * 100).cast("long").cast("string")
-        return F.concat_ws(":", t["test_type"], cents, t["is_abnormal"].cast("string"))
+        return F.concat_ws(":", t["test_type"], cents, t["is_abnormal"].cast("string"), t["times"].cast("string"))
 
     return F.array_join(F.transform(tests, one), ";")
 
 
 def lab_summary(spark, sf):
     rows = summaries.summarize_labs(_labs(spark, sf))
-    return plain(rows.withColumn("tests", _tests_text(F.col("tests"))))
+    return plain(rows.withColumn("tests", _tests_text(F.col("tests"))).drop("page"))
 
 
 def lab_test_pages(spark, sf):
-    """Every result of every patient-day, counted; the page is a layout detail."""
-    return plain(summaries.lab_test_pages(_labs(spark, sf)).drop("page"))
+    """Every result of every patient-day, counted, on pages of about two so that there are many."""
+    return plain(summaries.lab_test_pages(_labs(spark, sf), page_rows=2))
 
 
 # --- daily report ------------------------------------------------------------
@@ -316,33 +316,40 @@ def risk_scores(spark, sf):
     return plain(_all_days(spark, sf).select(*columns))
 
 
-def _flat(reports: DataFrame) -> DataFrame:
+def _flat(reports: DataFrame, labs: DataFrame, first: date = FIRST, last: date = LAST) -> DataFrame:
+    """Reports beside the lists of their results, one row per list."""
     v, l = F.col("vitals_summary"), F.col("lab_summary")
-    return reports.select(
+    lists = summaries.summarize_labs(summaries.on_days(labs, "collected_at", first, last))
+    lists = lists.select("patient_id", "report_date", _tests_text(F.col("tests")).alias("tests"))
+    return reports.join(lists, ["patient_id", "report_date"], "left").select(
         "patient_id",
         "report_date",
         v["event_count"].alias("event_count"),
         *[f"vitals_summary.{m}" for m in summaries.METRICS],
         l["result_count"].alias("result_count"),
         l["abnormal_count"].alias("abnormal_count"),
-        _tests_text(l["tests"]).alias("tests"),
+        F.coalesce("tests", F.lit("")).alias("tests"),
         "risk_score",
         "risk_flag",
     )
 
 
 def daily_risk_report(spark, sf):
-    reports = daily.risk_reports(_readings(spark, sf), _labs(spark, sf), REPORT_DAY, REPORT_DAY)
-    return plain(_flat(reports).orderBy("patient_id"))
+    labs = _labs(spark, sf)
+    reports = daily.risk_reports(_readings(spark, sf), labs, REPORT_DAY, REPORT_DAY)
+    return plain(_flat(reports, labs, REPORT_DAY, REPORT_DAY).orderBy("patient_id"))
 
 
 def daily_report_high(spark, sf):
-    reports = daily.risk_reports(_readings(spark, sf), _labs(spark, sf), FIRST, LAST)
-    return plain(_flat(serving.daily_report(reports, REPORT_DAY, "HIGH")))
+    labs = _labs(spark, sf)
+    reports = serving.daily_report(daily.risk_reports(_readings(spark, sf), labs, FIRST, LAST), REPORT_DAY, "HIGH")
+    rows = _flat(reports, labs, REPORT_DAY, REPORT_DAY)
+    return plain(rows.orderBy(F.desc("risk_score"), "patient_id"))
 
 
 def report_backfill(spark, sf):
-    return plain(_flat(daily.risk_reports(_readings(spark, sf), _labs(spark, sf), FIRST, LAST)))
+    labs = _labs(spark, sf)
+    return plain(_flat(daily.risk_reports(_readings(spark, sf), labs, FIRST, LAST), labs))
 
 
 def report_counts(spark, sf):
@@ -350,16 +357,19 @@ def report_counts(spark, sf):
 
 
 def report_json(spark, sf):
-    """Stored form: summaries as JSON without the absent metrics."""
-    reports = summaries.as_json(daily.risk_reports(_readings(spark, sf), _labs(spark, sf), FIRST, LAST))
+    """Stored form: summaries as JSON without the absent metrics; the results behind them are counted."""
+    labs = _labs(spark, sf)
+    reports = summaries.as_json(daily.risk_reports(_readings(spark, sf), labs, FIRST, LAST))
+    results = summaries.lab_results_by_day(summaries.on_days(labs, "collected_at", FIRST, LAST))
+    tests = results.groupBy("patient_id", "report_date").agg(F.sum("times").alias("test_count"))
     return plain(
-        reports.select(
+        reports.join(tests, ["patient_id", "report_date"], "left").select(
             "patient_id",
             "report_date",
             F.get_json_object("vitals_summary", "$.event_count").cast("long").alias("event_count"),
             F.size(F.json_object_keys("vitals_summary")).alias("vital_keys"),
             F.get_json_object("lab_summary", "$.result_count").cast("long").alias("result_count"),
-            F.json_array_length(F.get_json_object("lab_summary", "$.tests")).alias("test_count"),
+            F.coalesce("test_count", F.lit(0)).alias("test_count"),
         )
     )
 

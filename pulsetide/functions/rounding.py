@@ -25,9 +25,10 @@ def steady_mean(value: str) -> str:
 
     Readings are short decimal numbers, so their sum as decimals is exact. A
     double sum varies in its last bit with the order, which is enough to turn
-    a tie of the later rounding. Values beyond the decimal range fall back to
-    the plain mean.
+    a tie of the later rounding. The stated domain is values below 1e18, to ten
+    decimals. Larger ones are added as doubles by the same formula: they count,
+    but the last bits of their part may depend on the order.
     """
-    short = f"try_cast({value} AS DECIMAL(20, 10))"
-    exact = f"CAST(sum({short}) AS DOUBLE) / count({value})"
-    return f"CASE WHEN count({value}) > 0 AND count({short}) = count({value}) THEN {exact} ELSE avg({value}) END"
+    short = f"try_cast({value} AS DECIMAL(28, 10))"
+    rest = f"coalesce(sum(CASE WHEN {short} IS NULL THEN {value} END), 0D)"
+    return f"(coalesce(CAST(sum({short}) AS DOUBLE), 0D) + {rest}) / nullif(count({value}), 0)"

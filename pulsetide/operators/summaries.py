@@ -15,10 +15,9 @@ from pulsetide.schemas import LAB_TEST
 DAY_KEY = ["patient_id", "report_date"]
 METRICS = [f"{kind}_{short}" for short in SHORT_NAMES.values() for kind in ("avg", "min", "max")]
 
-# The nested view of a patient-day with more results than this has no array.
-# Stored reports never hold one: every result is a row beside them, see
-# plans.daily_report.store_run.
-NESTED_TESTS = 100_000
+# Results per list of a patient-day, about. Every patient-day is split by the
+# same rule; a list never grows with the data.
+PAGE_ROWS = 1_000
 
 
 def on_days(rows: DataFrame, time: str, first: date, last: date) -> DataFrame:
@@ -61,37 +60,32 @@ def lab_counts(labs: DataFrame) -> DataFrame:
     )
 
 
-def summarize_labs(labs: DataFrame, nested_tests: int = NESTED_TESTS) -> DataFrame:
-    """Counts per patient and day, with the results as a sorted array.
+def lab_test_pages(labs: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Every patient-day's results as (page, result, how often), with the patient-day's counts.
 
-    The counts come first and combine on the map side; patient-days beyond
-    ``nested_tests`` leave through the anti join before any list is built, so
-    no group of unbounded size is collected. Their ``tests`` is null and
-    their results are whole in ``lab_test_pages``.
+    Equal results are counted before the shuffle and the group key holds the
+    result itself, so even one patient-day with most of the data spreads over
+    all tasks. The page follows from the result's text, so a retry gives the same.
     """
-    counts = lab_counts(labs)
-    # Looking at both counts keeps this the same aggregation as above, so Spark runs it once.
-    oversized = counts.where(f"greatest(result_count, abnormal_count) > {nested_tests}").select(*DAY_KEY)
-    lists = (
-        _dated(labs)
-        .join(oversized, DAY_KEY, "left_anti")
-        .groupBy(*DAY_KEY)
-        .agg(F.array_sort(F.collect_list(F.struct(*LAB_TEST.names))).alias("tests"))
+    results = lab_results_by_day(labs)
+    abnormal = F.sum(F.when(F.col("is_abnormal"), F.col("times")).otherwise(0))
+    totals = results.groupBy(*DAY_KEY).agg(
+        F.sum("times").alias("result_count"), abnormal.alias("abnormal_count"), F.count("*").alias("distinct_results")
     )
-    return counts.join(lists, DAY_KEY, "left")
+    text = F.md5(F.concat_ws(":", *LAB_TEST.names))
+    number = F.conv(F.substring(text, 1, 8), 16, 10).cast("long")
+    page = F.pmod(number, F.ceil(F.col("distinct_results") / F.lit(page_rows)))
+    return results.join(totals, DAY_KEY).withColumn("page", page).drop("distinct_results")
 
 
-def lab_test_pages(labs: DataFrame, page_rows: int = 10_000) -> DataFrame:
-    """Every patient-day's results as (page, result, how often), pages of about ``page_rows`` rows.
+def summarize_labs(labs: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Counts per patient and day beside its results as sorted lists, one row per list.
 
-    Equal results are counted before the shuffle and the group key holds the
-    result itself, so even one patient-day with most of the data spreads over
-    all tasks. Nothing is collected: a reader takes a page at a time.
+    A patient-day has as many lists as its distinct results need; together they
+    hold every result once, with how often it occurs.
     """
-    results = lab_results_by_day(labs)
-    sizes = results.groupBy(*DAY_KEY).agg(F.count("*").alias("distinct_results"))
-    page = F.pmod(F.xxhash64(*LAB_TEST.names), F.ceil(F.col("distinct_results") / F.lit(page_rows)))
-    return results.join(sizes, DAY_KEY).withColumn("page", page).drop("distinct_results")
+    tests = F.array_sort(F.collect_list(F.struct(*LAB_TEST.names, "times"))).alias("tests")
+    return lab_test_pages(labs, page_rows).groupBy(*DAY_KEY, "page", "result_count", "abnormal_count").agg(tests)
 
 
 def lab_results_by_day(labs: DataFrame) -> DataFrame:
@@ -133,16 +127,15 @@ def nest_summaries(reports: DataFrame) -> DataFrame:
     """Report rows with the two summaries as structs.
 
     Without vitals the summary is empty, without labs it counts zero. Absent
-    metrics are null fields, which ``to_json`` leaves out.
+    metrics are null fields, which ``to_json`` leaves out. Results are rows of
+    their own (``lab_results_by_day``): a report row does not grow with them.
     """
     vital_fields = ["event_count", *METRICS] + [c for c in ("trend_direction",) if c in reports.columns]
-    none = f"CAST(array() AS ARRAY<{LAB_TEST.simpleString()}>)"
-    tests = f"CASE WHEN result_count IS NULL THEN {none} ELSE tests END" if "tests" in reports.columns else none
     counts = [f"coalesce({c}, 0L) AS {c}" for c in ("result_count", "abnormal_count")]
     return reports.selectExpr(
         *DAY_KEY,
         f"struct({', '.join(vital_fields)}) AS vitals_summary",
-        f"struct({', '.join(counts)}, {tests} AS tests) AS lab_summary",
+        f"struct({', '.join(counts)}) AS lab_summary",
         "CAST(risk_score AS DECIMAL(5, 2)) AS risk_score",
         "risk_flag",
     )

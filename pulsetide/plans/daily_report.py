@@ -11,7 +11,6 @@ from pulsetide.functions.clock import sim_date
 from pulsetide.operators.clean import dedupe_readings
 from pulsetide.operators.labs import accepted_rows, file_verdicts, normalize_labs
 from pulsetide.operators.summaries import (
-    NESTED_TESTS,
     as_json,
     build_reports,
     daily_vitals,
@@ -19,7 +18,6 @@ from pulsetide.operators.summaries import (
     lab_results_by_day,
     nest_summaries,
     on_days,
-    summarize_labs,
 )
 from pulsetide.params import Params, SimClock
 from pulsetide.schemas import RESULT
@@ -44,17 +42,10 @@ def risk_scores(
 
 
 def risk_reports(
-    readings: DataFrame,
-    labs: DataFrame,
-    first: date,
-    last: date,
-    params: Params = Params(),
-    nested_tests: int = NESTED_TESTS,
+    readings: DataFrame, labs: DataFrame, first: date, last: date, params: Params = Params()
 ) -> DataFrame:
     """Report rows with nested summaries for every patient-day from first to last."""
-    vitals = daily_vitals(on_days(readings, "timestamp", first, last))
-    summaries = summarize_labs(on_days(labs, "collected_at", first, last), nested_tests)
-    return nest_summaries(build_reports(vitals, summaries, params.limits, params.risk))
+    return nest_summaries(risk_scores(readings, labs, first, last, params))
 
 
 class RunStatus(NamedTuple):
@@ -138,13 +129,12 @@ def store_run(
     """
     results = lab_results_by_day(on_days(labs, "collected_at", first, last))
     write_by_date(results, _results_folder(target), "report_date")
-    store_reports(nest_summaries(risk_scores(readings, labs, first, last, params)), target, version)
+    store_reports(risk_reports(readings, labs, first, last, params), target, version)
 
 
 def store_reports(reports: DataFrame, target: KeyedTable, version: int) -> None:
     """Stored summaries hold the counts of results; the results are rows of their own (``store_run``)."""
-    counted = reports.withColumn("lab_summary", F.col("lab_summary").dropFields("tests"))
-    target.write_changes(as_json(counted).withColumn("generated_at", F.current_timestamp()), version)
+    target.write_changes(as_json(reports).withColumn("generated_at", F.current_timestamp()), version)
 
 
 def stored_results(spark: SparkSession, target: KeyedTable) -> DataFrame:

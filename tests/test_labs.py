@@ -10,6 +10,7 @@ from pulsetide.operators.summaries import (
     as_json,
     build_reports,
     daily_vitals,
+    lab_counts,
     lab_test_pages,
     nest_summaries,
     summarize_labs,
@@ -114,13 +115,17 @@ def typed_labs(spark, rows):
     return spark.createDataFrame([(p, "WBC", float(v), "4-11", 4.0, 11.0, utc(2026, 1, 5), v > 11) for p, v in rows], LAB)
 
 
-def test_oversized_patient_days_keep_all_results_in_pages(spark):
-    """One patient-day holds most rows: no array is built for it, its pages are whole."""
+def test_every_patient_day_keeps_all_results_in_lists(spark):
+    """One patient-day holds most rows: one rule splits it like the others, and nothing is lost."""
     rows = [("HOT", i % 50) for i in range(500)] + [("P1", 3), ("P1", 12)]
     labs = typed_labs(spark, rows)
-    summary = {r.patient_id: r for r in summarize_labs(labs, nested_tests=100).collect()}
-    assert summary["HOT"].tests is None and summary["HOT"].result_count == 500 and summary["HOT"].abnormal_count == 380
-    assert [t.result_value for t in summary["P1"].tests] == [3.0, 12.0]
+    lists = summarize_labs(labs, page_rows=10).collect()
+    hot = [r for r in lists if r.patient_id == "HOT"]
+    assert len(hot) == 5 and {(r.result_count, r.abnormal_count) for r in hot} == {(500, 380)}
+    assert sorted((t.result_value, t.times) for r in hot for t in r.tests) == [(float(i), 10) for i in range(50)]
+    one = [r for r in summarize_labs(labs).collect() if r.patient_id == "HOT"]
+    assert [(t.result_value, t.times) for t in one[0].tests] == [(float(i), 10) for i in range(50)] and len(one) == 1
+    assert [[t.result_value for t in r.tests] for r in lists if r.patient_id == "P1"] == [[3.0, 12.0]]
     pages = lab_test_pages(labs, page_rows=10).collect()
     hot = [r for r in pages if r.patient_id == "HOT"]
     assert sum(r.times for r in hot) == 500 and len(hot) == 50 and {r.page for r in hot} == set(range(5))
@@ -147,11 +152,11 @@ def test_daily_vitals(spark):
 
 def test_report_joins_both_sides_and_orders(spark):
     vitals = daily_vitals(readings(spark, {"patient_id": "P002", "heart_rate": 130.0}))
-    reports = nest_summaries(build_reports(vitals, summarize_labs(typed_labs(spark, [("P001", 12), ("P001", 5)]))))
+    reports = nest_summaries(build_reports(vitals, lab_counts(typed_labs(spark, [("P001", 12), ("P001", 5)]))))
     got = {r.patient_id: r for r in as_json(reports).collect()}
     assert got["P001"].vitals_summary == "{}"
-    assert got["P001"].lab_summary.startswith('{"result_count":2,"abnormal_count":1,"tests":[{"test_type":"WBC","result_value":5.0')
-    assert got["P002"].lab_summary == '{"result_count":0,"abnormal_count":0,"tests":[]}'
+    assert got["P001"].lab_summary == '{"result_count":2,"abnormal_count":1}'
+    assert got["P002"].lab_summary == '{"result_count":0,"abnormal_count":0}'
     assert '"avg_hr":130.0' in got["P002"].vitals_summary and '"event_count":1' in got["P002"].vitals_summary
     assert float(got["P001"].risk_score) == 15.0 and got["P002"].risk_flag == "LOW"
     assert [r.patient_id for r in daily_report(reports, DAY).collect()] == ["P001", "P002"]
