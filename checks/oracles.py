@@ -295,6 +295,8 @@ LAB_COLUMNS = (
 )
 WIN_SQL = f"WITH {WINDOWS} SELECT * FROM wins"
 EPISODE_SQL = f"WITH {EPISODES} SELECT * FROM eps"
+# Without what arrives weeks behind the watermark.
+ON_TIME = "FROM events WHERE NOT (event_id % 41 = 5 AND ts < TIMESTAMP '2024-01-08'))"
 NOON = "wins_noon AS (SELECT * FROM wins WHERE window_end <= TIMESTAMP '2024-01-15 12:00:00')"
 
 
@@ -490,6 +492,8 @@ SELECT (SELECT count(DISTINCT event_id) FROM good) AS accepted,
   (SELECT count(*) FROM dirty) - (SELECT count(*) FROM good) AS rejected"""
     sql["stream_windows"] = WIN_SQL
     sql["stream_alerts"] = EPISODE_SQL
+    sql["stream_windows_late"] = WIN_SQL.replace("FROM events)", ON_TIME)
+    sql["stream_alerts_late"] = EPISODE_SQL.replace("FROM events)", ON_TIME)
     sql["stream_alert_state"] = f"""WITH {WINDOWS}, closed AS (
   SELECT * FROM wins WHERE window_end <= (SELECT max("timestamp") FROM clean) - INTERVAL 2 MINUTE),
 {episodes('eps', 'closed')} SELECT * FROM eps"""

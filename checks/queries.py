@@ -34,6 +34,8 @@ FIRST, LAST = date(2024, 1, 1), date(2024, 1, 30)
 REPORT_DAY = date(2024, 1, 9)
 STRICTER = AlertLimits(hr_high=100.0, spo2_low=95.0, temp_high=37.5, sbp_low=110.0)
 CLOCK = SimClock(real_start=datetime(2024, 1, 1, tzinfo=timezone.utc), sim_start=date(2026, 1, 1))
+# Events that arrive weeks late in some of the streams.
+LATE = "event_id % 41 = 5 AND ts < TIMESTAMP_NTZ '2024-01-08'"
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 
 
@@ -580,6 +582,33 @@ def stream_alerts(spark, sf):
     return plain(_live_run(spark, sf)[1].current())
 
 
+def _late_run(spark, sf):
+    """The same stream in four turns, each started anew from the checkpoint.
+
+    A turn brings eight days; the last also brings some events of the first week,
+    which by then lie behind the watermark. Tables are compacted on the way.
+    """
+    folder = shared_folder(spark, "turns")
+    side = _streaming(spark)
+    events = w.table(spark, sf, "events")
+    turn = F.expr(f"CASE WHEN {LATE} THEN 3 ELSE least((day(ts) - 1) div 8, 3) END")
+    for k in range(4):
+        events.where(turn == k).write.parquet(f"{folder}/in/{k}")
+        landed = side.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(f"{folder}/in")
+        live, alerts = live_table(side, f"{folder}/live"), alert_table(side, f"{folder}/alerts")
+        raw = w.vitals_from_events(landed)
+        _run(speed.start_live(raw, live, alerts, f"{folder}/checkpoint", available_now=True, compact_every=2))
+    return live_table(spark, f"{folder}/live"), alert_table(spark, f"{folder}/alerts")
+
+
+def stream_windows_late(spark, sf):
+    return plain(_late_run(spark, sf)[0].current())
+
+
+def stream_alerts_late(spark, sf):
+    return plain(_late_run(spark, sf)[1].current())
+
+
 def stream_alert_state(spark, sf):
     folder = shared_folder(spark, "state")
     closed = speed.stream_windows(w.vitals_from_events(_event_stream(_streaming(spark), sf)))
