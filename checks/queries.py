@@ -148,8 +148,10 @@ def patient_alert_list(spark, sf):
     episodes = _episodes(spark, sf)
     busiest = episodes.join(w.patients(spark, sf).select("patient_id"), "patient_id", "left_semi")
     counted = busiest.groupBy("patient_id").agg(F.count("*").alias("n"))
-    chosen = counted.orderBy(F.desc("n"), "patient_id").first()[0]
-    return plain(serving.patient_alerts(episodes, w.patients(spark, sf), chosen, "all"))
+    chosen = counted.orderBy(F.desc("n"), "patient_id").first()
+    if chosen is None:
+        return plain(busiest)
+    return plain(serving.patient_alerts(episodes, w.patients(spark, sf), chosen[0], "all"))
 
 
 def last_data_received(spark, sf):

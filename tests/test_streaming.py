@@ -12,7 +12,7 @@ from pulsetide.schemas import RAW_READING
 from pulsetide.sinks.tables import alert_table, live_table
 from pulsetide.sources.readings import decode_readings
 from pulsetide.streaming import alert_state, speed
-from pulsetide.streaming.progress import progress_rows
+from pulsetide.streaming.progress import ProgressLog, progress_rows
 from tests.conftest import rows_of, utc
 
 T0 = utc(2026, 1, 1, 12)
@@ -103,6 +103,21 @@ def test_late_rows_are_dropped_and_copies_leave_the_state(spark, tmp_path):
     assert last.state_rows <= 4
 
 
+def test_progress_log_keeps_every_batch(spark, tmp_path):
+    folder = tmp_path / "in"
+    for i, rows in enumerate(IN_ORDER):
+        land(folder, str(i), rows)
+    log = ProgressLog(spark, f"{tmp_path}/log")
+    spark.streams.addListener(log)
+    try:
+        query = run(speed.start_archive(source(spark, folder), f"{tmp_path}/archive", f"{tmp_path}/cp", available_now=True))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(log)
+    same(log.rows().select("batch_id", "input_rows"), progress_rows(spark, query).select("batch_id", "input_rows"))
+    assert log.rows().agg(F.sum("input_rows")).first()[0] == sum(map(len, IN_ORDER))
+
+
 def test_archive_can_keep_late_rows(spark, tmp_path):
     folder = tmp_path / "in"
     land(folder, "0", [event("a", 600)])
