@@ -6,9 +6,11 @@ counts, in any order, to the same result: map-side per task, then per (lang,
 source), and those again per language and over all. A group of too few documents
 takes its language's thresholds, a small language all documents'.
 
-A threshold is a far-out fence, several spreads beyond the quartiles, and never
-nearer than a fixed margin: it finds documents unlike their own source's, and
-leaves alone a source whose documents are all alike.
+A threshold is the nearer of two. The outer quantile of the group's sketch, one
+bucket further on, so that rounding rejects nothing and a source whose documents
+are all alike is left alone: it finds documents that stick out of their own
+source. And a far-out fence, several spreads and at least a fixed margin beyond
+the quartiles: it holds where more documents than the quantile leaves out are junk.
 """
 
 from __future__ import annotations
@@ -31,7 +33,12 @@ LEAST_GROUP = 200
 #: Spreads (quartile to quartile) from a quartile to its fence.
 SPREADS = 6.0
 
-#: measure: (least margin above the upper quartile, same below the lower; None: no lower fence). Per mille.
+#: Percent of a group's documents beyond each outer quantile.
+OUTER = 1
+#: Columns of quantiles, in percent.
+PLACES = {"low": 25, "high": 75, "least": OUTER, "most": 100 - OUTER}
+
+#: measure: (least margin of the fence above the upper quartile, same below the lower; None: no lower fence). Per mille.
 MEASURES: dict[str, tuple[int, int | None]] = {
     "word_length": (6_000, 3_000),
     "symbol_rate": (500, None),
@@ -106,6 +113,11 @@ def measured(docs: DataFrame) -> DataFrame:
     )
 
 
+def width(value: Column) -> Column:
+    """Of the value's bucket."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.length(F.bin(value)) - 6, F.lit(0)))
+
+
 def bucket(value: Column) -> Column:
     """The value with all but its six leading binary digits set to zero."""
     drop = F.greatest(F.length(F.bin(value)) - 6, F.lit(0))
@@ -119,35 +131,37 @@ def sketches(rows: DataFrame, measures=tuple(MEASURES)) -> DataFrame:
 
 
 def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """by, measure, size, low, high: documents and quartiles of each group, from its merged sketch."""
+    """by, measure, size, low, high, least, most: documents, quartiles and outer quantiles of each group, from its merged sketch."""
     merged = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "measure")
     running = F.sum("n").over(group.orderBy("bucket"))
     ranked = merged.select(*by, "measure", "bucket", running.alias("upto"), F.sum("n").over(group).alias("size"))
-    low = F.min(F.when(4 * F.col("upto") >= F.col("size"), F.col("bucket")))
-    high = F.min(F.when(4 * F.col("upto") >= 3 * F.col("size"), F.col("bucket")))
-    return ranked.groupBy(*by, "measure").agg(F.max("size").alias("size"), low.alias("low"), high.alias("high"))
+
+    def at(percent: int) -> Column:
+        return F.min(F.when(100 * F.col("upto") >= percent * F.col("size"), F.col("bucket")))
+
+    return ranked.groupBy(*by, "measure").agg(F.max("size").alias("size"), *[at(p).alias(name) for name, p in PLACES.items()])
 
 
 def thresholds(sketch: DataFrame, least_group: int = LEAST_GROUP, spreads: float = SPREADS) -> DataFrame:
     """lang, source, measure, floor, ceiling: of the group, its language or all documents, the first that is large enough."""
     own = quartiles(sketch, ["lang", "source"])
-    lang = quartiles(sketch, ["lang"]).selectExpr("lang AS l", "measure AS m", "size AS lang_size", "low AS lang_low", "high AS lang_high")
-    whole = quartiles(sketch, []).selectExpr("measure AS w", "low AS all_low", "high AS all_high")
+    lang = quartiles(sketch, ["lang"]).selectExpr("lang AS l", "measure AS m", "size AS lang_size", *[f"{c} AS lang_{c}" for c in PLACES])
+    whole = quartiles(sketch, []).selectExpr("measure AS w", *[f"{c} AS all_{c}" for c in PLACES])
     rows = own.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("m"))).join(whole, F.col("measure") == F.col("w"))
 
     def chosen(name: str) -> Column:
         small = F.when(F.col("lang_size") >= least_group, F.col(f"lang_{name}")).otherwise(F.col(f"all_{name}"))
         return F.when(F.col("size") >= least_group, F.col(name)).otherwise(small)
 
-    rows = rows.withColumn("q1", chosen("low")).withColumn("q3", chosen("high"))
+    rows = rows.withColumns({"q1": chosen("low"), "q3": chosen("high"), "q_least": chosen("least"), "q_most": chosen("most")})
     spread = spreads * (F.col("q3") - F.col("q1"))
     above = reduce(lambda c, m: c.when(F.col("measure") == m, MEASURES[m][0]), MEASURES, F.when(F.lit(False), 0))
     below = reduce(lambda c, m: c.when(F.col("measure") == m, F.lit(MEASURES[m][1]).cast("int")), MEASURES, F.when(F.lit(False), 0))
     return rows.select(
         "lang", "source", "measure",
-        (F.col("q1") - F.greatest(spread, below.cast("double"))).alias("floor_"), below.alias("below"),
-        (F.col("q3") + F.greatest(spread, above.cast("double"))).alias("ceiling"),
+        F.greatest(F.col("q1") - F.greatest(spread, below.cast("double")), F.col("q_least") - width(F.col("q_least"))).alias("floor_"), below.alias("below"),
+        F.least(F.col("q3") + F.greatest(spread, above.cast("double")), F.col("q_most") + 2 * width(F.col("q_most")) - 1).alias("ceiling"),
     ).select("lang", "source", "measure", F.when(F.col("below").isNotNull(), F.col("floor_")).alias("floor"), "ceiling")
 
 
@@ -157,7 +171,7 @@ def judge(docs: DataFrame, least_group: int = LEAST_GROUP, spreads: float = SPRE
     Words are split at white space. base_failed: fewer than 20 words, or more than
     30 % of them in 8-word windows found twice or more in the text; so a null or
     empty text fails. Others are kept if all their measures are within their
-    group's fences. Null languages and sources are groups of their own; repeated
+    group's thresholds, which are taken from those others. Null languages and sources are groups of their own; repeated
     rows count each; an empty table gives none. Other columns are not read.
     """
     rows = store(measured(docs), f"{folder or shared_folder(docs.sparkSession, 'quality')}/measured")

@@ -364,6 +364,25 @@ def test_quality_finds_the_odd_ones_of_a_source(spark, shared):
     assert [r[0] for r in got(out, "doc_id")] == [1000, 1001, 1002]
 
 
+def test_quality_finds_what_sticks_out_below_the_fences(spark, shared):
+    rng = random.Random(9)
+
+    def lined(distinct):
+        lines = [prose(rng, 3, 5000) for _ in range(distinct)]
+        lines += [rng.choice(lines) for _ in range(20 - distinct)]
+        rng.shuffle(lines)
+        return "\n".join(lines)
+
+    rows = [(i, lined(20), "en", "calm") for i in range(300)] + [(1000 + i, lined(11), "en", "calm") for i in range(2)]
+    rows += [(2000 + i, lined(11), "en", "loose") for i in range(300)]
+    frame = spark.createDataFrame([(*r, "", "") for r in rows], DOCS)
+    out = quality.judge(frame, folder=f"{shared}/below").where("NOT kept AND NOT base_failed AND n_dup_lines > 0")
+    ids = [r[0] for r in got(out, "doc_id")]
+    assert [i for i in ids if i < 2000] == [1000, 1001]
+    # Where that is usual, only the outer hundredth on each side of a measure goes.
+    assert len(ids) - 2 <= 15
+
+
 def test_sketches_merge_in_any_order(docs, shared):
     rows = quality.measured(docs).persist()
     whole = quality.quartiles(quality.sketches(rows), ["lang"])
