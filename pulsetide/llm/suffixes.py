@@ -15,7 +15,10 @@ compared from there on. The merge yields the order and its common prefixes (LCP)
 Verdict: a window that starts d bytes before its anchor is repeated if some other
 suffix shares 200 - d bytes to the right and d to the left. Within a stretch of the
 order that shares a gram, suffixes seen twice in whole are repeated in all their
-windows; for the others the common lengths of both sides give the d.
+windows; for the others the common lengths of both sides give the d. A first few
+bytes that would fill more than a part are hot: whole grams lie in them, so their
+suffixes are left out of the order, and their windows are exchanged one by one as
+fingerprints of 96 bits, which any number of parts can share.
 """
 
 from __future__ import annotations
@@ -292,8 +295,8 @@ def _merge_part(length: int):
 
 
 def _prefix(row: tuple[bytes, bytes]) -> int:
-    """The suffix's first seven bytes as a number of the same order."""
-    return int.from_bytes(row[0][:7], "big")
+    """The suffix's first six bytes as a number of the same order; percentiles are exact on so many bits."""
+    return int.from_bytes(row[0][:6], "big")
 
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, folder: str | None = None) -> DataFrame:
@@ -315,17 +318,25 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, folder: str | None = N
     # Bounds of the parts: quantiles of a sample's first bytes, merged from sketches.
     sampled = store(packed.mapInArrow(_sort_run(folder, length), "run long, n long, prefixes array<long>"), f"{folder}/prefixes")
     count = sampled.agg(F.sum("n")).first()[0] or 0
+    hot: list[int] = []
     if count:
         parts = max(1, -(-int(count) // PART_SUFFIXES))
         at = [i / parts for i in range(1, parts)]
-        bounds = []
+        cuts: list[int] = []
         if at:
             each = sampled.select(F.explode("prefixes").alias("p"))
-            bounds = sorted(set(each.agg(F.percentile_approx("p", at, 20 * parts + 100)).first()[0]))
-        sent = sampled.where("n > 0").select("run").mapInArrow(_send_sorted(folder, bounds), r.SENT)
-        r.exchange(sent, f"{folder}/verdicts", _merge_part(length))
+            cuts = each.agg(F.percentile_approx("p", at, 20 * parts + 100)).first()[0]
+        bounds = sorted(set(cuts))
+        hot = [p for p in bounds if cuts.count(p) > 1]
+        runs = sampled.where("n > 0").select("run")
+        r.exchange(runs.mapInArrow(_send_sorted(folder, bounds, hot), r.SENT), f"{folder}/verdicts", _merge_part(length))
+        if hot:
+            files.make_folder(f"{folder}/hot")
+            rows = sum(cuts.count(p) + 1 for p in hot) * PART_SUFFIXES
+            several = max(1, -(-rows * (length - GRAM + 1) // r.PART_VALUES))
+            r.exchange(runs.mapInArrow(_send_windows(folder, hot, several, length), r.SENT), f"{folder}/windows")
     return packed.mapInArrow(
-        _remover(folder, length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+        _remover(folder, length, bool(hot)), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
 
 
@@ -372,18 +383,27 @@ _SAMPLE = pa.schema([("run", pa.int64()), ("n", pa.int64()), ("prefixes", pa.lis
 _SENT = pa.schema([("part", pa.int64()), ("run", pa.int64()), ("payload", pa.binary())])
 
 
-def _send_sorted(folder: str, bounds: list[int]):
+def _sorted(folder: str, run: int) -> tuple[list[tuple[bytes, bytes]], list[bool]]:
+    """A run's (suffix, left) in order, and which are there more than once."""
+    got = r.load(f"{folder}/sorted/{run}")
+    order, many, at = [], [], 0
+    raw = got["blobs"].tobytes()
+    for size in got["size"].tolist():
+        some, _, twice = front_decode(raw[at : at + size])
+        order += some
+        many += twice
+        at += size
+    return order, many
+
+
+def _send_sorted(folder: str, bounds: list[int], hot: list[int]):
     def send(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for run in batch.column("run").to_pylist():
-                got = r.load(f"{folder}/sorted/{run}")
-                order, many, at = [], [], 0
-                raw = got["blobs"].tobytes()
-                for size in got["size"].tolist():
-                    some, _, twice = front_decode(raw[at : at + size])
-                    order += some
-                    many += twice
-                    at += size
+                order, many = _sorted(folder, run)
+                if hot:
+                    cold = [i for i, x in enumerate(order) if _prefix(x) not in hot]
+                    order, many = [order[i] for i in cold], [many[i] for i in cold]
                 part = np.searchsorted(bounds, [_prefix(x) for x in order], "right") if bounds else np.zeros(len(order), np.int64)
                 cut = np.searchsorted(part, np.arange(len(bounds) + 2))
                 out: dict[str, list] = {"part": [], "run": [], "payload": []}
@@ -397,20 +417,79 @@ def _send_sorted(folder: str, bounds: list[int]):
     return send
 
 
-def _covered(folder: str, run: int, n: int, length: int) -> np.ndarray:
+def window_values(rows: list[tuple[bytes, bytes]], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints (64 and 32 bits) of all windows of each (suffix, left), in text order."""
+    values, checks = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+    for lo in range(0, len(rows), 4_000):
+        texts = [left[::-1] + suffix for suffix, left in rows[lo : lo + 4_000]]
+        data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+        at = np.concatenate([np.arange(e - len(t), e - length + 1) for t, e in zip(texts, ends.tolist())])
+        values.append(w.span_hashes(data, at, at + length))
+        # Other values of the same bytes make it another polynomial.
+        checks.append((w.span_hashes(data ^ np.uint8(0xA5), at, at + length) >> np.uint64(32)).astype(np.uint32))
+    return np.concatenate(values), np.concatenate(checks)
+
+
+def _send_windows(folder: str, hot: list[int], parts: int, length: int):
+    def send(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for run in batch.column("run").to_pylist():
+                order, many = _sorted(folder, run)
+                mine = np.array([i for i, x in enumerate(order) if _prefix(x) in hot], np.int64)
+                some = [order[i] for i in mine.tolist()]
+                values, checks = window_values(some, length)
+                size = np.array([len(x) + len(y) - length + 1 for x, y in some], np.int64)
+                sorting = np.lexsort((checks, values))
+                v, c = values[sorting], checks[sorting]
+                new = np.ones(len(v), bool)
+                new[1:] = (v[1:] != v[:-1]) | (c[1:] != c[:-1])
+                back = np.empty(len(v), np.uint32)
+                back[sorting] = np.cumsum(new) - 1
+                twice = np.bincount(back, minlength=int(new.sum())) > 1
+                twice[back[np.repeat(np.array([many[i] for i in mine.tolist()], bool), size)]] = True
+                left = np.array([len(y) for _, y in some], np.int64)
+                r.save(f"{folder}/hot/{run}", row=mine, size=size, left=left, back=back, n=np.array([len(twice)]))
+                yield r.send_values(run, v[new], c[new], twice, 64, parts)
+
+    return send
+
+
+def _hot_verdicts(folder: str, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row in the run's order, number of intervals, intervals of distances) of a run's hot suffixes."""
+    got = r.load(f"{folder}/hot/{run}")
+    found = r.answered(f"{folder}/windows", run, int(got["n"][0]))[got["back"]]
+    row = np.repeat(np.arange(len(got["row"])), got["size"])
+    edge = np.ones(len(row) + 1, bool)
+    edge[1:-1] = (row[1:] != row[:-1]) | (found[1:] != found[:-1])
+    at = np.flatnonzero(edge)
+    lo, hi = at[:-1], at[1:] - 1
+    lo, hi = lo[found[lo]], hi[found[lo]]
+    first = np.cumsum(got["size"]) - got["size"]
+    distance = (got["left"] + first)[row[lo]]
+    return got["row"], np.bincount(row[lo], minlength=len(got["row"])), np.stack((distance - hi, distance - lo), axis=1)
+
+
+def _covered(folder: str, run: int, n: int, length: int, some_hot: bool) -> np.ndarray:
     """Which bytes of a run go."""
     got = r.load(f"{folder}/sorted/{run}")
     if not int(got["n"][0]):
         return np.zeros(n, bool)
-    verdicts = r.load(f"{folder}/verdicts/{run}")
-    counts, pairs, at = [], [], 0
-    raw = verdicts["payload"].tobytes()
-    for k, size in zip(verdicts["n"].tolist(), verdicts["size"].tolist()):
-        counts.append(np.frombuffer(raw[at : at + 2 * k], "<u2"))
-        pairs.append(np.frombuffer(raw[at + 2 * k : at + size], "<u2").reshape(-1, 2))
-        at += size
-    count, pair = np.concatenate(counts).astype(np.int64), np.concatenate(pairs).astype(np.int64)
-    start = np.cumsum(count) - count
+    # Hot suffixes first, then those of the order.
+    hot, count, pair = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
+    if some_hot:
+        hot, count, pair = _hot_verdicts(folder, run)
+    counts, pairs, at = [count], [pair], 0
+    if len(hot) < int(got["n"][0]):
+        verdicts = r.load(f"{folder}/verdicts/{run}")
+        raw = verdicts["payload"].tobytes()
+        for k, size in zip(verdicts["n"].tolist(), verdicts["size"].tolist()):
+            counts.append(np.frombuffer(raw[at : at + 2 * k], "<u2"))
+            pairs.append(np.frombuffer(raw[at + 2 * k : at + size], "<u2").reshape(-1, 2))
+            at += size
+    each, pair = np.concatenate(counts).astype(np.int64), np.concatenate(pairs).astype(np.int64)
+    place = np.concatenate((hot, np.delete(np.arange(int(got["n"][0])), hot)))
+    count, start = np.empty(len(each), np.int64), np.empty(len(each), np.int64)
+    count[place], start[place] = each, np.cumsum(each) - each
     mine = count[got["back"]]
     which = np.repeat(start[got["back"]] - (np.cumsum(mine) - mine), mine) + np.arange(int(mine.sum()))
     anchor = np.repeat(got["anchor"], mine)
@@ -418,10 +497,10 @@ def _covered(folder: str, run: int, n: int, length: int) -> np.ndarray:
     return np.cumsum(np.bincount(lo, minlength=n + 1) - np.bincount(hi, minlength=n + 1))[:n] > 0
 
 
-def _remover(folder: str, length: int):
+def _remover(folder: str, length: int, some_hot: bool):
     def remove(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run, ids, texts in r.opened(rows):
-            gone = _covered(folder, run, len(texts.data), length)
+            gone = _covered(folder, run, len(texts.data), length, some_hot)
             for lo, hi, part in w.slices(texts):
                 base = texts.offsets[lo]
                 here = gone[base : base + len(part.data)]

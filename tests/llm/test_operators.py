@@ -172,6 +172,22 @@ def test_verdicts_of_suffixes_hold_for_any_group(seed, monkeypatch):
             assert sorted(a - d for lo, hi in verdict[key] for d in range(lo, hi + 1)) == expected
 
 
+def test_a_hot_passage_is_spread_over_parts(spark, shared, monkeypatch):
+    """One passage in all documents, with different text around it: no part holds all its suffixes."""
+    rng = random.Random(11)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(300))
+    texts = [prose(rng, 60, 9000) + passage[:150] + prose(rng, 60, 9000) for _ in range(300)]
+    texts += [prose(rng, 40, 9000) + passage[: rng.randrange(190, 300)] + prose(rng, 40, 9000) for _ in range(30)]
+    texts += [texts[0]] * 2 + [passage[20:150] * 3]
+    monkeypatch.setattr(suffixes, "PART_SUFFIXES", 20)
+    folder = f"{shared}/hot-passage"
+    rows = suffixes.repeated_bytes(documents(spark, texts), folder=folder)
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert got(rows, *names) == sorted(brute_bytes(texts, 200), key=repr)
+    runs = [r["run"] for r in spark.read.parquet(f"{folder}/runs").select("run").collect()]
+    assert max(int(suffixes.r.load(f"{folder}/verdicts/{run}")["n"].max()) for run in runs) <= 3 * 20
+
+
 # Near duplicates
 
 
