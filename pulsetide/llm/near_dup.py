@@ -11,8 +11,11 @@ is negligible (see `miss`).
 
 A larger node offers its sets against one pivot and branches on; once its sets
 are all in one component it has nothing more to tell and is dropped, however
-large it is. Nodes that still join several components at the last level are
-finished exactly: their sets are compared in blocks, each with all others.
+large it is. Sets of nodes that still join several components at the last level are
+finished by a prefix join on rare shingles: two similar sets share one of the
+first shingles of each in any one order of all shingles, rarest first, and early
+enough that what follows can still make them similar. So a passage that a whole
+family shares makes no pairs unless it is long enough to link them.
 
 Candidates pass two estimates, 128 bits that travel with each row and then the whole
 signature (each 4.5 standard deviations below the threshold), and are confirmed on
@@ -46,8 +49,10 @@ NODES = "node long, rep long, bits long, more long"
 BROADCAST_ROWS, FILE_SETS = 400_000, 20_000
 #: Members compared with one center in one run of rows.
 RUN = 64
-#: Sets in one block of what is left at the last level.
-BLOCK = 300
+#: Counters that order shingles by how often they are left at the last level.
+COUNTERS = 1 << 18
+#: Standard deviations below the threshold at which an estimate rules a pair out, and the same of what is left.
+SIGMAS, SIGMAS_LEFT = 4.5, 6.0
 
 _rng = np.random.default_rng(7)
 _FACTOR = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -156,8 +161,8 @@ def _nodes(child: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *map(pa.array, columns)], names=["node", "rep", "bits", "more"])
 
 
-def _agree(percent: int):
-    least = percent / 100 - 4.5 * (percent / 100 * (1 - percent / 100) / COORDINATES) ** 0.5
+def _agree(percent: int, sigmas: float = SIGMAS):
+    least = percent / 100 - sigmas * (percent / 100 * (1 - percent / 100) / COORDINATES) ** 0.5
 
     def agree(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -220,12 +225,12 @@ class _Join:
         nodes = self.keep(nodes)
         return nodes.join(self.keep(nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")), "node")
 
-    def near(self, pairs: DataFrame) -> DataFrame:
+    def near(self, pairs: DataFrame, sigmas: float = SIGMAS) -> DataFrame:
         """Candidate pairs that the signatures don't rule out: a, b, likely; their texts are made ready."""
         a = self.reps.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a"))
         b = self.reps.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b"))
         pairs = self.small(self.keep(pairs))
-        near = self.keep(pairs.join(a, "a").join(b, "b").mapInArrow(_agree(self.percent), "a long, b long, likely boolean"))
+        near = self.keep(pairs.join(a, "a").join(b, "b").mapInArrow(_agree(self.percent, sigmas), "a long, b long, likely boolean"))
         self.fetch(near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))))
         return near
 
@@ -372,8 +377,7 @@ def _links(join: _Join, depth: int) -> tuple[DataFrame, DataFrame]:
         if held.isEmpty():
             break
         if level >= depth:
-            links.append(join.keep(_remaining(join, held)))
-            comp = components(reduce(DataFrame.union, links), join.keep)
+            comp = _confirmed(join, _remaining(join, held), links, SIGMAS_LEFT)
             break
         nodes = _next(join, held, level)
     return reduce(DataFrame.union, links).distinct(), comp
@@ -384,13 +388,13 @@ def _next(join: _Join, big: DataFrame, level: int) -> DataFrame:
     return rows.mapInArrow(_branch(level, join.second), NODES)
 
 
-def _confirmed(join: _Join, pairs: DataFrame, links: list[DataFrame]) -> DataFrame:
+def _confirmed(join: _Join, pairs: DataFrame, links: list[DataFrame], sigmas: float = SIGMAS) -> DataFrame:
     """Add the pairs' links, as many as tell the components; returns these.
 
     First each set's likely pair with the least other set, then the pairs that
     still part two components.
     """
-    near = join.near(pairs)
+    near = join.near(pairs, sigmas)
     first = near.where("likely").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links.append(join.keep(join.linked(first)))
     comp = components(reduce(DataFrame.union, links), join.keep)
@@ -410,70 +414,67 @@ def _across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def _remaining(join: _Join, held: DataFrame) -> DataFrame:
-    """All links between components among sets that still share nodes at the last level.
+    """Pairs that may be links, of different components, among sets of nodes that are still open at the last level.
 
-    Sets that share nodes, directly or through others, make a bag. A bag is cut
-    into blocks of a fixed size, and each two blocks are compared in one task on
-    their full shingle sets, so no row stands for a pair that is not linked.
+    The order of shingles comes from a bounded table of counters, by hash; any
+    order gives all links, and this one keeps hot shingles out of the prefixes.
+    In a shingle's rows the most common component is not joined with itself.
     """
-    hubs = held.groupBy("node").agg(F.min("rep").alias("a"))
-    bags = components(held.join(hubs, "node").select("a", F.col("rep").alias("b")), join.keep)
-    rows = held.select("rep", "comp").distinct().join(bags.withColumnRenamed("comp", "bag"), "rep")
-    rows = join.keep(rows)
-    sizes = rows.groupBy("bag").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    at = F.pmod(F.xxhash64("rep"), "blocks")
-    cut = rows.join(sizes, "bag").select("bag", F.col("rep").alias("doc_id"), "comp", at.alias("i"), F.explode(F.expr("sequence(0L, blocks - 1)")).alias("k"))
-    cut = cut.select("bag", "doc_id", "comp", F.least("i", "k").alias("lo"), F.greatest("i", "k").alias("hi"), (F.col("i") <= F.col("k")).alias("first"), (F.col("i") >= F.col("k")).alias("second"))
+    rows = join.keep(held.select("rep", "comp").distinct())
     join.fetch(rows.select(F.col("rep").alias("doc_id")))
     texts = reduce(DataFrame.union, join.texts)
-    blocks = join.small(join.keep(cut)).join(texts, "doc_id").repartition("bag", "lo", "hi").sortWithinPartitions("bag", "lo", "hi", "doc_id")
-    return blocks.mapInArrow(_compare(join.percent), "a long, b long").distinct()
-
-
-def _compare(percent: int):
-    """Rows sorted by pair of blocks: the linked (a, b) of different components, one of each block."""
-
-    def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+    texts = join.keep(texts.join(join.small(rows), texts["doc_id"] == rows["rep"]).select("rep", "comp", "text"))
+    counted = texts.select("text").mapInArrow(_count_shingles, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    counts = np.zeros(COUNTERS, np.int64)
+    for counter, n in counted.collect():
+        counts[counter] = n
+    order = join.spark.sparkContext.broadcast(counts)
+    first = join.keep(texts.mapInArrow(_prefixes(join.percent, order), "token long, rep long, comp long, n long, rest long"))
+    per = first.groupBy("token", "comp").agg(F.count("*").alias("n"))
+    tops = per.groupBy("token").agg(F.max_by("comp", F.struct("n", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1")
+    shared = join.keep(first.join(join.small(join.keep(tops.select("token", "top"))), "token"))
+    one = shared.where("comp <> top").selectExpr("token", "rep AS a", "comp AS x", "n AS na", "rest AS ra")
+    two = shared.selectExpr("token", "rep AS b", "comp AS y", "n AS nb", "rest AS rb")
+    fits = f"x <> y AND {100 + join.percent} * least(ra, rb) >= {join.percent} * (na + nb)"
+    return one.join(two, "token").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (w.mix(shingles) & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
+def _count_shingles(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(COUNTERS, np.int64)
+    for _, texts in w.batches(rows):
+        for shingles in shingle_sets(texts):
+            np.add.at(counts, _counter(shingles), 1)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at])], names=["counter", "n"])
+
+
+def _prefixes(percent: int, order):
+    """Per set its first shingles: token, rep, comp, shingles of the set, and those from this one on."""
+
+    def prefixes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = order.value
         for batch, texts in w.batches(rows):
-            keys = zip(*(batch.column(c).to_pylist() for c in ("bag", "lo", "hi")))
-            infos = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "comp", "first", "second")))
-            for now, info, shingles in zip(keys, infos, shingle_sets(texts)):
-                if now != key:
-                    yield _linked_in(held, percent)
-                    key, held = now, []
-                held.append((*info, shingles))
-        yield _linked_in(held, percent)
-
-    return compare
-
-
-def _linked_in(held: list[tuple], percent: int) -> pa.RecordBatch:
-    """Links of one pair of blocks; shared shingles are counted by products of slices of the incidence matrix."""
-    left, right = [], []
-    if held:
-        ids, comp, first, second, sets = zip(*held)
-        size = np.array([len(s) for s in sets])
-        doc = np.repeat(np.arange(len(sets)), size)
-        _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        # A shingle of one document is shared by none.
-        number = np.cumsum(times > 1) - 1
-        many = times[token] > 1
-        doc, token = doc[many], number[token[many]]
-        order = np.argsort(token, kind="stable")
-        doc, token = doc[order], token[order]
-        both = np.zeros((len(sets), len(sets)), np.float32)
-        for lo in range(0, int(number[-1]) + 1, 4096):
-            a, b = np.searchsorted(token, (lo, lo + 4096))
-            part = np.zeros((len(sets), 4096), np.float32)
-            part[doc[a:b], token[a:b] - lo] = 1
-            both += part @ part.T
-        comp = np.array(comp)
-        fine = 100 * both >= percent * (size[:, None] + size[None, :] - both)
-        fine &= (both > 0) & (comp[:, None] != comp[None, :]) & np.array(first)[:, None] & np.array(second)[None, :]
-        x, y = np.nonzero(fine)
-        left, right = [ids[i] for i in x], [ids[i] for i in y]
-    return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+            which, tokens, sizes, rests = [], [], [], []
+            for i, shingles in enumerate(shingle_sets(texts)):
+                n = len(shingles)
+                # The least overlap with any similar set is that with a subset of the threshold's size.
+                first = n - -(-percent * n // 100) + 1 if n else 0
+                tokens.append(shingles[np.lexsort((shingles, counts[_counter(shingles)]))[:first]].view(np.int64))
+                which += [i] * first
+                sizes += [n] * first
+                rests += range(n, n - first, -1)
+            at = pa.array(which, pa.int64())
+            flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat), batch.column("rep").take(at), batch.column("comp").take(at), pa.array(sizes, pa.int64()), pa.array(rests, pa.int64())],
+                names=["token", "rep", "comp", "n", "rest"],
+            )
+
+    return prefixes
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:

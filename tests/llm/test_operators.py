@@ -232,6 +232,32 @@ def test_a_large_loose_group_is_linked_as_brute_force_links_it(spark, shared):
     assert got(rows, "doc_id", "n_shingles", "component_id", "kept") == brute_components(texts, list(range(len(texts))))
 
 
+def test_a_template_family_makes_no_pairs_at_the_last_level(spark, shared, monkeypatch):
+    """Sets of similarity about 0.55, each pair below the threshold, and a few links: only these are candidates."""
+    rng = random.Random(12)
+    template = prose(rng, 100, 10_000)
+    texts = [f"{template} {prose(rng, 40, 10**6)}" for _ in range(150)]
+    texts += [" ".join([*t.split()[:-8], *prose(rng, 8, 10**6).split()]) for t in texts[:10]]
+    left, stored, remaining = [], [], near_dup._remaining
+    # The size of the blocks that each set was copied for.
+    monkeypatch.setattr(near_dup, "BLOCK", 10, raising=False)
+
+    def recorded(join, held):
+        keep = join.keep
+        join.keep = lambda rows: stored.append(keep(rows)) or stored[-1]
+        left.append((held.select("rep").distinct().count(), join.keep(remaining(join, held))))
+        join.keep = keep
+        return left[-1][1]
+
+    monkeypatch.setattr(near_dup, "_remaining", recorded)
+    rows = near_dup.near_duplicates(documents(spark, texts), trees=2, depth=3, leaf=2, folder=f"{shared}/template")
+    assert got(rows, "doc_id", "n_shingles", "component_id", "kept") == brute_components(texts, list(range(len(texts))))
+    (sets, pairs), = left
+    assert sets > 100 and pairs.count() <= 20
+    ids = [rows for rows in stored if "doc_id" in rows.columns]
+    assert all(rows.count() == rows.select("doc_id").distinct().count() for rows in ids)
+
+
 def test_repeated_ids_and_rows_without_id(spark, shared):
     long = prose(random.Random(1), 60)
     other = prose(random.Random(2), 60)
