@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,8 @@ from pulsetide.session import shared_folder, store
 SHINGLE = 5
 PERCENT = 75
 COORDINATES = 128
-TREES = 12
+#: As many as keep a miss at DEPTH below 2e-5.
+TREES = 28
 LEAF = 8
 #: Levels between two looks at the components, and levels in all.
 STRIDE, DEPTH = 3, 6
@@ -59,14 +61,20 @@ _FACTOR = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2)
 _SHIFT = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 
 
-def miss(level: int, percent: int = PERCENT, trees: int = TREES) -> float:
-    """Chance that two sets of exactly the threshold's similarity share no node of a level."""
-    s, lost = percent / 100, 0.0
-    second = 1 / s - 1
-    for _ in range(level):
-        gone = 1 - s * (1 - lost)
-        lost = (1 - second) * gone + second * gone**2
-    return lost**trees
+def miss(level: int, percent: int = PERCENT, trees: int = TREES, coordinates: int = COORDINATES) -> float:
+    """Chance that two sets of exactly the threshold's similarity share no node of a level.
+
+    All trees choose from one signature, so it is the mean over the number of its coordinates in which the two agree.
+    """
+    s, second = percent / 100, 100 / percent - 1
+    total = 0.0
+    for same in range(coordinates + 1):
+        lost = 0.0
+        for _ in range(level):
+            gone = 1 - same / coordinates * (1 - lost)
+            lost = (1 - second) * gone + second * gone**2
+        total += comb(coordinates, same) * s**same * (1 - s) ** (coordinates - same) * lost**trees
+    return total
 
 
 def shingle_sets(texts: w.Texts, size: int = SHINGLE) -> Iterator[np.ndarray]:

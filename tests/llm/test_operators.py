@@ -273,6 +273,12 @@ def test_a_missed_link_is_rare():
     assert near_dup.miss(1) < 1e-8 and near_dup.miss(3) < 1e-4
 
 
+def test_a_missed_link_is_rare_at_the_last_level():
+    assert near_dup.miss(near_dup.DEPTH) < 2e-5
+    # The signature's spread counts: agreement differs from pair to pair.
+    assert near_dup.miss(6, trees=12) > 3e-3 and near_dup.miss(6, trees=12, coordinates=100_000 // 128) < 2e-3
+
+
 # Decontamination
 
 
