@@ -63,6 +63,32 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
+OP12 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+draws AS (
+  SELECT doc_id, t, n,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS one, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS two,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS three, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS four
+  FROM d),
+cuts AS (
+  SELECT doc_id, t, n, least(one, two) AS lo, greatest(one, two) AS hi,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR three >= 90 THEN 'plain'
+              WHEN four < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM draws),
+parts AS (
+  SELECT *, substr(t, 1, lo) AS prefix, substr(t, lo + 1, hi - lo) AS middle, substr(t, hi + 1) AS suffix FROM cuts)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN lo END AS prefix_chars, CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
 
 def all_oracles() -> dict[str, str]:
-    return {"op6_mix": OP6, "op9_decontaminate": OP9}
+    return {"op6_mix": OP6, "op9_decontaminate": OP9, "op12_middle": OP12}

@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulsetide.llm import decontaminate, langid, mix, near_dup, quality, secrets, substrings, suffixes, tokens, warc
+from pulsetide.llm import align, decontaminate, langid, middle, mix, near_dup, packing, quality, secrets, substrings, suffixes, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCABULARY = "word_bpe_49k.json"
 RANKS = "byte_bpe_50k.tiktoken"
+BYTE_LEVEL = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -66,6 +68,26 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    rows = align.align(table(spark, folder, "documents"), public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return rows.withColumn("groups_sha256", digest).drop("groups")
+
+
+def op12_middle(spark: SparkSession, folder: str) -> DataFrame:
+    rows = middle.fill_in_middle(table(spark, folder, "documents"))
+    restored = middle.restored(F.col("output"), F.col("form"))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pieces_of(packing.pack(table(spark, folder, "documents"), public_tokenizers.path(BYTE_LEVEL)))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def all_queries() -> dict[str, Query]:
     return {
         name: query
