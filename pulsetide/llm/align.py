@@ -32,8 +32,8 @@ from pulsetide.session import shared_folder, store
 
 #: Distinct segments a worker remembers (about 250 bytes each), and distinct pairs a task counts before it sends them.
 CACHE, COUNTED = 400_000, 1_000_000
-#: Bytes of segments encoded as one string.
-JOINED = 64 << 10
+#: Bytes of whole documents aligned at once, and of segments encoded as one string.
+SLICE, JOINED = 1 << 20, 32 << 10
 #: Pairs in one file of the counts (17 bytes each).
 FILE_PAIRS = 2_000_000
 #: Links scored at once.
@@ -228,7 +228,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, folder: str) -> DataFrame
 
     def rows_of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligner(path_a, path_b)
-        for batch, texts in w.batches(rows):
+        for batch, texts in w.batches(rows, most=SLICE):
             per, groups, flat = tool.align(texts)
             raw, ends = flat.astype("<u8").tobytes(), 8 * np.cumsum(per[:, 3])
             links = [raw[e - 8 * n : e] for e, n in zip(ends.tolist(), per[:, 3].tolist())]

@@ -2,13 +2,13 @@
 
 A BM25 inverted index over token ids, cut in shards, finds for each seed document the
 unused documents nearest to it; they fill the seed's window one after the other.
-Document frequencies and the mean length are those of all documents (one row per id of
-the vocabulary). Documents are sorted by their most telling ids, so that shards hold
+Document frequencies are those of all whole documents (one row per id of the
+vocabulary). Documents are sorted by their most telling ids, so that shards hold
 related ones; a partition is a stream of shards of bounded size, each indexed, packed
 and dropped before the next is read, so a hot id is many shards.
 
-A document longer than a window fills windows of its own; its rest is a seed or a neighbour
-like others. The neighbour that overflows a window is cut, and what is left of it seeds
+A document longer than a window fills windows of its own, without a shuffle; its rest is a
+seed or a neighbour like others. The neighbour that overflows a window is cut, and what is left of it seeds
 the next. What is left at a partition's end is cut at powers of two, which need no padding.
 """
 
@@ -29,14 +29,16 @@ from pulsetide.session import shared_folder, store
 WINDOW = 2048
 END = 1
 K1, B = 1.2, 0.75
-#: Documents and ids that one shard of the index holds; a longer document is a shard with no other.
-SHARD_DOCS, SHARD_IDS = 1_000, 2_000_000
-#: Ids of one partition, in the mean.
-PARTITION_IDS = 8_000_000
+#: Documents, each of less than a window, that one shard of the index holds, and that one partition holds in the mean.
+SHARD_DOCS, PARTITION_DOCS = 1_000, 16_000
 #: Distinct segments a worker remembers.
-CACHE = 1_000_000
+CACHE = 2_000_000
 
 PACKED = "part long, local long, ids binary, pieces array<struct<doc_id: long, start: long, length: long, doc_tokens: long>>"
+_PIECES = pa.list_(pa.struct([(c, pa.int64()) for c in ("doc_id", "start", "length", "doc_tokens")]))
+_ENCODED = {
+    "doc_id": "long", "ids": "binary", "n_ids": "long", "row": "long", "part": "long", "own": "long", "one": "long", "two": "long", "counts": "binary"
+}
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -49,6 +51,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = Known(CACHE, self._forget, self._learn)
 
@@ -67,7 +70,7 @@ class Encoder:
 
     def encode(self, texts: w.Texts, end: int) -> list[np.ndarray]:
         """Each document's ids, closed by `end`. A text that holds a special token's string is encoded whole."""
-        start, stop, first = segments_of(texts)
+        start, stop, first = segments_of(texts, fine=True)
         place = self.known.places(texts.data, start, stop)
         size = self.size[place]
         sums = np.concatenate(([0], np.cumsum(size)))
@@ -91,80 +94,108 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def encoded(docs: DataFrame, vocabulary: str, folder: str, end: int = END) -> DataFrame:
-    """Stored, per row of the documents: doc_id, ids (unsigned 32-bit little-endian, `end` last), n_ids, row (a number of its own)."""
+def encoded(docs: DataFrame, vocabulary: str, folder: str, window: int, end: int = END) -> DataFrame:
+    """Stored, per row of the documents: doc_id, ids (`end` last, 16 bits each where the vocabulary allows it, else 32), n_ids, row
+    (a number of its own), part and own (its task, and the full windows of documents before it there), one and two.
+
+    one and two are the ids that tell most of a document: late in the vocabulary, where
+    rare ones are, and not met just once. Related documents share them. A task's last row
+    holds no document but counts: in how many of its documents each id occurs (32 bits each).
+    """
 
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 40
+        part = TaskContext.get().partitionId()
+        base = own = 0
+        tool, found = encoder(vocabulary), np.zeros(0, np.int64)
         for batch, texts in w.batches(rows):
-            ids = encoder(vocabulary).encode(texts, end)
-            raw = pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())
-            row = pa.array(range(base, base + len(ids)), pa.int64())
-            base += len(ids)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), raw, pa.array([len(x) for x in ids], pa.int64()), row], names=["doc_id", "ids", "n_ids", "row"])
+            ids = tool.encode(texts, end)
+            sizes = np.array([len(x) for x in ids], np.int64)
+            row, term, times = _terms(np.concatenate(ids), sizes)
+            one, two = telling(row, term, times)
+            found = _added(found, np.bincount(term))
+            before = own + np.cumsum(sizes // window) - sizes // window
+            columns = {
+                "doc_id": batch.column("doc_id"),
+                "ids": pa.array([x.astype(tool.width).tobytes() for x in ids], pa.binary()),
+                "n_ids": sizes,
+                "row": (part << 40) + base + np.arange(len(ids)),
+                "part": np.full(len(ids), part),
+                "own": before,
+                "one": one,
+                "two": two,
+                "counts": pa.nulls(len(ids), pa.binary()),
+            }
+            base, own = base + len(ids), own + int((sizes // window).sum())
+            yield pa.RecordBatch.from_pydict(columns)
+        kind = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_ids", "row", "part", "own", "one", "two")] + [("ids", pa.binary()), ("counts", pa.binary())])
+        yield pa.RecordBatch.from_pylist([{"n_ids": 0, "part": part, "counts": found.astype("<u4").tobytes()}], kind).select(list(_ENCODED))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.mapInArrow(encode, "doc_id long, ids binary, n_ids long, row long")
+    kind = ", ".join(f"{name} {kind}" for name, kind in _ENCODED.items())
+    return _stored(rows.mapInArrow(encode, kind), folder)
+
+
+def _added(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Counts by id, of which either may know fewer ids."""
+    out = np.zeros(max(len(one), len(two)), np.int64)
+    out[: len(one)] += one
+    out[: len(two)] += two
+    return out
+
+
+def _stored(rows: DataFrame, folder: str) -> DataFrame:
     rows.write.mode("overwrite").option("compression", "zstd").parquet(folder)
-    return docs.sparkSession.read.schema(rows.schema).parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
 
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a batch's documents end to end, and how many each has."""
+    sizes, raw = batch.column("n_ids").to_numpy(), b"".join(batch.column("ids").to_pylist())
+    return np.frombuffer(raw, _width(len(raw), int(sizes.sum()))), sizes
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of a batch end to end, and how many each row has."""
-    raw = column.to_pylist()
-    return np.frombuffer(b"".join(raw), "<u4"), np.array([len(x) // 4 for x in raw], np.int64)
+
+def _width(n_bytes: int, n_ids: int) -> str:
+    return "<u2" if n_bytes == 2 * n_ids else "<u4"
 
 
 def _terms(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (row, id) of some documents in that order, and how often each occurs."""
-    codes = np.sort((np.repeat(np.arange(len(sizes)), sizes) << 32) | flat, kind="stable")
+    codes = np.sort((np.repeat(np.arange(len(sizes)), sizes) << 32) | flat.astype(np.int64))
     at = np.flatnonzero(np.diff(codes, prepend=-1))
     return codes[at] >> 32, codes[at] & 0xFFFFFFFF, np.diff(at, append=len(codes))
 
 
+def telling(row: np.ndarray, term: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each document the two ids of the highest score; the same one twice if it has no other."""
+    first = np.flatnonzero(np.diff(row, prepend=-1))
+    score = np.log(2.0 + term) * (times - 0.9) / (times + K1)
+    found = []
+    for _ in range(2):
+        best = np.flatnonzero(score == np.maximum.reduceat(score, first)[row])
+        at = best[np.diff(row[best], prepend=-1) > 0]
+        found.append(term[at])
+        score[at] = np.where(np.diff(first, append=len(row)) > 1, -1.0, score[at])
+    return found[0], found[1]
+
+
 def _frequencies(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found = np.zeros(0, np.int64)
     for batch in rows:
-        ids = batch.column("ids")
-        for lo in range(0, len(ids), 1000):
-            counts = np.bincount(_terms(*_flat(ids.slice(lo, 1000)))[1])
-            if len(counts) > len(found):
-                counts[: len(found)] += found
-                found = counts
-            else:
-                found[: len(counts)] += counts
+        for raw in batch.column("counts"):
+            found = _added(found, np.frombuffer(raw.as_buffer(), "<u4"))
     at = np.flatnonzero(found)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(found[at].astype(np.int64))], names=["id", "df"])
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(found[at])], names=["id", "df"])
 
 
-def telling_ids(docs: DataFrame) -> tuple[np.ndarray, float, int, int]:
-    """Over all documents: idf by id, mean length, documents and ids. At most one row per id of the vocabulary comes back."""
-    total = docs.agg(F.count("*").alias("n"), F.sum("n_ids").alias("ids")).first()
-    n, ids = total["n"], total["ids"] or 0
-    rows = docs.select("ids").mapInArrow(_frequencies, "id long, df long").groupBy("id").agg(F.sum("df").alias("df")).toArrow()
+def statistics(docs: DataFrame, window: int) -> tuple[np.ndarray, float, int]:
+    """Over all documents: idf by id; mean length and number of what is packed. At most one row per id of the vocabulary comes back."""
+    rest = F.col("n_ids") % window
+    counts = docs.where("counts IS NOT NULL").select("counts")
+    total = docs.where("counts IS NULL").agg(F.count("*").alias("n"), F.sum(rest).alias("ids"), F.count_if(rest > 0).alias("rests")).first()
+    rows = counts.mapInArrow(_frequencies, "id long, df long").groupBy("id").agg(F.sum("df").alias("df")).toArrow()
     df = np.zeros(int(max(rows["id"].to_pylist(), default=0)) + 1, np.int64)
     df[rows["id"].to_numpy()] = rows["df"].to_numpy()
-    return np.log1p((n - df + 0.5) / (df + 0.5)), ids / max(n, 1), n, ids
-
-
-def _keys(idf: Broadcast):
-    """Per document the two ids that tell most, by idf and how often they occur: what related documents share."""
-
-    def keys(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in rows:
-            for lo in range(0, whole.num_rows, 1000):
-                batch = whole.slice(lo, 1000)
-                row, term, times = _terms(*_flat(batch.column("ids")))
-                # Ids of one occurrence tell little: a name that comes again ranks before a rare word.
-                score = idf.value[term] * (np.log2(times) + 0.01)
-                order = np.lexsort((term, -score, row))
-                first = np.searchsorted(row, np.arange(batch.num_rows))
-                last = np.searchsorted(row, np.arange(batch.num_rows), "right")
-                one, two = term[order[first]], term[order[np.minimum(first + 1, last - 1)]]
-                names = ["doc_id", "ids", "n_ids", "row", "one", "two"]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(one.astype(np.int64)), pa.array(two.astype(np.int64))], names=names)
-
-    return keys
+    return np.log1p((total["n"] - df + 0.5) / (df + 0.5)), (total["ids"] or 0) / max(total["rests"], 1), total["rests"]
 
 
 class Index:
@@ -174,10 +205,13 @@ class Index:
         sizes = np.array([len(x) for x in docs], np.int64)
         row, term, times = _terms(np.concatenate(docs).astype(np.int64), sizes)
         weight = idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * sizes[row] / mean))
-        order = np.argsort(term, kind="stable")
+        # By id; the places in the low bits keep each id's documents in order.
+        order = np.sort((term << 32) | np.arange(len(term))) & 0xFFFFFFFF
         self.n, self.terms_of, self.first = len(docs), term, np.searchsorted(row, np.arange(len(docs) + 1))
         self.docs, self.weights = row[order], weight[order]
-        self.ids, self.starts = np.unique(term[order], return_index=True)
+        sorted_terms = term[order]
+        self.starts = np.flatnonzero(np.diff(sorted_terms, prepend=-1))
+        self.ids = sorted_terms[self.starts]
         self.stops = np.append(self.starts[1:], len(order))
 
     def scores(self, seed: int) -> np.ndarray:
@@ -203,19 +237,19 @@ class _Packer:
             self.done.append((np.concatenate(self.ids).astype("<u4").tobytes(), self.pieces))
             self.ids, self.pieces, self.filled = [], [], 0
 
-    def add(self, doc: tuple, start: int, most: int) -> int:
-        """As much of a document from `start` as fits; returns where it stops."""
-        name, ids = doc
-        stop = min(len(ids), start + most - self.filled)
+    def add(self, doc: tuple, start: int) -> int:
+        """As much of (doc_id, ids, the document's ids before these, all of its ids) from `start` as fits; returns where it stops."""
+        name, ids, before, total = doc
+        stop = min(len(ids), start + self.window - self.filled)
         self.ids.append(ids[start:stop])
-        self.pieces.append({"doc_id": name, "start": start, "length": stop - start, "doc_tokens": len(ids)})
+        self.pieces.append({"doc_id": name, "start": before + start, "length": stop - start, "doc_tokens": total})
         self.filled += stop - start
-        if self.filled == most:
+        if self.filled == self.window:
             self.close()
         return stop
 
     def shard(self, docs: list[tuple]) -> None:
-        index = Index([ids for _, ids in docs], self.idf, self.mean) if len(docs) > 1 else None
+        index = Index([doc[1] for doc in docs], self.idf, self.mean) if len(docs) > 1 else None
         unused = np.ones(len(docs), bool)
         after = 0
         while after < len(docs):
@@ -226,7 +260,7 @@ class _Packer:
             unused[seed] = False
             while seed is not None:
                 while start < len(docs[seed][1]):
-                    start = self.add(docs[seed], start, self.window)
+                    start = self.add(docs[seed], start)
                 if not self.filled or not unused.any():
                     break
                 seed, start = self.neighbours(docs, index.scores(seed), unused)
@@ -236,7 +270,7 @@ class _Packer:
         left = np.flatnonzero(unused)
         for doc in left[np.argsort(-scores[left], kind="stable")].tolist():
             unused[doc] = False
-            start = self.add(docs[doc], 0, self.window)
+            start = self.add(docs[doc], 0)
             if not self.filled:
                 return (doc, start) if start < len(docs[doc][1]) else (None, 0)
         return None, 0
@@ -269,23 +303,23 @@ def _pack(window: int, idf: Broadcast, mean: float):
             raw, pieces = zip(*packer.done)
             packer.done = []
             local += n
-            kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("doc_id", "start", "length", "doc_tokens")]))
             return pa.RecordBatch.from_arrays(
-                [pa.array([part] * n), pa.array(range(local - n, local)), pa.array(raw, pa.binary()), pa.array(pieces, kind)],
+                [pa.array([part] * n), pa.array(range(local - n, local)), pa.array(raw, pa.binary()), pa.array(pieces, _PIECES)],
                 names=["part", "local", "ids", "pieces"],
             )
 
-        held, size = [], 0
+        held = []
         for batch in rows:
-            for name, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
-                ids = np.frombuffer(raw.as_buffer(), "<u4")
-                if held and (len(held) >= SHARD_DOCS or size + len(ids) > SHARD_IDS):
+            flat, sizes = _flat(batch)
+            ends = np.cumsum(sizes)
+            names, totals = batch.column("doc_id").to_pylist(), batch.column("total").to_pylist()
+            for name, total, end, n in zip(names, totals, ends.tolist(), sizes.tolist()):
+                held.append((name, flat[end - n : end].astype("<u4"), total - n, total))
+                if len(held) == SHARD_DOCS:
                     packer.shard(held)
-                    held, size = [], 0
+                    held = []
                     if packer.done:
                         yield sent()
-                held.append((name, ids))
-                size += len(ids)
         if held:
             packer.shard(held)
         packer.finish()
@@ -295,6 +329,27 @@ def _pack(window: int, idf: Broadcast, mean: float):
     return pack
 
 
+def _own_windows(window: int):
+    """The full windows that long documents fill alone."""
+
+    def own(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            flat, sizes = _flat(batch)
+            starts = np.cumsum(sizes) - sizes
+            names, parts, before = (batch.column(c).to_pylist() for c in ("doc_id", "part", "own"))
+            out: dict[str, list] = {"part": [], "local": [], "ids": [], "pieces": []}
+            for name, part, local, at, n in zip(names, parts, before, starts.tolist(), sizes.tolist()):
+                for k in range(n // window):
+                    out["part"].append(part)
+                    out["local"].append(local + k)
+                    out["ids"].append(flat[at + k * window : at + (k + 1) * window].astype("<u4").tobytes())
+                    out["pieces"].append([{"doc_id": name, "start": k * window, "length": window, "doc_tokens": n}])
+            kinds = [pa.int64(), pa.int64(), pa.binary(), _PIECES]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
+
+    return own
+
+
 def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end: int = END, folder: str | None = None) -> DataFrame:
     """Sequences of at most `window` ids: sequence_id, ids, pieces.
 
@@ -309,21 +364,23 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end: int = END,
     """
     spark = docs.sparkSession
     folder = folder or shared_folder(spark, "packing")
-    rows = encoded(docs, vocabulary, f"{folder}/ids", end)
-    telling, mean, _, n_ids = telling_ids(rows)
-    idf = spark.sparkContext.broadcast(telling)
-    keyed = rows.mapInArrow(_keys(idf), "doc_id long, ids binary, n_ids long, row long, one long, two long")
+    rows = encoded(docs, vocabulary, f"{folder}/ids", window, end)
+    telling_ids, mean, n = statistics(rows, window)
+    idf = spark.sparkContext.broadcast(telling_ids)
+    rest = F.expr(f"substring(ids, cast((n_ids - n_ids % {window}) * (length(ids) div n_ids) + 1 as int))").alias("ids")
+    rests = rows.where(f"n_ids % {window} > 0").select("doc_id", rest, (F.col("n_ids") % window).alias("n_ids"), F.col("n_ids").alias("total"), "one", "two", "row")
     # The row's number parts copies, so that no group of them is one partition.
-    order = ["one", "two", "n_ids", "doc_id", "row"]
-    near = keyed.repartitionByRange(max(1, -(-n_ids // PARTITION_IDS)), *order).sortWithinPartitions(*order)
-    packed = near.mapInArrow(_pack(window, idf, mean), PACKED)
-    packed.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/packed")
-    packed = spark.read.schema(packed.schema).parquet(f"{folder}/packed")
-    # One row per partition: their prefix sums number the sequences.
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = packed.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    bases = store(bases, f"{folder}/bases")
-    return packed.join(bases, "part").select((F.col("base") + F.col("local")).alias("sequence_id"), "ids", "pieces")
+    near = rests.repartitionByRange(max(1, -(-n // PARTITION_DOCS)), "one", "two", "row").sortWithinPartitions("one", "two", "row")
+    packed = _stored(near.mapInArrow(_pack(window, idf, mean), PACKED), f"{folder}/packed").withColumn("kind", F.lit(1))
+    long = rows.where(F.col("n_ids") >= window)
+    own = long.select("doc_id", "ids", "n_ids", "part", "own").mapInArrow(_own_windows(window), PACKED).withColumn("kind", F.lit(0))
+    # One row per task: their prefix sums number the sequences.
+    counts = long.groupBy("part").agg(F.sum(F.expr(f"n_ids div {window}")).alias("n")).withColumn("kind", F.lit(0))
+    counts = counts.unionByName(packed.groupBy("part", "kind").agg(F.count("*").alias("n")))
+    before = Window.orderBy("kind", "part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = store(counts.select("kind", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), f"{folder}/bases")
+    sequences = packed.unionByName(own).join(bases, ["kind", "part"])
+    return sequences.select((F.col("base") + F.col("local")).alias("sequence_id"), "ids", "pieces")
 
 
 def pieces_of(sequences: DataFrame) -> DataFrame:

@@ -31,8 +31,31 @@ def solid_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return ok & (~long | ~np.isin(data[np.maximum(at - 3, 0)], _THREE))
 
 
-def segments_of(texts: w.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each segment, and of document i the segments first[i]:first[i + 1]."""
+#: ASCII letters 1, digits 2, punctuation 3.
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[33:127] = 3
+_CLASS[48:58] = 2
+_CLASS[65:91] = _CLASS[97:123] = 1
+
+
+def _finer(data: np.ndarray) -> np.ndarray:
+    """Places where byte-level vocabularies part text too: between ASCII letters, digits and punctuation, and around a lone line break.
+
+    An apostrophe stays with the letters behind it, with which it may be one word.
+    """
+    kind = _CLASS[data]
+    at = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)) + 1
+    at = at[(data[at - 1] != 39) | (kind[at] != 1)]
+    line = np.flatnonzero(data[1:-1] == 10) + 1
+    line = line[(_CLASS[data[line - 1]] > 0) & (kind[line + 1] == 1)]
+    return np.concatenate((at, line, line + 1))
+
+
+def segments_of(texts: w.Texts, fine: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each segment, and of document i the segments first[i]:first[i + 1].
+
+    Fine segments suit byte-level vocabularies alone.
+    """
     data = texts.data
     space = np.flatnonzero(data == 32)
     cut = space[solid_before(data, space)] if len(space) else space
@@ -40,6 +63,8 @@ def segments_of(texts: w.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     begins = np.zeros(len(data) + 1, bool)
     begins[cut] = True
     begins[texts.offsets[1:] - 1] = False
+    if fine and len(data) > 1:
+        begins[_finer(data)] = True
     begins[texts.offsets] = True
     start = np.flatnonzero(begins[:-1])
     stop = np.append(start[1:], len(data)) if len(start) else start

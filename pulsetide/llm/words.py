@@ -186,9 +186,9 @@ def per_document(mask: np.ndarray, first: np.ndarray) -> np.ndarray:
     return sums[first[1:]] - sums[first[:-1]]
 
 
-def batches(rows: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, Texts]]:
+def batches(rows: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """Arrow batches cut into slices of whole documents, with their texts."""
     for batch in rows:
         if batch.num_rows:
-            for first, last, part in slices(texts_of(batch.column(text))):
+            for first, last, part in slices(texts_of(batch.column(text)), most):
                 yield batch.slice(first, last - first), part

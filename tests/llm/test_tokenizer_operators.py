@@ -235,6 +235,11 @@ def test_packing_holds_every_id_once(docs, tmp_path):
     assert len(built) == len({(d, len(i)) for d, i in wanted})
 
 
+def test_telling_ids_of_short_documents():
+    row, term, times = packing._terms(np.array([7, 7, 9, 3, 5, 5, 8], np.uint16), np.array([3, 1, 3]))
+    assert [x.tolist() for x in packing.telling(row, term, times)] == [[7, 3, 5], [9, 3, 8]]
+
+
 def test_query_of_packing(spark, sf):
     rows = queries.op13_packing(spark, sf).collect()
     tokenizer = Tokenizer.from_file(A)
@@ -266,12 +271,13 @@ def test_index_scores_are_bm25():
 
 
 def test_frequencies_are_those_of_all_documents(docs, tmp_path):
-    stored = packing.encoded(docs, A, f"{tmp_path}/ids")
-    idf, mean, n, total = packing.telling_ids(stored)
+    stored = packing.encoded(docs, A, f"{tmp_path}/ids", 2048)
+    idf, mean, rests = packing.statistics(stored, 2048)
     tokenizer = Tokenizer.from_file(A)
     ids = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for _, t in rows_of(docs)]
     df = Counter(i for x in ids for i in set(x))
-    assert (n, total, mean) == (len(ids), sum(map(len, ids)), sum(map(len, ids)) / len(ids))
+    n, left = len(ids), [len(x) % 2048 for x in ids if len(x) % 2048]
+    assert (rests, mean) == (len(left), sum(left) / len(left))
     assert all(np.isclose(idf[i], np.log(1 + (n - k + 0.5) / (k + 0.5))) for i, k in df.items())
 
 
@@ -292,7 +298,7 @@ def test_neighbours_are_lexically_close(spark, tmp_path):
 @pytest.mark.parametrize("n", [1, 3, 1000, 2047, 2049, 5000])
 def test_what_is_left_is_cut_at_powers_of_two(n):
     packer = packing._Packer(2048, np.ones(10), 5.0)
-    packer.shard([(1, np.arange(n, dtype=np.uint32) % 7)])
+    packer.shard([(1, np.arange(n, dtype=np.uint32) % 7, 0, n)])
     packer.finish()
     sizes = [len(raw) // 4 for raw, _ in packer.done]
     assert sum(sizes) == n and all(s & (s - 1) == 0 for s in sizes)
