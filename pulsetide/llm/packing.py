@@ -29,6 +29,8 @@ from pulsetide.session import shared_folder, store
 WINDOW = 2048
 END = 1
 K1, B = 1.2, 0.75
+#: Share of a shard's documents from which an id counts as common.
+COMMON = 0.1
 #: Documents, each of less than a window, that one shard of the index holds, and that one partition holds in the mean.
 SHARD_DOCS, PARTITION_DOCS = 1_000, 16_000
 #: Distinct segments a worker remembers.
@@ -213,13 +215,23 @@ class Index:
         self.starts = np.flatnonzero(np.diff(sorted_terms, prepend=-1))
         self.ids = sorted_terms[self.starts]
         self.stops = np.append(self.starts[1:], len(order))
+        # Ids that many documents hold lie in full rows, which add up faster than their postings.
+        common = np.flatnonzero(self.stops - self.starts >= len(docs) * COMMON)
+        self.row = np.full(len(self.ids), -1)
+        self.row[common] = np.arange(len(common))
+        self.full = np.zeros((len(common), len(docs)))
+        row = self.row[np.searchsorted(self.ids, sorted_terms)]
+        held = row >= 0
+        self.full[row[held], self.docs[held]] = self.weights[held]
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document for the distinct ids of one of them."""
         at = np.searchsorted(self.ids, self.terms_of[self.first[seed] : self.first[seed + 1]])
+        row = self.row[at]
+        at = at[row < 0]
         n = self.stops[at] - self.starts[at]
         postings = np.repeat(self.starts[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        return np.bincount(self.docs[postings], self.weights[postings], self.n)
+        return np.bincount(self.docs[postings], self.weights[postings], self.n) + self.full[row[row >= 0]].sum(axis=0)
 
 
 class _Packer:
