@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from pulsetide.llm import files, words as w
 from pulsetide.llm.chars import Exceptions
@@ -40,7 +40,6 @@ FILE_PAIRS = 2_000_000
 SCORED = 4_000_000
 
 ALIGNED = "doc_id {id}, n_a long, n_b long, n_groups long, n_links long, groups string, links binary"
-SCORES = "doc_id {id}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
 _aligners: dict[tuple[str, str], "Aligner"] = {}
 
@@ -108,6 +107,7 @@ class Aligner:
         self.entries_a, self.entries_b = byte_entries(self.a), piece_entries(self.b)
         self.sizes_a, self.sizes_b = (np.array([len(x) for x in e], np.int64) for e in (self.entries_a, self.entries_b))
         self.apart = not any(" " in e.decode("utf-8", "replace").lstrip(" ") for e in self.entries_b)
+        self.narrow = max(len(self.entries_a), len(self.entries_b)) <= 1 << 16
         self.known = Known(CACHE, self._forget, self._learn)
 
     def spans_a(self, text: str, raw: bytes) -> Spans:
@@ -133,13 +133,13 @@ class Aligner:
         #: Of each segment: n_a, n_b, n_groups, n_links (-1: its bytes are not kept), and where its links start.
         self.counts = np.zeros((0, 4), np.int64)
         self.at = np.zeros(0, np.int64)
-        self.links = np.zeros(0, np.uint64)
+        self.links = np.zeros(0, np.uint32 if self.narrow else np.uint64)
 
     def _learn(self, segments: list[bytes], solid: np.ndarray) -> None:
         """Segments that end in no white space are encoded end to end; if that fails, or they don't, one by one."""
         counts = np.empty((len(segments), 4), np.int64)
         strings: list[bytes] = [b""] * len(segments)
-        links: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(segments)
+        links: list[np.ndarray] = [self.links[:0]] * len(segments)
         size, batch = 0, []
         for i, (raw, joins) in enumerate(zip(segments, solid.tolist())):
             if joins and self.apart and len(raw) < JOINED:
@@ -172,7 +172,7 @@ class Aligner:
         ends = np.sort(np.concatenate((a.ends, b.ends)), kind="stable")
         ends = ends[np.diff(ends, prepend=0) > 0]
         in_a, in_b = np.searchsorted(a.ends, ends), np.searchsorted(b.ends, ends)
-        codes = (a.ids[in_a].astype(np.uint64) << np.uint64(32)) | b.ids[in_b].astype(np.uint64)
+        codes = ((a.ids[in_a] << (16 if self.narrow else 32)) | b.ids[in_b]).astype(self.links.dtype)
         common = np.flatnonzero((a.ends[in_a] == ends) & (b.ends[in_b] == ends))
         # A group ends at each common end: its last token of either kind.
         last_a, last_b = in_a[common] + 1, in_b[common] + 1
@@ -224,14 +224,18 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, folder: str) -> DataFrame:
-    """Stored, per row of the documents: doc_id, n_a, n_b, n_groups, n_links, groups, and the links as 64-bit codes (A id, B id)."""
+    """Stored, per row of the documents: doc_id, n_a, n_b, n_groups, n_links, groups, and the links as codes of an A and a B id.
+
+    A code takes 32 bits where both vocabularies have at most 65,536 ids, else 64; half of it is the B id.
+    """
 
     def rows_of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligner(path_a, path_b)
         for batch, texts in w.batches(rows, most=SLICE):
             per, groups, flat = tool.align(texts)
-            raw, ends = flat.astype("<u8").tobytes(), 8 * np.cumsum(per[:, 3])
-            links = [raw[e - 8 * n : e] for e, n in zip(ends.tolist(), per[:, 3].tolist())]
+            raw, size = flat.tobytes(), flat.itemsize
+            ends = np.cumsum(per[:, 3])
+            links = [raw[size * (e - n) : size * e] for e, n in zip(ends.tolist(), per[:, 3].tolist())]
             columns = [pa.array(groups, pa.binary()).cast(pa.string()), pa.array(links, pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(per[:, i]) for i in range(4)), *columns],
@@ -244,10 +248,17 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, folder: str) -> DataFrame
     return docs.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
-def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Links of a batch end to end, and how many each row has."""
-    raw = column.to_pylist()
-    return np.frombuffer(b"".join(raw), "<u8"), np.array([len(x) // 8 for x in raw], np.int64)
+    raw, n = b"".join(batch.column("links").to_pylist()), batch.column("n_links").to_numpy()
+    return np.frombuffer(raw, "<u4" if len(raw) == 4 * int(n.sum()) else "<u8"), n
+
+
+def _wide(codes: np.ndarray) -> np.ndarray:
+    """Codes with 32 bits for either id."""
+    if codes.dtype.itemsize == 8:
+        return codes
+    return (codes >> 16).astype(np.uint64) << np.uint64(32) | (codes & 0xFFFF).astype(np.uint64)
 
 
 def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,10 +270,9 @@ def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)), pa.array(counts)], names=["a", "b", "n"])
 
     for batch in rows:
-        links = batch.column("links")
-        for lo in range(0, len(links), 1000):
-            new, n = np.unique(_codes(links.slice(lo, 1000))[0], return_counts=True)
-            codes, back = np.unique(np.concatenate((codes, new)), return_inverse=True)
+        for lo in range(0, batch.num_rows, 1000):
+            new, n = np.unique(_codes(batch.slice(lo, 1000))[0], return_counts=True)
+            codes, back = np.unique(np.concatenate((codes, _wide(new))), return_inverse=True)
             counts = np.bincount(back, np.concatenate((counts, n)), len(codes)).astype(np.int64)
             if len(codes) > COUNTED:
                 yield sent()
@@ -272,7 +282,7 @@ def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def pair_counts(links: DataFrame) -> DataFrame:
     """Per id pair that is linked anywhere: a, b, n (links that hold it), best (n is the highest of its b, ties included)."""
-    pairs = links.select("links").mapInArrow(_count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    pairs = links.select("links", "n_links").mapInArrow(_count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
     return pairs.withColumn("best", F.col("n") == F.max("n").over(Window.partitionBy("b")))
 
 
@@ -302,9 +312,15 @@ def write_counts(pairs: DataFrame, folder: str, n_pairs: int) -> list[str]:
 
 
 def scored(links: DataFrame, names: list[str]) -> DataFrame:
-    """Aligned documents with n_best and count_sum; a task holds one file of counts and some millions of links at a time."""
+    """Aligned documents, with n_best and count_sum in place of their links; other columns stay.
+
+    A task holds one file of counts and some millions of links at a time.
+    """
+    others = [c for c in links.columns if c != "links"]
 
     def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A worker of the stage before is used again: what it learned is of no more use.
+        _aligners.clear()
         for whole in rows:
             sizes = np.cumsum(whole.column("n_links").to_numpy())
             first = 0
@@ -312,8 +328,9 @@ def scored(links: DataFrame, names: list[str]) -> DataFrame:
                 done = int(sizes[first - 1]) if first else 0
                 last = max(first + 1, int(np.searchsorted(sizes, done + SCORED, "right")))
                 batch, first = whole.slice(first, last - first), last
-                codes, n = _codes(batch.column("links"))
+                codes, n = _codes(batch)
                 distinct, back = np.unique(codes, return_inverse=True)
+                distinct = _wide(distinct)
                 count, best = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
                 for name in names:
                     keys = files.mapped(f"{name}.codes", "<u8")
@@ -328,14 +345,14 @@ def scored(links: DataFrame, names: list[str]) -> DataFrame:
                 for values in (best[back].astype(np.int64), count[back]):
                     sums = np.concatenate(([0], np.cumsum(values)))
                     out.append(pa.array(sums[ends[1:]] - sums[ends[:-1]]))
-                kept = {c: batch.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
-                yield pa.RecordBatch.from_pydict(kept | {"n_best": out[0], "count_sum": out[1], "groups": batch.column("groups")})
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), *out], names=[*others, "n_best", "count_sum"])
 
-    return links.mapInArrow(score, SCORES.format(id=links.schema["doc_id"].dataType.simpleString()))
+    kinds = T.StructType([*links.select(*others).schema, T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())])
+    return links.mapInArrow(score, kinds)
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, folder: str | None = None) -> DataFrame:
-    """Per row of the documents: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups.
+    """Per row of the documents: doc_id, n_a, n_b, n_groups, n_links, groups, n_best, count_sum.
 
     `path_a` and `path_b` are paths that every executor has. groups is
     'a1,a2|b1;a3|b2,b3': ids of A and of B in each group. A link is a pair of tokens
@@ -348,5 +365,10 @@ def align(docs: DataFrame, path_a: str, path_b: str, folder: str | None = None)
     """
     folder = folder or shared_folder(docs.sparkSession, "align")
     links = aligned(docs, path_a, path_b, f"{folder}/aligned")
+    return scored(links, counted(links, folder))
+
+
+def counted(links: DataFrame, folder: str) -> list[str]:
+    """Count the id pairs of aligned documents; the names of the files that hold the counts."""
     pairs = store(pair_counts(links), f"{folder}/pairs")
-    return scored(links, write_counts(pairs, f"{folder}/counts", pairs.count()))
+    return write_counts(pairs, f"{folder}/counts", pairs.count())

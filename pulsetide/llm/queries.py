@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsetide.llm import align, decontaminate, langid, middle, mix, near_dup, packing, quality, secrets, substrings, suffixes, tokens, warc
+from pulsetide.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,9 +70,13 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
-    rows = align.align(table(spark, folder, "documents"), public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
+    shared = shared_folder(spark, "align")
+    paths = public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES)
+    links = align.aligned(table(spark, folder, "documents"), *paths, f"{shared}/aligned")
+    names = align.counted(links, shared)
+    # The groups' texts are digested where they are read, so the pass over the links does not carry them.
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
-    return rows.withColumn("groups_sha256", digest).drop("groups")
+    return align.scored(links.withColumn("groups_sha256", digest).drop("groups"), names)
 
 
 def op12_middle(spark: SparkSession, folder: str) -> DataFrame:
