@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +31,14 @@ from pulsetide.llm.chars import Exceptions
 from pulsetide.llm.segments import Known, segments_of
 from pulsetide.session import shared_folder, store
 
-#: Distinct segments a worker remembers (about 250 bytes each), and distinct pairs a task counts before it sends them.
-CACHE, COUNTED = 400_000, 1_000_000
+#: Distinct segments a worker remembers (about 150 bytes each), and distinct pairs a task counts before it sends them.
+CACHE, COUNTED = 1_000_000, 1_000_000
 #: Bytes of whole documents aligned at once, and of segments encoded as one string.
 SLICE, JOINED = 1 << 20, 32 << 10
 #: Pairs in one file of the counts (17 bytes each).
 FILE_PAIRS = 2_000_000
-#: Links scored at once.
-SCORED = 4_000_000
+#: Links scored at once, in whole documents.
+SCORED = 500_000
 
 ALIGNED = "doc_id {id}, n_a long, n_b long, n_groups long, n_links long, groups string, links binary"
 
@@ -114,19 +115,18 @@ class Aligner:
         got = self.a.encode(text, add_special_tokens=False)
         ids = np.array(got.ids, np.int64)
         index = Exceptions(np.frombuffer(raw, np.uint8))
-        borders = index.bytes(np.array(got.offsets, np.int64).reshape(-1, 2))
+        borders = index.bytes(np.fromiter(chain.from_iterable(got.offsets), np.int64, 2 * len(ids)).reshape(-1, 2))
         faithful = b"".join(map(self.entries_a.__getitem__, got.ids)) == raw
         return Spans(ids, refined_ends(borders[:, 0], borders[:, 1], self.sizes_a[ids]), faithful)
 
     def spans_b(self, text: str, raw: bytes) -> Spans:
         """The first character of the text is the space that the model sets itself."""
         pieces = self.b.encode(text[1:], return_type="proto").pieces
-        found = [(p.id, p.begin, p.end) for p in pieces]
-        table = np.array(found, np.int64).reshape(-1, 3)
-        first, last = table[:, 1] + 1, table[:, 2] + 1
-        first[:1] = 0
-        faithful = b"".join([self.entries_b[i] for i, _, _ in found]) == raw
-        return Spans(table[:, 0], refined_ends(first, last, self.sizes_b[table[:, 0]]), faithful)
+        ids, first, last = np.array([x for p in pieces for x in (p.id, p.begin, p.end)], np.int64).reshape(-1, 3).T
+        begins = first + 1
+        begins[:1] = 0
+        faithful = b"".join(map(self.entries_b.__getitem__, ids.tolist())) == raw
+        return Spans(ids, refined_ends(begins, last + 1, self.sizes_b[ids]), faithful)
 
     def _forget(self) -> None:
         self.groups: list[bytes] = []
@@ -176,20 +176,19 @@ class Aligner:
         common = np.flatnonzero((a.ends[in_a] == ends) & (b.ends[in_b] == ends))
         # A group ends at each common end: its last token of either kind.
         last_a, last_b = in_a[common] + 1, in_b[common] + 1
-        names_a, names_b = list(map(str, a.ids.tolist())), list(map(str, b.ids.tolist()))
-        rendered, x, y = [], 0, 0
-        for i, j in zip(last_a.tolist(), last_b.tolist()):
-            rendered.append(f"{','.join(names_a[x:i])}|{','.join(names_b[y:j])}")
-            x, y = i, j
+        first_a, first_b = np.append(0, last_a[:-1]), np.append(0, last_b[:-1])
+        rendered = [f"{i}|{j}" for i, j in zip(a.ids[first_a].tolist(), b.ids[first_b].tolist())]
+        for g in np.flatnonzero((last_a - first_a > 1) | (last_b - first_b > 1)).tolist():
+            one, two = a.ids[first_a[g] : last_a[g]].tolist(), b.ids[first_b[g] : last_b[g]].tolist()
+            rendered[g] = f"{','.join(map(str, one))}|{','.join(map(str, two))}"
         bounds = np.cumsum([len(segments[i]) for i in which])
         places = [np.searchsorted(e, bounds, "right") for e in (a.ends, b.ends, ends[common], ends)]
-        before = [0, 0, 0, 0]
-        for k, i in enumerate(which):
-            now = [int(p[k]) for p in places]
-            counts[i] = [n - m for n, m in zip(now, before)]
-            strings[i] = ";".join(rendered[before[2] : now[2]]).encode()
-            links[i] = codes[before[3] : now[3]]
-            before = now
+        ends_at = np.stack(places, axis=1)
+        starts_at = np.concatenate((np.zeros((1, 4), np.int64), ends_at[:-1]))
+        counts[which] = ends_at - starts_at
+        for i, (_, _, g, x), (_, _, h, y) in zip(which, starts_at.tolist(), ends_at.tolist()):
+            strings[i] = ";".join(rendered[g:h]).encode()
+            links[i] = codes[x:y]
 
     def align(self, texts: w.Texts) -> tuple[np.ndarray, list[bytes], np.ndarray]:
         """Per document: n_a, n_b, n_groups, n_links and the groups; and the links of all documents end to end."""
@@ -314,7 +313,7 @@ def write_counts(pairs: DataFrame, folder: str, n_pairs: int) -> list[str]:
 def scored(links: DataFrame, names: list[str]) -> DataFrame:
     """Aligned documents, with n_best and count_sum in place of their links; other columns stay.
 
-    A task holds one file of counts and some millions of links at a time.
+    A task holds one file of counts and SCORED links at a time, or one document's.
     """
     others = [c for c in links.columns if c != "links"]
 
