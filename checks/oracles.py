@@ -497,6 +497,9 @@ SELECT (SELECT count(DISTINCT event_id) FROM good) AS accepted,
     sql["stream_alert_state"] = f"""WITH {WINDOWS}, closed AS (
   SELECT * FROM wins WHERE window_end <= (SELECT max("timestamp") FROM clean) - INTERVAL 2 MINUTE),
 {episodes('eps', 'closed')} SELECT * FROM eps"""
+    sql["stream_stale"] = sql["stale_now"]
+    sql["stream_stale_gaps"] = sql["stale_gaps_by_patient"]
+    sql["stream_dlq_alarm"] = sql["dlq_rate_alarm"]
     sql["stream_dedupe"] = sql["dedupe_events"]
     sql["stream_archive"] = f'WITH {CLEAN} SELECT {READING_COLUMNS}, CAST("timestamp" AS DATE) AS date FROM clean'
     sql["stream_dead_letters"] = f"""WITH {DIRTY}

@@ -25,7 +25,7 @@ from pulsetide.sinks.tables import alert_table, lab_table, live_table, report_ta
 from pulsetide.sources import warehouse as w
 from pulsetide.sources.lab_files import read_lab_archive
 from pulsetide.sources.readings import read_archive, read_json_lines
-from pulsetide.streaming import alert_state, lab_intake, speed
+from pulsetide.streaming import alarms, alert_state, lab_intake, speed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -621,6 +621,61 @@ def stream_alert_state(spark, sf):
     return plain(alert_state.episodes_from_changes(changes))
 
 
+def _alarm_run(spark, sf, start) -> DataFrame:
+    """A stream of alarms in three turns, each started anew from the checkpoint, and what it wrote.
+
+    Two turns bring half of the month each. The last brings one reading of no patient,
+    months later, as any live feed would go on: it moves the clock and nothing else.
+    """
+    folder = shared_folder(spark, "alarms")
+    side = _streaming(spark)
+    events = w.table(spark, sf, "events")
+    schema = None
+    for turn in ("day(ts) < 16", "day(ts) >= 16", "ticks"):
+        rows = events.where(turn) if turn != "ticks" else events.where("false").unionByName(
+            spark.range(1).select(F.lit("2024-06-01").cast("timestamp_ntz").alias("ts")), allowMissingColumns=True
+        )
+        rows.write.mode("append").parquet(f"{folder}/in")
+        schema = schema or rows.schema
+        alarmed = start(side.readStream.schema(schema).parquet(f"{folder}/in"))
+        writer = alarmed.writeStream.format("parquet").outputMode("append").option("path", f"{folder}/out")
+        _run(writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start())
+    return spark.read.schema(alarmed.schema).parquet(f"{folder}/out")
+
+
+def _silence_run(spark, sf) -> DataFrame:
+    """Readings that are published keep a patient's feed alive, as in ``stale_gaps_by_patient``."""
+
+    def start(events):
+        checked = quality.with_validity(w.vitals_from_events(events))
+        source = F.when(F.col("invalid_detail").isNull(), F.col("patient_id"))
+        return alarms.stale_alarms(checked.withColumn("feed", source), "feed")
+
+    found = alarms.silences(_alarm_run(spark, sf, start))
+    until = F.coalesce("gap_end", F.lit(AS_OF))
+    seconds = (F.unix_micros(until) - F.unix_micros("gap_start")) / F.lit(1_000_000.0)
+    return found.withColumnRenamed("source", "patient_id").withColumn("gap_seconds", seconds)
+
+
+def stream_stale(spark, sf):
+    """The alarms that still ring at the end: patients from whom nothing comes any more."""
+    return plain(_silence_run(spark, sf).where("gap_end IS NULL").drop("gap_end"))
+
+
+def stream_stale_gaps(spark, sf):
+    return plain(_silence_run(spark, sf).where("gap_end IS NOT NULL"))
+
+
+def stream_dlq_alarm(spark, sf):
+    """The alarm of ``dlq_rate_alarm``, as it rings on the stream."""
+
+    def start(events):
+        checked = quality.with_validity(w.dirty_readings(events))
+        return alarms.rate_alarms(checked, "invalid_detail IS NOT NULL", "received_at", 2 / 21600, 21600, 10800, 3600)
+
+    return plain(_alarm_run(spark, sf, start))
+
+
 def _archive_run(spark, sf, **options):
     folder = shared_folder(spark, "archive")
     raw = w.vitals_from_events(_event_stream(_streaming(spark), sf))

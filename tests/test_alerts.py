@@ -91,6 +91,42 @@ def test_hot_patient_with_many_windows(spark):
     assert episodes(alert_episodes(windows(spark, *rows))) == fold(rows)
 
 
+sparse = st.dictionaries(
+    st.tuples(st.integers(0, 40), st.sampled_from(["P1", "P2"])), flag_sets, min_size=1, max_size=30
+).map(lambda d: [(i * 71, sorted(flags), p) for (i, p), flags in d.items()])
+
+
+@given(sparse)
+@quick
+def test_episodes_over_days_equal_the_fold(spark, history):
+    """Windows six hours apart: days of several windows, of one, and of none."""
+    assert episodes(alert_episodes(windows(spark, *history))) == fold(history)
+
+
+def test_a_window_without_flags_is_clear(spark):
+    rows = windows(spark, (0, [T]), (300, [T])).unionByName(windows(spark, (600, [])).withColumn("anomaly_flags", F.lit(None).cast("array<string>")))
+    assert episodes(alert_episodes(rows)) == [("P1", T, 0, 601)]
+
+
+@given(histories, histories)
+@quick
+def test_closing_equals_a_search(spark, history, later):
+    opened = [(p, k, i) for p, k, i, end in fold(history) if end is None]
+    expected = []
+    for p, k, i in opened:
+        ends = [j + 1 for j, flags, q in later if q == p and j >= i and k not in flags]
+        expected += [(p, k, i, min(ends))] if ends else []
+    got = closed_by(windows(spark, *later), alert_episodes(windows(spark, *history)))
+    assert episodes(got) == sorted(expected, key=str)
+
+
+def test_closing_sorts_alerts_and_windows_once(spark):
+    """As many rows are sorted as there are alerts and windows, never their product."""
+    later = windows(spark, *[(i, [T] if i % 2 else []) for i in range(50)])
+    plan = closed_by(later, alert_episodes(windows(spark, (0, [T, FV]))))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Union" in plan
+
+
 class Store:
     def __init__(self, spark, path):
         self.spark = spark
