@@ -370,6 +370,11 @@ SELECT reference_range, try_cast(nullif(regexp_extract(reference_range, '^([0-9.
   try_cast(nullif(regexp_extract(reference_range, '^([0-9.]+)-([0-9.]+)$', 2), '') AS DOUBLE) AS high,
   count(*) AS row_count FROM labs_raw GROUP BY ALL"""
     sql["lab_normalized"] = f"WITH {LABS} SELECT {LAB_COLUMNS} FROM labs"
+    sql["lab_quoted_breaks"] = f"""WITH {LABS}
+SELECT patient_id, CASE WHEN l_orderkey % 5 = 0
+    THEN test_type || chr(10) || chr(10) || '"note", ' || l_linenumber || chr(10) || ',' ELSE test_type END AS test_type,
+  CAST(l_quantity AS VARCHAR) AS result_value, reference_range, CAST(CAST(collected_at AS DATE) AS VARCHAR) AS collected_at
+FROM labs"""
     sql["lab_row_errors"] = f"""WITH {LABS_RAW}
 SELECT source_file, row_error, count(*) AS row_count FROM lab_errors GROUP BY ALL"""
     sql["lab_file_verdicts"] = f"WITH {LABS_RAW} SELECT * FROM verdicts"

@@ -19,11 +19,11 @@ from pulsetide.params import AlertLimits, Params, SimClock
 from pulsetide.plans import daily_report as daily
 from pulsetide.plans.file_run import windows_of
 from pulsetide.schemas import PATIENT, READING
-from pulsetide.session import shared_folder, use_rocksdb_state, use_utc
+from pulsetide.session import shared_folder, store, use_rocksdb_state, use_utc
 from pulsetide.sinks import outputs
 from pulsetide.sinks.tables import alert_table, lab_table, live_table, report_table
 from pulsetide.sources import warehouse as w
-from pulsetide.sources.lab_files import read_lab_archive
+from pulsetide.sources.lab_files import headers, lab_rows, read_lab_archive, read_lab_lines
 from pulsetide.sources.readings import read_archive, read_json_lines
 from pulsetide.streaming import alarms, alert_state, lab_intake, speed
 
@@ -274,6 +274,22 @@ def lab_row_errors(spark, sf):
     return plain(rows.groupBy("source_file", "row_error").agg(F.count("*").alias("row_count")))
 
 
+def lab_quoted_breaks(spark, sf):
+    """Lab rows whose test name goes over several lines, written as CSV, read from small blocks."""
+    folder = shared_folder(spark, "broken-labs")
+    note = "concat(test_type, '\\n\\n\"note\", ', l_linenumber, '\\n,')"
+    rows = w.labs(spark, sf).withColumn("test_type", F.expr(f"CASE WHEN l_orderkey % 5 = 0 THEN {note} ELSE test_type END"))
+    rows = rows.withColumn("day", F.col("collected_at")).drop("source_file", "l_orderkey", "l_linenumber")
+    rows.repartition("day").write.partitionBy("day").option("header", True).option("escape", '"').csv(f"{folder}/landing")
+    side = spark.newSession()
+    use_utc(side)
+    side.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    side.conf.set("spark.sql.files.openCostInBytes", "0")
+    lines = read_lab_lines(side, f"{folder}/landing")
+    heads = store(headers(lines), f"{folder}/heads")
+    return plain(lab_rows(lines, heads).where("NOT header_line").drop("header_line", "source_file"))
+
+
 def lab_file_verdicts(spark, sf):
     return plain(lab.file_verdicts(w.labs_raw(spark, sf), strict=True))
 

@@ -25,7 +25,7 @@ from pulsetide.session import shared_folder, store
 from pulsetide.sinks.keyed_table import KeyedTable
 from pulsetide.sinks.outputs import write_by_date
 from pulsetide.sources.files import list_folder
-from pulsetide.sources.lab_files import headers, lab_file_verdicts, lab_rows, read_lab_lines
+from pulsetide.sources.lab_files import empty_files, headers, inventory, lab_file_verdicts, lab_rows, read_lab_lines
 from pulsetide.sources.readings import read_archive_day
 
 
@@ -73,17 +73,17 @@ class InvalidLabFile(ValueError):
 
 
 def strict_labs(spark: SparkSession, path: str, report_date: date | None = None) -> DataFrame:
-    """Normalized labs of the given files; any invalid file is an error."""
+    """Normalized labs of the given file or folder; any invalid file, at any depth, is an error, an empty one too."""
     lines = read_lab_lines(spark, path)
     heads = store(headers(lines), shared_folder(spark, "lab-headers"))
     rows = lab_rows(lines, heads)
     verdicts = lab_file_verdicts(rows, heads, strict=True, report_date=report_date)
     folder = shared_folder(spark, "lab-verdicts")
-    bad = store(verdicts.where(~F.col("accepted")), folder)
+    bad = store(verdicts.where(~F.col("accepted")).unionByName(empty_files(inventory(spark, path), heads)), folder)
     number = bad.count()
     if number or heads.isEmpty():
         some = "; ".join(f"{r.source_file}: {r.reason}" for r in bad.orderBy("source_file").take(5))
-        raise InvalidLabFile(f"{number} invalid files, all in {folder}: {some}" if number else f"{path}: empty_file")
+        raise InvalidLabFile(f"{number} invalid files, all in {folder}: {some}" if number else f"{path}: no_files")
     return normalize_labs(rows.where(~F.col("header_line")))
 
 

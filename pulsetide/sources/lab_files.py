@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from pulsetide.functions.parsing import parse_once
 from pulsetide.operators.labs import lab_row_error, typed_labs
 from pulsetide.params import LAB_COLUMNS
 from pulsetide.schemas import LAB
-from pulsetide.sources.files import list_folder
 
 POSITIONS = [f"c{i}" for i in range(len(LAB_COLUMNS))]
 CSV = {"escape": '"', "mode": "PERMISSIVE"}
@@ -32,7 +32,12 @@ def in_file_order(lines: DataFrame) -> DataFrame:
 
 
 def read_lab_lines(spark: SparkSession, path: str) -> DataFrame:
-    return in_file_order(lab_text(spark.read.text(path)))
+    """Lines of one lab file, or of all below a folder."""
+    return in_file_order(lab_text(_lab_files(spark, path)))
+
+
+def _lab_files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(path)
 
 
 def stream_lab_text(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -42,27 +47,88 @@ def stream_lab_text(spark: SparkSession, folder: str, files_per_trigger: int | N
     return lab_text(reader.load(folder))
 
 
+# A field as a plain CSV reader takes it: quoted, with doubled quotes inside; or bare, where quotes are text.
+_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|)'
+#: A line that starts outside quotes and ends there; and one that starts inside a quoted field and ends outside.
+WHOLE_LINE = rf'^{_FIELD}(?:,{_FIELD})*+$'
+CLOSING_LINE = rf'^[^"]*+(?:""[^"]*+)*+"[^,]*+(?:,{_FIELD})*+$'
+
+
 def headers(lines: DataFrame) -> DataFrame:
-    """First line of each file, and whether it names exactly the five lab columns, in any order."""
-    first = lines.where("block = 0").groupBy("source_file").agg(F.min_by("value", "line").alias("header"))
+    """First line of each file, whether it names exactly the five lab columns, in any order, and whether a quoted field may hold line breaks."""
+    first = lines.groupBy("source_file").agg(
+        F.min_by("value", F.when(F.col("block") == 0, F.col("line"))).alias("header"),
+        F.coalesce(F.bool_or(~F.col("value").rlike(WHOLE_LINE)), F.lit(False)).alias("breaks"),
+    )
     expected = ", ".join(f"'{c}'" for c in sorted(LAB_COLUMNS))
     return first.selectExpr("*", "split(replace(header, '\"', ''), ',') AS names").selectExpr(
-        "*", f"array_sort(names) = array({expected}) AS header_ok"
+        "source_file", "header", "names", f"array_sort(names) = array({expected}) AS header_ok", "breaks"
+    )
+
+
+def with_line_breaks(lines: DataFrame) -> DataFrame:
+    """Lines joined to records where a quoted field goes on over a line's end: source_file and value.
+
+    Each line maps the two states, inside and outside quotes, to the state at its end. Lines
+    that map both to the same state settle it, the others keep or turn it, so the state before
+    any line is the last settled one, turned as often as lines turn it since. That is a running
+    sum inside each block of a file; one row per block carries the state, and the record that is
+    open, into the next. No task orders more than a block.
+    """
+    # Ends inside from outside; ends inside from inside.
+    state = lines.withColumn("from_out", ~F.col("value").rlike(WHOLE_LINE)).withColumn("from_in", ~F.col("value").rlike(CLOSING_LINE))
+    settles = F.when(F.col("from_out") == F.col("from_in"), F.col("from_out"))
+    turns = (F.col("from_out") & ~F.col("from_in")).cast("int")
+    state = state.withColumn("settles", settles).withColumn("turns", turns)
+    in_block = Window.partitionBy("source_file", "block").orderBy("line")
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    state = state.withColumn("turned", F.coalesce(F.sum("turns").over(before), F.lit(0)))
+    # The last settled state, and how many turns came before it and with it.
+    mark = F.when(F.col("settles").isNotNull(), F.struct("line", "settles", "turned"))
+    state = state.withColumn("mark", F.last(mark, ignorenulls=True).over(before))
+    whole = state.groupBy("source_file", "block").agg(
+        F.max(mark).alias("mark"), F.sum("turns").alias("turns"),
     )
+    blocks = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = whole.withColumn("turned", F.coalesce(F.sum("turns").over(blocks), F.lit(0)))
+    across = F.when(F.col("mark").isNotNull(), F.struct("block", F.col("mark.settles").alias("settles"), (F.col("turned") + F.col("mark.turned")).alias("turned")))
+    whole = whole.withColumn("earlier", F.last(across, ignorenulls=True).over(blocks))
+    known = F.coalesce(F.col("earlier.settles"), F.lit(False)).cast("int")
+    since = F.col("turned") - F.coalesce(F.col("earlier.turned"), F.lit(0))
+    whole = whole.select("source_file", "block", ((known + since) % 2 == 1).alias("inside_at_start"))
+
+    rows = state.join(whole, ["source_file", "block"])
+    own = (F.col("mark.settles").cast("int") + F.col("turned") - F.col("mark.turned")) % 2 == 1
+    inherited = (F.col("inside_at_start").cast("int") + F.col("turned")) % 2 == 1
+    rows = rows.withColumn("inside", F.coalesce(F.when(F.col("mark").isNotNull(), own), inherited))
+    # A record is named by the line it starts with; a block's first lines may belong to one of an earlier block.
+    start = F.when(~F.col("inside"), F.struct("block", "line"))
+    running = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("record", F.last(start, ignorenulls=True).over(running))
+    latest = rows.groupBy("source_file", "block").agg(F.max("record").alias("record"))
+    carried = latest.select("source_file", "block", F.last("record", ignorenulls=True).over(blocks).alias("carried"))
+    rows = rows.join(carried, ["source_file", "block"]).withColumn("record", F.coalesce("record", "carried"))
+    parts = rows.groupBy("source_file", "record").agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("parts"))
+    return parts.select("source_file", F.array_join(F.col("parts.value"), "\n").alias("value"))
 
 
 def lab_rows(lines: DataFrame, heads: DataFrame) -> DataFrame:
     """Text rows of files with a good header, columns found by their header name.
 
     The header table has one small row per file. Pass it stored, so that Spark
-    knows its size and can leave the lines where they are. Blank lines are no rows. ``header_line`` marks lines that
-    repeat the header's text, the header itself among them.
+    knows its size and can leave the lines where they are. Empty lines are no rows;
+    a line of blanks is one, as a plain CSV reader sees it. Only lines of files in which
+    a quoted field may go on over a line's end are put in order. ``header_line`` marks
+    lines that repeat the header's text, the header itself among them.
     """
-    good = heads.where("header_ok").select("source_file", "names", "header")
+    good = heads.where("header_ok").select("source_file", "names", "header", "breaks")
     options = ", ".join(f"'{k}', '{v}'" for k, v in CSV.items())
     cells = ", ".join(f"{c} STRING" for c in POSITIONS)
+    plain = lines.select("source_file", "value").join(good.where("NOT breaks"), "source_file")
+    broken = good.where("breaks")
+    joined = with_line_breaks(lines.join(broken.select("source_file"), "source_file", "left_semi")).join(broken, "source_file")
     split = parse_once(
-        lines.join(good, "source_file").where("trim(value) <> ''"),
+        plain.unionByName(joined).where("value <> ''"),
         {"cells": f"from_csv(value, '{cells}', map({options}))"},
     )
     in_order = ", ".join(f"cells.{c}" for c in POSITIONS)
@@ -101,10 +167,20 @@ def lab_file_verdicts(
     )
 
 
-def empty_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Verdicts of files without a byte: Spark's readers give no row for them."""
-    names = [(e.path,) for e in list_folder(spark, folder) if e.size == 0 and e.name.endswith(".csv")]
-    return spark.createDataFrame(names, "source_file string").select(
+def inventory(spark: SparkSession, path: str) -> DataFrame:
+    """All lab files at a path, at any depth; no file is opened.
+
+    The names come from the listing that Spark makes to read the files. Its readers, that of
+    whole files too, leave out those without a byte, so lengths are not at hand.
+    """
+    names = _lab_files(spark, path).inputFiles()
+    # A file of no host is file:///x here and file:/x in the metadata of its lines.
+    return spark.createDataFrame([(re.sub(r"^(\w+):///", r"\1:/", n),) for n in names], "source_file string")
+
+
+def empty_files(files: DataFrame, heads: DataFrame) -> DataFrame:
+    """Verdicts of files without a byte: those of an inventory that have no first line."""
+    return files.join(heads.select("source_file"), "source_file", "left_anti").select(
         "source_file",
         F.lit(0).cast("long").alias("row_count"),
         F.lit(0).cast("long").alias("bad_rows"),

@@ -7,7 +7,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsetide.operators.labs import accepted_rows
 from pulsetide.session import store
-from pulsetide.sources.lab_files import empty_files, headers, in_file_order, lab_file_verdicts, lab_rows, stream_lab_text
+from pulsetide.sources.lab_files import (
+    empty_files,
+    headers,
+    in_file_order,
+    inventory,
+    lab_file_verdicts,
+    lab_rows,
+    stream_lab_text,
+)
 
 
 def start_lab_intake(
@@ -42,6 +50,6 @@ def start_lab_intake(
 
 
 def intake_verdicts(spark: SparkSession, landing: str, target: str) -> DataFrame:
-    """Verdicts of all files seen so far, empty files included."""
+    """Verdicts of all files seen so far; a landed file, at any depth, of which no batch saw a line is empty."""
     seen = spark.read.parquet(f"{target}/verdicts").drop("batch")
-    return seen.unionByName(empty_files(spark, landing))
+    return seen.unionByName(empty_files(inventory(spark, landing), seen))

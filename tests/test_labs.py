@@ -1,7 +1,11 @@
+import csv
 import json
+import re
 from datetime import date, datetime, timezone
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pulsetide.operators import health, labs as lab, quality
@@ -20,7 +24,7 @@ from pulsetide.plans import daily_report as daily
 from pulsetide.schemas import ARCHIVE, LAB, RAW_LAB, READING
 from pulsetide.sinks.tables import patient_table, report_table
 from pulsetide.sinks.outputs import archive_rows, replace_day, write_by_date
-from pulsetide.sources.lab_files import empty_files, headers, lab_file_verdicts, lab_rows, read_lab_lines
+from pulsetide.sources.lab_files import CLOSING_LINE, WHOLE_LINE, empty_files, headers, inventory, lab_file_verdicts, lab_rows, read_lab_lines
 from pulsetide.sources.patients import read_patients
 from pulsetide.streaming.lab_intake import intake_verdicts, start_lab_intake
 from tests.conftest import utc
@@ -46,16 +50,27 @@ FILES = {
     "reversed_range.csv": f"{HEAD}\nP001,WBC,7,11-4,2026-01-05\n",
     "bad_time.csv": f"{HEAD}\nP001,WBC,7,4-11,yesterday\n",
     "other_day.csv": f"{HEAD}\nP001,WBC,7,4-11,2026-01-06\n",
+    "broken_field.csv": f'{HEAD}\n"P\n\n,1","W ""B""\r\n\n",7.5,4-11,2026-01-05\n{GOOD}\n',
+    "broken_bad.csv": f'{HEAD}\nP1,"W\nB",seven,4-11,2026-01-05\n',
+    "quote_inside.csv": f'{HEAD}\nP1,5" pipe,7,4-11,2026-01-05\nP2,5" pipe,8,4-11,2026-01-05\n',
+    "blanks.csv": f"{HEAD}\n{GOOD}\n   \n",
+    "only_blank.csv": "\n\n",
+    "only_blanks.csv": "  \n",
     "empty.csv": "",
+    "deep/er/empty_below.csv": "",
+    "deep/er/good_below.csv": f"{HEAD}\n{GOOD}\n",
+    "deep/only_blank_below.csv": "\n",
 }
-LENIENT = {"good", "reordered", "header_only", "blank_line", "quoted", "quoted_header", "bad_range", "reversed_range", "bad_time", "other_day"}
-STRICT = {"good", "reordered", "header_only", "blank_line", "quoted", "quoted_header"}
+LENIENT = {"good", "reordered", "header_only", "blank_line", "quoted", "quoted_header", "bad_range", "reversed_range", "bad_time", "other_day",
+           "broken_field", "quote_inside", "good_below"}
+STRICT = {"good", "reordered", "header_only", "blank_line", "quoted", "quoted_header", "broken_field", "quote_inside", "good_below"}
 
 
 @pytest.fixture(scope="module")
 def landing(tmp_path_factory):
     folder = tmp_path_factory.mktemp("landing")
     for name, text in FILES.items():
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
         (folder / name).write_bytes(text.encode())
     return str(folder)
 
@@ -68,7 +83,7 @@ def name_of(path):
 def test_file_verdicts(spark, landing, strict, expected):
     lines = read_lab_lines(spark, landing)
     heads = headers(lines)
-    verdicts = lab_file_verdicts(lab_rows(lines, heads), heads, strict, DAY).unionByName(empty_files(spark, landing))
+    verdicts = lab_file_verdicts(lab_rows(lines, heads), heads, strict, DAY).unionByName(empty_files(inventory(spark, landing), heads))
     got = {name_of(r.source_file): r.accepted for r in verdicts.collect()}
     assert {n for n, ok in got.items() if ok} == expected
     assert len(got) == len(FILES)
@@ -101,6 +116,51 @@ def test_intake_stream(spark, landing, tmp_path, strict, expected):
     assert (counts.accepted_files, counts.rejected_files) == (len(expected), len(FILES) - len(expected))
 
 
+def test_an_empty_file_beside_good_ones_is_an_error(spark, tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "good.csv").write_text(f"{HEAD}\n{GOOD}\n")
+    assert daily.strict_labs(spark, str(tmp_path), DAY).count() == 1
+    (tmp_path / "a" / "b" / "empty.csv").write_text("")
+    with pytest.raises(daily.InvalidLabFile, match="empty_file"):
+        daily.strict_labs(spark, str(tmp_path), DAY)
+
+
+def test_inventory_names_every_file(spark, landing):
+    assert sorted(name_of(r.source_file) for r in inventory(spark, landing).collect()) == sorted(name_of(n) for n in FILES)
+
+
+cells = st.text(st.sampled_from('a",\n x'), max_size=8)
+
+
+@given(st.lists(st.lists(cells, min_size=5, max_size=5), min_size=1, max_size=12), st.integers(20, 90))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+def test_records_over_lines_equal_a_plain_reader(spark, tmp_path_factory, table, block):
+    """Any text in the fields, lines of a file cut into many blocks."""
+    folder = tmp_path_factory.mktemp("breaks")
+    with open(folder / "x.csv", "w", newline="") as file:
+        writer = csv.writer(file, lineterminator="\n")
+        writer.writerow(HEAD.split(","))
+        writer.writerows(table)
+    side = spark.newSession()
+    side.conf.set("spark.sql.files.maxPartitionBytes", block)
+    side.conf.set("spark.sql.files.openCostInBytes", 0)
+    lines = read_lab_lines(side, str(folder))
+    heads = headers(lines)
+    got = lab_rows(lines, heads).where("NOT header_line").select(*HEAD.split(",")).collect()
+    with open(folder / "x.csv", newline="") as file:
+        expected = [tuple(row) for row in csv.reader(file)][1:]
+    assert sorted(tuple(v or "" for v in r) for r in got) == sorted(expected)
+
+
+@pytest.mark.parametrize(
+    "line, from_out, from_in",
+    [("a,b", False, True), ('a,"b', True, False), ('a"', False, False), ('"a""b"', False, False), ('x"",y', False, True), ('5" pipe,"', True, True), ("", False, True)],
+)
+def test_lines_map_the_state_of_quotes(line, from_out, from_in):
+    """Java's possessive patterns mean the same in Python."""
+    assert (re.search(WHOLE_LINE, line) is None, re.search(CLOSING_LINE, line) is None) == (from_out, from_in)
+
+
 def raw_labs(spark, *rows):
     return spark.createDataFrame([("P001", "WBC", *r, "2026-01-05") for r in rows], RAW_LAB)
 
