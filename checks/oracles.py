@@ -206,7 +206,7 @@ REPORT_COLUMNS = (
 
 DIRTY = READINGS + f""",
 dirty AS (
-  SELECT event_id, patient_id, "timestamp" AS received_at,
+  SELECT source_id, event_id, patient_id, "timestamp" AS received_at,
     {", ".join(f"CASE WHEN source_id % 109 <> 0 THEN {v} END AS {v}" for v in VITALS)},
     CASE WHEN source_id % 107 = 0 THEN 'not-a-date'
          ELSE strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS time_text
@@ -342,6 +342,19 @@ SELECT invalid_detail, count(*) AS dead_letters FROM checked WHERE invalid_detai
     sql["dead_letters_over_time"] = f"""WITH {DIRTY}
 SELECT time_bucket(INTERVAL 1 MINUTE, received_at) AS window_start, invalid_detail, count(*) AS dead_letters
 FROM checked WHERE invalid_detail IS NOT NULL GROUP BY ALL"""
+    sql["dead_letters_whole"] = f"""WITH {DIRTY},
+texts AS (
+  SELECT *, '{{"event_id": ' || event_number || ', "patient_id": ' || coalesce('"' || patient_id || '"', 'null') || ', "vital": '
+    || coalesce(CAST(coalesce({", ".join(VITALS)}) AS VARCHAR), 'null') || ', "heart_rate": ' || coalesce('"' || CAST(heart_rate AS VARCHAR) || '"', 'null')
+    || ', "timestamp": "' || time_text || '", "device": {{"id": ' || event_number % 7 || ', "tag": "a\\"b"}}}}' AS whole FROM (
+    SELECT d.*, source_id AS event_number FROM checked d)),
+sent AS (SELECT *, CASE WHEN event_number % 113 = 0 THEN left(whole, 40) ELSE whole END AS raw_text, event_number % 113 = 0 AS broken FROM texts)
+SELECT CASE WHEN broken THEN 'unknown' ELSE coalesce(patient_id, 'unknown') END AS key,
+  '{{"raw_payload":' || CASE WHEN broken THEN '"' || replace(raw_text, '"', '\\"') || '"' ELSE raw_text END
+    || ',"error_reason":"failed_validation"}}' AS value,
+  CASE WHEN broken THEN 'undecodable' WHEN patient_id IS NULL THEN 'missing_patient'
+       WHEN time_text = 'not-a-date' THEN 'bad_timestamp' ELSE 'no_vitals' END AS invalid_detail
+FROM sent WHERE broken OR patient_id IS NULL OR time_text = 'not-a-date' OR heart_rate IS NULL"""
     sql["published_messages"] = f"""WITH {DIRTY}
 SELECT patient_id AS key, event_id, time_text AS event_time, event_id AS trace_id,
   coalesce(length(event_id), 36) AS trace_length FROM checked WHERE invalid_detail IS NULL"""
@@ -373,8 +386,8 @@ SELECT reference_range, try_cast(nullif(regexp_extract(reference_range, '^([0-9.
     sql["lab_quoted_breaks"] = f"""WITH {LABS}
 SELECT patient_id, CASE WHEN l_orderkey % 5 = 0
     THEN test_type || chr(10) || chr(10) || '"note", ' || l_linenumber || chr(10) || ',' ELSE test_type END AS test_type,
-  CAST(l_quantity AS VARCHAR) AS result_value, reference_range, CAST(CAST(collected_at AS DATE) AS VARCHAR) AS collected_at
-FROM labs"""
+  CAST(l_quantity AS VARCHAR) AS result_value, '5.0-45.0' AS reference_range, CAST(day AS VARCHAR) AS collected_at
+FROM lab_lines"""
     sql["lab_row_errors"] = f"""WITH {LABS_RAW}
 SELECT source_file, row_error, count(*) AS row_count FROM lab_errors GROUP BY ALL"""
     sql["lab_file_verdicts"] = f"WITH {LABS_RAW} SELECT * FROM verdicts"
@@ -429,6 +442,12 @@ SELECT patient_id, report_date, risk_score, risk_flag FROM stricter WHERE report
 SELECT patient_id, report_date, event_count, {", ".join(METRICS)}, coalesce(result_count, 0) AS result_count,
   coalesce(abnormal_count, 0) AS abnormal_count, risk_score, risk_flag, test_type, result_value, is_abnormal, times
 FROM report LEFT JOIN results USING (patient_id, report_date)"""
+    sql["upsert_partial"] = f"""WITH {CLEAN},{old},{new}
+SELECT patient_id, window_start, o.window_end,
+  CASE WHEN window_start >= TIMESTAMP '2024-01-18' THEN NULL ELSE o.avg_hr END AS avg_hr, o.avg_spo2,
+  CASE WHEN n.window_end IS NOT NULL THEN n.event_count ELSE o.event_count END AS event_count,
+  CASE WHEN n.window_end IS NOT NULL THEN n.anomaly_flags ELSE o.anomaly_flags END AS anomaly_flags
+FROM old_wins o FULL JOIN new_wins n USING (patient_id, window_start)"""
     sql["upsert_patients"] = f"""WITH {PATIENTS}, moved AS (
   SELECT {patient('c_custkey')} AS patient_id, 'MOVED' AS ward, DATE '2024-02-01' AS admit_date
   FROM customer WHERE c_acctbal < 0)
@@ -502,6 +521,7 @@ SELECT (SELECT count(DISTINCT event_id) FROM good) AS accepted,
     sql["stream_alert_state"] = f"""WITH {WINDOWS}, closed AS (
   SELECT * FROM wins WHERE window_end <= (SELECT max("timestamp") FROM clean) - INTERVAL 2 MINUTE),
 {episodes('eps', 'closed')} SELECT * FROM eps"""
+    sql["stream_alert_handover"] = sql["stream_alert_state"]
     sql["stream_stale"] = sql["stale_now"]
     sql["stream_stale_gaps"] = sql["stale_gaps_by_patient"]
     sql["stream_dlq_alarm"] = sql["dlq_rate_alarm"]

@@ -13,7 +13,7 @@ from pulsetide.functions import clock
 from pulsetide.operators import episodes as ep
 from pulsetide.operators import health, labs as lab, quality, serving, summaries
 from pulsetide.operators.clean import clean_readings, dedupe_readings
-from pulsetide.operators.upsert import latest_by_key, upsert
+from pulsetide.operators.upsert import latest_by_key, latest_given, upsert
 from pulsetide.operators.windows import reading_alerts, window_vitals
 from pulsetide.params import AlertLimits, Params, SimClock
 from pulsetide.plans import daily_report as daily
@@ -24,7 +24,7 @@ from pulsetide.sinks import outputs
 from pulsetide.sinks.tables import alert_table, lab_table, live_table, report_table
 from pulsetide.sources import warehouse as w
 from pulsetide.sources.lab_files import headers, lab_rows, read_lab_archive, read_lab_lines
-from pulsetide.sources.readings import read_archive, read_json_lines
+from pulsetide.sources.readings import decode_readings, read_archive, read_json_lines
 from pulsetide.streaming import alarms, alert_state, lab_intake, speed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,6 +178,12 @@ def dead_letters(spark, sf):
     )
 
 
+def dead_letters_whole(spark, sf):
+    """Messages as JSON text, some of them broken, with fields that no column knows: dead letters hold them as sent."""
+    rows = quality.with_validity(decode_readings(w.messages(spark, sf), keep_text=True))
+    return plain(quality.dead_letters(rows).select("key", "value", "invalid_detail"))
+
+
 def dead_letter_totals(spark, sf):
     checked = _checked(spark, sf)
     return plain(health.dead_letter_totals(checked.where(F.col("invalid_detail").isNotNull())))
@@ -406,6 +412,22 @@ def upsert_live(spark, sf):
     return plain(latest_by_key(rows, ["patient_id", "window_start"], "version").drop("version"))
 
 
+def upsert_partial(spark, sf):
+    """Windows up to January 20, then flags and counts alone of those from January 10 on, then heart rates taken back."""
+    readings = _readings(spark, sf)
+    columns = ["patient_id", "window_start", "window_end", "avg_hr", "avg_spo2", "event_count", "anomaly_flags"]
+    old = window_vitals(summaries.on_days(readings, "timestamp", FIRST, date(2024, 1, 20))).select(*columns)
+    new = window_vitals(summaries.on_days(readings, "timestamp", date(2024, 1, 10), LAST), limits=STRICTER).select(*columns)
+    late = F.col("window_start") >= F.lit(datetime(2024, 1, 18, tzinfo=timezone.utc))
+    parts = [
+        (old, columns[2:]),
+        (new, ["event_count", "anomaly_flags"]),
+        (old.unionByName(new).where(late).withColumn("avg_hr", F.lit(None).cast("double")), ["avg_hr"]),
+    ]
+    given = [rows.withColumns({"version": F.lit(i), "given": F.lit(names)}) for i, (rows, names) in enumerate(parts)]
+    return plain(latest_given(_union(given), ["patient_id", "window_start"], "version"))
+
+
 def upsert_report(spark, sf):
     """Two runs into the stored table, the second with stricter limits, then its current rows."""
     readings, labs = _readings(spark, sf), _labs(spark, sf)
@@ -637,6 +659,31 @@ def stream_alert_state(spark, sf):
     return plain(alert_state.episodes_from_changes(changes))
 
 
+def stream_alert_handover(spark, sf):
+    """The same in two streams with a checkpoint each: the second starts with the alerts that the first left open."""
+    folder = shared_folder(spark, "handover")
+    side = _streaming(spark)
+    events = w.table(spark, sf, "events")
+    half = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    # A harmless reading of the next day lets the first stream close all windows of its half.
+    tick = events.where("event_id = 1").select(
+        *[F.lit(v).cast(events.schema[c].dataType).alias(c) for c, v in
+          {"event_id": -1, "ts": "2024-01-17", "user_id": -1, "event_type": "click", "value": 10, "props": None}.items()]
+    )
+    carried = None
+    for name, rows in (("first", events.where(half).unionByName(tick)), ("second", events.where(~half))):
+        rows.write.parquet(f"{folder}/in-{name}")
+        landed = side.readStream.schema(events.schema).parquet(f"{folder}/in-{name}")
+        closed = speed.stream_windows(w.vitals_from_events(landed))
+        writer = alert_state.alert_changes(closed, carried).writeStream.format("parquet").outputMode("append")
+        writer = writer.option("path", f"{folder}/{name}").option("checkpointLocation", f"{folder}/checkpoint-{name}")
+        _run(writer.trigger(availableNow=True).start())
+        changes = side.read.schema(alert_state.CHANGE).parquet(f"{folder}/{name}")
+        carried = alert_state.episodes_from_changes(changes)
+    both = spark.read.schema(alert_state.CHANGE).parquet(f"{folder}/first", f"{folder}/second")
+    return plain(alert_state.episodes_from_changes(both))
+
+
 def _alarm_run(spark, sf, start) -> DataFrame:
     """A stream of alarms in three turns, each started anew from the checkpoint, and what it wrote.
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pulsetide.functions.parsing import parse_once, text_id, to_instant
 from pulsetide.operators.clean import is_clean, typed_readings
 from pulsetide.params import ALERT_TYPES, RISK_FLAGS, VITALS
+from pulsetide.schemas import RAW_TEXT
 
 # Fixed value: the reason the dead-letter contract names.
 FAILED_VALIDATION = "failed_validation"
@@ -17,8 +18,11 @@ def with_validity(readings: DataFrame) -> DataFrame:
     text = dict(readings.dtypes)["timestamp"] == "string"
     instant = to_instant("`timestamp`") if text else "`timestamp`"
     given = ", ".join(f"CAST({v} AS STRING)" for v in VITALS)
+    patient = f"{text_id('patient_id')} IS NULL"
+    # Only what has no patient can be broken text, so few messages are parsed for it.
+    broken = f"WHEN {patient} AND try_parse_json({RAW_TEXT}) IS NULL THEN 'undecodable' " if RAW_TEXT in readings.columns else ""
     detail = (
-        f"CASE WHEN {text_id('patient_id')} IS NULL THEN 'missing_patient' "
+        f"CASE {broken}WHEN {patient} THEN 'missing_patient' "
         f"WHEN ({instant}) IS NULL THEN 'bad_timestamp' "
         f"WHEN coalesce({given}) IS NULL THEN 'no_vitals' END"
     )
@@ -34,7 +38,7 @@ def dead_letters(checked: DataFrame, payload: list[str] | None = None) -> DataFr
     payload = payload or [c for c in checked.columns if c != "invalid_detail"]
     return checked.where(F.col("invalid_detail").isNotNull()).select(
         F.expr(f"coalesce({text_id('patient_id')}, 'unknown')").alias("key"),
-        rejected_value(payload).alias("value"),
+        (sent_value() if RAW_TEXT in payload else rejected_value(payload)).alias("value"),
         F.lit(FAILED_VALIDATION).alias("error_reason"),
         "invalid_detail",
         *payload,
@@ -47,6 +51,14 @@ def rejected_value(payload: list[str]) -> Column:
     return F.to_json(whole, {"ignoreNullFields": "false"})
 
 
+def sent_value() -> Column:
+    """The rejected message as it was sent, character by character; as a JSON text where it is no JSON itself."""
+    reason = F.lit(FAILED_VALIDATION)
+    whole = F.concat(F.lit('{"raw_payload":'), F.col(RAW_TEXT), F.lit(f',"error_reason":"{FAILED_VALIDATION}"}}'))
+    text = F.to_json(F.struct(F.col(RAW_TEXT).alias("raw_payload"), reason.alias("error_reason")), {"ignoreNullFields": "false"})
+    return F.when(F.try_parse_json(F.col(RAW_TEXT)).isNotNull(), whole).otherwise(text)
+
+
 def run_counts(readings: DataFrame) -> DataFrame:
     """Accepted (clean and distinct) and rejected readings of a run, in one pass.
 

@@ -14,6 +14,8 @@ def _fields(kind: T.DataType, *names: str) -> list[T.StructField]:
 # As it arrives: vitals and time are text, so that a bad value can be told
 # from a missing one.
 RAW_READING = T.StructType(_fields(T.StringType(), "event_id", "patient_id", *VITALS, "timestamp"))
+# The message a reading was decoded from, where it is kept.
+RAW_TEXT = "raw_text"
 
 READING = T.StructType(
     _fields(T.StringType(), "event_id", "patient_id")

@@ -7,8 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from pulsetide.functions.parsing import text_id
-from pulsetide.operators.quality import publishable, rejected_value
-from pulsetide.schemas import ARCHIVE, READING
+from pulsetide.operators.quality import publishable, rejected_value, sent_value
+from pulsetide.schemas import ARCHIVE, RAW_TEXT, READING
 
 # Fixed value: time format of the JSON-lines output.
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ssxxx"
@@ -32,12 +32,12 @@ def publish_rows(checked: DataFrame) -> DataFrame:
 
 
 def dead_letter_rows(checked: DataFrame) -> DataFrame:
-    """Rejected readings as key, value and headers of the dead-letter topic, all their columns in the payload."""
+    """Rejected readings as key, value and headers of the dead-letter topic: the message as sent where it was kept, else all columns."""
     trace = F.coalesce(F.col("event_id").cast("string"), F.uuid())
     payload = [c for c in checked.columns if c not in ("invalid_detail", "arrival")]
     key = F.coalesce(F.expr(text_id("patient_id")), F.lit("unknown"))
     return checked.where(F.col("invalid_detail").isNotNull()).select(
-        key.alias("key"), rejected_value(payload).alias("value"), _headers(trace)
+        key.alias("key"), (sent_value() if RAW_TEXT in payload else rejected_value(payload)).alias("value"), _headers(trace)
     )
 
 

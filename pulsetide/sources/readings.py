@@ -9,11 +9,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsetide.operators.clean import typed_readings
-from pulsetide.schemas import ARCHIVE, RAW_READING
+from pulsetide.schemas import ARCHIVE, RAW_READING, RAW_TEXT
 from pulsetide.sources.files import list_folder
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, starting: str = "latest", **options: str) -> DataFrame:
+def read_topic(
+    spark: SparkSession, servers: str, topic: str, starting: str = "latest", keep_text: bool = False, **options: str
+) -> DataFrame:
     """Subscribe to a topic of JSON readings. Needs Spark's Kafka connector on the class path."""
     reader = (
         spark.readStream.format("kafka")
@@ -21,19 +23,24 @@ def read_topic(spark: SparkSession, servers: str, topic: str, starting: str = "l
         .option("subscribe", topic)
         .option("startingOffsets", starting)
     )
-    return decode_readings(reader.options(**options).load())
+    return decode_readings(reader.options(**options).load(), keep_text=keep_text)
 
 
-def decode_readings(messages: DataFrame, value: str = "value") -> DataFrame:
+def decode_readings(messages: DataFrame, value: str = "value", keep_text: bool = False) -> DataFrame:
     """JSON payload to text columns; an undecodable payload gives a row of nulls.
 
     Vitals stay text here: decoding to DOUBLE would turn "80" and junk alike
-    into null, and cleaning could no longer tell them apart.
+    into null, and cleaning could no longer tell them apart. With ``keep_text`` the
+    payload as it was sent stays beside them (``raw_text``), so that dead letters
+    hold it whole: numbers as written, fields that no column knows, broken text.
     """
-    event = F.from_json(F.col(value).cast("string"), RAW_READING)
-    rest = [c for c in messages.columns if c == "arrival"]
+    text = F.col(value).cast("string")
+    event = F.from_json(text, RAW_READING)
+    rest = ["arrival"] if "arrival" in messages.columns else []
+    sent = [text.alias(RAW_TEXT)] if keep_text else []
     # inline keeps later filters above the decoding, which would else be repeated in them.
-    return messages.select(*rest, F.inline(F.array(event))).select(*RAW_READING.names, *rest)
+    rows = messages.select(*rest, *sent, F.inline(F.array(event)))
+    return rows.select(*RAW_READING.names, *rest, *([RAW_TEXT] if keep_text else []))
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -48,7 +48,7 @@ def vitals_raw(spark: SparkSession, folder: str) -> DataFrame:
     return vitals_from_events(table(spark, folder, "events"))
 
 
-def dirty_readings(events: DataFrame) -> DataFrame:
+def dirty_readings(events: DataFrame, *others: str) -> DataFrame:
     """Readings as a producer sees them: text time, some of it junk, some without vitals."""
     iso = "date_format(`timestamp`, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx\")"
     return readings_from_events(events).selectExpr(
@@ -57,6 +57,7 @@ def dirty_readings(events: DataFrame) -> DataFrame:
         *[f"CASE WHEN source_id % 109 <> 0 THEN {v} END AS {v}" for v in VITALS],
         f"CASE WHEN source_id % 107 = 0 THEN 'not-a-date' ELSE {iso} END AS `timestamp`",
         "`timestamp` AS received_at",
+        *others,
     )
 
 
@@ -64,6 +65,21 @@ def readings_raw(spark: SparkSession, folder: str) -> DataFrame:
     return dirty_readings(table(spark, folder, "events"))
 
 
+def messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Dirty readings as messages of JSON text: a heart rate as text, fields that no column knows, every 113th cut off."""
+    events = table(spark, folder, "events")
+    rows = dirty_readings(events, "source_id AS event_number")
+    vital = f"CAST(coalesce({', '.join(VITALS)}) AS STRING)"
+    quoted = "coalesce(concat('\"', {0}, '\"'), 'null')"
+    parts = [
+        "'{\"event_id\": '", "event_number", "', \"patient_id\": '", quoted.format("patient_id"),
+        "', \"vital\": '", f"coalesce({vital}, 'null')", "', \"heart_rate\": '", quoted.format("CAST(heart_rate AS STRING)"),
+        "', \"timestamp\": \"'", "`timestamp`", "'\", \"device\": {\"id\": '", "event_number % 7", "', \"tag\": \"a'", "chr(92)", "'\"b\"}}'",
+    ]
+    text = rows.selectExpr("event_number", f"concat({', '.join(parts)}) AS value")
+    return text.selectExpr("CASE WHEN event_number % 113 = 0 THEN left(value, 40) ELSE value END AS value")
+
+
 def _patient_count(spark: SparkSession, folder: str) -> Column:
     return table(spark, folder, "events").agg(F.max("user_id") + 1).scalar()
 

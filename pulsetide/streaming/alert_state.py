@@ -54,24 +54,37 @@ def _processor():
                 if before.get(name) != time:
                     self.open.updateValue((name,), (time,))
 
+        def handleInitialState(self, key, initialState, timerValues):
+            for alert in initialState.alerts:
+                self.open.updateValue((alert["alert_type"],), (alert["triggered_at"],))
+
         def close(self) -> None:
             pass
 
     return OpenAlerts()
 
 
-def alert_changes(closed_windows: DataFrame) -> DataFrame:
+def alert_changes(closed_windows: DataFrame, open_alerts: DataFrame | None = None) -> DataFrame:
     """Openings (no end yet) and closings of alerts, from a stream of final windows.
 
+    ``open_alerts`` (episodes without an end) are the state that a new checkpoint starts
+    with: the stream closes them, and does not open them again.
+
     State is at most four entries per patient. A patient's windows come in
     time order across batches, because a window is final only once the
     watermark has passed it; within a batch they are few and sorted here.
     """
     use_rocksdb_state(closed_windows.sparkSession)
+    held = None
+    if open_alerts is not None:
+        # At most one alert of a type is open: one small row per patient.
+        alerts = F.collect_list(F.struct("alert_type", "triggered_at")).alias("alerts")
+        rows = open_alerts.where("resolved_at IS NULL").groupBy("patient_id").agg(alerts)
+        held = rows.groupBy("patient_id")
     return (
         closed_windows.select("patient_id", "window_start", "window_end", "anomaly_flags")
         .groupBy("patient_id")
-        .transformWithState(_processor(), CHANGE, "Append", "none")
+        .transformWithState(_processor(), CHANGE, "Append", "none", initialState=held)
     )
 
 

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from pulsetide.operators.clean import clean_readings, dedupe_readings
 from pulsetide.operators.quality import dead_letters, publishable, run_counts, with_validity
+from pulsetide.operators.upsert import latest_given
 from pulsetide.operators.windows import reading_alerts, window_vitals
 from pulsetide.params import ALERT_TYPES
 from pulsetide.plans.file_run import process_json_lines, windows_of
 from pulsetide.schemas import RAW_READING, READING
 from pulsetide.sinks.outputs import publish_rows
-from pulsetide.sources.readings import decode_readings, read_archive_day, read_archive_files
+from pulsetide.sources.readings import decode_readings, read_archive_day, read_archive_files, read_json_lines
 from tests.conftest import rows_of, utc
 
 BASE = {
@@ -154,3 +155,47 @@ def test_timestamps_are_utc(spark):
     row = clean_readings(raw(spark, {"timestamp": "2026-01-01T01:30:00+02:00"})).select(F.col("timestamp").cast("date")).first()
     assert row[0] == date(2025, 12, 31)
     assert rows_of(spark.createDataFrame([(utc(2026, 1, 1),)], "t timestamp").select(F.col("t").cast("string"))) == [("2026-01-01 00:00:00",)]
+
+
+def test_dead_letters_hold_the_message_as_sent(spark):
+    """Numbers as written, fields of no column, texts that are no JSON; what was no message has no payload."""
+    sent = [
+        '{"event_id": "a", "patient_id": "", "heart_rate": 1.50e1, "ward": {"bed": [1, null]}}',
+        '{"event_id": "b", "patient_id": "P1", "timestamp": "soon", "spo2": "97 %"}',
+        '{"event_id": "c", "patient_id": "P1", "timest',
+        'no "JSON" at all \\ é',
+        "",
+        None,
+    ]
+    messages = spark.createDataFrame([(t,) for t in sent], "value string")
+    rows = dead_letters(with_validity(decode_readings(messages, keep_text=True)))
+    got = {(r.invalid_detail, r.key, r.value) for r in rows.collect()}
+    end = ',"error_reason":"failed_validation"}'
+    assert got == {
+        ("missing_patient", "unknown", '{"raw_payload":' + sent[0] + end),
+        ("bad_timestamp", "P1", '{"raw_payload":' + sent[1] + end),
+        *[("undecodable", "unknown", '{"raw_payload":' + json.dumps(t, ensure_ascii=False) + end) for t in sent[2:]],
+    }
+    assert all(json.loads(value)["error_reason"] == "failed_validation" for _, _, value in got)
+
+
+def test_columns_are_merged_one_by_one(spark):
+    rows = spark.createDataFrame(
+        [("k", 1, ["a", "b"], 1, "x"), ("k", 2, ["a"], 2, "not given"), ("k", 3, ["b"], 9, None), ("l", 1, [], 5, "y"), ("m", 7, ["a"], None, None)],
+        "key string, version int, given array<string>, a int, b string",
+    )
+    got = sorted(map(tuple, latest_given(rows, ["key"], "version").collect()))
+    assert got == [("k", 2, None), ("l", None, None), ("m", None, None)]
+    plan = latest_given(rows, ["key"], "version")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "Window" not in plan
+
+
+def test_file_mode_reads_its_source_once(spark, tmp_path):
+    """The counts are taken on the way: one scan, and the same as those of a pass of its own."""
+    lines = [{"event_id": str(i % 7), "patient_id": "P1", "heart_rate": 70 + i, "timestamp": "2026-01-01T10:00:00Z"} for i in range(20)]
+    text = "\n".join([*map(json.dumps, lines), "broken", '{"event_id": "x", "patient_id": "P1", "spo2": 10, "timestamp": "2026-01-01T10:00:00Z"}'])
+    (tmp_path / "in.jsonl").write_text(text)
+    counts = process_json_lines(spark, f"{tmp_path}/in.jsonl", f"{tmp_path}/out")
+    assert (counts.accepted, counts.rejected) == (7, 2)
+    assert tuple(run_counts(read_json_lines(spark, f"{tmp_path}/in.jsonl")).first()) == (7, 2)
+    assert sum(json.loads(line)["event_count"] for part in (tmp_path / "out").glob("*.json") for line in part.read_text().splitlines()) == 7
