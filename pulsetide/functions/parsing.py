@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 
 # Accepted spellings.
 ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+# The same without its separators, or with another sign between date and time.
+LOOSE_TIMESTAMP = (
+    r"^(\d{4})-?(\d{2})-?(\d{2})(?:\D(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?(?:Z|([+-]\d{2})(?::?(\d{2}))?)?)?$"
+)
 REFERENCE_RANGE = r"^\s*(-?\d+(?:\.\d+)?)\s*-\s*(-?\d+(?:\.\d+)?)\s*$"
 
 
@@ -31,11 +35,21 @@ def to_number(value: str) -> str:
 def to_instant(value: str) -> str:
     """ISO date-time to timestamp; without an offset it is UTC (session zone).
 
-    Spark reads an offset only with its colon, so ``+0530`` becomes ``+05:30`` first.
+    Spark reads an offset only with its colon, so ``+0530`` becomes ``+05:30`` first. Basic
+    forms (``20270101T003000Z``) and other signs than T between date and time are put together
+    from their parts, which only costs where the common form does not fit.
     """
     bare = f"{value} RLIKE r'[0-9][+-][0-9]{{4}}$'"
     offset = f"concat(left({value}, length({value}) - 2), ':', right({value}, 2))"
-    return f"CASE WHEN {value} RLIKE r'{ISO_TIMESTAMP}' THEN try_to_timestamp(CASE WHEN {bare} THEN {offset} ELSE {value} END) END"
+    common = f"try_to_timestamp(CASE WHEN {bare} THEN {offset} ELSE {value} END)"
+
+    def part(group: int, missing: str) -> str:
+        return f"coalesce(nullif(regexp_extract({value}, r'{LOOSE_TIMESTAMP}', {group}), ''), '{missing}')"
+
+    pieces = [part(1, ""), "'-'", part(2, ""), "'-'", part(3, ""), "'T'", part(4, "00"), "':'", part(5, "00"), "':'", part(6, "00")]
+    pieces += ["'.'", f"left({part(7, '0')}, 6)", part(8, "+00"), "':'", part(9, "00")]
+    loose = f"try_to_timestamp(concat({', '.join(pieces)}))"
+    return f"CASE WHEN {value} RLIKE r'{ISO_TIMESTAMP}' THEN {common} WHEN {value} RLIKE r'{LOOSE_TIMESTAMP}' THEN {loose} END"
 
 
 def reference_low(value: str) -> str:

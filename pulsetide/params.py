@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields
-from datetime import date, datetime, timezone
+from datetime import date, datetime
 
 # The names and limits below are part of the data contract.
 VITALS = ("heart_rate", "spo2", "systolic_bp", "diastolic_bp", "temperature")
@@ -61,8 +61,8 @@ class RiskRules:
 class SimClock:
     """One simulated day passes every ``day_seconds`` real seconds."""
 
-    real_start: datetime = datetime(2026, 9, 30, 8, 5, 5, tzinfo=timezone.utc)
-    sim_start: date = date(2026, 1, 1)
+    real_start: datetime
+    sim_start: date
     day_seconds: float = 300.0
 
 

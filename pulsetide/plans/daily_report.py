@@ -54,7 +54,7 @@ class RunStatus(NamedTuple):
 
 
 def run_status(
-    spark: SparkSession, logical_time: datetime, lab_folder: str, clock: SimClock = SimClock()
+    spark: SparkSession, logical_time: datetime, lab_folder: str, clock: SimClock
 ) -> RunStatus:
     """Which simulated day a run is for, and whether it can go ahead.
 

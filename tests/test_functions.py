@@ -115,3 +115,12 @@ def test_offset_without_colon_is_read(spark):
     values = [("2026-01-01T12:00:00+0530",), ("2026-01-01T12:00:00+05:30",), ("2026-01-01T06:30:00Z",), ("2026-01-01",)]
     rows = spark.createDataFrame(values, "t string").selectExpr(f"{to_instant('t')} AS t").collect()
     assert rows[0] == rows[1] == rows[2] and rows[3].t is not None
+
+
+def test_basic_forms_and_other_separators(spark):
+    from pulsetide.functions.parsing import to_instant
+
+    same = ["20270101T003000Z", "20270101 0030", "2027-01-01t00:30:00.0Z", "2027-01-01_02:30+02", "20270101T063000,000000+0600", "20270101T003000.0000001"]
+    bad = ["2027010", "20271301T003000Z", "2027-01-01T", "20270101T25", "2027-01-0100:30", "270101T003000Z"]
+    rows = spark.createDataFrame([(t,) for t in same + bad], "t string").selectExpr(f"CAST({to_instant('t')} AS STRING) AS t").collect()
+    assert [r.t for r in rows] == ["2027-01-01 00:30:00"] * len(same) + [None] * len(bad)
