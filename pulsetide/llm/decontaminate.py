@@ -1,9 +1,8 @@
 """Benchmark decontamination: n-grams of test items, found in training documents.
 
 The n-grams of all items go to every task as one hash set. Their number is
-counted before; a set beyond `most_bytes` is not broadcast but dealt into as many
-rounds as it takes, each of a proven size, so the result is the same for any
-benchmark. Hits by fingerprint are verified on the bytes of the words.
+counted before; more than one set may hold are dealt into as many rounds as it takes,
+one after the other, so the result is the same for any benchmark. Hits by fingerprint are verified on the bytes of the words.
 """
 
 from __future__ import annotations
@@ -16,11 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pulsetide.llm import words as w
+from pulsetide.session import shared_folder, store
 
 GRAM = 13
 #: Contaminated: at least this share of the words, as 1 in SHARE.
 SHARE = 20
-#: Words of items that one broadcast set may hold (about 100 bytes each).
+#: Windows that one broadcast set may hold (about 100 bytes each).
 BROADCAST_WORDS = 500_000
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -80,61 +80,91 @@ def _member(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _rounds(benchmark: DataFrame, most: int) -> list[list[tuple[str, str]]]:
-    """Items in lots of at most `most` words (or one item), each lot small enough to broadcast."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    items = items.where("item_id IS NOT NULL")
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    lots = max(1, -(-total // (2 * most)))
-    if lots == 1:
-        return [[tuple(r) for r in items.collect()]]
-    dealt = items.withColumn("lot", F.pmod(F.xxhash64("item_id", "text"), F.lit(lots)))
-    return [[tuple(r) for r in dealt.where(F.col("lot") == i).drop("lot").collect()] for i in range(lots)]
+def _windows(gram: int):
+    def windows(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
+                # Only the window's words: an item's text, however long, never travels whole.
+                found = [(size, window) for size, held in grams_of([(item, text)], gram).items() for window in held]
+                if found:
+                    sizes, grams = zip(*found)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([item] * len(found), pa.string()), pa.array(sizes, pa.int32()), pa.array(grams, pa.binary())],
+                        names=["item", "size", "gram"],
+                    )
+
+    return windows
+
+
+def benchmark_windows(benchmark: DataFrame, gram: int, folder: str) -> DataFrame:
+    """Stored: the distinct windows of all items (item, size in words, gram). An item without id has a null one."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    return store(items.mapInArrow(_windows(gram), "item string, size int, gram binary").distinct(), folder)
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, share: int = SHARE, most: int = BROADCAST_WORDS
+    docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, share: int = SHARE, most: int = BROADCAST_WORDS, folder: str | None = None
 ) -> DataFrame:
     """The documents' columns with n_words, n_hit, n_items, items_sha256, contaminated.
 
     A window is `gram` consecutive words of an item, or a shorter item whole. A
     document word within any occurrence of a window is hit. A null or empty text
-    has no words; an item without words or without id has no window; an empty
-    benchmark hits nothing. Repeated rows each get their own result. Columns of
-    the documents that bear the names above are replaced.
+    has no words; an item without words has no window, one without id has windows that hit
+    but no name; an empty benchmark hits nothing. Repeated rows each get their own result.
+    Columns of the documents that bear the names above are replaced; any other names are free.
     """
     added = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     kept = docs.drop(*added)
-    lots = _rounds(benchmark, most)
-    found = kept.withColumn("_spans", F.lit(None).cast("array<long>")).withColumn("_items", F.lit(None).cast("array<string>"))
-    found = found.withColumn("_words", F.lit(0).cast("long"))
-    for lot in lots:
-        found = _scan(found, docs.sparkSession.sparkContext.broadcast(_sets(grams_of(lot, gram))))
-    names = F.array_sort("_items")
+    folder = folder or shared_folder(docs.sparkSession, "decontaminate")
+    spans, items, words, hit = (free_name(kept.columns, name) for name in ("spans", "items", "words", "hit"))
+    windows = benchmark_windows(benchmark, gram, f"{folder}/windows")
+    # Windows are dealt by what they say, about `most` a round; a round's windows are on the driver while they are sent out.
+    lots = max(1, -(-windows.count() // most))
+    dealt = windows.withColumn("lot", F.pmod(F.xxhash64("gram"), F.lit(lots)))
+    found = kept.withColumn(spans, F.lit(None).cast("array<long>")).withColumn(items, F.lit(None).cast("array<string>"))
+    found = found.withColumn(words, F.lit(0).cast("long")).withColumn(hit, F.lit(0).cast("long"))
+    for lot in range(lots):
+        sent = docs.sparkSession.sparkContext.broadcast(_sets(dealt.where(F.col("lot") == lot).select("item", "size", "gram").toArrow()))
+        found = _scan(found, sent, spans, items, words, hit)
+        if lot < lots - 1:
+            found = store(found, f"{folder}/round-{lot}")
+            sent.unpersist()
+    names = F.array_sort(items)
     return found.select(
         *kept.columns,
-        F.col("_words").alias("n_words"),
-        F.col("_hit").alias("n_hit"),
-        F.size("_items").cast("long").alias("n_items"),
+        F.col(words).alias("n_words"),
+        F.col(hit).alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"),
-        ((F.col("_hit") > 0) & (share * F.col("_hit") >= F.col("_words"))).alias("contaminated"),
+        ((F.col(hit) > 0) & (share * F.col(hit) >= F.col(words))).alias("contaminated"),
     )
 
 
-def _sets(grams: dict[int, dict[bytes, set[str]]]) -> list:
+def free_name(columns: list[str], name: str) -> str:
+    """A name that none of the columns has, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def _sets(windows: pa.Table) -> list:
+    grams: dict[int, dict[bytes, set[str]]] = {}
+    for item, size, gram in zip(*(windows[c].to_pylist() for c in ("item", "size", "gram"))):
+        names = grams.setdefault(size, {}).setdefault(gram, set())
+        if item is not None:
+            names.add(item)
     return [(size, _fingerprints(found, size), found) for size, found in sorted(grams.items())]
 
 
-def _scan(found: DataFrame, sets) -> DataFrame:
+def _scan(found: DataFrame, sets, spans_name: str, items_name: str, words_name: str, hit_name: str) -> DataFrame:
     """Add the hits of one lot to the spans (hit words, as positions) and items found so far."""
-    if "_hit" not in found.columns:
-        found = found.withColumn("_hit", F.lit(0).cast("long"))
 
     def mark(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in w.batches(rows):
             words, hit, items = _mark(texts, sets.value)
             spans, names = [], []
-            for i, (old, had) in enumerate(zip(batch.column("_spans").to_pylist(), batch.column("_items").to_pylist())):
+            for i, (old, had) in enumerate(zip(batch.column(spans_name).to_pylist(), batch.column(items_name).to_pylist())):
                 lo, hi = words.first[i], words.first[i + 1]
                 here = hit[lo:hi]
                 if old:
@@ -144,10 +174,10 @@ def _scan(found: DataFrame, sets) -> DataFrame:
                 spans.append(np.flatnonzero(here).tolist() if here.any() else None)
                 names.append(sorted(items[i] | set(had or ())))
             new = {
-                "_spans": pa.array(spans, pa.list_(pa.int64())),
-                "_items": pa.array(names, pa.list_(pa.string())),
-                "_words": pa.array(words.counts, pa.int64()),
-                "_hit": pa.array(w.per_document(hit, words.first), pa.int64()),
+                spans_name: pa.array(spans, pa.list_(pa.int64())),
+                items_name: pa.array(names, pa.list_(pa.string())),
+                words_name: pa.array(words.counts, pa.int64()),
+                hit_name: pa.array(w.per_document(hit, words.first), pa.int64()),
             }
             yield pa.RecordBatch.from_arrays(
                 [new.get(n, c) for n, c in zip(batch.schema.names, batch.columns)], names=batch.schema.names

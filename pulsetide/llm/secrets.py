@@ -1,10 +1,12 @@
 """Secret scans: known forms, and random strings by their token efficiency.
 
 A byte-pair vocabulary was learned on language and code, so words cost few tokens
-and random strings many: a run of key characters with few characters per token is
-taken for a secret. Runs that are known digests or identifiers are left out:
-hexadecimal strings of a digest's length, UUIDs, numbers and times, and words
-joined by case, dash or underscore.
+and random strings many: a stretch of key characters with few characters per token is
+taken for a secret. Known digests and identifiers are cut out of a run first:
+hexadecimal strings of a digest's length, UUIDs, and strings of digits and signs. What
+is left is weighed token by token, so a secret is found behind a path of words too, and
+words joined by case, dash or slash are spared by what they cost. Each step is linear
+in the run's length.
 
 All patterns consist of ASCII bytes, so a slice is screened as bytes for runs long
 enough and for key words; only texts that pass are searched by pattern.
@@ -32,13 +34,16 @@ LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 
 RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
 LEAST_RUN = 20
-#: Fewer characters per token than this are random. Prose has about four, random base64 about 1.4.
-MOST_PER_TOKEN = 2.0
+#: Fewer characters per token than this are random. Prose has about four, random base64 about 1.4, random lower case 1.7.
+MOST_PER_TOKEN = 2.4
 DIGESTS = (32, 40, 48, 56, 64, 96, 128)
-KNOWN = re.compile(
-    r"(?:[0-9a-fA-F]{%s})|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9+/_=-]+|[A-Za-z]+"
-    r"|[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]+Z?|(?:[A-Z]?[a-z]{3,}[0-9]{0,4}[-_/]?)+" % "}|[0-9a-fA-F]{".join(map(str, DIGESTS))
-)
+_DIGEST = "|".join(f"[0-9a-fA-F]{{{n}}}" for n in sorted(DIGESTS, reverse=True))
+#: Known forms with no letter or digit beside them. Fixed lengths, begun at a border only: nothing is tried twice.
+KNOWN = re.compile(rf"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{{8}}(?:-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}|{_DIGEST})(?![0-9A-Za-z])")
+SIGNS = "+/_=-"
+_LETTERS = re.compile("[A-Za-z]")
+#: Characters that are turned into tokens at once; longer runs are, piece by piece.
+PIECE = 256
 KEY_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 _RUN_BYTE = np.zeros(256, bool)
@@ -61,16 +66,52 @@ def vocabulary(path: str):
     return _vocabularies[path]
 
 
-def is_random(run: str, tokens, most: float = MOST_PER_TOKEN) -> bool:
-    """Whether a run of key characters is long, no known identifier, and costs many tokens."""
-    core = run.strip("=-_/+")
-    if len(core) < LEAST_RUN or KNOWN.fullmatch(core):
-        return False
-    return len(core) < most * len(tokens.encode_ordinary(core))
+def _weights(text: str, tokens, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """Where each token of a text of key characters ends, and by how much it is shorter than `most` characters."""
+    sizes: list[int] = []
+    for at in range(0, len(text), PIECE):
+        sizes += [len(t) for t in tokens.decode_tokens_bytes(tokens.encode_ordinary(text[at : at + PIECE]))]
+    lengths = np.array(sizes)
+    return np.cumsum(lengths), most - lengths
+
+
+def _dense(text: str, tokens, most: float) -> Iterator[tuple[int, int]]:
+    """Stretches of at least LEAST_RUN characters that cost more than one token per `most` characters."""
+    ends, weights = _weights(text, tokens, most)
+    found, total, best, first, last = [], 0.0, 0.0, 0, -1
+    for i, weight in enumerate(weights.tolist()):
+        total += weight
+        if total > best:
+            best, last = total, i
+        if total <= 0:
+            # Nothing before here can help a later stretch.
+            found.append((first, last))
+            total, best, first, last = 0.0, 0.0, i + 1, -1
+    found.append((first, last))
+    spans = [(int(ends[lo - 1]) if lo else 0, int(ends[hi])) for lo, hi in found if hi >= lo]
+    long = [(lo, hi) for lo, hi in spans if hi - lo >= LEAST_RUN]
+    # Short dense stretches may make the whole dense.
+    return iter(long or ([(0, len(text))] if len(text) >= LEAST_RUN and weights.sum() > 0 else []))
+
+
+def random_spans(run: str, tokens, most: float = MOST_PER_TOKEN) -> list[tuple[int, int]]:
+    """(start, end) of the random strings in a run of key characters."""
+    out, at = [], 0
+    for known in [*KNOWN.finditer(run), None]:
+        part = run[at : known.start() if known else len(run)]
+        core = part.strip(SIGNS)
+        if len(core) >= LEAST_RUN and _LETTERS.search(core):
+            skip = at + len(part) - len(part.lstrip(SIGNS))
+            for lo, hi in _dense(core, tokens, most):
+                lo, hi = lo + len(core[lo:hi]) - len(core[lo:hi].lstrip(SIGNS)), hi - len(core[lo:hi]) + len(core[lo:hi].rstrip(SIGNS))
+                if hi - lo >= LEAST_RUN and _LETTERS.search(core, lo, hi):
+                    out.append((skip + lo, skip + hi))
+        at = known.end() if known else at
+    return out
 
 
 def spans_of(text: str, tokens, most: float = MOST_PER_TOKEN) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of all spans in order; a random run within a base span is that span."""
+    """(start, kind, end) of all spans in order; a random string within a base span is that span."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST_ASSIGN]
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST_ACCESS]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text) if len(m[0]) >= LEAST_HEX]
@@ -78,12 +119,12 @@ def spans_of(text: str, tokens, most: float = MOST_PER_TOKEN) -> list[tuple[int,
     reach, at, extra = -1, 0, []
     for m in RUN.finditer(text):
         if len(m[0]) >= LEAST_RUN:
-            while at < len(base) and base[at][0] <= m.start():
-                reach = max(reach, base[at][2])
-                at += 1
-            inside = reach >= m.end()
-            if not inside and is_random(m[0], tokens, most):
-                extra.append((m.start(), 3, m.end()))
+            for start, end in random_spans(m[0], tokens, most):
+                while at < len(base) and base[at][0] <= m.start() + start:
+                    reach = max(reach, base[at][2])
+                    at += 1
+                if reach < m.start() + end:
+                    extra.append((m.start() + start, 3, m.start() + end))
     return sorted(base + extra)
 
 
@@ -112,9 +153,10 @@ def find_secrets(docs: DataFrame, ranks: str, most: float = MOST_PER_TOKEN) -> D
     """The documents' columns with n_assign, n_access, n_hex, n_random, base_sha256, spans.
 
     `ranks` is the vocabulary's path on every executor. Spans are kind:start:end in
-    code points, by start and then kind. A null or empty text has none (the digest
-    is that of nothing); repeated rows each get theirs; columns of these names are
-    replaced.
+    code points, by start and then kind; spans of different kinds may overlap. A null or
+    empty text has none (the digest is that of nothing); a text is searched whole, at a
+    cost in proportion to its length whatever it holds; repeated rows each get theirs;
+    columns of these names are replaced.
     """
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     rows = docs.drop(*names)

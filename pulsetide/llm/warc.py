@@ -112,12 +112,13 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
 
 
 def _header(uri: str, raw: bytes, base: int, at: int) -> tuple[bytes, int] | None:
-    """(header, where its body starts) of a candidate, or None if it is none."""
-    end = raw.find(HEADER_END, at - base)
-    if end < 0:
-        raw = files.read_range(uri, at, 64 * MARGIN)
+    """(header, where its body starts) of a candidate, or None if the archive ends before its header does."""
+    end, size = raw.find(HEADER_END, at - base), MARGIN
+    while end < 0:
+        size *= 2
+        raw = files.read_range(uri, at, size)
         base, end = at, raw.find(HEADER_END)
-        if end < 0:
+        if end < 0 and len(raw) < size:
             return None
     return raw[at - base : end + 4], base + end + 4
 
@@ -156,7 +157,10 @@ def _exits(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def entries(archives: DataFrame, folder: str, stretch: int = STRETCH) -> DataFrame:
-    """(path, start, at): where the chain from each archive's start enters each stretch that it enters."""
+    """(path, start, at): where the chain from each archive's start enters each stretch that it enters.
+
+    A chain that does not arrive at its archive's end is an error: records would be lost.
+    """
     cuts = _stretches(archives, stretch)
     spread = cuts.repartition(max(1, min(cuts.count(), 8 * cuts.sparkSession.sparkContext.defaultParallelism)))
     chains = store(spread.mapInArrow(_exits, "path string, start long, at long, to long"), f"{folder}/chains")
@@ -176,6 +180,9 @@ def entries(archives: DataFrame, folder: str, stretch: int = STRETCH) -> DataFra
         before = now
         second = hops.select("path", F.col("at").alias("to"), F.col("to").alias("then"))
         hops = store(hops.join(second, ["path", "to"]).select("path", "at", F.col("then").alias("to")), f"{folder}/jumps{round_}")
+    broken = archives.join(reached, (reached["at"] == archives["size"]) & (reached["path"] == archives["path"]), "left_anti")
+    if not broken.isEmpty():
+        raise ValueError(f"{broken.count()} archives have no unbroken chain of records to their end, such as {broken.first()['path']}")
     return starts.join(reached, ["path", "at"], "left_semi").select("path", "start", "at")
 
 
@@ -239,4 +246,9 @@ _KIND = {"url": pa.string(), "payload_digest": pa.string(), "record_type": pa.st
 def write_and_read(pages: DataFrame, least: int = 0, folder: str | None = None) -> DataFrame:
     """Write the pages' archives and read their records back (RECORDS)."""
     folder = folder or shared_folder(pages.sparkSession, "warc")
-    return read_archives(write_archives(pages, folder, least), folder, payloads=False)
+    archives = write_archives(pages, folder, least)
+    found = store(read_archives(archives, folder, payloads=False), f"{folder}/found")
+    written = archives.agg(F.sum("n_records")).first()[0] or 0
+    if found.count() != written:
+        raise ValueError(f"{written} records written, {found.count()} read")
+    return found
