@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from pulsetide.llm import words as w
@@ -31,6 +31,8 @@ FILTERS = 16
 EPOCHS = 12
 #: Windows worked on at once: their responses stay in the processor's cache.
 LOT = 24
+#: Bytes of whole texts whose windows are made at once.
+SLICE = 1 << 20
 #: Labelled documents used for training, per language at most.
 PER_LANGUAGE = 1_500
 HELD_OUT = 2
@@ -171,27 +173,31 @@ def labelled(docs: DataFrame) -> DataFrame:
     )
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, epochs: int = EPOCHS) -> Network | None:
-    """Train on a bounded sample: of each language about `per_language` documents (all, where there are fewer),
-    chosen by a hash, one piece of each. None if no row can be learned from."""
-    rows = labelled(docs).select("text", F.col("lang").cast("string").alias("lang"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return None
-    key = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    # A fifth more than asked for, since a hash hits about that many; the surplus is cut below.
-    shares = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, 1.2 * per_language / n)))])
+def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """Of each language at most `per_language` pieces (all, where there are fewer): lang, key, piece.
+
+    Distinct texts are chosen by a hash of theirs, so a text is one piece however often it
+    occurs. Copies are combined before they are shuffled, and what is ordered per language is
+    about as much as is asked for.
+    """
+    rows = labelled(docs).select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("key"))
+    # A fifth more than asked for, since a hash hits about that many, and the count is an estimate too.
+    texts = rows.groupBy("lang").agg(F.approx_count_distinct("key", 0.02).alias("texts"))
+    share = F.least(F.lit(1.0), F.lit(1.2 * per_language) / F.col("texts"))
+    shares = texts.select(F.col("lang").alias("of"), (share * (1 << 30)).alias("share"))
+    chosen = rows.join(shares, F.col("lang") == F.col("of")).where(F.pmod("key", F.lit(1 << 30)) < F.col("share"))
     start = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - WINDOW + 1, F.lit(1))).cast("int")
-    chosen = rows.where(key < shares[F.col("lang")] * (1 << 30))
-    piece = F.col("text").substr(start + 1, F.lit(WINDOW))
-    got = chosen.select("lang", piece.alias("piece"), key.alias("key")).collect()
-    taken: dict[str, int] = {}
-    samples = []
-    for r in sorted(got, key=lambda r: (r["key"], r["lang"], r["piece"])):
-        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-        if taken[r["lang"]] <= per_language:
-            samples.append((r["piece"].encode(), r["lang"]))
-    return train(samples, epochs)
+    pieces = chosen.select("lang", "key", F.col("text").substr(start + 1, F.lit(WINDOW)).alias("piece"))
+    one = pieces.groupBy("lang", "key").agg(F.min("piece").alias("piece"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 30)), "key"))
+    return one.withColumn("place", place).where(F.col("place") <= per_language).drop("place")
+
+
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, epochs: int = EPOCHS) -> Network | None:
+    """Train on a bounded sample. None if no row can be learned from."""
+    got = sample(docs, per_language).collect()
+    samples = [(r["piece"].encode(), r["lang"]) for r in sorted(got, key=lambda r: (r["key"], r["lang"]))]
+    return train(samples, epochs) if samples else None
 
 
 def _has_letter(texts: w.Texts) -> np.ndarray:
@@ -218,7 +224,7 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
         pairs = net.pairs() if net else None
-        for batch, texts in w.batches(batches):
+        for batch, texts in w.batches(batches, most=SLICE):
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             if net:
                 total = np.zeros((len(texts), len(net.languages)))

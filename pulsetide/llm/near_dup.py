@@ -55,6 +55,8 @@ RUN = 64
 COUNTERS = 1 << 18
 #: Standard deviations below the threshold at which an estimate rules a pair out, and the same of what is left.
 SIGMAS, SIGMAS_LEFT = 4.5, 6.0
+#: Bytes of whole texts whose shingles are made at once.
+SLICE = 1 << 20
 
 _rng = np.random.default_rng(7)
 _FACTOR = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -108,7 +110,7 @@ def _bits(sig: np.ndarray) -> np.ndarray:
 
 
 def _sign(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, texts in w.batches(rows):
+    for batch, texts in w.batches(rows, most=SLICE):
         counts, keys, signs = [], [], []
         bits = []
         for s in shingle_sets(texts):
@@ -188,7 +190,7 @@ def _confirm(percent: int):
 
     def confirm(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         center, mine = None, np.zeros(0, np.uint64)
-        for batch, texts in w.batches(rows):
+        for batch, texts in w.batches(rows, most=SLICE):
             left, right = [], []
             runs = zip(batch.column("a").to_pylist(), batch.column("salt").to_pylist(), batch.column("b").to_pylist())
             for (a, salt, b), other in zip(runs, shingle_sets(texts)):
@@ -453,7 +455,7 @@ def _counter(shingles: np.ndarray) -> np.ndarray:
 
 def _count_shingles(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(COUNTERS, np.int64)
-    for _, texts in w.batches(rows):
+    for _, texts in w.batches(rows, most=SLICE):
         for shingles in shingle_sets(texts):
             np.add.at(counts, _counter(shingles), 1)
     at = np.flatnonzero(counts)
@@ -465,7 +467,7 @@ def _prefixes(percent: int, order):
 
     def prefixes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = order.value
-        for batch, texts in w.batches(rows):
+        for batch, texts in w.batches(rows, most=SLICE):
             which, tokens, sizes, rests = [], [], [], []
             for i, shingles in enumerate(shingle_sets(texts)):
                 n = len(shingles)

@@ -2,14 +2,16 @@
 
 import hashlib
 import random
-import re
 import string
 import time
+import zlib
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 
-from pulsetide.llm import decontaminate, queries, secrets, warc
+from pulsetide.llm import decontaminate, langid, queries, secrets, warc
 
 RANKS = public_tokenizers.path(queries.RANKS)
 LETTERS = string.ascii_letters
@@ -185,3 +187,80 @@ def test_rounds_are_stored_and_bounded(spark, tmp_path, monkeypatch):
     assert got == [(1, 800, 1), (2, 0, 0)]
     assert len(sizes) == 7 and sum(sizes) == 1_988 and max(sizes) < 450
     assert len(list(tmp_path.glob("round-*"))) == 6
+
+
+# Language: the network in plain steps, and its sample
+
+
+def plain_forward(net, x):
+    """Softmax over the largest response of each filter, position by position."""
+    widest, pooled = max(langid.WIDTHS), []
+    for table in net.tables:
+        responses = [sum(table[j][x[:, i + j]] for j in range(len(table))) for i in range(x.shape[1] - widest)]
+        pooled.append(np.max(responses, axis=0))
+    raw = np.maximum(np.concatenate(pooled, axis=1) + net.bias, 0) @ net.out + net.out_bias
+    e = np.exp(raw - raw.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def small_network(seed=0):
+    rng = np.random.default_rng(seed)
+    kinds = len(langid.WIDTHS) * langid.FILTERS
+    tables = [rng.normal(0, 0.3, (k, langid.CLASSES, langid.FILTERS)).astype(np.float64) for k in langid.WIDTHS]
+    return langid.Network(["a", "b", "c"], tables, rng.normal(0, 0.1, kinds), rng.normal(0, 0.3, (kinds, 3)), rng.normal(0, 0.1, 3))
+
+
+def some_windows(n=6, length=langid.WINDOW):
+    rng = np.random.default_rng(1)
+    x = np.zeros((n, length + max(langid.WIDTHS)), np.uint8)
+    x[:, :length] = rng.integers(1, langid.CLASSES, (n, length))
+    x[1, 20:] = 0
+    return x
+
+
+def test_look_ups_equal_the_plain_forward_pass():
+    net, x = small_network(), some_windows()
+    assert np.allclose(net.predict(x, net.pairs()), plain_forward(net, x), atol=1e-5)
+
+
+def test_gradients_are_those_of_the_loss():
+    net, x = small_network(2), some_windows(4, 40)
+    label, weight = np.array([0, 1, 2, 1]), np.array([1.0, 0.5, 2.0, 1.0])
+
+    def loss():
+        return -(weight * np.log(plain_forward(net, x)[np.arange(4), label])).sum() / 4
+
+    rng = np.random.default_rng(3)
+    for values, grads in zip([*net.tables, net.bias, net.out, net.out_bias], langid._gradients(net, x, label, weight)):
+        moved = np.argwhere(np.abs(grads) > 1e-6)
+        for at in map(tuple, moved[rng.permutation(len(moved))[:6]]):
+            old, step = values[at], 1e-6
+            values[at] = old + step
+            high = loss()
+            values[at] = old - step
+            low = loss()
+            values[at] = old
+            assert np.isclose((high - low) / (2 * step), grads[at], rtol=1e-3, atol=1e-6)
+
+
+def test_copies_are_one_piece_and_crowd_out_nothing(spark):
+    ids = [i for i in range(4_000) if zlib.crc32(str(i).encode()) % 4 != langid.HELD_OUT]
+    rows = [(i, "copied text " * 3 if n % 4 else f"text number {n} of the language", "aa") for n, i in enumerate(ids)]
+    rows += [(i, f"autre texte {i} " * 100, "bb") for i in range(5_000, 5_020)] + [(None, "x", "bb"), (9_000, None, "bb"), (9_001, "", "bb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.sample(docs, per_language=50).collect()
+    per = Counter(r["lang"] for r in got)
+    assert per["aa"] == 50 and 10 <= per["bb"] <= 20
+    assert max(Counter(r["piece"] for r in got).values()) == 1
+    assert all(len(r["piece"]) <= langid.WINDOW for r in got)
+
+
+def test_very_long_and_repeated_texts_are_judged_whole(spark):
+    words = {"aa": "nabu teko rila moso".split(), "bb": "grück schtal pfend zwirk".split()}
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(40)), lang) for i in range(300) for lang in [("aa", "bb")[i % 2]]]
+    long = " ".join(rng.choice(words["aa"]) for _ in range(300_000))
+    rows += [(1_000, long, None), (1_001, "grück " * 10 + long, None), (1_001, "grück " * 10 + long, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [(r["doc_id"], r["lang_pred"]) for r in langid.identify(docs, per_language=100, epochs=6).collect()]
+    assert sorted(x for x in got if x[0] >= 1_000) == [(1_000, "aa"), (1_001, "aa"), (1_001, "aa")]
