@@ -176,16 +176,17 @@ def labelled(docs: DataFrame) -> DataFrame:
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """Of each language at most `per_language` pieces (all, where there are fewer): lang, key, piece.
 
-    Distinct texts are chosen by a hash of theirs, so a text is one piece however often it
-    occurs. Copies are combined before they are shuffled, and what is ordered per language is
-    about as much as is asked for.
+    Distinct texts are chosen by a hash of theirs before any row is moved, so a text is one
+    piece however often it occurs. One count per language comes to the driver; what is ordered
+    per language is about as much as is asked for.
     """
     rows = labelled(docs).select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("key"))
     # A fifth more than asked for, since a hash hits about that many, and the count is an estimate too.
-    texts = rows.groupBy("lang").agg(F.approx_count_distinct("key", 0.02).alias("texts"))
-    share = F.least(F.lit(1.0), F.lit(1.2 * per_language) / F.col("texts"))
-    shares = texts.select(F.col("lang").alias("of"), (share * (1 << 30)).alias("share"))
-    chosen = rows.join(shares, F.col("lang") == F.col("of")).where(F.pmod("key", F.lit(1 << 30)) < F.col("share"))
+    texts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("key", 0.02).alias("n")).collect()}
+    if not texts:
+        return rows.select("lang", "key", F.col("text").alias("piece"))
+    shares = F.create_map(*[x for lang, n in sorted(texts.items()) for x in (F.lit(lang), F.lit(min(1.0, 1.2 * per_language / max(n, 1))))])
+    chosen = rows.where(F.pmod("key", F.lit(1 << 30)) < shares[F.col("lang")] * (1 << 30))
     start = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - WINDOW + 1, F.lit(1))).cast("int")
     pieces = chosen.select("lang", "key", F.col("text").substr(start + 1, F.lit(WINDOW)).alias("piece"))
     one = pieces.groupBy("lang", "key").agg(F.min("piece").alias("piece"))
