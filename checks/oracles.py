@@ -38,7 +38,8 @@ READINGS = f"""
 readings AS (
   SELECT event_id AS source_id,
     CASE WHEN event_id % 97 <> 0 THEN CAST(event_id AS VARCHAR) END AS event_id,
-    CASE WHEN event_id % 101 <> 0 THEN {patient('user_id')} END AS patient_id,
+    CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 89 = 0 THEN {patient('900000000 + user_id')}
+         ELSE {patient('user_id')} END AS patient_id,
     CASE WHEN event_type = 'click' THEN 60 + value END AS heart_rate,
     CASE WHEN event_type = 'error' THEN 100 - value / 4 END AS spo2,
     CASE WHEN event_type = 'purchase' THEN 160 - value END AS systolic_bp,
@@ -448,6 +449,27 @@ SELECT patient_id, window_start, o.window_end,
   CASE WHEN n.window_end IS NOT NULL THEN n.event_count ELSE o.event_count END AS event_count,
   CASE WHEN n.window_end IS NOT NULL THEN n.anomaly_flags ELSE o.anomaly_flags END AS anomaly_flags
 FROM old_wins o FULL JOIN new_wins n USING (patient_id, window_start)"""
+    sql["report_day_mixed_archive"] = f"""WITH {REPORT}, results AS (
+  SELECT patient_id, report_date, test_type, result_value, is_abnormal, count(*) AS times FROM labs
+  WHERE report_date = DATE '2024-01-09' OR patient_id < 'P000005' GROUP BY ALL)
+SELECT patient_id, report_date, event_count, {", ".join(METRICS)},
+  CASE WHEN report_date = DATE '2024-01-09' OR patient_id < 'P000005' THEN coalesce(result_count, 0) ELSE 0 END AS result_count,
+  test_type, result_value, is_abnormal, times
+FROM report LEFT JOIN results USING (patient_id, report_date)
+WHERE report_date IN (DATE '2024-01-09', DATE '2024-01-10') AND (event_count IS NOT NULL OR result_count > 0)
+  AND NOT (event_count IS NULL AND report_date = DATE '2024-01-10' AND patient_id >= 'P000005')
+"""
+    broken = {
+        "vitals_live": {"window_end_after_start": "minute(window_start) = 0", "event_count_not_negative": "minute(window_start) = 5"},
+    }
+    bad_windows = broken["vitals_live"]
+    sql["check_violations_imported"] = f"""WITH {WINDOWS},{LABS},
+rows_of AS (
+  SELECT 'vitals_live' AS table_name, unnest(['window_end_after_start', 'event_count_not_negative']) AS rule,
+    unnest([(SELECT count(*) FROM wins WHERE {bad_windows["window_end_after_start"]}), (SELECT count(*) FROM wins WHERE {bad_windows["event_count_not_negative"]})]) AS violations
+  UNION ALL
+  SELECT 'lab_results', 'low_not_above_high', (SELECT count(*) FROM labs WHERE l_orderkey % 15 = 4))
+SELECT * FROM rows_of"""
     sql["upsert_patients"] = f"""WITH {PATIENTS}, moved AS (
   SELECT {patient('c_custkey')} AS patient_id, 'MOVED' AS ward, DATE '2024-02-01' AS admit_date
   FROM customer WHERE c_acctbal < 0)

@@ -23,6 +23,7 @@ from pulsetide.session import shared_folder, store, use_rocksdb_state, use_utc
 from pulsetide.sinks import outputs
 from pulsetide.sinks.tables import alert_table, lab_table, live_table, report_table
 from pulsetide.sources import warehouse as w
+from pulsetide.sources.files import list_folder
 from pulsetide.sources.lab_files import headers, lab_rows, read_lab_archive, read_lab_lines
 from pulsetide.sources.readings import decode_readings, read_archive, read_json_lines
 from pulsetide.streaming import alarms, alert_state, lab_intake, speed
@@ -230,6 +231,19 @@ def check_violations(spark, sf):
     return plain(_union([quality.check_violations(n, rows) for n, rows in _stored(spark, sf).items()]))
 
 
+def check_violations_imported(spark, sf):
+    """The rules on rows that came in by another way, some of them broken."""
+    windows = _windows(spark, sf).withColumns(
+        {
+            "window_end": F.expr("CASE WHEN minute(window_start) = 0 THEN window_start ELSE window_end END"),
+            "event_count": F.expr("CASE WHEN minute(window_start) = 5 THEN -event_count ELSE event_count END"),
+        }
+    )
+    swapped = F.when(F.col("l_orderkey") % 15 == 4, "45.0-5.0").otherwise(F.col("reference_range"))
+    labs = lab.typed_labs(w.labs(spark, sf).withColumn("reference_range", swapped))
+    return plain(quality.check_violations("vitals_live", windows).unionByName(quality.check_violations("lab_results", labs)))
+
+
 def null_violations(spark, sf):
     """Required columns of the readings as sent, and of each stored table."""
     raw = quality.null_violations("vitals_raw", w.vitals_raw(spark, sf), READING.names)
@@ -456,6 +470,55 @@ def report_stored(spark, sf):
     return plain(reports.join(daily.stored_results(spark, stored), ["patient_id", "report_date"], "left"))
 
 
+def report_day_mixed_archive(spark, sf):
+    """Two days by ``report_day``, from an archive of three formats and lab files; the second day runs again with most labs gone."""
+    folder = shared_folder(spark, "report-day")
+    archive, landing = f"{folder}/archive", f"{folder}/labs"
+    readings = _readings(spark, sf).withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(3)))
+    dated = outputs.archive_rows(readings.where("part = 0"))
+    outputs.write_by_date(dated, archive)
+    days = [REPORT_DAY, date(2024, 1, 10)]
+    for day in days:
+        own = summaries.on_days(readings, "timestamp", day, day).drop("part")
+        text = own.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) > 0)
+        # Copies across formats are removed when the day is read.
+        lines = text.unionByName(own.where(F.pmod(F.xxhash64("event_id"), F.lit(30)) == 0))
+        files = lines.repartition(2).write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+        files.option("pathGlobFilter", "*").json(f"{folder}/text/{day}")
+        for entry in list_folder(spark, f"{folder}/text/{day}"):
+            _copy(spark, entry.path, f"{archive}/date={day}/{entry.name.removesuffix('.json')}.jsonl")
+    labs = w.labs(spark, sf).drop("source_file", "l_orderkey", "l_linenumber")
+    stored = report_table(spark, f"{folder}/report")
+
+    def run(day: date, version: int, where: str) -> None:
+        rows = labs.where((F.col("collected_at") == str(day)) & F.expr(where))
+        rows.coalesce(1).write.option("header", True).csv(f"{folder}/csv-{version}")
+        part = next(e for e in list_folder(spark, f"{folder}/csv-{version}") if e.name.endswith(".csv"))
+        _copy(spark, part.path, f"{landing}/run={version}/labs_{day}.csv")
+        daily.report_day(spark, archive, f"{landing}/run={version}", day, stored, version)
+
+    run(days[0], 1, "true")
+    run(days[1], 2, "true")
+    # A later run of a date is stored whole: patients that it does not have are left out.
+    stored.write_changes(stored.current().where(F.col("report_date") == F.lit(days[1])).withColumn("deleted", F.lit(True)), 3)
+    run(days[1], 4, "patient_id < 'P000005'")
+    reports = stored.current().select(
+        "patient_id",
+        "report_date",
+        F.get_json_object("vitals_summary", "$.event_count").cast("long").alias("event_count"),
+        *[F.get_json_object("vitals_summary", f"$.{m}").cast("double").alias(m) for m in summaries.METRICS],
+        F.get_json_object("lab_summary", "$.result_count").cast("long").alias("result_count"),
+    )
+    return plain(reports.join(daily.stored_results(spark, stored), ["patient_id", "report_date"], "left"))
+
+
+def _copy(spark, source: str, target: str) -> None:
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    one, two = jvm.Path(source), jvm.Path(target)
+    jvm.FileUtil.copy(one.getFileSystem(conf), one, two.getFileSystem(conf), two, False, conf)
+
+
 def upsert_stored_labs(spark, sf):
     """Two days of deliveries into the stored lab table: all results, then those of the other day corrected."""
     stored = lab_table(spark, shared_folder(spark, "labs"))

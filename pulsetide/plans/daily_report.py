@@ -23,7 +23,6 @@ from pulsetide.params import Params, SimClock
 from pulsetide.schemas import RESULT
 from pulsetide.session import shared_folder, store
 from pulsetide.sinks.keyed_table import KeyedTable
-from pulsetide.sinks.outputs import write_by_date
 from pulsetide.sources.files import list_folder
 from pulsetide.sources.lab_files import empty_files, headers, inventory, lab_file_verdicts, lab_rows, read_lab_lines
 from pulsetide.sources.readings import read_archive_day
@@ -123,23 +122,28 @@ def store_run(
 ) -> None:
     """Reports of the days first..last, and every lab result behind them.
 
-    The results come first, so a report never stands without them. They are rows
-    beside the report, keyed by the result itself, whatever their number; dates
-    present in the run are replaced.
+    The results come first, in a folder of the run's version, so a report never stands
+    without them. They are rows beside the report, keyed by the result itself, whatever
+    their number. A report row names the run it is from and has that run's results only: a
+    run that has none for a patient leaves none, and one that fails midway changes nothing.
     """
     results = lab_results_by_day(on_days(labs, "collected_at", first, last))
-    write_by_date(results, _results_folder(target), "report_date")
+    run = results.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("report_date")
+    run.parquet(f"{_results_folder(target)}/run_version={version}")
     store_reports(risk_reports(readings, labs, first, last, params), target, version)
 
 
 def store_reports(reports: DataFrame, target: KeyedTable, version: int) -> None:
     """Stored summaries hold the counts of results; the results are rows of their own (``store_run``)."""
-    target.write_changes(as_json(reports).withColumn("generated_at", F.current_timestamp()), version)
+    stamped = as_json(reports).withColumns({"generated_at": F.current_timestamp(), "run_version": F.lit(version).cast("long")})
+    target.write_changes(stamped, version)
 
 
 def stored_results(spark: SparkSession, target: KeyedTable) -> DataFrame:
-    """The lab results of the stored reports; filters on the date prune folders."""
-    return spark.read.schema(RESULT).parquet(_results_folder(target)).select(*RESULT.names)
+    """The lab results of the stored reports, each of the run its report is from; filters on the date prune folders."""
+    runs = target.current().select("patient_id", "report_date", "run_version")
+    results = spark.read.schema(RESULT).option("basePath", _results_folder(target)).parquet(_results_folder(target))
+    return results.join(runs, ["patient_id", "report_date", "run_version"], "left_semi").select(*RESULT.names).drop("run_version")
 
 
 def _results_folder(target: KeyedTable) -> str:

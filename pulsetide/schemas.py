@@ -63,6 +63,7 @@ REPORT = T.StructType(
     + _fields(T.DecimalType(5, 2), "risk_score")
     + _fields(T.StringType(), "risk_flag")
     + _fields(T.TimestampType(), "generated_at")
+    + _fields(T.LongType(), "run_version")
 )
 
 # One lab result of a stored report, and how often it occurs.
@@ -70,5 +71,5 @@ RESULT = T.StructType(
     _fields(T.StringType(), "patient_id")
     + _fields(T.DateType(), "report_date")
     + LAB_TEST.fields
-    + _fields(T.LongType(), "times")
+    + _fields(T.LongType(), "times", "run_version")
 )

@@ -13,6 +13,10 @@ from pulsetide.params import VITALS
 from pulsetide.session import use_utc
 
 
+# Some readings name a patient that no table of patients has.
+UNKNOWN = "900000000 + user_id"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     use_utc(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -29,7 +33,8 @@ def readings_from_events(events: DataFrame) -> DataFrame:
     return events.selectExpr(
         "event_id AS source_id",
         "CASE WHEN event_id % 97 <> 0 THEN CAST(event_id AS STRING) END AS event_id",
-        f"CASE WHEN event_id % 101 <> 0 THEN {patient_name('user_id')} END AS patient_id",
+        f"CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 89 = 0 THEN {patient_name(UNKNOWN)} "
+        f"ELSE {patient_name('user_id')} END AS patient_id",
         "CASE WHEN event_type = 'click' THEN 60 + value END AS heart_rate",
         "CASE WHEN event_type = 'error' THEN 100 - value / 4 END AS spo2",
         "CASE WHEN event_type = 'purchase' THEN 160 - value END AS systolic_bp",
@@ -85,7 +90,7 @@ def _patient_count(spark: SparkSession, folder: str) -> Column:
 
 
 def patients(spark: SparkSession, folder: str) -> DataFrame:
-    """All customers as patients; user 0 of the readings has no customer and is unknown."""
+    """All customers as patients; some readings name others."""
     return table(spark, folder, "customer").selectExpr(
         f"{patient_name('c_custkey')} AS patient_id",
         "c_mktsegment AS ward",
