@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +30,18 @@ def build_session(app: str = "pulsetide", master: str | None = None, **extra: st
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: operators of Python tasks import it there."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if any(f.endswith("/pulsetide.zip") for f in context.listFiles):
+        return
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='pulsetide-')}/pulsetide", "zip", root, "pulsetide")
+    context.addPyFile(archive)
 
 
 def use_utc(spark: SparkSession) -> None:
