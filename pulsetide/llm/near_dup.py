@@ -12,10 +12,11 @@ is negligible (see `miss`).
 A larger node offers its sets against one pivot and branches on; once its sets
 are all in one component it has nothing more to tell and is dropped, however
 large it is. Sets of nodes that still join several components at the last level are
-finished by a prefix join on rare shingles: two similar sets share one of the
-first shingles of each in any one order of all shingles, rarest first, and early
-enough that what follows can still make them similar. So a passage that a whole
-family shares makes no pairs unless it is long enough to link them.
+finished by a prefix join on rare shingles: in any one order of all shingles, rarest
+first, two similar sets share a shingle that is among the first 14 % of the shorter set
+(its index prefix) and the first 25 % of the longer one (its probe prefix). A family
+whose sets are less alike than the threshold differs in more than 14 % of each set, its
+own and rare shingles, so what the family shares is in no index prefix and makes no pairs.
 
 Candidates pass two estimates, 128 bits that travel with each row and then the whole
 signature (each 4.5 standard deviations below the threshold), and are confirmed on
@@ -36,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pulsetide.llm import words as w
+from pulsetide.llm.decontaminate import free_name
 from pulsetide.session import shared_folder, store
 
 SHINGLE = 5
@@ -439,14 +441,19 @@ def _remaining(join: _Join, held: DataFrame) -> DataFrame:
     for counter, n in counted.collect():
         counts[counter] = n
     order = join.spark.sparkContext.broadcast(counts)
-    first = join.keep(texts.mapInArrow(_prefixes(join.percent, order), "token long, rep long, comp long, n long, rest long"))
-    per = first.groupBy("token", "comp").agg(F.count("*").alias("n"))
-    tops = per.groupBy("token").agg(F.max_by("comp", F.struct("n", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1")
+    first = join.keep(texts.mapInArrow(_prefixes(join.percent, order), "token long, rep long, comp long, n long, rest long, indexed boolean"))
+    per = first.groupBy("token", "comp").agg(F.count("*").alias("n"), F.count_if("indexed").alias("index_rows"))
+    tops = per.groupBy("token").agg(
+        F.max_by("comp", F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"), F.sum("index_rows").alias("index_rows")
+    ).where("comps > 1 AND index_rows > 0")
     shared = join.keep(first.join(join.small(join.keep(tops.select("token", "top"))), "token"))
-    one = shared.where("comp <> top").selectExpr("token", "rep AS a", "comp AS x", "n AS na", "rest AS ra")
-    two = shared.selectExpr("token", "rep AS b", "comp AS y", "n AS nb", "rest AS rb")
-    fits = f"x <> y AND {100 + join.percent} * least(ra, rb) >= {join.percent} * (na + nb)"
-    return one.join(two, "token").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # The shorter set, or of two alike the one of the lesser number, by its index prefix; the other by its probe prefix.
+    one = shared.where("indexed").selectExpr("token", "rep AS a", "comp AS x", "n AS na", "rest AS ra", "top")
+    two = shared.selectExpr("token", "rep AS b", "comp AS y", "n AS nb", "rest AS rb", "top AS common")
+    fits = f"x <> y AND (na < nb OR na = nb AND a < b) AND {100 + join.percent} * least(ra, rb) >= {join.percent} * (na + nb)"
+    rare = one.where("x <> top").join(two, "token").where(fits).select("a", "b")
+    most = one.where("x = top").join(two.where("y <> common"), "token").where(fits).select("a", "b")
+    return rare.union(most).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _counter(shingles: np.ndarray) -> np.ndarray:
@@ -463,25 +470,30 @@ def _count_shingles(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(percent: int, order):
-    """Per set its first shingles: token, rep, comp, shingles of the set, and those from this one on."""
+    """Per set its probe prefix: token, rep, comp, shingles of the set, those from this one on, and whether it is in the index prefix.
+
+    The overlap with any similar set is at least that with a subset of the threshold's size;
+    with one that is no shorter, at least 2 * percent / (100 + percent) of this set.
+    """
 
     def prefixes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = order.value
         for batch, texts in w.batches(rows, most=SLICE):
-            which, tokens, sizes, rests = [], [], [], []
+            which, tokens, sizes, rests, indexed = [], [], [], [], []
             for i, shingles in enumerate(shingle_sets(texts)):
                 n = len(shingles)
-                # The least overlap with any similar set is that with a subset of the threshold's size.
                 first = n - -(-percent * n // 100) + 1 if n else 0
+                index = n - -(-2 * percent * n // (100 + percent)) + 1
                 tokens.append(shingles[np.lexsort((shingles, counts[_counter(shingles)]))[:first]].view(np.int64))
                 which += [i] * first
                 sizes += [n] * first
                 rests += range(n, n - first, -1)
+                indexed += [place < index for place in range(first)]
             at = pa.array(which, pa.int64())
             flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat), batch.column("rep").take(at), batch.column("comp").take(at), pa.array(sizes, pa.int64()), pa.array(rests, pa.int64())],
-                names=["token", "rep", "comp", "n", "rest"],
+                [pa.array(flat), batch.column("rep").take(at), batch.column("comp").take(at), pa.array(sizes, pa.int64()), pa.array(rests, pa.int64()), pa.array(indexed, pa.bool_())],
+                names=["token", "rep", "comp", "n", "rest", "indexed"],
             )
 
     return prefixes
@@ -495,5 +507,6 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
     ids = near_duplicates(docs, **params).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     named = docs.where("doc_id IS NOT NULL").join(ids, "doc_id", "left_semi").select(*docs.columns)
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
-    one = named.withColumn("_at", F.row_number().over(order)).where("_at = 1").drop("_at")
+    at = free_name(docs.columns, "at")
+    one = named.withColumn(at, F.row_number().over(order)).where(F.col(at) == 1).drop(at)
     return one.union(docs.where("doc_id IS NULL"))

@@ -9,9 +9,11 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from pulsetide.llm import decontaminate, langid, queries, secrets, warc
+from pulsetide.llm import decontaminate, langid, near_dup, queries, secrets, warc, words as w
+from tests.llm.test_operators import brute_components
 
 RANKS = public_tokenizers.path(queries.RANKS)
 LETTERS = string.ascii_letters
@@ -264,3 +266,51 @@ def test_very_long_and_repeated_texts_are_judged_whole(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = [(r["doc_id"], r["lang_pred"]) for r in langid.identify(docs, per_language=100, epochs=6).collect()]
     assert sorted(x for x in got if x[0] >= 1_000) == [(1_000, "aa"), (1_001, "aa"), (1_001, "aa")]
+
+
+# Near duplicates: families below the threshold
+
+
+def family(rng, n, similarity, size=400):
+    """Texts whose shingle sets are about as similar to each other as asked for: a common core, and words of their own."""
+    own = round(size * (1 - similarity) / (1 + similarity))
+    core = [f"c{rng.randrange(10**9)}" for _ in range(size + 4 - own)]
+    return [" ".join([*core, *(f"o{rng.randrange(10**9)}" for _ in range(own))]) for _ in range(n)]
+
+
+@pytest.mark.parametrize("similarity", [0.60, 0.70, 0.73])
+def test_families_below_the_threshold_make_no_pairs(similarity):
+    """Joined rows of the prefixes, for two sizes of a family: none of what the family shares is in an index prefix."""
+    for n in (50, 200):
+        texts = w.texts_of(pa.array(family(random.Random(n), n, similarity)))
+        sets = list(near_dup.shingle_sets(texts))
+        both = np.intersect1d(sets[0], sets[1]).size
+        assert abs(both / (2 * len(sets[0]) - both) - similarity) < 0.02
+        counts = np.zeros(near_dup.COUNTERS, np.int64)
+        for s in sets:
+            np.add.at(counts, near_dup._counter(s), 1)
+        order = type("Order", (), {"value": counts})
+        batch = pa.RecordBatch.from_pydict({"rep": list(range(n)), "comp": list(range(n)), "text": [texts.bytes(i).decode() for i in range(n)]})
+        rows = pa.Table.from_batches(list(near_dup._prefixes(75, order)(iter([batch])))).to_pandas()
+        joined = rows[rows.indexed].merge(rows, on="token")
+        joined = joined[joined.rep_x != joined.rep_y]
+        # A few meet where a common shingle shares its counter with none and an own one with many.
+        assert len(joined) <= 4 * n
+
+
+@pytest.mark.parametrize("similarity", [0.70, 0.74, 0.76])
+def test_families_around_the_threshold_equal_brute_force(spark, tmp_path, similarity):
+    rng = random.Random(int(similarity * 100))
+    texts = family(rng, 60, similarity, 120)
+    texts += [t + " one more word" for t in texts[:5]] + [" ".join(t.split()[:60]) for t in texts[:5]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = near_dup.near_duplicates(docs, trees=8, depth=3, leaf=2, folder=str(tmp_path))
+    assert sorted((tuple(r) for r in got.select("doc_id", "n_shingles", "component_id", "kept").collect()), key=repr) == brute_components(texts, list(range(len(texts))))
+
+
+def test_one_of_each_group_whatever_its_columns(spark, tmp_path):
+    rows = [(i, "the same words in the same order again and again", *["x"] * 3) for i in range(4)] + [(None, "no id", *["x"] * 3), (2, "the same words in the same order again and again", *["y"] * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _at string, at string, kept string")
+    kept = near_dup.keep_one(docs, folder=str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"], r["_at"]) for r in kept.where("doc_id IS NOT NULL").collect()) == [(0, "x")] and kept.count() == 2
