@@ -45,6 +45,10 @@ HEADLINE = [
     "file_mode_windows",
     "stream_windows",
     "stream_alert_state",
+    "dead_letters_whole",
+    "upsert_partial",
+    "stream_dlq_alarm",
+    "control",
 ]
 
 
@@ -54,6 +58,12 @@ def run(query, spark, folder) -> float:
     return time.perf_counter() - start
 
 
+def control(spark, folder):
+    """The same plain Spark aggregation in every round: tells a slower machine from slower code."""
+    rows = spark.read.parquet(f"{folder}/lineitem.parquet")
+    return rows.groupBy("l_returnflag", "l_linestatus").agg({"l_quantity": "sum", "l_extendedprice": "avg", "l_orderkey": "count"})
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -63,7 +73,7 @@ def main() -> None:
         "bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": memory}
     )
     spark.sparkContext.setLogLevel("ERROR")
-    queries = all_queries()
+    queries = {**all_queries(), "control": control}
     names = list(queries) if sys.argv[1:] == ["all"] else sys.argv[1:] or HEADLINE
     seconds = {}
     for name in names:
