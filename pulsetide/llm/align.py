@@ -42,7 +42,7 @@ SCORED = 500_000
 
 ALIGNED = "doc_id {id}, n_a long, n_b long, n_groups long, n_links long, groups string, links binary"
 
-_aligners: dict[tuple[str, str], "Aligner"] = {}
+_aligners: dict[tuple[str, str], "Aligner"] = w.worker_cache()
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -229,6 +229,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, folder: str) -> DataFrame
     """
 
     def rows_of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w.keep_only(_aligners)
         tool = aligner(path_a, path_b)
         for batch, texts in w.batches(rows, most=SLICE):
             per, groups, flat = tool.align(texts)
@@ -318,8 +319,7 @@ def scored(links: DataFrame, names: list[str]) -> DataFrame:
     others = [c for c in links.columns if c != "links"]
 
     def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A worker of the stage before is used again: what it learned is of no more use.
-        _aligners.clear()
+        w.keep_only()
         for whole in rows:
             sizes = np.cumsum(whole.column("n_links").to_numpy())
             first = 0

@@ -223,6 +223,7 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w.keep_only()
         net = shared.value
         pairs = net.pairs() if net else None
         for batch, texts in w.batches(batches, most=SLICE):

@@ -112,6 +112,7 @@ def _bits(sig: np.ndarray) -> np.ndarray:
 
 
 def _sign(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    w.keep_only()
     for batch, texts in w.batches(rows, most=SLICE):
         counts, keys, signs = [], [], []
         bits = []
@@ -145,6 +146,7 @@ def _children(node: np.ndarray, sig: np.ndarray, level: int, second: float) -> t
 
 def _plant(trees: int, second: float):
     def plant(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w.keep_only()
         for batch in rows:
             if batch.num_rows:
                 sig, reps = _matrix(batch.column("sig")), batch.column("rep").to_numpy()
@@ -191,6 +193,7 @@ def _confirm(percent: int):
     """Rows sorted by run, each run's center first: the linked (a, b)."""
 
     def confirm(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w.keep_only()
         center, mine = None, np.zeros(0, np.uint64)
         for batch, texts in w.batches(rows, most=SLICE):
             left, right = [], []

@@ -42,7 +42,7 @@ _ENCODED = {
     "doc_id": "long", "ids": "binary", "n_ids": "long", "row": "long", "part": "long", "own": "long", "one": "long", "two": "long", "counts": "binary"
 }
 
-_encoders: dict[str, "Encoder"] = {}
+_encoders: dict[str, "Encoder"] = w.worker_cache()
 
 
 class Encoder:
@@ -106,6 +106,7 @@ def encoded(docs: DataFrame, vocabulary: str, folder: str, window: int, end: int
     """
 
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w.keep_only(_encoders)
         part = TaskContext.get().partitionId()
         base = own = 0
         tool, found = encoder(vocabulary), np.zeros(0, np.int64)
@@ -307,6 +308,7 @@ class _Packer:
 
 def _pack(window: int, idf: Broadcast, mean: float):
     def pack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w.keep_only()
         packer, part, local = _Packer(window, idf.value, mean), TaskContext.get().partitionId(), 0
 
         def sent() -> pa.RecordBatch:

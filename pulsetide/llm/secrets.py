@@ -51,7 +51,7 @@ _RUN_BYTE[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz
 
 SCHEMA = "n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string"
 
-_vocabularies: dict[str, object] = {}
+_vocabularies: dict[str, object] = w.worker_cache()
 
 
 def vocabulary(path: str):

@@ -40,7 +40,7 @@ _OTHER[:128] = True
 _OTHER &= ~_LETTER & w.SPACED
 _OTHER[39] = False
 
-_encoders: dict[str, "Encoder"] = {}
+_encoders: dict[str, "Encoder"] = w.worker_cache()
 
 
 class Encoder:
@@ -149,6 +149,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end: int = END)
     files.make_folder(folder)
 
     def write(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w.keep_only(_encoders)
         tokenizer = encoder(vocabulary)
         name = f"{folder}/shard-{TaskContext.get().partitionId():06d}"
         ids, counts, n = [], [], 0

@@ -48,6 +48,24 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+_worker_caches: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A dict that lives as long as the worker, until a task of another operator has no use for it (`keep_only`)."""
+    _worker_caches.append({})
+    return _worker_caches[-1]
+
+
+def keep_only(*mine: dict) -> None:
+    """Drop what other operators left in this worker: Spark uses a worker again for the next stage."""
+    for cache in _worker_caches:
+        if not any(cache is own for own in mine):
+            cache.clear()
+    for base in [b for b, have in _powers.items() if len(have) > SLICE_BYTES // 2]:
+        del _powers[base]
+
+
 _powers: dict[int, np.ndarray] = {}
 
 

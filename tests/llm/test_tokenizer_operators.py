@@ -331,3 +331,12 @@ def test_what_is_left_is_cut_at_powers_of_two(n):
 
 def test_packing_of_nothing(empty, tmp_path):
     assert packing.pieces_of(packing.pack(empty, A, folder=str(tmp_path))).count() == 0
+
+
+def test_a_worker_drops_what_other_operators_left():
+    mine, other = w.worker_cache(), w.worker_cache()
+    mine["a"], other["b"] = 1, 2
+    w.powers(w.BASE, 3 * w.SLICE_BYTES // 2)
+    w.keep_only(mine)
+    assert mine == {"a": 1} and other == {} and int(w.BASE) not in w._powers
+    assert len(w.powers(w.BASE, 10)) == 10
