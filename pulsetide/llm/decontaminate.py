@@ -161,6 +161,7 @@ def _scan(found: DataFrame, sets, spans_name: str, items_name: str, words_name:
     """Add the hits of one lot to the spans (hit words, as positions) and items found so far."""
 
     def mark(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w.keep_only()
         for batch, texts in w.batches(rows):
             words, hit, items = _mark(texts, sets.value)
             spans, names = [], []

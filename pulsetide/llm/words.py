@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: Odd, and 3 modulo 4: differences of its powers keep almost all bits.
 BASE = np.uint64(0x9E3779B97F4A7C17 | 3)
@@ -62,8 +62,9 @@ def keep_only(*mine: dict) -> None:
     for cache in _worker_caches:
         if not any(cache is own for own in mine):
             cache.clear()
-    for base in [b for b, have in _powers.items() if len(have) > SLICE_BYTES // 2]:
+    for base in [b for b, have in _powers.items() if len(have) > SLICE_BYTES]:
         del _powers[base]
+    pa.default_memory_pool().release_unused()
 
 
 _powers: dict[int, np.ndarray] = {}
