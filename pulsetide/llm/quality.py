@@ -6,11 +6,14 @@ counts, in any order, to the same result: map-side per task, then per (lang,
 source), and those again per language and over all. A group of too few documents
 takes its language's thresholds, a small language all documents'.
 
-A threshold is the nearer of two. The outer quantile of the group's sketch, one
-bucket further on, so that rounding rejects nothing and a source whose documents
-are all alike is left alone: it finds documents that stick out of their own
-source. And a far-out fence, several spreads and at least a fixed margin beyond
-the quartiles: it holds where more documents than the quantile leaves out are junk.
+A threshold is the nearer of two, both read off sketches. The outer quantile of the
+group, one bucket further on, so that rounding rejects nothing and a source whose
+documents are all alike is left alone: it finds documents that stick out of their
+own source. And the break: the widest empty stretch of the sketch among the group's
+outer documents, if what lies beyond it is REACH times as far from the quartile as
+what lies before it. It finds junk that is more than the quantile leaves out. A
+group in which junk is more than the outer documents has no such break; those of its
+language and of all documents hold for it too, if the group's own quartile is within.
 """
 
 from __future__ import annotations
@@ -30,21 +33,19 @@ MOST_REPEATED = 30
 REPEAT_WINDOW = 8
 #: Documents a group needs for thresholds of its own.
 LEAST_GROUP = 200
-#: Spreads (quartile to quartile) from a quartile to its fence.
-SPREADS = 6.0
+#: Percent of a group's documents on each side among which a break is looked for.
+TAIL = 5
+#: Times as far from the quartile as what lies before a break that its other side must be.
+REACH = 2.0
 
 #: Percent of a group's documents beyond each outer quantile.
 OUTER = 1
 #: Columns of quantiles, in percent.
 PLACES = {"low": 25, "high": 75, "least": OUTER, "most": 100 - OUTER}
 
-#: measure: (least margin of the fence above the upper quartile, same below the lower; None: no lower fence). Per mille.
-MEASURES: dict[str, tuple[int, int | None]] = {
-    "word_length": (6_000, 3_000),
-    "symbol_rate": (500, None),
-    "dup_line_rate": (500, None),
-    "repeat_rate": (200, None),
-}
+#: Whole numbers per mille; word_length has a floor as well.
+MEASURES = ("word_length", "symbol_rate", "dup_line_rate", "repeat_rate")
+FLOORED = ("word_length",)
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -124,48 +125,67 @@ def bucket(value: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", value, drop), drop)
 
 
-def sketches(rows: DataFrame, measures=tuple(MEASURES)) -> DataFrame:
+def sketches(rows: DataFrame, measures=MEASURES) -> DataFrame:
     """lang, source, measure, bucket, n: the mergeable sketch of each measure and group."""
     each = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), bucket(F.col(m)).alias("bucket")) for m in measures]))
     return rows.select("lang", "source", each.alias("e")).groupBy("lang", "source", "e.measure", "e.bucket").agg(F.count("*").alias("n"))
 
 
-def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """by, measure, size, low, high, least, most: documents, quartiles and outer quantiles of each group, from its merged sketch."""
+def quartiles(sketch: DataFrame, by: list[str], reach: float = REACH) -> DataFrame:
+    """by, measure, size, low, high, least, most, under, over: documents, quartiles, outer quantiles and breaks of each group, from its merged sketch.
+
+    over is the last value before the upper break, under the first after the lower one; null where there is none.
+    """
     merged = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "measure")
-    running = F.sum("n").over(group.orderBy("bucket"))
-    ranked = merged.select(*by, "measure", "bucket", running.alias("upto"), F.sum("n").over(group).alias("size"))
+    line = group.orderBy("bucket")
+    ranked = merged.select(
+        *by, "measure", "bucket", (F.sum("n").over(line) - F.col("n")).alias("before"), F.sum("n").over(line).alias("upto"),
+        F.sum("n").over(group).alias("size"), F.lag("bucket").over(line).alias("last"), F.lead("bucket").over(line).alias("next"),
+    )
 
     def at(percent: int) -> Column:
         return F.min(F.when(100 * F.col("upto") >= percent * F.col("size"), F.col("bucket")))
 
-    return ranked.groupBy(*by, "measure").agg(F.max("size").alias("size"), *[at(p).alias(name) for name, p in PLACES.items()])
+    # A stretch goes from the end of one bucket to the start of the next that holds a document.
+    end, last_end = F.col("bucket") + width(F.col("bucket")), F.col("last") + width(F.col("last"))
+    above = (100 * F.col("upto") >= (100 - TAIL) * F.col("size")) & (F.col("next") > end)
+    below = (100 * F.col("before") <= TAIL * F.col("size")) & (F.col("bucket") > last_end)
+    found = ranked.groupBy(*by, "measure").agg(
+        F.max("size").alias("size"),
+        *[at(p).alias(name) for name, p in PLACES.items()],
+        F.max(F.when(above, F.struct((F.col("next") - end).alias("gap"), end.alias("near"), F.col("next").alias("far")))).alias("up"),
+        F.max(F.when(below, F.struct((F.col("bucket") - last_end).alias("gap"), F.col("bucket").alias("near"), last_end.alias("far")))).alias("down"),
+    )
+    over = F.col("up.far") - F.col("high") >= reach * (F.col("up.near") - F.col("high"))
+    under = F.col("low") - F.col("down.far") >= reach * (F.col("low") - F.col("down.near"))
+    return found.withColumns({"over": F.when(over, F.col("up.near") - 1), "under": F.when(under, F.col("down.near"))}).drop("up", "down")
 
 
-def thresholds(sketch: DataFrame, least_group: int = LEAST_GROUP, spreads: float = SPREADS) -> DataFrame:
+def thresholds(sketch: DataFrame, least_group: int = LEAST_GROUP, reach: float = REACH) -> DataFrame:
     """lang, source, measure, floor, ceiling: of the group, its language or all documents, the first that is large enough."""
-    own = quartiles(sketch, ["lang", "source"])
-    lang = quartiles(sketch, ["lang"]).selectExpr("lang AS l", "measure AS m", "size AS lang_size", *[f"{c} AS lang_{c}" for c in PLACES])
-    whole = quartiles(sketch, []).selectExpr("measure AS w", *[f"{c} AS all_{c}" for c in PLACES])
+    names = [*PLACES, "under", "over"]
+    own = quartiles(sketch, ["lang", "source"], reach)
+    lang = quartiles(sketch, ["lang"], reach).selectExpr("lang AS l", "measure AS m", "size AS lang_size", *[f"{c} AS lang_{c}" for c in names])
+    whole = quartiles(sketch, [], reach).selectExpr("measure AS w", *[f"{c} AS all_{c}" for c in names])
     rows = own.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("m"))).join(whole, F.col("measure") == F.col("w"))
+    large, lang_large = F.col("size") >= least_group, F.col("lang_size") >= least_group
 
     def chosen(name: str) -> Column:
-        small = F.when(F.col("lang_size") >= least_group, F.col(f"lang_{name}")).otherwise(F.col(f"all_{name}"))
-        return F.when(F.col("size") >= least_group, F.col(name)).otherwise(small)
+        return F.when(large, F.col(name)).when(lang_large, F.col(f"lang_{name}")).otherwise(F.col(f"all_{name}"))
+
+    def shared(name: str, inside) -> list[Column]:
+        """The breaks of the language and of all documents, for groups that are not of another kind as a whole."""
+        return [F.when(fits & inside(F.col(c)), F.col(c)) for c, fits in ((f"lang_{name}", large), (f"all_{name}", large | lang_large))]
 
-    rows = rows.withColumns({"q1": chosen("low"), "q3": chosen("high"), "q_least": chosen("least"), "q_most": chosen("most")})
-    spread = spreads * (F.col("q3") - F.col("q1"))
-    above = reduce(lambda c, m: c.when(F.col("measure") == m, MEASURES[m][0]), MEASURES, F.when(F.lit(False), 0))
-    below = reduce(lambda c, m: c.when(F.col("measure") == m, F.lit(MEASURES[m][1]).cast("int")), MEASURES, F.when(F.lit(False), 0))
-    return rows.select(
-        "lang", "source", "measure",
-        F.greatest(F.col("q1") - F.greatest(spread, below.cast("double")), F.col("q_least") - width(F.col("q_least"))).alias("floor_"), below.alias("below"),
-        F.least(F.col("q3") + F.greatest(spread, above.cast("double")), F.col("q_most") + 2 * width(F.col("q_most")) - 1).alias("ceiling"),
-    ).select("lang", "source", "measure", F.when(F.col("below").isNotNull(), F.col("floor_")).alias("floor"), "ceiling")
+    over = shared("over", lambda limit: chosen("high") <= limit)
+    under = shared("under", lambda limit: chosen("low") >= limit)
+    floor = F.greatest(chosen("least") - width(chosen("least")), chosen("under"), *under)
+    ceiling = F.least(chosen("most") + 2 * width(chosen("most")) - 1, chosen("over"), *over)
+    return rows.select("lang", "source", "measure", F.when(F.col("measure").isin(*FLOORED), floor).alias("floor"), ceiling.alias("ceiling"))
 
 
-def judge(docs: DataFrame, least_group: int = LEAST_GROUP, spreads: float = SPREADS, folder: str | None = None) -> DataFrame:
+def judge(docs: DataFrame, least_group: int = LEAST_GROUP, reach: float = REACH, folder: str | None = None) -> DataFrame:
     """Per row of the documents: doc_id, lang, source, the counts, base_failed, kept.
 
     Words are split at white space. base_failed: fewer than 20 words, or more than
@@ -175,7 +195,7 @@ def judge(docs: DataFrame, least_group: int = LEAST_GROUP, spreads: float = SPRE
     rows count each; an empty table gives none. Other columns are not read.
     """
     rows = store(measured(docs), f"{folder or shared_folder(docs.sparkSession, 'quality')}/measured")
-    fences = thresholds(sketches(rows.where("NOT base_failed")), least_group, spreads)
+    fences = thresholds(sketches(rows.where("NOT base_failed")), least_group, reach)
     wide = fences.groupBy(F.col("lang").alias("l"), F.col("source").alias("s")).agg(
         *[F.min(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{c}") for m in MEASURES for c in ("floor", "ceiling")]
     )

@@ -431,6 +431,80 @@ def test_quality_finds_what_sticks_out_below_the_fences(spark, shared):
     assert len(ids) - 2 <= 15
 
 
+def plain_kept(rows, least_group):
+    """doc_id -> kept, from dicts of a document's group and measures; one list per group instead of a sketch."""
+
+    def width(v):
+        return 1 << max(v.bit_length() - 6, 0)
+
+    def facts(values):
+        values = sorted(v - v % width(v) for v in values)
+        n, cells = len(values), sorted(set(values))
+
+        def at(percent):
+            return next(v for i, v in enumerate(values) if 100 * sum(x <= v for x in values) >= percent * n)
+
+        low, high = at(25), at(75)
+        steps = [(b - a - width(a), a + width(a), b) for a, b in zip(cells, cells[1:]) if b > a + width(a)]
+        ups = [x for x in steps if 100 * sum(v < x[1] for v in values) >= (100 - quality.TAIL) * n]
+        downs = [(gap, b, a) for gap, a, b in steps if 100 * sum(v < b for v in values) <= quality.TAIL * n]
+        over = under = None
+        if ups and max(ups)[2] - high >= quality.REACH * (max(ups)[1] - high):
+            over = max(ups)[1] - 1
+        if downs and low - max(downs)[2] >= quality.REACH * (low - max(downs)[1]):
+            under = max(downs)[1]
+        return {"n": n, "low": low, "high": high, "least": at(quality.OUTER), "most": at(100 - quality.OUTER), "over": over, "under": under}
+
+    good = [r for r in rows if not r["base_failed"]]
+    limits = {}
+    for m in quality.MEASURES:
+        whole = facts([r[m] for r in good])
+        for lang, source in {(r["lang"], r["source"]) for r in good}:
+            by_lang = facts([r[m] for r in good if r["lang"] == lang])
+            own = facts([r[m] for r in good if (r["lang"], r["source"]) == (lang, source)])
+            chain = [own, by_lang, whole]
+            while len(chain) > 1 and chain[0]["n"] < least_group:
+                chain.pop(0)
+            mine = chain[0]
+            tops = [mine["most"] + 2 * width(mine["most"]) - 1] + [c["over"] for c in chain if c["over"] is not None and (c is mine or mine["high"] <= c["over"])]
+            floors = [mine["least"] - width(mine["least"])] + [c["under"] for c in chain if c["under"] is not None and (c is mine or mine["low"] >= c["under"])]
+            limits[lang, source, m] = (max(floors) if m in quality.FLOORED else 0, min(tops))
+    return {
+        r["doc_id"]: not r["base_failed"] and all(limits[r["lang"], r["source"], m][0] <= r[m] <= limits[r["lang"], r["source"], m][1] for m in quality.MEASURES)
+        for r in rows
+    }
+
+
+@pytest.mark.parametrize("least_group", [1, 30, 100, 10_000])
+def test_quality_verdicts_by_brute_force(spark, docs, shared, least_group):
+    rng = random.Random(11)
+    rows = [(10_000 + i, prose(rng, rng.randrange(15, 60), 3000), rng.choice(["en", "fr", None]), rng.choice(["a", "b", None])) for i in range(400)]
+    rows += [(11_000 + i, "#$ " * rng.randrange(3) + " ".join(x + "&" * rng.randrange(3) for x in prose(rng, 40, 3000).split()), "en", rng.choice("ab")) for i in range(12)]
+    rows += [(12_000 + i, "\n".join([prose(rng, 5, 3000)] * 2 + [prose(rng, 30, 3000)] * rng.randrange(1, 3)), None, None) for i in range(10)]
+    rows += [(13_000 + i, " ".join(x * 3 for x in prose(rng, 40, 3000).split()), "fr", "a") for i in range(4)]
+    frame = spark.createDataFrame([(*r, "", "") for r in rows], DOCS).union(docs)
+    measured = [r.asDict() for r in quality.measured(frame).collect()]
+    expected = plain_kept(measured, least_group)
+    kept = dict(got(quality.judge(frame, least_group, folder=f"{shared}/verdicts{least_group}"), "doc_id", "kept"))
+    assert kept == expected
+    assert not all(expected.values()) and any(expected.values())
+
+
+def test_quality_of_a_source_that_is_mostly_junk(spark, shared):
+    rng = random.Random(12)
+
+    def text(mark):
+        return " ".join(x + mark for x in prose(rng, 60, 5000).split())
+
+    rows = [(i, text(""), "en", f"s{i % 10}") for i in range(3000)]
+    rows += [(5000 + i, text("" if i % 5 else "%%%%"), "en", "heavy") for i in range(300)]
+    rows += [(7000 + i, text("$"), "en", "prices") for i in range(300)]
+    frame = spark.createDataFrame([(*r, "", "") for r in rows], DOCS)
+    gone = {r[0] for r in got(quality.judge(frame, folder=f"{shared}/heavy").where("NOT kept"), "doc_id")}
+    assert {5000 + i for i in range(0, 300, 5)} <= gone
+    assert not any(i >= 7000 for i in gone if i < 7000) and len([i for i in gone if i >= 7000]) <= 12
+
+
 def test_sketches_merge_in_any_order(docs, shared):
     rows = quality.measured(docs).persist()
     whole = quality.quartiles(quality.sketches(rows), ["lang"])
