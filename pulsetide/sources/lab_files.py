@@ -82,12 +82,20 @@ def with_line_breaks(lines: DataFrame) -> DataFrame:
     state = state.withColumn("settles", settles).withColumn("turns", turns)
     in_block = Window.partitionBy("source_file", "block").orderBy("line")
     before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    running = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     state = state.withColumn("turned", F.coalesce(F.sum("turns").over(before), F.lit(0)))
     # The last settled state, and how many turns came before it and with it.
     mark = F.when(F.col("settles").isNotNull(), F.struct("line", "settles", "turned"))
     state = state.withColumn("mark", F.last(mark, ignorenulls=True).over(before))
+    # A record is named by the line it starts with; both cases, a block that starts outside and inside, are followed.
+    own = (F.col("mark.settles").cast("int") + F.col("turned") - F.col("mark.turned")) % 2 == 1
+    records = ["if_out", "if_in"]
+    for case, name in enumerate(records):
+        inside = F.coalesce(F.when(F.col("mark").isNotNull(), own), (F.col("turned") + case) % 2 == 1)
+        start = F.when(~inside, F.struct("block", "line"))
+        state = state.withColumn(name, F.last(start, ignorenulls=True).over(running))
     whole = state.groupBy("source_file", "block").agg(
-        F.max(mark).alias("mark"), F.sum("turns").alias("turns"),
+        F.max(mark).alias("mark"), F.sum("turns").alias("turns"), *[F.max(name).alias(name) for name in records]
     )
     blocks = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     whole = whole.withColumn("turned", F.coalesce(F.sum("turns").over(blocks), F.lit(0)))
@@ -95,19 +103,13 @@ def with_line_breaks(lines: DataFrame) -> DataFrame:
     whole = whole.withColumn("earlier", F.last(across, ignorenulls=True).over(blocks))
     known = F.coalesce(F.col("earlier.settles"), F.lit(False)).cast("int")
     since = F.col("turned") - F.coalesce(F.col("earlier.turned"), F.lit(0))
-    whole = whole.select("source_file", "block", ((known + since) % 2 == 1).alias("inside_at_start"))
+    whole = whole.withColumn("inside_at_start", (known + since) % 2 == 1)
+    record = F.when(F.col("inside_at_start"), F.col("if_in")).otherwise(F.col("if_out"))
+    # A block's first lines may belong to a record of an earlier block.
+    carried = F.last(record, ignorenulls=True).over(blocks).alias("carried")
+    whole = whole.select("source_file", "block", "inside_at_start", carried)
 
-    rows = state.join(whole, ["source_file", "block"])
-    own = (F.col("mark.settles").cast("int") + F.col("turned") - F.col("mark.turned")) % 2 == 1
-    inherited = (F.col("inside_at_start").cast("int") + F.col("turned")) % 2 == 1
-    rows = rows.withColumn("inside", F.coalesce(F.when(F.col("mark").isNotNull(), own), inherited))
-    # A record is named by the line it starts with; a block's first lines may belong to one of an earlier block.
-    start = F.when(~F.col("inside"), F.struct("block", "line"))
-    running = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("record", F.last(start, ignorenulls=True).over(running))
-    latest = rows.groupBy("source_file", "block").agg(F.max("record").alias("record"))
-    carried = latest.select("source_file", "block", F.last("record", ignorenulls=True).over(blocks).alias("carried"))
-    rows = rows.join(carried, ["source_file", "block"]).withColumn("record", F.coalesce("record", "carried"))
+    rows = state.join(whole, ["source_file", "block"]).withColumn("record", F.coalesce(record, "carried"))
     parts = rows.groupBy("source_file", "record").agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("parts"))
     return parts.select("source_file", F.array_join(F.col("parts.value"), "\n").alias("value"))
 

@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from checks.queries import _small_blocks
 from pulsetide.operators import health, labs as lab, quality
 from pulsetide.operators.serving import daily_report
 from pulsetide.operators.summaries import (
@@ -24,7 +25,7 @@ from pulsetide.plans import daily_report as daily
 from pulsetide.schemas import ARCHIVE, LAB, RAW_LAB, READING
 from pulsetide.sinks.tables import patient_table, report_table
 from pulsetide.sinks.outputs import archive_rows, replace_day, write_by_date
-from pulsetide.sources.lab_files import CLOSING_LINE, WHOLE_LINE, empty_files, headers, inventory, lab_file_verdicts, lab_rows, read_lab_lines
+from pulsetide.sources.lab_files import CLOSING_LINE, WHOLE_LINE, empty_files, headers, inventory, lab_file_verdicts, lab_rows, read_lab_lines, with_line_breaks
 from pulsetide.sources.patients import read_patients
 from pulsetide.streaming.lab_intake import intake_verdicts, start_lab_intake
 from tests.conftest import utc
@@ -152,6 +153,20 @@ def test_records_over_lines_equal_a_plain_reader(spark, tmp_path_factory, table,
     assert sorted(tuple(v or "" for v in r) for r in got) == sorted(expected)
 
 
+def test_small_blocks_do_not_make_as_many_tasks(spark, tmp_path):
+    (tmp_path / "x.csv").write_text(f"{HEAD}\n" + f"{GOOD}\n" * 300_000)
+    lines = read_lab_lines(_small_blocks(spark), str(tmp_path))
+    assert lines.select("block").distinct().count() > 200
+    assert lines.rdd.getNumPartitions() <= 16 * spark.sparkContext.defaultParallelism
+    assert headers(lines).first().header == HEAD and lines.count() == 300_001
+
+
+def test_blocks_meet_once(spark, tmp_path):
+    (tmp_path / "x.csv").write_text(f"{HEAD}\n{GOOD}\n")
+    plan = with_line_breaks(read_lab_lines(spark, str(tmp_path)))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Join Inner") == 1
+
+
 @pytest.mark.parametrize(
     "line, from_out, from_in",
     [("a,b", False, True), ('a,"b', True, False), ('a"', False, False), ('"a""b"', False, False), ('x"",y', False, True), ('5" pipe,"', True, True), ("", False, True)],
