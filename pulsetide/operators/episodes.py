@@ -49,7 +49,14 @@ def pair_changes(changes: DataFrame) -> DataFrame:
 
 
 def alert_episodes(windows: DataFrame) -> DataFrame:
-    """All episodes of the given windows, in event time.
+    """All episodes of the given windows, in event time."""
+    return pair_changes(flag_changes(windows))
+
+
+def flag_changes(windows: DataFrame, held: DataFrame | None = None) -> DataFrame:
+    """Where flags of the given windows open and close, in event time.
+
+    ``held`` has a row for each patient whose alerts (``flags``) are open before the first window.
 
     A scan in pieces: each day of a patient is ordered by itself, at most 288
     five-minute windows, and keeps only the windows where its flags change and its
@@ -73,9 +80,15 @@ def alert_episodes(windows: DataFrame) -> DataFrame:
         }
     )
     kept = states.where("day_first OR day_last OR flags <> before")
+    if held is not None:
+        border = {"day_first": F.lit(True), "day_last": F.lit(True)}
+        kept = kept.unionByName(held.select("patient_id", "flags").withColumns(border), allowMissingColumns=True)
+    # What is held has no time, so it comes first.
     earlier = F.lag("flags").over(_at_border(["patient_id"]))
     kept = kept.withColumn("before", F.coalesce(F.when(F.col("day_first"), earlier).otherwise(F.col("before")), nothing))
-    changes = kept.select(
+    if held is not None:
+        kept = kept.where("day IS NOT NULL")
+    return kept.select(
         "patient_id",
         "window_start",
         "window_end",
@@ -86,7 +99,6 @@ def alert_episodes(windows: DataFrame) -> DataFrame:
             )
         ).alias("change"),
     ).select("patient_id", "window_start", "window_end", "change.*")
-    return pair_changes(changes)
 
 
 def _marked(types: Column, opened: bool) -> Column:

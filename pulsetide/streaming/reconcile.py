@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from pulsetide.operators.episodes import pair_changes
+from pulsetide.operators.episodes import flag_changes, pair_changes
 from pulsetide.params import ALERT_TYPES
 from pulsetide.sinks.keyed_table import KeyedTable
 
@@ -12,19 +12,15 @@ EPISODE_KEY = ["patient_id", "alert_type", "triggered_at"]
 
 
 def fold_from(windows: DataFrame, carried: DataFrame) -> DataFrame:
-    """Episodes per patient and type from the windows, and from alerts open before the first of them."""
-    in_time = Window.partitionBy("patient_id", "alert_type").orderBy("window_start")
-    kinds = F.explode(F.array(*[F.lit(k) for k in ALERT_TYPES]))
-    states = windows.select("patient_id", "window_start", "window_end", "anomaly_flags", kinds.alias("alert_type"))
-    flagged = F.coalesce(F.array_contains("anomaly_flags", F.col("alert_type")), F.lit(False))
-    states = states.withColumn("opened", flagged).drop("anomaly_flags")
-    openings = carried.select(
-        "patient_id", "alert_type", F.col("triggered_at").alias("window_start"), F.lit(True).alias("opened")
-    )
-    states = states.unionByName(openings, allowMissingColumns=True)
-    before = F.lag("opened", 1, False).over(in_time)
-    changes = states.withColumn("before", before).where(F.col("opened") != F.col("before"))
-    return pair_changes(changes)
+    """Episodes per patient and type from the windows, and from alerts open before the first of them.
+
+    A window is one row until its flags change, whatever the number of types.
+    """
+    known = F.array(*[F.lit(k) for k in ALERT_TYPES])
+    openings = carried.groupBy("patient_id", "alert_type").agg(F.min("triggered_at").alias("window_start"))
+    held = openings.groupBy("patient_id").agg(F.array_intersect(F.collect_set("alert_type"), known).alias("flags"))
+    changes = flag_changes(windows.withColumn("anomaly_flags", F.array_intersect("anomaly_flags", known)), held)
+    return pair_changes(changes.unionByName(openings.withColumn("opened", F.lit(True)), allowMissingColumns=True))
 
 
 def changed_episodes(live: KeyedTable, alerts: KeyedTable, version: int) -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from pulsetide.operators.serving import UnknownPatient, last_data_received, pati
 from pulsetide.params import ALERT_TYPES
 from pulsetide.schemas import PATIENT, WINDOW
 from pulsetide.sinks.tables import alert_table, live_table
-from pulsetide.streaming.reconcile import changed_episodes, reconcile_alerts
+from pulsetide.streaming.reconcile import changed_episodes, fold_from, reconcile_alerts
 from tests.conftest import utc
 import datetime as dt
 import pytest
@@ -185,6 +185,14 @@ def test_reconcile_reads_touched_patients_and_days_only(spark, tmp_path):
     assert store.batch(2, (late + 1, [])) == [("P1", T, 0, late + 2), ("P2", FV, 0, late + 1)]
 
 
+def test_fold_takes_up_what_is_carried(spark):
+    carried = spark.createDataFrame([("P1", FV, T0), ("P1", T, T0), ("P2", T, T0)], "patient_id string, alert_type string, triggered_at timestamp")
+    found = fold_from(windows(spark, (300, [T]), (301, [FV, "NO_TYPE"]), (310, [], "P3")), carried)
+    assert episodes(found) == [("P1", FV, 0, 301), ("P1", FV, 301, None), ("P1", T, 0, 302), ("P2", T, 0, None)]
+    # A window is one row, not one per type, until its flags change.
+    assert "explode(array(" not in found._jdf.queryExecution().analyzed().toString()
+
+
 def test_reconcile_survives_compaction(spark, tmp_path):
     store = Store(spark, tmp_path)
     store.batch(0, (0, [T]))
