@@ -22,6 +22,8 @@ CHANGE = T.StructType(
 
 def _processor():
     # Local classes travel to the workers by value: executors need no copy of this package.
+    from datetime import datetime, timezone
+
     from pyspark.sql import Row
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -29,6 +31,7 @@ def _processor():
     since = T.StructType([T.StructField("triggered_at", T.TimestampType())])
 
     change = Row(*CHANGE.names)
+    instant = T.TimestampType()
 
     class OpenAlerts(StatefulProcessor):
         """State: open alert types of a patient, with the time each opened."""
@@ -39,10 +42,10 @@ def _processor():
         def handleInputRows(self, key, rows, timerValues):
             patient = key[0]
             # One read and, at the end, only what changed: each state call crosses to the JVM.
-            before = {k[0]: v[0] for k, v in self.open.iterator()}
+            before = {k[0]: instant.toInternal(v[0]) for k, v in self.open.iterator()}
             opened = dict(before)
             for row in sorted(rows, key=lambda r: r.window_start):
-                flags = set(row.anomaly_flags or ())
+                flags = set(row.anomaly_flags.split(",")) if row.anomaly_flags else set()
                 for name in sorted(flags - opened.keys()):
                     opened[name] = row.window_start
                     yield change(patient, name, row.window_start, None)
@@ -52,7 +55,7 @@ def _processor():
                 self.open.removeKey((name,))
             for name, time in opened.items():
                 if before.get(name) != time:
-                    self.open.updateValue((name,), (time,))
+                    self.open.updateValue((name,), (datetime.fromtimestamp(time // 1_000_000, timezone.utc).replace(microsecond=time % 1_000_000),))
 
         def handleInitialState(self, key, initialState, timerValues):
             for alert in initialState.alerts:
@@ -75,6 +78,10 @@ def alert_changes(closed_windows: DataFrame, open_alerts: DataFrame | None = Non
     watermark has passed it; within a batch they are few and sorted here.
     """
     use_rocksdb_state(closed_windows.sparkSession)
+    # Times as numbers and flags as one text: a cell that Python has to make a date or a list of costs several times as much.
+    times = {c: F.unix_micros(c).alias(c) for c in ("window_start", "window_end")}
+    flags = F.array_join("anomaly_flags", ",").alias("anomaly_flags")
+    made = T.StructType([T.StructField(f.name, T.LongType() if isinstance(f.dataType, T.TimestampType) else f.dataType) for f in CHANGE])
     held = None
     if open_alerts is not None:
         # At most one alert of a type is open: one small row per patient.
@@ -82,9 +89,10 @@ def alert_changes(closed_windows: DataFrame, open_alerts: DataFrame | None = Non
         rows = open_alerts.where("resolved_at IS NULL").groupBy("patient_id").agg(alerts)
         held = rows.groupBy("patient_id")
     return (
-        closed_windows.select("patient_id", "window_start", "window_end", "anomaly_flags")
+        closed_windows.select("patient_id", *times.values(), flags)
         .groupBy("patient_id")
-        .transformWithState(_processor(), CHANGE, "Append", "none", initialState=held)
+        .transformWithState(_processor(), made, "Append", "none", initialState=held)
+        .select(*[F.timestamp_micros(f.name).alias(f.name) if isinstance(f.dataType, T.TimestampType) else f.name for f in CHANGE])
     )
 
 

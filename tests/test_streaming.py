@@ -129,6 +129,14 @@ def test_archive_can_keep_late_rows(spark, tmp_path):
     assert dedupe_readings(archived).count() == 3
 
 
+def test_alert_state_gets_numbers_and_text(spark, tmp_path):
+    land(tmp_path / "in", "0", [event("a", 0)])
+    changes = alert_state.alert_changes(speed.stream_windows(source(spark, tmp_path / "in")))
+    plan = changes._jdf.queryExecution().analyzed().toString()
+    assert changes.schema == alert_state.CHANGE
+    assert "unix_micros" in plan and "array_join" in plan
+
+
 def test_alert_state_follows_closed_windows(spark, tmp_path):
     folder = tmp_path / "in"
     land(folder, "0", [event("a", 0, heart_rate=130.0), event("b", 6, heart_rate=130.0), event("z", 6, "P2", spo2=80)])
