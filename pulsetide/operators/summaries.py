@@ -52,7 +52,10 @@ def _dated(labs: DataFrame) -> DataFrame:
 
 
 def lab_counts(labs: DataFrame) -> DataFrame:
-    """Results and abnormal results per patient and day."""
+    """Results and abnormal results per patient and day, of results or of those counted by day (``lab_results_by_day``)."""
+    if "times" in labs.columns:
+        abnormal = F.sum(F.when(F.col("is_abnormal"), F.col("times")).otherwise(0))
+        return labs.groupBy(*DAY_KEY).agg(F.sum("times").alias("result_count"), abnormal.alias("abnormal_count"))
     return (
         _dated(labs)
         .groupBy(*DAY_KEY)

@@ -33,10 +33,12 @@ def risk_scores(
 ) -> DataFrame:
     """Scores of every patient-day from first to last, without the lists of results.
 
-    Several days cost one plan, not one run each: the date is part of every key.
+    Several days cost one plan, not one run each: the date is part of every key. ``labs``
+    are single results, or those counted by day (``lab_results_by_day``).
     """
     vitals = daily_vitals(on_days(readings, "timestamp", first, last))
-    counts = lab_counts(on_days(labs, "collected_at", first, last))
+    dated = labs.where(F.col("report_date").between(first, last)) if "times" in labs.columns else on_days(labs, "collected_at", first, last)
+    counts = lab_counts(dated)
     return build_reports(vitals, counts, params.limits, params.risk)
 
 
@@ -126,11 +128,14 @@ def store_run(
     without them. They are rows beside the report, keyed by the result itself, whatever
     their number. A report row names the run it is from and has that run's results only: a
     run that has none for a patient leaves none, and one that fails midway changes nothing.
+    The counts of a report are taken from the stored results, so labs are read and parsed once.
     """
     results = lab_results_by_day(on_days(labs, "collected_at", first, last))
     run = results.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("report_date")
-    run.parquet(f"{_results_folder(target)}/run_version={version}")
-    store_reports(risk_reports(readings, labs, first, last, params), target, version)
+    folder = f"{_results_folder(target)}/run_version={version}"
+    run.parquet(folder)
+    counted = target.spark.read.schema(results.schema).parquet(folder)
+    store_reports(risk_reports(readings, counted, first, last, params), target, version)
 
 
 def store_reports(reports: DataFrame, target: KeyedTable, version: int) -> None:

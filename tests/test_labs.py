@@ -16,6 +16,7 @@ from pulsetide.operators.summaries import (
     build_reports,
     daily_vitals,
     lab_counts,
+    lab_results_by_day,
     lab_test_pages,
     nest_summaries,
     summarize_labs,
@@ -269,6 +270,19 @@ def test_stored_report_keeps_every_result(spark, tmp_path):
     assert json.loads(stored.lab_summary)["result_count"] == 400
 
 
+def test_counts_of_results_counted_by_day(spark):
+    labs = typed_labs(spark, [("P001", 12), ("P001", 12), ("P001", 5), ("P002", 5)])
+    labs = labs.unionByName(labs.withColumns({"is_abnormal": F.lit(None).cast("boolean"), "patient_id": F.lit(None).cast("string")}))
+    assert sorted(map(tuple, lab_counts(lab_results_by_day(labs)).collect()), key=str) == sorted(map(tuple, lab_counts(labs).collect()), key=str)
+
+
+def test_a_stored_run_counts_its_stored_results(spark, tmp_path, monkeypatch):
+    read = []
+    monkeypatch.setattr(daily, "lab_counts", lambda labs: read.extend(labs.inputFiles()) or lab_counts(labs))
+    daily.store_run(readings(spark, {}), typed_labs(spark, [("P001", 12)]), DAY, DAY, report_table(spark, str(tmp_path / "report")), 1)
+    assert read and all("/results/run_version=1/" in name for name in read)
+
+
 def test_run_status(spark, tmp_path):
     clock = SimClock(real_start=utc(2026, 9, 30), sim_start=date(2026, 1, 1))
     at = lambda minute, hour=0: datetime(2026, 9, 30, hour, minute, tzinfo=timezone.utc)
