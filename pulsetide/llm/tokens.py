@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pulsetide.llm import files, words as w
+from pulsetide.llm.segments import Held, Known, encoded_together
 from pulsetide.session import shared_folder, store
 
 END = 2
@@ -35,6 +36,8 @@ CACHE = 2_000_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
+_UPPER = np.zeros(256, bool)
+_UPPER[65:91] = True
 _OTHER = np.zeros(256, bool)
 _OTHER[:128] = True
 _OTHER &= ~_LETTER & w.SPACED
@@ -44,7 +47,7 @@ _encoders: dict[str, "Encoder"] = w.worker_cache()
 
 
 class Encoder:
-    """A tokenizer file with the ids of the pieces met so far, by fingerprint."""
+    """A tokenizer file with the ids of the pieces met so far."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,52 +56,37 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.forget()
-
-    def forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        new = np.fromiter((i for ids in got for i in ids), np.uint32, int(size.sum()))
-        at = len(self.ids) + np.concatenate(([0], np.cumsum(size)[:-1]))
-        place = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, place, keys)
-        self.at = np.insert(self.at, place, at)
-        self.size = np.insert(self.size, place, size)
-        self.ids = np.concatenate((self.ids, new))
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.known = Known(CACHE, self._forget, self._learn)
+
+    def _forget(self) -> None:
+        self.held = Held()
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[bytes], solid: np.ndarray) -> None:
+        """Pieces of letters are encoded some in one string: white space parts them, and an id that closes a word tells where one ends."""
+        worded = [p.isalpha() or p.decode("utf-8", "replace").isalpha() for p in pieces]
+        worded = np.array(worded, bool) & self.closing.any()
+        self.held.add(*encoded_together(self._ids, pieces, worded, b" ", self.closing, last=True))
 
     def encode(self, texts: w.Texts, end: int = END) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents end to end, each closed by `end`, and their counts."""
         start, stop, first = pieces_of(texts)
-        plain = texts.data.copy()
-        high = np.concatenate(([0], np.cumsum(plain >= 128)))
+        plain = texts.data
         # Lower-casing is the vocabulary's own first step; doing it here for ASCII pieces makes fewer of them distinct.
-        upper = np.flatnonzero(_LETTER[plain] & (plain < 97))
+        upper = np.flatnonzero(_UPPER[plain])
         if len(upper):
-            piece = np.searchsorted(start, upper, "right") - 1
-            ascii_only = high[stop[piece]] == high[start[piece]]
-            plain[upper[ascii_only]] += 32
-        hashes, one, back = np.unique(w.span_hashes(plain, start, stop), return_index=True, return_inverse=True)
-        if len(self.keys) + len(hashes) > CACHE:
-            self.forget()
-        place = np.searchsorted(self.keys, hashes)
-        known = np.zeros(len(hashes), bool)
-        inside = place < len(self.keys)
-        known[inside] = self.keys[place[inside]] == hashes[inside]
-        new = one[~known]
-        if len(new):
-            raw = plain.tobytes()
-            self._learn(hashes[~known], [raw[s:e].decode("utf-8", "replace") for s, e in zip(start[new], stop[new])])
-            place = np.searchsorted(self.keys, hashes)
-        place = place[back]
-        size = self.size[place]
-        sums = np.concatenate(([0], np.cumsum(size)))
-        flat = self.ids[np.repeat(self.at[place] - sums[:-1], size) + np.arange(sums[-1])]
+            mixed = np.zeros(len(start), bool)
+            mixed[np.searchsorted(start, np.flatnonzero(plain >= 128), "right") - 1] = True
+            upper = upper[~mixed[np.searchsorted(start, upper, "right") - 1]]
+            plain = plain.copy()
+            plain[upper] += 32
+        flat, sums = self.held.take(self.known.places(plain, start, stop))
         bounds = sums[first]
         counts = np.diff(bounds)
         whole = [i for i in range(len(texts)) if self._special(texts, i)] if self._any_special(texts) else []
@@ -122,14 +110,14 @@ class Encoder:
 
 def pieces_of(texts: w.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each piece, and of document i the pieces first[i]:first[i + 1]."""
-    words = w.words_of(texts)
-    data = texts.data
-    letter, other = _LETTER[data], _OTHER[data]
-    cut = np.flatnonzero((letter[:-1] & other[1:]) | (other[:-1] & letter[1:])) + 1
-    # A cut at a document's border is one of its words' starts already.
-    cut = cut[~np.isin(cut, texts.offsets, assume_unique=False)] if len(cut) else cut
-    start = np.sort(np.concatenate((words.start, cut)))
-    stop = np.sort(np.concatenate((words.end, cut)))
+    data, n = texts.data, len(texts.data)
+    inside, letter, other = w.SPACED[data], _LETTER[data], _OTHER[data]
+    # Whether a piece may not go on over each byte's start.
+    cut = np.zeros(n + 1, bool)
+    cut[1:-1] = (letter[:-1] & other[1:]) | (other[:-1] & letter[1:]) | ~(inside[:-1] & inside[1:])
+    cut[texts.offsets] = True
+    start = np.flatnonzero(inside & cut[:-1])
+    stop = np.flatnonzero(inside & cut[1:]) + 1
     return start, stop, np.searchsorted(start, texts.offsets)
 
 
