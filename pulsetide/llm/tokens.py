@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pulsetide.llm import files, words as w
 from pulsetide.llm.segments import Held, Known, encoded_together
-from pulsetide.session import shared_folder, store
+from pulsetide.session import batches_of, shared_folder, store
 
 END = 2
 NO_ID = -(1 << 63)
-#: Distinct pieces that a worker remembers (about 25 bytes each).
+#: Distinct pieces that a worker remembers (about 40 bytes each).
 CACHE = 2_000_000
+#: Bytes of text that are worked on at once (which takes some forty times as much), and rows that a worker gets at once.
+SLICE_BYTES, BATCH_ROWS = 1 << 18, 1_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -124,6 +126,7 @@ def pieces_of(texts: w.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+        w.give_back()
     return _encoders[path]
 
 
@@ -142,7 +145,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end: int = END)
         name = f"{folder}/shard-{TaskContext.get().partitionId():06d}"
         ids, counts, n = [], [], 0
         with files.Writing(f"{name}.ids") as out:
-            for batch, texts in w.batches(rows):
+            for batch, texts in w.batches(rows, most=SLICE_BYTES):
                 flat, sizes = tokenizer.encode(texts, end)
                 out.write(flat.astype(tokenizer.width).tobytes())
                 counts.append(sizes)
@@ -161,7 +164,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end: int = END)
 
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     shards = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    written = store(shards.mapInArrow(write, "shard long, name string, kind string, n_docs long, n_ids long"), f"{folder}/shards")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        written = store(shards.mapInArrow(write, "shard long, name string, kind string, n_docs long, n_ids long"), f"{folder}/shards")
     # One row per shard: their prefix sums are the shards' bases.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     based = written.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))

@@ -12,6 +12,7 @@ powers, then mixed. Two different words or windows agree by chance only
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -65,6 +66,13 @@ def keep_only(*mine: dict) -> None:
     for base in [b for b, have in _powers.items() if len(have) > SLICE_BYTES]:
         del _powers[base]
     pa.default_memory_pool().release_unused()
+    give_back()
+
+
+def give_back() -> None:
+    """What numpy and tokenizers freed stays with the process until the allocator is told to return it."""
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 _powers: dict[int, np.ndarray] = {}
