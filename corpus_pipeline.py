@@ -15,21 +15,26 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from pulsetide.llm import decontaminate, langid, mix, near_dup, tokens  # noqa: E402
 from pulsetide.llm.queries import VOCABULARY, table  # noqa: E402
-from pulsetide.session import shared_folder, store  # noqa: E402
+from pulsetide.session import batches_of, shared_folder, store, use_batches_of  # noqa: E402
 
 #: A text whose language scores less is rejected like one of no language.
 LEAST_SCORE = 0.3
+#: Documents that a Python task gets at once. A stage leaves the session so: its rows are computed when they are written.
+BATCH_ROWS = 1_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_batches_of(spark, BATCH_ROWS)
     return langid.known_documents(docs, LEAST_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_batches_of(spark, BATCH_ROWS)
     return near_dup.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_batches_of(spark, BATCH_ROWS)
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -57,6 +62,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each one's rows written before the next reads them."""
     folder = shared_folder(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), f"{folder}/{name}")
+    with batches_of(spark, BATCH_ROWS):
+        for name, stage in STAGES:
+            docs = store(stage(spark, docs, sf_dir), f"{folder}/{name}")
     return docs

@@ -56,17 +56,26 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def use_batches_of(spark: SparkSession, rows: int) -> None:
+    """Python tasks get at most so many rows at once: the JVM and the worker hold a whole batch each."""
+    before = int(spark.conf.get(BATCH))
+    # Zero and less stand for no bound.
+    if not 0 < before <= rows:
+        spark.conf.set(BATCH, rows)
+
+
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    """What runs inside sends Python tasks at most so many rows at once: the JVM and the worker hold a whole batch each."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = int(spark.conf.get(name))
-    # Zero and less stand for no bound.
-    spark.conf.set(name, min(rows, before) if before > 0 else rows)
+    """The same for what runs inside."""
+    before = spark.conf.get(BATCH)
+    use_batches_of(spark, rows)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(BATCH, before)
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
