@@ -21,6 +21,7 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from pulsetide.llm import files, words as w
 from pulsetide.llm.chars import Exceptions
-from pulsetide.llm.segments import Known, segments_of
+from pulsetide.llm.segments import Known, room, segments_of
 from pulsetide.session import shared_folder, store
 
 #: Distinct segments a worker remembers (about 150 bytes each), and distinct pairs a task counts before it sends them.
@@ -43,6 +44,7 @@ SCORED = 500_000
 ALIGNED = "doc_id {id}, n_a long, n_b long, n_groups long, n_links long, groups string, links binary"
 
 _aligners: dict[tuple[str, str], "Aligner"] = w.worker_cache()
+_PIECE = attrgetter("id", "begin", "end")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -85,6 +87,22 @@ def refined_ends(first: np.ndarray, last: np.ndarray, sizes: np.ndarray) -> np.n
     return cut + sums - np.where(settled >= 0, sums[settled], 0)
 
 
+class Digits:
+    """Numbers below n in decimal digits, as bytes."""
+
+    def __init__(self, n: int):
+        shown = np.array([str(i) for i in range(n)], bytes)
+        self.table = np.zeros((n, shown.itemsize + 1), np.uint8)
+        self.table[:, :-1] = shown.view(np.uint8).reshape(n, -1)
+        self.size = np.char.str_len(shown)
+
+    def closed(self, numbers: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A row of bytes for each number, with a byte behind its digits; and how many of them count."""
+        rows, size = self.table[numbers], self.size[numbers]
+        rows[np.arange(len(rows)), size] = by
+        return rows, size + 1
+
+
 @dataclass
 class Spans:
     """Tokens of one text: ids and ends in bytes; whether their bytes are the text's."""
@@ -109,6 +127,7 @@ class Aligner:
         self.sizes_a, self.sizes_b = (np.array([len(x) for x in e], np.int64) for e in (self.entries_a, self.entries_b))
         self.apart = not any(" " in e.decode("utf-8", "replace").lstrip(" ") for e in self.entries_b)
         self.narrow = max(len(self.entries_a), len(self.entries_b)) <= 1 << 16
+        self.digits = Digits(max(len(self.entries_a), len(self.entries_b)))
         self.known = Known(CACHE, self._forget, self._learn)
 
     def spans_a(self, text: str, raw: bytes) -> Spans:
@@ -122,41 +141,38 @@ class Aligner:
     def spans_b(self, text: str, raw: bytes) -> Spans:
         """The first character of the text is the space that the model sets itself."""
         pieces = self.b.encode(text[1:], return_type="proto").pieces
-        ids, first, last = np.array([x for p in pieces for x in (p.id, p.begin, p.end)], np.int64).reshape(-1, 3).T
+        ids, first, last = np.fromiter(chain.from_iterable(map(_PIECE, pieces)), np.int64, 3 * len(pieces)).reshape(-1, 3).T
         begins = first + 1
         begins[:1] = 0
         faithful = b"".join(map(self.entries_b.__getitem__, ids.tolist())) == raw
         return Spans(ids, refined_ends(begins, last + 1, self.sizes_b[ids]), faithful)
 
     def _forget(self) -> None:
+        self.n = self.n_links = 0
         self.groups: list[bytes] = []
         #: Of each segment: n_a, n_b, n_groups, n_links (-1: its bytes are not kept), and where its links start.
-        self.counts = np.zeros((0, 4), np.int64)
-        self.at = np.zeros(0, np.int64)
-        self.links = np.zeros(0, np.uint32 if self.narrow else np.uint64)
+        self.counts = np.zeros((1 << 12, 4), np.int64)
+        self.at = np.zeros(1 << 12, np.int64)
+        self.links = np.zeros(1 << 14, np.uint32 if self.narrow else np.uint64)
 
     def _learn(self, segments: list[bytes], solid: np.ndarray) -> None:
         """Segments that end in no white space are encoded end to end; if that fails, or they don't, one by one."""
-        counts = np.empty((len(segments), 4), np.int64)
-        strings: list[bytes] = [b""] * len(segments)
-        links: list[np.ndarray] = [self.links[:0]] * len(segments)
+        first, self.n = self.n, self.n + len(segments)
+        self.counts, self.at = room(self.counts, self.n), room(self.at, self.n)
+        self.groups += [b""] * len(segments)
         size, batch = 0, []
         for i, (raw, joins) in enumerate(zip(segments, solid.tolist())):
             if joins and self.apart and len(raw) < JOINED:
                 batch.append(i)
                 size += len(raw)
                 if size >= JOINED:
-                    self._align(segments, batch, counts, strings, links)
+                    self._align(segments, batch, first)
                     size, batch = 0, []
             else:
-                self._align(segments, [i], counts, strings, links)
-        self._align(segments, batch, counts, strings, links)
-        self.at = np.concatenate((self.at, len(self.links) + np.cumsum([0, *map(len, links)])[:-1]))
-        self.links = np.concatenate((self.links, *links))
-        self.counts = np.concatenate((self.counts, counts))
-        self.groups += strings
-
-    def _align(self, segments: list[bytes], which: list[int], counts: np.ndarray, strings: list[bytes], links: list[np.ndarray]) -> None:
+                self._align(segments, [i], first)
+        self._align(segments, batch, first)
+
+    def _align(self, segments: list[bytes], which: list[int], first: int) -> None:
         if not which:
             return
         raw = b"".join([segments[i] for i in which])
@@ -164,31 +180,44 @@ class Aligner:
         a, b = self.spans_a(text, raw), self.spans_b(text, raw)
         if not (a.faithful and b.faithful):
             if len(which) == 1:
-                counts[which[0]] = (0, 0, 0, -1)
+                self.counts[first + which[0]] = (0, 0, 0, -1)
             else:
                 for i in which:
-                    self._align(segments, [i], counts, strings, links)
+                    self._align(segments, [i], first)
             return
         ends = np.sort(np.concatenate((a.ends, b.ends)), kind="stable")
         ends = ends[np.diff(ends, prepend=0) > 0]
         in_a, in_b = np.searchsorted(a.ends, ends), np.searchsorted(b.ends, ends)
-        codes = ((a.ids[in_a] << (16 if self.narrow else 32)) | b.ids[in_b]).astype(self.links.dtype)
         common = np.flatnonzero((a.ends[in_a] == ends) & (b.ends[in_b] == ends))
         # A group ends at each common end: its last token of either kind.
         last_a, last_b = in_a[common] + 1, in_b[common] + 1
-        first_a, first_b = np.append(0, last_a[:-1]), np.append(0, last_b[:-1])
-        rendered = [f"{i}|{j}" for i, j in zip(a.ids[first_a].tolist(), b.ids[first_b].tolist())]
-        for g in np.flatnonzero((last_a - first_a > 1) | (last_b - first_b > 1)).tolist():
-            one, two = a.ids[first_a[g] : last_a[g]].tolist(), b.ids[first_b[g] : last_b[g]].tolist()
-            rendered[g] = f"{','.join(map(str, one))}|{','.join(map(str, two))}"
+        shown, shown_to = self._shown(a.ids[: last_a[-1]], b.ids[: last_b[-1]], last_a, last_b)
         bounds = np.cumsum([len(segments[i]) for i in which])
         places = [np.searchsorted(e, bounds, "right") for e in (a.ends, b.ends, ends[common], ends)]
         ends_at = np.stack(places, axis=1)
         starts_at = np.concatenate((np.zeros((1, 4), np.int64), ends_at[:-1]))
-        counts[which] = ends_at - starts_at
-        for i, (_, _, g, x), (_, _, h, y) in zip(which, starts_at.tolist(), ends_at.tolist()):
-            strings[i] = ";".join(rendered[g:h]).encode()
-            links[i] = codes[x:y]
+        at = first + np.array(which)
+        self.counts[at] = ends_at - starts_at
+        self.at[at] = self.n_links + starts_at[:, 3]
+        self.links = room(self.links, self.n_links + len(ends))
+        self.links[self.n_links : self.n_links + len(ends)] = (a.ids[in_a] << (16 if self.narrow else 32)) | b.ids[in_b]
+        self.n_links += len(ends)
+        stop = shown_to[ends_at[:, 2]]
+        for i, lo, hi in zip(at.tolist(), [0, *stop[:-1].tolist()], stop.tolist()):
+            # Without the byte that parts the groups of one segment from those of the next.
+            self.groups[i] = shown[lo : hi - 1]
+
+    def _shown(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Groups in order as 'a1,a2|b1;', given where the ids of each one end; and where in that each starts, and the end."""
+        rows, size = np.zeros((len(a) + len(b), self.digits.table.shape[1]), np.uint8), np.zeros(len(a) + len(b), np.int64)
+        for ids, last, others, close in ((a, last_a, np.append(0, last_b), b"|"), (b, last_b, np.append(last_a, 0), b";")):
+            by = np.full(len(ids), ord(","), np.uint8)
+            by[last - 1] = ord(close)
+            # A group's ids of A stand behind those of B in the groups before, its ids of B behind its own of A.
+            at = np.arange(len(ids)) + np.repeat(others[: len(last)], np.diff(last, prepend=0))
+            rows[at], size[at] = self.digits.closed(ids, by)
+        sums = np.append(0, np.cumsum(size))
+        return rows[np.arange(rows.shape[1]) < size[:, None]].tobytes(), sums[np.append(0, last_a + last_b)]
 
     def align(self, texts: w.Texts) -> tuple[np.ndarray, list[bytes], np.ndarray]:
         """Per document: n_a, n_b, n_groups, n_links and the groups; and the links of all documents end to end."""

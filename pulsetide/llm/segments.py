@@ -182,7 +182,7 @@ def room(values: np.ndarray, n: int) -> np.ndarray:
     """The values with room for n, a quarter more than they need."""
     if n <= len(values):
         return values
-    out = np.zeros(n + n // 4, values.dtype)
+    out = np.zeros((n + n // 4, *values.shape[1:]), values.dtype)
     out[: len(values)] = values
     return out
 
