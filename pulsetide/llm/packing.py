@@ -33,6 +33,8 @@ K1, B = 1.2, 0.75
 COMMON = 0.1
 #: Share of a shard's indexed documents still unused, below which the others leave the index.
 KEEP = 0.75
+#: Neighbours of a seed that are put in order before the others.
+NEAREST = 32
 #: Documents, each of less than a window, that one shard of the index holds, and that one partition holds in the mean.
 SHARD_DOCS, PARTITION_DOCS = 1_000, 16_000
 #: Distinct segments a worker remembers.
@@ -73,7 +75,10 @@ class Encoder:
 
     def _learn(self, segments: list[bytes], solid: np.ndarray) -> None:
         """Words behind one space are encoded some in one string, as they stand in texts: an id that opens with a space tells where one begins."""
-        spaced = np.array([s.rfind(b" ") for s in segments]) == 0
+        raw, size = np.frombuffer(b"".join(segments), np.uint8), np.fromiter(map(len, segments), np.int64, len(segments))
+        stop = np.cumsum(size)
+        spaces = np.diff(np.searchsorted(np.flatnonzero(raw == 32), stop), prepend=0)
+        spaced = (raw[stop - size] == 32) & (spaces == 1)
         self.held.add(*encoded_together(self._ids, segments, spaced & solid, b"", self.opening, last=False))
 
     def encode(self, texts: w.Texts, end: int) -> list[np.ndarray]:
@@ -258,6 +263,15 @@ class Index:
         return np.bincount(self.docs[postings], self.weights[postings], len(self.left)) + self.full[row[row >= 0]].sum(axis=0)
 
 
+def _best_first(scores: np.ndarray) -> Iterator[int]:
+    """Places by falling score, equal ones in their order. The NEAREST are sorted first, as a window seldom takes more."""
+    least = np.partition(scores, -NEAREST)[-NEAREST] if len(scores) > NEAREST else -np.inf
+    near = scores >= least
+    for some in (near, ~near):
+        at = np.flatnonzero(some)
+        yield from at[np.argsort(-scores[at], kind="stable")].tolist()
+
+
 class _Packer:
     """Fills windows from one shard after the other; only an open window goes from shard to shard."""
 
@@ -307,7 +321,8 @@ class _Packer:
         """Fill the open window with the best unused documents; the one cut there, if any, seeds the next."""
         held = unused[index.left]
         left = index.left[held]
-        for doc in left[np.argsort(-index.scores(seed)[held], kind="stable")].tolist():
+        for place in _best_first(index.scores(seed)[held]):
+            doc = int(left[place])
             unused[doc] = False
             start = self.add(docs[doc], 0)
             if not self.filled:
