@@ -246,6 +246,8 @@ def _whole(texts: w.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
+    """The worker's own, which its tasks share; what other operators left goes."""
+    w.keep_only(_aligners)
     if (path_a, path_b) not in _aligners:
         _aligners[path_a, path_b] = Aligner(path_a, path_b)
     return _aligners[path_a, path_b]
@@ -258,7 +260,6 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, folder: str) -> DataFrame
     """
 
     def rows_of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w.keep_only(_aligners)
         tool = aligner(path_a, path_b)
         for batch, texts in w.batches(rows, most=SLICE):
             per, groups, flat = tool.align(texts)

@@ -99,6 +99,8 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
+    """The worker's own, which its tasks share; what other operators left goes."""
+    w.keep_only(_encoders)
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -114,7 +116,6 @@ def encoded(docs: DataFrame, vocabulary: str, folder: str, window: int, end: int
     """
 
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w.keep_only(_encoders)
         part = TaskContext.get().partitionId()
         base = own = 0
         tool, found = encoder(vocabulary), np.zeros(0, np.int64)

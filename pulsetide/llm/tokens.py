@@ -124,6 +124,8 @@ def pieces_of(texts: w.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def encoder(path: str) -> Encoder:
+    """The worker's own, which its tasks share; what other operators left goes."""
+    w.keep_only(_encoders)
     if path not in _encoders:
         _encoders[path] = Encoder(path)
         w.give_back()
@@ -140,7 +142,6 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end: int = END)
     files.make_folder(folder)
 
     def write(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w.keep_only(_encoders)
         tokenizer = encoder(vocabulary)
         name = f"{folder}/shard-{TaskContext.get().partitionId():06d}"
         ids, counts, n = [], [], 0

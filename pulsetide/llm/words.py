@@ -13,6 +13,7 @@ powers, then mixed. Two different words or windows agree by chance only
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -59,10 +60,17 @@ def worker_cache() -> dict:
 
 
 def keep_only(*mine: dict) -> None:
-    """Drop what other operators left in this worker: Spark uses a worker again for the next stage."""
-    for cache in _worker_caches:
-        if not any(cache is own for own in mine):
-            cache.clear()
+    """Drop what other operators left in this worker: Spark uses a worker again for the next stage.
+
+    A function made for a task is sent with copies of the dicts it names, so one that names its
+    cache here drops that too: functions of modules, which are not sent but imported, call this.
+    """
+    left = [cache for cache in _worker_caches if cache and not any(cache is own for own in mine)]
+    for cache in left:
+        cache.clear()
+    if left:
+        # What lay in them refers to itself, and Python doesn't see how large a tokenizer is.
+        gc.collect()
     for base in [b for b, have in _powers.items() if len(have) > SLICE_BYTES]:
         del _powers[base]
     pa.default_memory_pool().release_unused()
