@@ -10,6 +10,7 @@ whole or not at all and hold the same bytes when a lost task runs again.
 from __future__ import annotations
 
 import io
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,37 +28,76 @@ PART_VALUES = 2_000_000
 SENT = "part long, run long, payload binary"
 
 
+def _blob(rows: list[pa.RecordBatch]) -> bytes:
+    table = pa.Table.from_batches(rows)
+    out = io.BytesIO()
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table.combine_chunks())
+    return out.getvalue()
+
+
+def _blobs(rows: Iterator[pa.RecordBatch], run_bytes: int) -> Iterator[tuple[int, bytes]]:
+    """(run, blob) of a task's documents."""
+    base, seq, held, size = TaskContext.get().partitionId() << 24, 0, [], 0
+    for batch, texts in w.batches(rows, "text"):
+        if held and size + len(texts.data) > run_bytes:
+            yield base + seq, _blob(held)
+            seq, held, size = seq + 1, [], 0
+        held.append(pa.RecordBatch.from_arrays([batch.column("doc_id"), w.column(batch.column("text"))], names=["doc_id", "text"]))
+        size += len(texts.data)
+    if held:
+        yield base + seq, _blob(held)
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def pack(docs: DataFrame, folder: str, run_bytes: int = RUN_BYTES) -> DataFrame:
     """Stored rows (run, blob): doc_id and text (null as empty) of whole documents, at most `run_bytes` or one document."""
 
-    def blob(rows: list[pa.RecordBatch]) -> bytes:
-        table = pa.Table.from_batches(rows)
-        out = io.BytesIO()
-        with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-            writer.write_table(table.combine_chunks())
-        return out.getvalue()
+    def packed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run, blob in _blobs(rows, run_bytes):
+            yield pa.RecordBatch.from_pydict({"run": [run], "blob": [blob]})
+
+    return store(_documents(docs).mapInArrow(packed, "run long, blob binary"), f"{folder}/runs")
+
+
+def pack_files(docs: DataFrame, folder: str, run_bytes: int = RUN_BYTES) -> DataFrame:
+    """The same with a run's blob in a file of its own, so that passes over runs move nothing of it through the JVM.
+
+    Stored rows (run, file, n_bytes). A file's name is its task attempt's, so a run's is the one of the attempt that counts.
+    """
+    files.make_folder(f"{folder}/blobs")
 
     def packed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, seq, held, size = TaskContext.get().partitionId() << 24, 0, [], 0
-        for batch, texts in w.batches(rows, "text"):
-            if held and size + len(texts.data) > run_bytes:
-                yield pa.RecordBatch.from_pydict({"run": [base + seq], "blob": [blob(held)]})
-                seq, held, size = seq + 1, [], 0
-            held.append(pa.RecordBatch.from_arrays([batch.column("doc_id"), w.column(batch.column("text"))], names=["doc_id", "text"]))
-            size += len(texts.data)
-        if held:
-            yield pa.RecordBatch.from_pydict({"run": [base + seq], "blob": [blob(held)]})
+        attempt = uuid.uuid4().hex
+        for run, blob in _blobs(rows, run_bytes):
+            uri = f"{folder}/blobs/{run}-{attempt}"
+            with files.Writing(uri) as out:
+                out.write(blob)
+            yield pa.RecordBatch.from_pydict({"run": [run], "file": [uri], "n_bytes": [len(blob)]})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return store(rows.mapInArrow(packed, "run long, blob binary"), f"{folder}/runs")
+    return store(_documents(docs).mapInArrow(packed, "run long, file string, n_bytes long"), f"{folder}/runs")
 
 
 def opened(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array, w.Texts]]:
     """(run, doc_ids, texts) of each run."""
     for batch in rows:
         for run, raw in zip(batch.column("run").to_pylist(), batch.column("blob")):
-            table = pa.ipc.open_stream(pa.BufferReader(raw.as_buffer())).read_all().combine_chunks()
-            yield run, table["doc_id"].combine_chunks(), w.texts_of(table["text"].cast(pa.large_string(), safe=False))
+            yield run, *_parts(raw.as_buffer())
+
+
+def opened_files(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array, w.Texts]]:
+    """The same of runs in files."""
+    for batch in rows:
+        for run, uri in zip(batch.column("run").to_pylist(), batch.column("file").to_pylist()):
+            yield run, *_parts(pa.py_buffer(files.whole(uri)))
+
+
+def _parts(raw: pa.Buffer) -> tuple[pa.Array, w.Texts]:
+    table = pa.ipc.open_stream(pa.BufferReader(raw)).read_all().combine_chunks()
+    return table["doc_id"].combine_chunks(), w.texts_of(table["text"].cast(pa.large_string(), safe=False))
 
 
 def save(uri: str, **arrays: np.ndarray) -> None:

@@ -31,13 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pulsetide.llm import files, runs as r, words as w
-from pulsetide.session import shared_folder, store
+from pulsetide.session import batches_of, shared_folder, store
 
 LENGTH = 200
 GRAM = 40
 FILTER_BITS = 40
 #: Text whose windows are looked at at once (some ten numbers a byte).
-ANCHOR_BYTES = 1 << 20
+ANCHOR_BYTES = 1 << 18
+#: Documents that a task which packs them gets at once, and runs that a task of a pass takes.
+BATCH_ROWS = 1_000
+RUNS_A_TASK = 4
 #: Suffixes that one part merges.
 PART_SUFFIXES = 100_000
 #: Distinct contexts up to which a group is compared pair by pair; larger ones by classes per distance.
@@ -266,6 +269,7 @@ def joined(found: Intervals) -> Intervals:
 
 def _merge_part(length: int):
     def merged(table: pa.Table) -> pa.Table:
+        w.keep_only()
         got = [front_decode(x) for x in table["payload"].to_pylist()]
         order, lcp, many, where = [], [], [], []
         for i, at, h in merge([(rows, shares) for rows, shares, _ in got]):
@@ -309,10 +313,12 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, folder: str | None = N
     are not read. `length` is at least 2 * GRAM.
     """
     folder = folder or shared_folder(docs.sparkSession, "suffixes")
-    packed = r.pack(docs, folder)
-    for name in ("anchors", "sorted"):
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        packed = r.pack_files(docs, folder)
+    for name in ("anchors", "places", "sorted"):
         files.make_folder(f"{folder}/{name}")
-    total = packed.agg(F.sum(F.length("blob"))).first()[0] or 0
+    total, n_runs = packed.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)), F.count("*")).first()
+    packed = packed.repartition(max(1, -(-int(n_runs) // RUNS_A_TASK)))
     parts = max(1, -(-int(total) // (40 * r.PART_VALUES)))
     r.exchange(packed.mapInArrow(_send_grams(folder, parts, length), r.SENT), f"{folder}/grams")
     # Bounds of the parts: quantiles of a sample's first bytes, merged from sketches.
@@ -328,7 +334,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, folder: str | None = N
             cuts = each.agg(F.percentile_approx("p", at, 20 * parts + 100)).first()[0]
         bounds = sorted(set(cuts))
         hot = [p for p in bounds if cuts.count(p) > 1]
-        runs = sampled.where("n > 0").select("run")
+        runs = sampled.where("n > 0").select("run").repartition(max(1, -(-int(n_runs) // RUNS_A_TASK)))
         r.exchange(runs.mapInArrow(_send_sorted(folder, bounds, hot), r.SENT), f"{folder}/verdicts", _merge_part(length))
         if hot:
             files.make_folder(f"{folder}/hot")
@@ -342,9 +348,11 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, folder: str | None = N
 
 def _send_grams(folder: str, parts: int, length: int):
     def send(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run, _, texts in r.opened(rows):
+        w.keep_only()
+        for run, _, texts in r.opened_files(rows):
             anchor, first, last, grams = anchors_of(texts, length)
-            values, back, n = np.unique(grams >> np.uint64(64 - FILTER_BITS), return_inverse=True, return_counts=True)
+            # An anchor's fingerprint is the least of many: mixed again, the parts, cut by range, get as much each.
+            values, back, n = np.unique(w.mix(grams) >> np.uint64(64 - FILTER_BITS), return_inverse=True, return_counts=True)
             r.save(f"{folder}/anchors/{run}", anchor=anchor, first=first, last=last, back=back.astype(np.uint32), n=np.array([len(values)]))
             yield r.send_values(run, values, None, n > 1, FILTER_BITS, parts)
 
@@ -353,25 +361,23 @@ def _send_grams(folder: str, parts: int, length: int):
 
 def _sort_run(folder: str, length: int):
     def sort(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run, _, texts in r.opened(rows):
+        w.keep_only()
+        for run, _, texts in r.opened_files(rows):
             got = r.load(f"{folder}/anchors/{run}")
             twice = np.flatnonzero(r.answered(f"{folder}/grams", run, int(got["n"][0]))[got["back"]])
             anchor, first, last = got["anchor"][twice], got["first"][twice], got["last"][twice]
             keys = contexts(texts.data.tobytes(), anchor, first, last, length)
-            count: dict[tuple[bytes, bytes], int] = {}
-            for key in keys:
-                count[key] = count.get(key, 0) + 1
-            order = sorted(count)
+            order = sorted(set(keys))
             index = {key: i for i, key in enumerate(order)}
-            coded = [order[i : i + 50_000] for i in range(0, len(order), 50_000)]
-            blobs = [front_code(x, [count[key] > 1 for key in x]) for x in coded]
+            back = np.array([index[key] for key in keys], np.int64)
+            del keys, index
+            many = (np.bincount(back, minlength=len(order)) > 1).tolist()
+            blobs = [front_code(order[i : i + 10_000], many[i : i + 10_000]) for i in range(0, len(order), 10_000)]
+            r.save(f"{folder}/places/{run}", anchor=anchor, back=back, n=np.array([len(order)]))
             r.save(
                 f"{folder}/sorted/{run}",
-                anchor=anchor,
-                back=np.array([index[key] for key in keys], np.int64),
                 size=np.array([len(b) for b in blobs], np.int64),
                 blobs=np.frombuffer(b"".join(blobs), np.uint8),
-                n=np.array([len(order)]),
             )
             some = [_prefix(x) for x in order[:: max(1, len(order) // 200)]]
             yield pa.RecordBatch.from_pydict({"run": [run], "n": [len(order)], "prefixes": [some]}, schema=_SAMPLE)
@@ -398,6 +404,7 @@ def _sorted(folder: str, run: int) -> tuple[list[tuple[bytes, bytes]], list[bool
 
 def _send_sorted(folder: str, bounds: list[int], hot: list[int]):
     def send(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w.keep_only()
         for batch in rows:
             for run in batch.column("run").to_pylist():
                 order, many = _sorted(folder, run)
@@ -432,6 +439,7 @@ def window_values(rows: list[tuple[bytes, bytes]], length: int) -> tuple[np.ndar
 
 def _send_windows(folder: str, hot: list[int], parts: int, length: int):
     def send(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w.keep_only()
         for batch in rows:
             for run in batch.column("run").to_pylist():
                 order, many = _sorted(folder, run)
@@ -471,7 +479,7 @@ def _hot_verdicts(folder: str, run: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def _covered(folder: str, run: int, n: int, length: int, some_hot: bool) -> np.ndarray:
     """Which bytes of a run go."""
-    got = r.load(f"{folder}/sorted/{run}")
+    got = r.load(f"{folder}/places/{run}")
     if not int(got["n"][0]):
         return np.zeros(n, bool)
     # Hot suffixes first, then those of the order.
@@ -493,13 +501,26 @@ def _covered(folder: str, run: int, n: int, length: int, some_hot: bool) -> np.n
     mine = count[got["back"]]
     which = np.repeat(start[got["back"]] - (np.cumsum(mine) - mine), mine) + np.arange(int(mine.sum()))
     anchor = np.repeat(got["anchor"], mine)
-    lo, hi = anchor - pair[which, 1], anchor - pair[which, 0] + length
-    return np.cumsum(np.bincount(lo, minlength=n + 1) - np.bincount(hi, minlength=n + 1))[:n] > 0
+    return _marked(n, anchor - pair[which, 1], anchor - pair[which, 0] + length)
+
+
+def _marked(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Which of n bytes lie in a stretch lo[i]:hi[i], none of them empty."""
+    order = np.argsort(lo, kind="stable")
+    lo, hi = lo[order], np.maximum.accumulate(hi[order])
+    # Stretches that meet are one: a byte begins or ends one at most, so that a byte of memory counts for it.
+    new = np.ones(len(lo) + 1, bool)
+    new[1:-1] = lo[1:] > hi[:-1]
+    edge = np.zeros(n + 1, np.int8)
+    edge[lo[new[:-1]]] = 1
+    edge[hi[new[1:]]] = -1
+    return np.cumsum(edge[:n], dtype=np.int8).view(bool)
 
 
 def _remover(folder: str, length: int, some_hot: bool):
     def remove(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run, ids, texts in r.opened(rows):
+        w.keep_only()
+        for run, ids, texts in r.opened_files(rows):
             gone = _covered(folder, run, len(texts.data), length, some_hot)
             for lo, hi, part in w.slices(texts):
                 base = texts.offsets[lo]
