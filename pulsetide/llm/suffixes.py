@@ -315,7 +315,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, folder: str | None = N
     folder = folder or shared_folder(docs.sparkSession, "suffixes")
     with batches_of(docs.sparkSession, BATCH_ROWS):
         packed = r.pack_files(docs, folder)
-    for name in ("anchors", "places", "sorted"):
+    for name in ("anchors", "sorted"):
         files.make_folder(f"{folder}/{name}")
     total, n_runs = packed.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)), F.count("*")).first()
     packed = packed.repartition(max(1, -(-int(n_runs) // RUNS_A_TASK)))
@@ -334,13 +334,12 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, folder: str | None = N
             cuts = each.agg(F.percentile_approx("p", at, 20 * parts + 100)).first()[0]
         bounds = sorted(set(cuts))
         hot = [p for p in bounds if cuts.count(p) > 1]
-        runs = sampled.where("n > 0").select("run").repartition(max(1, -(-int(n_runs) // RUNS_A_TASK)))
-        r.exchange(runs.mapInArrow(_send_sorted(folder, bounds, hot), r.SENT), f"{folder}/verdicts", _merge_part(length))
+        r.exchange(packed.mapInArrow(_send_sorted(folder, bounds, hot, length), r.SENT), f"{folder}/verdicts", _merge_part(length))
         if hot:
             files.make_folder(f"{folder}/hot")
             rows = sum(cuts.count(p) + 1 for p in hot) * PART_SUFFIXES
             several = max(1, -(-rows * (length - GRAM + 1) // r.PART_VALUES))
-            r.exchange(runs.mapInArrow(_send_windows(folder, hot, several, length), r.SENT), f"{folder}/windows")
+            r.exchange(packed.mapInArrow(_send_windows(folder, hot, several, length), r.SENT), f"{folder}/windows")
     return packed.mapInArrow(
         _remover(folder, length, bool(hot)), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
@@ -371,13 +370,18 @@ def _sort_run(folder: str, length: int):
             index = {key: i for i, key in enumerate(order)}
             back = np.array([index[key] for key in keys], np.int64)
             del keys, index
-            many = (np.bincount(back, minlength=len(order)) > 1).tolist()
-            blobs = [front_code(order[i : i + 10_000], many[i : i + 10_000]) for i in range(0, len(order), 10_000)]
-            r.save(f"{folder}/places/{run}", anchor=anchor, back=back, n=np.array([len(order)]))
+            # Of each suffix in order one anchor that has it; its bytes stay in the text.
+            one = np.empty(len(order), np.int64)
+            one[back] = np.arange(len(back))
             r.save(
                 f"{folder}/sorted/{run}",
-                size=np.array([len(b) for b in blobs], np.int64),
-                blobs=np.frombuffer(b"".join(blobs), np.uint8),
+                anchor=anchor,
+                back=back.astype(np.uint32),
+                one=one.astype(np.uint32),
+                left=(anchor - first)[one].astype(np.int32),
+                right=(last - anchor)[one].astype(np.int32),
+                many=np.packbits(np.bincount(back, minlength=len(order)) > 1),
+                n=np.array([len(order)]),
             )
             some = [_prefix(x) for x in order[:: max(1, len(order) // 200)]]
             yield pa.RecordBatch.from_pydict({"run": [run], "n": [len(order)], "prefixes": [some]}, schema=_SAMPLE)
@@ -389,37 +393,33 @@ _SAMPLE = pa.schema([("run", pa.int64()), ("n", pa.int64()), ("prefixes", pa.lis
 _SENT = pa.schema([("part", pa.int64()), ("run", pa.int64()), ("payload", pa.binary())])
 
 
-def _sorted(folder: str, run: int) -> tuple[list[tuple[bytes, bytes]], list[bool]]:
+def _sorted(folder: str, run: int, texts: w.Texts, length: int) -> tuple[list[tuple[bytes, bytes]], list[bool]]:
     """A run's (suffix, left) in order, and which are there more than once."""
     got = r.load(f"{folder}/sorted/{run}")
-    order, many, at = [], [], 0
-    raw = got["blobs"].tobytes()
-    for size in got["size"].tolist():
-        some, _, twice = front_decode(raw[at : at + size])
-        order += some
-        many += twice
-        at += size
-    return order, many
+    at = got["anchor"][got["one"]]
+    order = contexts(texts.data.tobytes(), at, at - got["left"], at + got["right"], length)
+    return order, np.unpackbits(got["many"], count=len(order)).astype(bool).tolist()
 
 
-def _send_sorted(folder: str, bounds: list[int], hot: list[int]):
+def _send_sorted(folder: str, bounds: list[int], hot: list[int], length: int):
     def send(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w.keep_only()
-        for batch in rows:
-            for run in batch.column("run").to_pylist():
-                order, many = _sorted(folder, run)
-                if hot:
-                    cold = [i for i, x in enumerate(order) if _prefix(x) not in hot]
-                    order, many = [order[i] for i in cold], [many[i] for i in cold]
-                part = np.searchsorted(bounds, [_prefix(x) for x in order], "right") if bounds else np.zeros(len(order), np.int64)
-                cut = np.searchsorted(part, np.arange(len(bounds) + 2))
-                out: dict[str, list] = {"part": [], "run": [], "payload": []}
-                for p, (lo, hi) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())):
-                    if lo < hi:
-                        out["part"].append(p)
-                        out["run"].append(run)
-                        out["payload"].append(front_code(order[lo:hi], many[lo:hi]))
-                yield pa.RecordBatch.from_pydict(out, schema=_SENT)
+        for run, _, texts in r.opened_files(rows):
+            order, many = _sorted(folder, run, texts, length)
+            if not order:
+                continue
+            if hot:
+                cold = [i for i, x in enumerate(order) if _prefix(x) not in hot]
+                order, many = [order[i] for i in cold], [many[i] for i in cold]
+            part = np.searchsorted(bounds, [_prefix(x) for x in order], "right") if bounds else np.zeros(len(order), np.int64)
+            cut = np.searchsorted(part, np.arange(len(bounds) + 2))
+            out: dict[str, list] = {"part": [], "run": [], "payload": []}
+            for p, (lo, hi) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())):
+                if lo < hi:
+                    out["part"].append(p)
+                    out["run"].append(run)
+                    out["payload"].append(front_code(order[lo:hi], many[lo:hi]))
+            yield pa.RecordBatch.from_pydict(out, schema=_SENT)
 
     return send
 
@@ -440,24 +440,25 @@ def window_values(rows: list[tuple[bytes, bytes]], length: int) -> tuple[np.ndar
 def _send_windows(folder: str, hot: list[int], parts: int, length: int):
     def send(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w.keep_only()
-        for batch in rows:
-            for run in batch.column("run").to_pylist():
-                order, many = _sorted(folder, run)
-                mine = np.array([i for i, x in enumerate(order) if _prefix(x) in hot], np.int64)
-                some = [order[i] for i in mine.tolist()]
-                values, checks = window_values(some, length)
-                size = np.array([len(x) + len(y) - length + 1 for x, y in some], np.int64)
-                sorting = np.lexsort((checks, values))
-                v, c = values[sorting], checks[sorting]
-                new = np.ones(len(v), bool)
-                new[1:] = (v[1:] != v[:-1]) | (c[1:] != c[:-1])
-                back = np.empty(len(v), np.uint32)
-                back[sorting] = np.cumsum(new) - 1
-                twice = np.bincount(back, minlength=int(new.sum())) > 1
-                twice[back[np.repeat(np.array([many[i] for i in mine.tolist()], bool), size)]] = True
-                left = np.array([len(y) for _, y in some], np.int64)
-                r.save(f"{folder}/hot/{run}", row=mine, size=size, left=left, back=back, n=np.array([len(twice)]))
-                yield r.send_values(run, v[new], c[new], twice, 64, parts)
+        for run, _, texts in r.opened_files(rows):
+            order, many = _sorted(folder, run, texts, length)
+            if not order:
+                continue
+            mine = np.array([i for i, x in enumerate(order) if _prefix(x) in hot], np.int64)
+            some = [order[i] for i in mine.tolist()]
+            values, checks = window_values(some, length)
+            size = np.array([len(x) + len(y) - length + 1 for x, y in some], np.int64)
+            sorting = np.lexsort((checks, values))
+            v, c = values[sorting], checks[sorting]
+            new = np.ones(len(v), bool)
+            new[1:] = (v[1:] != v[:-1]) | (c[1:] != c[:-1])
+            back = np.empty(len(v), np.uint32)
+            back[sorting] = np.cumsum(new) - 1
+            twice = np.bincount(back, minlength=int(new.sum())) > 1
+            twice[back[np.repeat(np.array([many[i] for i in mine.tolist()], bool), size)]] = True
+            left = np.array([len(y) for _, y in some], np.int64)
+            r.save(f"{folder}/hot/{run}", row=mine, size=size, left=left, back=back, n=np.array([len(twice)]))
+            yield r.send_values(run, v[new], c[new], twice, 64, parts)
 
     return send
 
@@ -479,7 +480,7 @@ def _hot_verdicts(folder: str, run: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def _covered(folder: str, run: int, n: int, length: int, some_hot: bool) -> np.ndarray:
     """Which bytes of a run go."""
-    got = r.load(f"{folder}/places/{run}")
+    got = r.load(f"{folder}/sorted/{run}")
     if not int(got["n"][0]):
         return np.zeros(n, bool)
     # Hot suffixes first, then those of the order.
