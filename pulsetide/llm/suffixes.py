@@ -8,9 +8,10 @@ anchors' grams leaves out those that occur once.
 Sort: a run sorts its anchors' suffixes (as far as any window reaches) with the text
 to their left, equal ones once, stores their places in that order, and sends each
 part a front-coded stretch: per suffix the length it shares with the one before, and
-the rest. A part merges the stretches with a loser tree whose nodes hold the prefix shared with the last winner:
-two suffixes of different shared length are ordered by that alone, others are
-compared from there on. The merge yields the order and its common prefixes (LCP).
+the rest. A part merges the stretches with a loser tree whose nodes hold the prefix
+shared with the last winner: two suffixes of different shared length are ordered by
+that alone, others are compared from there on. The merge yields the order and its
+common prefixes (LCP).
 
 Verdict: a window that starts d bytes before its anchor is repeated if some other
 suffix shares 200 - d bytes to the right and d to the left. Within a stretch of the
